@@ -1,0 +1,214 @@
+"""DuckDB SQL for the same fixture, silver and gold steps, used as the oracle.
+
+Written independently of the DataFrame code: each query key's SQL is a
+``WITH`` chain of the CTEs below plus a final SELECT.  DuckDB lacks ``initcap``
+and rounds a double's binary value when casting to DECIMAL, so both have exact
+SQL re-statements here (``initcap_sql`` / ``avg_2dp_sql``).
+"""
+
+from __future__ import annotations
+
+
+def initcap_sql(x: str) -> str:
+    return (f"array_to_string(list_transform(string_split({x}, ' '), "
+            f"lambda w: upper(w[1]) || lower(w[2:])), ' ')")
+
+
+def avg_2dp_sql(x: str) -> str:
+    """Half-up mean to DECIMAL(5,2), exact in integers; NULL if out of range."""
+    n = (f"(sign(sum({x})) * ((200 * abs(sum({x})) + count({x})) // (2 * count({x}))))")
+    return (f"CASE WHEN count({x}) = 0 OR abs({n}) > 99999 THEN NULL "
+            f"ELSE CAST(CAST({n} AS DECIMAL(18,0)) / 100 AS DECIMAL(5,2)) END")
+
+
+# --- bronze (landing-shaped) fixture -------------------------------------------
+ENTRY_CTES = """
+entry_groups AS (
+  SELECT CAST(year(o.o_orderdate) AS INTEGER) AS season,
+         CAST(month(o.o_orderdate) AS INTEGER) AS round,
+         l.l_suppkey AS driver_key,
+         CAST(count(*) AS INTEGER) AS laps,
+         sum(l.l_quantity) AS qty,
+         min(l.l_extendedprice) AS min_price
+  FROM lineitem l JOIN orders o ON l.l_orderkey = o.o_orderkey
+  GROUP BY 1, 2, 3
+),
+ranked_entries AS (
+  SELECT e.season, e.round, e.driver_key, e.laps, e.qty,
+         CAST(row_number() OVER (PARTITION BY e.season, e.round ORDER BY e.min_price, e.driver_key) AS INTEGER) AS grid,
+         CAST(row_number() OVER (PARTITION BY e.season, e.round ORDER BY e.qty DESC, e.driver_key) AS INTEGER) AS finish,
+         (s.s_nationkey + CASE WHEN e.round > 6 AND e.driver_key % 10 = 0 THEN 1 ELSE 0 END) % 25 AS team_key
+  FROM entry_groups e LEFT JOIN supplier s ON e.driver_key = s.s_suppkey
+)"""
+
+
+def _result_select(date_as_text: bool, points: str) -> str:
+    date = "make_date(season, round, 1)"
+    if date_as_text:
+        date = f"strftime({date}, '%Y-%m-%d')"
+    pos = "CASE WHEN laps % 5 = 0 THEN NULL ELSE finish END"
+    return f"""
+  SELECT {date} AS date,
+         'grand prix ' || CAST(round AS VARCHAR) AS raceName,
+         CAST(round AS INTEGER) AS round,
+         CAST(season AS INTEGER) AS season,
+         concat_ws('/', 'results', season, round, driver_key) AS url,
+         CAST(team_key AS VARCHAR) AS constructorId,
+         CAST(driver_key AS VARCHAR) AS driverId,
+         grid, laps,
+         CAST(driver_key % 100 AS INTEGER) AS number,
+         CAST({points} AS FLOAT) AS points,
+         CAST({pos} AS INTEGER) AS position,
+         coalesce(CAST({pos} AS VARCHAR), 'R') AS positionText,
+         CASE WHEN laps % 5 = 0 THEN 'retired' WHEN laps % 5 = 1 THEN '+1 LAP' ELSE 'finished' END AS status
+  FROM ranked_entries"""
+
+
+BRONZE_CTES = {
+    "results": f"bronze_results AS ({_result_select(False, 'qty')}\n)",
+    "sprints": f"bronze_sprints AS ({_result_select(True, 'qty / 2')}\n)",
+    "drivers": """bronze_drivers AS (
+  SELECT CAST(s.s_suppkey AS VARCHAR) AS driverId,
+         {'givenName': substring(s.s_name, 1, 8), 'familyName': substring(s.s_name, 10)} AS name,
+         CAST(DATE '1960-01-01' + CAST(s.s_suppkey % 7300 AS INTEGER) AS DATE) AS dateOfBirth,
+         lower(n.n_name) AS nationality,
+         'drivers/' || CAST(s.s_suppkey AS VARCHAR) AS url
+  FROM supplier s LEFT JOIN nation n ON s.s_nationkey = n.n_nationkey
+)""",
+    "constructors": """bronze_constructors AS (
+  SELECT CAST(n.n_nationkey AS VARCHAR) AS constructorId, n.n_name AS name,
+         r.r_name AS nationality, 'constructors/' || CAST(n.n_nationkey AS VARCHAR) AS url
+  FROM nation n LEFT JOIN region r ON n.n_regionkey = r.r_regionkey
+)""",
+    "races": """bronze_races AS (
+  SELECT CAST(season AS INTEGER) AS season, CAST(rnd AS VARCHAR) AS round,
+         concat_ws('/', 'races', season, rnd) AS url,
+         'grand prix ' || CAST(rnd AS VARCHAR) AS raceName,
+         date,
+         CAST((season + rnd) % 5 AS VARCHAR) AS circuitId
+  FROM (SELECT year(o_orderdate) AS season, month(o_orderdate) AS rnd,
+               CAST(min(o_orderdate) AS DATE) AS date
+        FROM orders GROUP BY 1, 2)
+)""",
+    "circuits": """bronze_circuits AS (
+  SELECT CAST(r_regionkey AS VARCHAR) AS circuitId,
+         'circuits/' || CAST(r_regionkey AS VARCHAR) AS url,
+         r_name AS circuitName,
+         CAST(r_regionkey * 10.5e0 AS DOUBLE) AS lat,
+         CAST(r_regionkey * -3.25e0 AS DOUBLE) AS long,
+         lower(r_name) || ' city' AS locality,
+         r_name AS country
+  FROM region WHERE r_regionkey <> 4
+)""",
+}
+
+
+def _dedupe(src: str, keys: list[str], cols: list[str]) -> str:
+    """First row per key under the order of all remaining columns (NULLS FIRST)."""
+    rest = [c for c in cols if c not in keys]
+    order = ", ".join(f"{c} ASC NULLS FIRST" for c in rest)
+    return (f"SELECT * FROM {src} QUALIFY row_number() OVER "
+            f"(PARTITION BY {', '.join(keys)} ORDER BY {order}) = 1")
+
+
+_RESULT_SILVER_COLS = ["date", "race_name", "round", "season", "constructor_id", "driver_id",
+                       "grid", "laps", "number", "points", "position", "position_text", "status"]
+
+SILVER_CTES = {
+    "results": f"""silver_results_r AS (
+  SELECT date, raceName AS race_name, round, season, constructorId AS constructor_id,
+         driverId AS driver_id, grid, laps, number, points, position,
+         positionText AS position_text, status FROM bronze_results
+),
+silver_results_d AS ({_dedupe('silver_results_r', ['season', 'round', 'driver_id'], _RESULT_SILVER_COLS)}),
+silver_results AS (
+  SELECT date, {initcap_sql('race_name')} AS race_name, round, season, constructor_id, driver_id,
+         grid, laps, number, points, position, position_text, {initcap_sql('status')} AS status
+  FROM silver_results_d
+)""",
+    "sprints": f"""silver_sprints_r AS (
+  SELECT date, raceName AS race_name, round, season, constructorId AS constructor_id,
+         driverId AS driver_id, grid, laps, number, points, position,
+         positionText AS position_text, status FROM bronze_sprints
+),
+silver_sprints_d AS ({_dedupe('silver_sprints_r', ['season', 'round', 'driver_id'], _RESULT_SILVER_COLS)}),
+silver_sprints AS (
+  SELECT CAST(strptime(date, '%Y-%m-%d') AS DATE) AS date, {initcap_sql('race_name')} AS race_name,
+         round, season, constructor_id, driver_id, grid, laps, number, points, position,
+         position_text, {initcap_sql('status')} AS status
+  FROM silver_sprints_d
+)""",
+    "drivers": f"""silver_drivers_r AS (
+  SELECT driverId AS driver_id, dateOfBirth AS date_of_birth, nationality,
+         name.givenName AS first_name, name.familyName AS last_name FROM bronze_drivers
+),
+silver_drivers_d AS ({_dedupe('silver_drivers_r', ['driver_id'], ['driver_id', 'date_of_birth', 'nationality', 'first_name', 'last_name'])}),
+silver_drivers AS (
+  SELECT driver_id, date_of_birth, {initcap_sql('nationality')} AS nationality,
+         {initcap_sql('first_name')} AS first_name, {initcap_sql('last_name')} AS last_name
+  FROM silver_drivers_d
+)""",
+    "constructors": f"""silver_constructors_r AS (
+  SELECT constructorId AS constructor_id, name AS constructor_name, nationality FROM bronze_constructors
+),
+silver_constructors_d AS ({_dedupe('silver_constructors_r', ['constructor_id'], ['constructor_id', 'constructor_name', 'nationality'])}),
+silver_constructors AS (
+  SELECT constructor_id, constructor_name, {initcap_sql('nationality')} AS nationality FROM silver_constructors_d
+)""",
+    "races": f"""silver_races_r AS (
+  SELECT season, CAST(round AS INTEGER) AS round, raceName AS race_name, date AS race_date,
+         circuitId AS circuit_id FROM bronze_races
+),
+silver_races_d AS ({_dedupe('silver_races_r', ['season', 'round'], ['season', 'round', 'race_name', 'race_date', 'circuit_id'])}),
+silver_races AS (
+  SELECT season, round, {initcap_sql('race_name')} AS race_name, race_date, circuit_id FROM silver_races_d
+)""",
+    "circuits": f"""silver_circuits_r AS (
+  SELECT circuitId AS circuit_id, circuitName AS circuit_name, lat AS latitude, long AS longitude,
+         locality, country FROM bronze_circuits WHERE circuitId IS NOT NULL
+),
+silver_circuits_d AS ({_dedupe('silver_circuits_r', ['circuit_id'], ['circuit_id', 'circuit_name', 'latitude', 'longitude', 'locality', 'country'])}),
+silver_circuits AS (
+  SELECT circuit_id, {initcap_sql('circuit_name')} AS circuit_name, latitude, longitude,
+         {initcap_sql('locality')} AS locality, country FROM silver_circuits_d
+)""",
+}
+
+GOLD_RACE_RESULTS_CTE = """race_results AS (
+  SELECT r.season, r.round, r.race_name, ra.race_date,
+         c.circuit_name, c.locality, c.country,
+         r.driver_id, concat_ws(' ', d.first_name, d.last_name) AS driver_name,
+         d.nationality AS driver_nationality,
+         r.constructor_id, k.constructor_name, k.nationality AS constructor_nationality,
+         r.grid, r.position, r.position_text, r.points, r.laps, r.status,
+         r.grid - r.position AS positions_gained,
+         coalesce(r.position = 1, false) AS is_winner,
+         coalesce(r.position <= 3, false) AS is_podium,
+         coalesce(r.status <> 'Finished', false) AS is_dnf
+  FROM silver_results r
+  LEFT JOIN silver_drivers d ON r.driver_id = d.driver_id
+  LEFT JOIN silver_constructors k ON r.constructor_id = k.constructor_id
+  LEFT JOIN silver_races ra ON r.season = ra.season AND r.round = ra.round
+  LEFT JOIN silver_circuits c ON ra.circuit_id = c.circuit_id
+)"""
+
+
+def with_ctes(*parts: str) -> str:
+    """``WITH`` prefix over the named CTE groups, in dependency order."""
+    return "WITH " + ",\n".join(p.strip() for p in parts) + "\n"
+
+
+def bronze_prefix(*names: str) -> list[str]:
+    parts = []
+    if any(n in ("results", "sprints") for n in names):
+        parts.append(ENTRY_CTES)
+    parts += [BRONZE_CTES[n] for n in names]
+    return parts
+
+
+def silver_prefix(*names: str) -> list[str]:
+    return bronze_prefix(*names) + [SILVER_CTES[n] for n in names]
+
+
+def gold_prefix() -> list[str]:
+    return silver_prefix("results", "drivers", "constructors", "races", "circuits") + [GOLD_RACE_RESULTS_CTE]
