@@ -1,57 +1,15 @@
-"""Query registry: one DataFrame builder and one DuckDB oracle per query key.
+"""Query registry: importing this module registers every query key.
 
 Every builder takes ``(spark, sf_dir)``, reads the driver's parquet tables (or
-data Spark derives from them) and returns a lazy DataFrame.  Keys and column
-names match ``oracle_sql()`` one to one.
+data Spark derives from them) and returns a lazy DataFrame whose column names
+match the key's DuckDB oracle SQL.
 """
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from tierlake.plans import (  # noqa: F401  (imported for registration)
+    queries_gold,
+)
+from tierlake.plans.catalog import ORACLE, QUERIES
 
-from pyspark.sql import DataFrame, SparkSession
-
-from tierlake.operators import marts
-from tierlake.plans import fixtures as fx
-from tierlake.plans import oracle_sql as osql
-
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
-ORACLE: dict[str, str] = {}
-
-
-def register(key: str, sql: str | None = None):
-    def deco(fn):
-        QUERIES[key] = fn
-        if sql is not None:
-            ORACLE[key] = sql
-        return fn
-    return deco
-
-
-# --- slice 1: the flagship -----------------------------------------------------
-
-@register("race_results", osql.with_ctes(*osql.gold_prefix()) + "SELECT * FROM race_results")
-def q_race_results(spark, sf_dir):
-    return fx.gold_race_results(spark, sf_dir)
-
-
-_DRIVER_STANDINGS_SQL = osql.with_ctes(*osql.gold_prefix()) + f"""
-SELECT season, driver_id, driver_name, driver_nationality, constructor_name,
-       CAST(sum(points) AS DOUBLE) AS total_points,
-       count(*) AS races_entered,
-       CAST(sum(CASE WHEN is_winner THEN 1 ELSE 0 END) AS BIGINT) AS wins,
-       CAST(sum(CASE WHEN is_podium THEN 1 ELSE 0 END) AS BIGINT) AS podiums,
-       CAST(sum(CASE WHEN is_dnf THEN 1 ELSE 0 END) AS BIGINT) AS dnfs,
-       min(position) AS best_finish,
-       {osql.avg_2dp_sql('position')} AS avg_finish_position,
-       {osql.avg_2dp_sql('positions_gained')} AS avg_positions_gained,
-       CAST(rank() OVER (PARTITION BY season ORDER BY sum(points) DESC,
-                         sum(CASE WHEN is_winner THEN 1 ELSE 0 END) DESC) AS INTEGER) AS season_rank
-FROM race_results
-GROUP BY season, driver_id, driver_name, driver_nationality, constructor_name
-"""
-
-
-@register("driver_standings", _DRIVER_STANDINGS_SQL)
-def q_driver_standings(spark, sf_dir):
-    return marts.driver_standings(fx.gold_race_results(spark, sf_dir))
+__all__ = ["QUERIES", "ORACLE"]

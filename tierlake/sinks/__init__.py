@@ -1,0 +1,12 @@
+"""Sinks: catalog tables, keyed writes, snapshots and previews."""
+
+from tierlake.sinks.tables import (
+    check_keys,
+    ensure_schema,
+    overwrite_table,
+    preview,
+    write_keyed_table,
+    write_snapshot,
+)
+
+__all__ = ["check_keys", "ensure_schema", "overwrite_table", "preview", "write_keyed_table", "write_snapshot"]
