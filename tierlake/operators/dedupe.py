@@ -32,8 +32,11 @@ def _order_expr(df: DataFrame, spec) -> Column:
         return -F.col(name)
     if isinstance(dtype, DateType):
         return -F.unix_date(F.col(name))
-    if isinstance(dtype, (TimestampType, TimestampNTZType)):
-        return -F.unix_micros(F.col(name).cast("timestamp"))
+    if isinstance(dtype, TimestampType):
+        return -F.unix_micros(F.col(name))
+    if isinstance(dtype, TimestampNTZType):
+        # Zone-free microseconds since the epoch (no local-time conversion).
+        return -F.expr(f"timestampdiff(MICROSECOND, TIMESTAMP_NTZ'1970-01-01 00:00:00', `{name}`)")
     raise ValueError(f"descending order on {dtype.simpleString()} column {name!r} is not supported")
 
 

@@ -47,10 +47,9 @@ def write_json_arrays(df: DataFrame, path: str, files: int | None = None) -> Non
        .write.mode("overwrite").text(path))
 
 
-def land(df: DataFrame, root: str, name: str, files: int | None = None, batch_col: str | None = None) -> str:
-    """Write one source under ``root`` in its landing format; returns its path."""
-    fmt, rel = FORMATS[name]
-    path = os.path.join(root, rel)
+def write_landing(df: DataFrame, path: str, fmt: str, files: int | None = None,
+                  batch_col: str | None = None) -> str:
+    """Write ``df`` at ``path`` as ``csv``, ``json`` (JSON Lines) or ``json_array``."""
     if fmt == "csv":
         _spread(df, files).write.mode("overwrite").option("header", True).csv(path)
     elif fmt == "json_array":
@@ -65,6 +64,12 @@ def land(df: DataFrame, root: str, name: str, files: int | None = None, batch_co
     return path
 
 
+def land(df: DataFrame, root: str, name: str, files: int | None = None, batch_col: str | None = None) -> str:
+    """Write one source under ``root`` in its landing format; returns its path."""
+    fmt, rel = FORMATS[name]
+    return write_landing(df, os.path.join(root, rel), fmt, files, batch_col)
+
+
 def land_all(spark: SparkSession, sf_dir: str, root: str, files: int | None = None) -> dict[str, str]:
     """Land all six sources derived from the driver's tables under ``root``."""
     return {name: land(fx.bronze(spark, sf_dir, name), root, name, files) for name in FORMATS}
