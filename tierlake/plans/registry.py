@@ -10,6 +10,7 @@ from __future__ import annotations
 from tierlake.plans import (  # noqa: F401  (imported for registration)
     queries_gold,
     queries_io,
+    queries_conform,
 )
 from tierlake.plans.catalog import ORACLE, QUERIES
 
