@@ -212,3 +212,47 @@ def silver_prefix(*names: str) -> list[str]:
 
 def gold_prefix() -> list[str]:
     return silver_prefix("results", "drivers", "constructors", "races", "circuits") + [GOLD_RACE_RESULTS_CTE]
+
+
+# --- history features ------------------------------------------------------------
+FEATURE_WINDOWS = """
+  WINDOW dw AS (PARTITION BY driver_id ORDER BY season, round ROWS BETWEEN 5 PRECEDING AND 1 PRECEDING),
+         cw AS (PARTITION BY constructor_id ORDER BY season, round, driver_id
+                ROWS BETWEEN 10 PRECEDING AND 1 PRECEDING),
+         hw AS (PARTITION BY driver_id, circuit_name ORDER BY season, round
+                ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)"""
+
+FEATURES_CTE = f"""classified AS (SELECT * FROM race_results WHERE position IS NOT NULL),
+features AS (
+  SELECT *,
+         avg(position) OVER dw AS driver_avg_position_last5,
+         avg(points) OVER dw AS driver_avg_points_last5,
+         avg(CAST(is_podium AS INTEGER)) OVER dw AS driver_podium_rate_last5,
+         avg(CAST(is_winner AS INTEGER)) OVER dw AS driver_win_rate_last5,
+         avg(CAST(is_dnf AS INTEGER)) OVER dw AS driver_dnf_rate_last5,
+         avg(position) OVER hw AS driver_circuit_avg_position,
+         count(*) OVER hw AS driver_circuit_races,
+         avg(points) OVER cw AS constructor_avg_points_last10,
+         avg(CAST(is_podium AS INTEGER)) OVER cw AS constructor_podium_rate_last10,
+         avg(CAST(is_dnf AS INTEGER)) OVER cw AS constructor_dnf_rate_last10
+  FROM classified
+  {FEATURE_WINDOWS}
+)"""
+
+FEATURE_COLS_SQL = """grid, season, round, driver_avg_position_last5, driver_avg_points_last5,
+       driver_podium_rate_last5, driver_win_rate_last5, driver_dnf_rate_last5,
+       constructor_avg_points_last10, constructor_podium_rate_last10, constructor_dnf_rate_last10,
+       driver_circuit_avg_position, driver_circuit_races"""
+
+MODEL_FRAME_CTE = f"""model_frame AS (
+  SELECT {FEATURE_COLS_SQL}, is_podium, driver_name, race_name, driver_id
+  FROM features WHERE driver_avg_position_last5 IS NOT NULL
+)"""
+
+
+def features_prefix() -> list[str]:
+    return gold_prefix() + [FEATURES_CTE]
+
+
+def model_prefix() -> list[str]:
+    return features_prefix() + [MODEL_FRAME_CTE]

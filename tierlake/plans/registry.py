@@ -11,6 +11,7 @@ from tierlake.plans import (  # noqa: F401  (imported for registration)
     queries_gold,
     queries_io,
     queries_conform,
+    queries_features,
 )
 from tierlake.plans.catalog import ORACLE, QUERIES
 
