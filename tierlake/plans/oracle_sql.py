@@ -256,3 +256,52 @@ def features_prefix() -> list[str]:
 
 def model_prefix() -> list[str]:
     return features_prefix() + [MODEL_FRAME_CTE]
+
+
+# --- deterministic score fixture and evaluation -----------------------------------
+SCORED_CTE = """scored AS (
+  SELECT *, CAST(is_podium AS INTEGER) AS y, 1.0e0 - grid / 128.0e0 AS p,
+         CAST((1.0e0 - grid / 128.0e0) > 0.5e0 AS INTEGER) AS yhat
+  FROM model_frame WHERE season >= 2000
+)"""
+
+SWEEP_CTES = """sweep_grid AS (
+  SELECT 0.3e0 + CAST(i AS DOUBLE) * ((0.3e0 + 0.01e0) - 0.3e0) AS threshold FROM range(61) t(i)
+),
+sweep_counts AS (
+  SELECT g.threshold, count(*) AS total, sum(s.y) AS positives,
+         sum(CASE WHEN s.p >= g.threshold THEN 1 ELSE 0 END) AS pp,
+         sum(CASE WHEN s.p >= g.threshold AND s.y = 1 THEN 1 ELSE 0 END) AS tp
+  FROM sweep_grid g, scored s GROUP BY g.threshold
+),
+sweep_rates AS (
+  SELECT threshold,
+         CAST(tp + (total - positives) - (pp - tp) AS DOUBLE) / CAST(total AS DOUBLE) AS accuracy,
+         CASE WHEN positives > 0 THEN CAST(tp AS DOUBLE) / CAST(positives AS DOUBLE) END AS recall,
+         CASE WHEN pp > 0 THEN CAST(tp AS DOUBLE) / CAST(pp AS DOUBLE) ELSE 0.0e0 END AS precision
+  FROM sweep_counts
+),
+sweep AS (
+  SELECT *, CASE WHEN precision + recall > 0 THEN 2.0e0 * precision * recall / (precision + recall)
+                 ELSE 0.0e0 END AS f1
+  FROM sweep_rates
+)"""
+
+
+def best_threshold_cte(name: str, min_acc: str) -> str:
+    return f"""{name} AS (
+  SELECT * EXCLUDE (any_valid, tier, metric) FROM (
+    SELECT *, CASE WHEN any_valid THEN 'best_f1_at_min_accuracy' ELSE 'best_accuracy' END AS rule,
+           CASE WHEN any_valid THEN CAST(accuracy >= {min_acc} AS INTEGER) ELSE 1 END AS tier,
+           CASE WHEN any_valid THEN f1 ELSE accuracy END AS metric
+    FROM (SELECT *, max(CAST(accuracy >= {min_acc} AS INTEGER)) OVER () = 1 AS any_valid FROM sweep)
+  ) ORDER BY tier DESC, metric DESC, threshold ASC LIMIT 1
+)"""
+
+
+def scored_prefix() -> list[str]:
+    return model_prefix() + [SCORED_CTE]
+
+
+def sweep_prefix() -> list[str]:
+    return scored_prefix() + [SWEEP_CTES]

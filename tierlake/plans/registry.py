@@ -12,6 +12,7 @@ from tierlake.plans import (  # noqa: F401  (imported for registration)
     queries_io,
     queries_conform,
     queries_features,
+    queries_eval,
 )
 from tierlake.plans.catalog import ORACLE, QUERIES
 
