@@ -1,0 +1,164 @@
+"""Edge semantics: NULLs, ties, rounding, casing, strict parsing, snapshots, keys."""
+
+import datetime as dt
+import os
+from decimal import Decimal
+
+import pytest
+from pyspark.sql import functions as F
+
+from tierlake.functions.dates import parse_date
+from tierlake.operators import marts
+from tierlake.operators.conform import conform_races, require_not_null
+from tierlake.operators.dedupe import dedupe
+from tierlake.sinks.tables import write_keyed_table, write_snapshot
+from tierlake.sources.files import read_csv_strict, read_json_strict
+from tierlake.sources.schemas import CIRCUITS_SCHEMA, RACES_SCHEMA, SPRINTS_SCHEMA
+from tierlake.sources.tables import read_snapshot, snapshot_versions
+
+
+def test_dedupe_null_and_duplicate_keys(spark):
+    df = spark.createDataFrame([(None, 1), (None, 2), (1, 3), (1, 3)], "k int, v int")
+    out = sorted(dedupe(df, ["k"]).collect(), key=lambda r: (r.k is not None, r.k))
+    assert [(r.k, r.v) for r in out] == [(None, 1), (1, 3)]
+
+
+def test_dedupe_order_and_partition_independence(spark):
+    rows = [(i % 7, i, f"x{i}") for i in range(200)]
+    df = spark.createDataFrame(rows, "k int, v int, s string")
+    a = dedupe(df, ["k"], [("v", False)]).collect()
+    b = dedupe(df.repartition(13), ["k"], [("v", False)]).collect()
+    assert sorted(a) == sorted(b)
+    assert {r.k: r.v for r in a} == {k: max(v for kk, v, _ in rows if kk == k) for k in range(7)}
+    # idempotent
+    assert sorted(dedupe(dedupe(df, ["k"]), ["k"]).collect()) == sorted(dedupe(df, ["k"]).collect())
+
+
+def test_flags_null_position_and_status(spark):
+    df = spark.createDataFrame(
+        [(None, None, 5), (1, "Finished", 1), (3, "+1 Lap", 4), (4, "Finished", 2)],
+        "position int, status string, grid int").withColumns(
+        {"first_name": F.lit("a"), "last_name": F.lit(None).cast("string")})
+    out = marts.race_flags(df).collect()
+    assert [(r.is_winner, r.is_podium, r.is_dnf) for r in out] == [
+        (False, False, False), (True, True, False), (False, True, True), (False, False, False)]
+    assert out[0].positions_gained is None and out[3].positions_gained == -2
+    assert out[0].driver_name == "a"
+
+
+def test_initcap_semantics(spark):
+    df = spark.createDataFrame([("jean-ERIC", "mcLaren"), ("a  b", "x\ty"), (None, "")], "a string, b string")
+    out = df.select(F.initcap("a").alias("a"), F.initcap("b").alias("b")).collect()
+    assert [(r.a, r.b) for r in out] == [("Jean-eric", "Mclaren"), ("A  B", "X\ty"), (None, "")]
+
+
+def test_avg_decimal_half_up_and_overflow_null(spark):
+    df = spark.createDataFrame(
+        [("a", 2), ("a", 2), ("a", 2), ("a", 2), ("a", 2), ("a", 3), ("a", 2), ("a", 2)]
+        + [("b", 427)] + [("b", 0)] * 199 + [("c", 1234), ("c", 1235)], "g string, x int")
+    out = {r.g: r.m for r in df.groupBy("g").agg(F.avg("x").try_cast("decimal(5,2)").alias("m")).collect()}
+    assert out["a"] == Decimal("2.13")      # 2.125 -> half-up 2.13
+    assert out["b"] == Decimal("2.14")      # 2.135 -> 2.14 (not the binary 2.13)
+    assert out["c"] is None                 # 1234.5 does not fit DECIMAL(5,2)
+
+
+def test_string_round_joins_as_int(spark):
+    races = spark.createDataFrame([(2000, "01", "u", "r", dt.date(2000, 1, 1), "c")], RACES_SCHEMA)
+    silver = conform_races(races)
+    assert silver.schema["round"].dataType.simpleString() == "int"
+    results = spark.createDataFrame([(2000, 1, "d")], "season int, round int, driver_id string")
+    joined = marts.join_races(results, silver).collect()
+    assert joined[0].circuit_id == "c"
+    bad = spark.createDataFrame([(2000, "x", "u", "r", None, "c")], RACES_SCHEMA)
+    with pytest.raises(Exception):
+        conform_races(bad).collect()
+
+
+def test_to_date_strict_and_lenient(spark):
+    df = spark.createDataFrame([("2024-02-29",), (None,)], "d string")
+    assert [r.d for r in parse_date(df, "d").collect()] == [dt.date(2024, 2, 29), None]
+    bad = spark.createDataFrame([("x",)], "d string")
+    with pytest.raises(Exception):
+        parse_date(bad, "d").collect()
+    assert parse_date(bad, "d", strict=False).first().d is None
+
+
+def test_require_not_null(spark):
+    df = spark.createDataFrame([(None, 1), ("a", 2)], "k string, v int")
+    assert [r.v for r in require_not_null(df, ["k"]).collect()] == [2]
+
+
+def _write(path, text):
+    os.makedirs(os.path.dirname(path), exist_ok=True)
+    with open(path, "w") as f:
+        f.write(text)
+
+
+def test_strict_csv(spark, tmp):
+    root = tmp.replace("file:", "")
+    good = os.path.join(root, "good.csv")
+    _write(good, "circuitId,url,circuitName,lat,long,locality,country\nc1,u,n,1.5,2.5,l,k\n")
+    assert read_csv_strict(spark, good, CIRCUITS_SCHEMA).first().lat == 1.5
+    bad = os.path.join(root, "bad.csv")
+    _write(bad, "circuitId,url,circuitName,lat,long,locality,country\nc1,u,n,abc,2.5,l,k\n")
+    with pytest.raises(Exception):
+        read_csv_strict(spark, bad, CIRCUITS_SCHEMA).collect()
+    short = os.path.join(root, "short.csv")
+    _write(short, "circuitId,url,circuitName,lat,long,locality,country\nc1,u\n")
+    with pytest.raises(Exception):
+        read_csv_strict(spark, short, CIRCUITS_SCHEMA).collect()
+    wrong = os.path.join(root, "wrong.csv")
+    _write(wrong, "a,b,c,d,e,f,g\nc1,u,n,1.5,2.5,l,k\n")
+    assert read_csv_strict(spark, wrong, CIRCUITS_SCHEMA).count() == 1        # header only skipped
+    with pytest.raises(Exception):
+        read_csv_strict(spark, wrong, CIRCUITS_SCHEMA, strict_header=True).collect()
+
+
+def test_strict_json(spark, tmp):
+    root = tmp.replace("file:", "")
+    d = os.path.join(root, "dir")
+    _write(os.path.join(d, "a.json"), '{"constructorId": "c1", "name": "n", "extra": 1}\n')
+    _write(os.path.join(d, "b.json"), '{"constructorId": "c2"}\n')
+    df = read_json_strict(spark, d, "constructorId STRING, name STRING, nationality STRING, url STRING")
+    rows = sorted(df.collect())
+    assert [(r.constructorId, r.name, r.nationality) for r in rows] == [("c1", "n", None), ("c2", None, None)]
+    q = os.path.join(root, "q.json")
+    _write(q, '{"round": "3"}\n')
+    with pytest.raises(Exception):
+        read_json_strict(spark, q, SPRINTS_SCHEMA).collect()
+    arr = os.path.join(root, "arr.json")
+    _write(arr, '[\n  {"round": 1, "season": 2000},\n  {"round": 2, "season": 2000}\n]\n')
+    assert read_json_strict(spark, arr, SPRINTS_SCHEMA, multi_line=True).count() == 2
+    with pytest.raises(Exception):
+        read_json_strict(spark, arr, SPRINTS_SCHEMA).collect()
+
+
+def test_snapshots(spark, tmp):
+    df = spark.createDataFrame([(1, "a")], "k int, v string")
+    assert write_snapshot(df, tmp) == 0
+    assert write_snapshot(df.withColumn("v", F.lit("b")), tmp) == 1
+    assert snapshot_versions(spark, tmp) == [0, 1]
+    assert read_snapshot(spark, tmp, 0).first().v == "a"
+    assert read_snapshot(spark, tmp).first().v == "b"
+    plan = read_snapshot(spark, tmp, 0)._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters" in plan and "_version" in plan
+
+
+def test_keyed_table_rejects_duplicates_and_nulls(spark):
+    spark.sql("CREATE SCHEMA IF NOT EXISTS keyed_test")
+    ok = spark.createDataFrame([("a", 1), ("b", 2)], "k string, v int")
+    assert write_keyed_table(ok, "keyed_test.t1", ["k"])["rows"] == 2
+    dup = spark.createDataFrame([("a", 1), ("a", 2)], "k string, v int")
+    with pytest.raises(ValueError):
+        write_keyed_table(dup, "keyed_test.t2", ["k"])
+    assert not spark.catalog.tableExists("keyed_test.t2")
+    nul = spark.createDataFrame([(None, 1), ("a", 2)], "k string, v int")
+    with pytest.raises(ValueError):
+        write_keyed_table(nul, "keyed_test.t3", ["k"])
+
+
+def test_rank_ties_share_rank(spark):
+    df = spark.createDataFrame([(2000, 10.0, 1), (2000, 10.0, 1), (2000, 10.0, 0), (2000, 5.0, 3)],
+                               "season int, total_points double, wins long")
+    ranks = sorted(r.season_rank for r in marts.season_rank(df).collect())
+    assert ranks == [1, 1, 3, 4]

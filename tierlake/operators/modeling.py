@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 
 from tierlake.operators.evaluation import auc_roc
 from tierlake.operators.features import FEATURE_COLS, TARGET_COL
+from tierlake.session import materialize
 
 # --- fixed values: the reference model's hyper-parameters, mapped to GBTClassifier
 PODIUM_PARAMS = {
@@ -70,7 +71,8 @@ def train_podium_model(train: DataFrame, feature_cols: list[str] | None = None,
     gbt = GBTClassifier(featuresCol="features", labelCol="label", weightCol="weight",
                         **{**PODIUM_PARAMS, **(params or {})})
     pipe = Pipeline(stages=[VectorAssembler(inputCols=feature_cols, outputCol="features"), gbt])
-    data = with_weight(train, y).withColumn("label", F.col(y).cast("double"))
+    # Boosting makes many passes: materialise the (weighted) input once.
+    data = with_weight(materialize(train), y).withColumn("label", F.col(y).cast("double"))
     return pipe.fit(data)
 
 
@@ -105,13 +107,17 @@ def feature_importance(spark: SparkSession, model: PipelineModel, feature_cols:
     return df.orderBy("importance", "feature")
 
 
-def permuted_column(df: DataFrame, col: str, key_cols: list[str], seed: int = 42, groups: int = 64) -> DataFrame:
+def permuted_column(df: DataFrame, col: str, key_cols: list[str], seed: int = 42,
+                    groups: int | None = None) -> DataFrame:
     """Replace ``col`` by a deterministic permutation of its own values.
 
     Rows are spread over ``groups`` hash groups of a unique row key; within a
     group, ordered by a second hash, each row takes the next row's value (the
     last takes the first): a cyclic shift, computed by partitioned windows.
     """
+    # One hash group per input partition by default: group sizes follow the
+    # partition sizes the planner already chose, whatever the data volume.
+    groups = groups or max(8, df.rdd.getNumPartitions())
     h1 = F.xxhash64(*[F.col(k) for k in key_cols], F.lit(seed))
     h2 = F.xxhash64(*[F.col(k) for k in key_cols], F.lit(seed + 1))
     tmp = df.withColumns({"__g": F.pmod(h1, F.lit(groups)), "__h": h2})
@@ -138,6 +144,9 @@ def permutation_importance(model: PipelineModel, df: DataFrame, key_cols: list[s
         scored = score(model, frame).select(yy, "predicted_podium_prob")
         return auc_roc(scored, "__y", "predicted_podium_prob").first()["auc"]
 
+    # The frame is re-read once per feature: cut its lineage once, reliably,
+    # into the session's checkpoint directory (shared storage on a cluster).
+    df = materialize(df)
     base = auc_of(df)
     rows = [(f, float(base), float(auc_of(permuted_column(df, f, key_cols, seed)))) for f in feature_cols]
     out = spark.createDataFrame(rows, "feature string, base_auc double, permuted_auc double")

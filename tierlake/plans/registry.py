@@ -13,6 +13,7 @@ from tierlake.plans import (  # noqa: F401  (imported for registration)
     queries_conform,
     queries_features,
     queries_eval,
+    queries_model,
 )
 from tierlake.plans.catalog import ORACLE, QUERIES
 

@@ -56,3 +56,13 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh, never-reused path under the shared checkpoint root."""
     root = ensure_checkpoint_dir(spark)
     return os.path.join(root, "tierlake-scratch", f"{name}-{uuid.uuid4().hex[:12]}")
+
+
+def materialize(df):
+    """Reliable checkpoint (eager) into the session's checkpoint directory.
+
+    Used where a frame is re-read many times; it also cuts the lineage so a
+    lost executor does not trigger recomputation from the sources.
+    """
+    ensure_checkpoint_dir(df.sparkSession)
+    return df.checkpoint(eager=True)
