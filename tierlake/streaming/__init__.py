@@ -1,0 +1,6 @@
+"""Intentionally empty.
+
+The reference performs no streaming work (no streaming reads or writes,
+watermarks or stateful operators); every load is a batch full refresh.  Nothing
+is re-expressed here, to avoid adding operators the reference does not have.
+"""
