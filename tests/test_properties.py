@@ -8,6 +8,7 @@ from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
 from tierlake.operators import evaluation as ev
+from tierlake.functions.ordering import count_at_or_below
 from tierlake.operators.features import rolling_mean, rolling_mean_prior_events
 
 SETTINGS = settings(max_examples=12, deadline=None, suppress_health_check=list(HealthCheck))
@@ -95,5 +96,5 @@ def test_bucket_tree_counts_bounds(spark):
     bounds = sorted(random.Random(1).uniform(-5, 5) for _ in range(37))
     xs = [-9.0, *bounds, 0.0, 9.0]
     df = spark.createDataFrame([(x,) for x in xs], "x double")
-    got = [r.b for r in df.select(ev.count_at_or_below(F.col("x"), bounds).alias("b")).collect()]
+    got = [r.b for r in df.select(count_at_or_below(F.col("x"), bounds).alias("b")).collect()]
     assert got == [sum(b <= x for b in bounds) for x in xs]

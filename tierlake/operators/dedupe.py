@@ -10,36 +10,13 @@ no key group is ever sorted or buffered in a single task.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import (
-    DateType,
-    NumericType,
-    TimestampNTZType,
-    TimestampType,
-)
+from tierlake.functions.ordering import ascending_key
 
 _ORD = "__ord"
 
 
-def _order_expr(df: DataFrame, spec) -> Column:
-    """Ascending-comparable expression for one order key (``"col"`` or ``("col", asc)``)."""
-    name, asc = (spec, True) if isinstance(spec, str) else spec
-    if asc:
-        return F.col(name)
-    dtype = df.schema[name].dataType
-    if isinstance(dtype, NumericType):
-        return -F.col(name)
-    if isinstance(dtype, DateType):
-        return -F.unix_date(F.col(name))
-    if isinstance(dtype, TimestampType):
-        return -F.unix_micros(F.col(name))
-    if isinstance(dtype, TimestampNTZType):
-        # Zone-free microseconds since the epoch (no local-time conversion).
-        return -F.expr(f"timestampdiff(MICROSECOND, TIMESTAMP_NTZ'1970-01-01 00:00:00', `{name}`)")
-    raise ValueError(f"descending order on {dtype.simpleString()} column {name!r} is not supported")
-
-
 def dedupe(df: DataFrame, keys: list[str], order_by: list | None = None) -> DataFrame:
     """One row per ``keys``: the smallest under (order_by..., all other columns).
 
@@ -48,7 +25,7 @@ def dedupe(df: DataFrame, keys: list[str], order_by: list | None = None) -> Data
     """
     order_by = list(order_by or [])
     payload = [c for c in df.columns if c not in keys]
-    ord_fields = [_order_expr(df, s).alias(f"{_ORD}{i}") for i, s in enumerate(order_by)]
+    ord_fields = [ascending_key(df, s).alias(f"{_ORD}{i}") for i, s in enumerate(order_by)]
     best = F.min(F.struct(*ord_fields, *[F.col(c) for c in payload])).alias("__best")
     out = df.groupBy(*keys).agg(best)
     return out.select(*[F.col(k) if k in keys else F.col(f"__best.{k}").alias(k) for k in df.columns])

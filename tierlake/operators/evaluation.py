@@ -17,6 +17,8 @@ import math
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from tierlake.functions.ordering import count_at_or_below
+
 # --- fixed values: the reference's threshold grid and report labels -------------
 SWEEP_START, SWEEP_STOP, SWEEP_STEP = 0.3, 0.9, 0.01
 MIN_ACCURACY = 0.90
@@ -36,19 +38,6 @@ def sweep_thresholds(start: float = SWEEP_START, stop: float = SWEEP_STOP, step:
     return [start + i * delta for i in range(n)]
 
 
-def count_at_or_below(x: Column, bounds: list[float]) -> Column:
-    """Number of ``bounds`` (sorted ascending) that are <= x, as a balanced CASE tree.
-
-    Pure built-in expression (codegen'd), O(log len(bounds)) comparisons per row.
-    """
-    def tree(lo: int, hi: int) -> Column:
-        if lo == hi:
-            return F.lit(lo)
-        mid = (lo + hi + 1) // 2          # answer >= mid  <=>  x >= bounds[mid - 1]
-        return F.when(x >= F.lit(bounds[mid - 1]), tree(mid, hi)).otherwise(tree(lo, mid - 1))
-    return tree(0, len(bounds))
-
-
 def running_sums(df: DataFrame, value: str, cols: list[str], descending: bool = False,
                  inclusive: bool = True, buckets: int = 256) -> DataFrame:
     """Add ``cum_<c>``: sum of ``c`` over rows whose ``value`` is <= (or >=) this row's.

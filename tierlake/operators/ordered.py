@@ -1,0 +1,122 @@
+"""Skew-safe ordered operators: rank / row_number and rolling row frames within
+groups that may be huge (one race, one team or one season holding a large
+share of all rows).
+
+A plain ``Window.partitionBy(group)`` sends each group to one task, and AQE does
+not split window partitions.  Here each group is cut into contiguous *range
+buckets* of the composite key (group, order):
+
+1. boundaries: a small sorted sample of the composite key (at most
+   ``buckets * oversample`` rows reach the driver) gives up to ``buckets - 1``
+   boundaries; a balanced CASE tree assigns every row its bucket.  The
+   boundaries only balance the work - any boundaries give exact results -
+   and equal keys always share a bucket, so ties never straddle two buckets;
+2. local rank: a window partitioned by (group, bucket), each partition at most
+   about one bucket's share of the data;
+3. offsets: rows per (group, bucket) - an aggregate with at most
+   groups + buckets rows - prefix-summed per group, joined back on
+   (group, bucket).
+
+Global rank = offset + local rank.  Rolling frames of the previous ``n`` rows
+then use the exact ordinal: rows are cut into chunks of ``chunk_rows``
+consecutive ordinals, each chunk also receives the last ``n`` rows of the
+previous chunk as read-only context, and an ordinary window runs per chunk.
+"""
+
+from __future__ import annotations
+
+from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import functions as F
+
+from tierlake.functions.ordering import ascending_key, count_at_or_below, spec_parts, window_order
+
+DEFAULT_OVERSAMPLE = 16
+
+
+def _default_buckets(df: DataFrame) -> int:
+    return max(1, int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+
+
+def key_boundaries(df: DataFrame, group: list[str], order: list, buckets: int,
+                   n_rows: int | None = None, seed: int = 17,
+                   oversample: int = DEFAULT_OVERSAMPLE) -> tuple[list[Column], Column]:
+    """(boundary literals, composite key expression) for ``buckets`` range buckets."""
+    keys = [F.col(g) for g in group] + [ascending_key(df, s) for s in order]
+    names = [f"__k{i}" for i in range(len(keys))]
+    kdf = df.select(*[k.alias(n) for k, n in zip(keys, names)])
+    key = F.struct(*[k.alias(n) for k, n in zip(keys, names)])
+    if buckets <= 1:
+        return [], key
+    total = kdf.count() if n_rows is None else n_rows
+    if total == 0:
+        return [], key
+    want = buckets * oversample
+    frac = min(1.0, want / total)
+    sample = kdf.sample(withReplacement=False, fraction=frac, seed=seed).orderBy(*names).limit(2 * want).collect()
+    bounds: list[tuple] = []
+    if sample:
+        step = len(sample) / buckets
+        for i in range(1, buckets):
+            row = tuple(sample[min(len(sample) - 1, int(i * step))])
+            if not bounds or row != bounds[-1]:
+                bounds.append(row)
+    types = [f.dataType for f in kdf.schema.fields]
+    lits = [F.struct(*[F.lit(v).cast(t).alias(n) for v, t, n in zip(b, types, names)]) for b in bounds]
+    return lits, key
+
+
+def ranked_within(df: DataFrame, group: list[str], order: list, out: str, fn: str = "row_number",
+                  buckets: int | None = None, n_rows: int | None = None) -> DataFrame:
+    """Add ``out`` = ``row_number`` or ``rank`` within ``group`` by ``order``.
+
+    ``order`` items are ``"col"`` or ``("col", ascending)``; descending keys must
+    be numeric / date / timestamp.  For ``row_number`` the order must be total
+    within the group.  ``df`` is read three times (count, sample, result):
+    materialise an expensive input first.
+    """
+    buckets = _default_buckets(df) if buckets is None else buckets
+    bounds, key = key_boundaries(df, group, order, buckets, n_rows)
+    b = "__range_bucket"
+    df = df.withColumn(b, count_at_or_below(key, bounds))
+    local_fn = {"row_number": F.row_number(), "rank": F.rank()}[fn]
+    local = Window.partitionBy(*group, b).orderBy(*[window_order(s) for s in order])
+    ranked = df.withColumn("__local", local_fn.over(local))
+    sizes = df.groupBy(*group, b).agg(F.count(F.lit(1)).alias("__n"))
+    before = Window.partitionBy(*group).orderBy(b).rowsBetween(Window.unboundedPreceding, -1)
+    offs = sizes.select(*[F.col(g).alias(f"__o_{g}") for g in group], F.col(b).alias("__o_b"),
+                        F.coalesce(F.sum("__n").over(before), F.lit(0)).alias("__off"))
+    cond = F.col(b) == F.col("__o_b")
+    for g in group:
+        cond = cond & F.col(g).eqNullSafe(F.col(f"__o_{g}"))   # NULL group keys form one group
+    joined = ranked.join(offs, cond, "inner")
+    return (joined.withColumn(out, (F.col("__off") + F.col("__local")).cast("int"))
+                  .drop("__local", "__off", "__o_b", b, *[f"__o_{g}" for g in group]))
+
+
+def rolling_mean_rows(df: DataFrame, measures: dict[str, Column], by: list[str], order: list,
+                      n: int, chunk_rows: int = 1 << 20, buckets: int | None = None) -> DataFrame:
+    """Mean of each measure over the ``n`` preceding rows within ``by`` (current
+    row excluded; NULL when the frame is empty), for arbitrarily large groups.
+
+    ``order`` must be total within ``by``.  Equivalent to
+    ``avg(x) OVER (PARTITION BY by ORDER BY order ROWS BETWEEN n PRECEDING AND 1 PRECEDING)``.
+    """
+    if chunk_rows < n:
+        raise ValueError("chunk_rows must be >= n")
+    ordv = "__ordinal"
+    ranked = ranked_within(df, by, order, ordv, "row_number", buckets)
+    chunk = F.floor((F.col(ordv) - 1) / F.lit(chunk_rows)).cast("long")
+    own = F.struct(chunk.alias("c"), F.lit(False).alias("ctx"))
+    nxt = F.struct((chunk + 1).alias("c"), F.lit(True).alias("ctx"))
+    # Every row lives in its chunk; the last n rows of a chunk are also copied
+    # (as context only) into the next chunk.  One pass, no union.
+    tail = F.pmod(F.col(ordv) - 1, F.lit(chunk_rows)) >= chunk_rows - n
+    placed = ranked.withColumn("__place", F.explode(F.when(tail, F.array(own, nxt)).otherwise(F.array(own))))
+    placed = placed.withColumns({"__chunk": F.col("__place.c"), "__context": F.col("__place.ctx")}).drop("__place")
+    w = Window.partitionBy(*by, "__chunk").orderBy(ordv).rowsBetween(-n, -1)
+    out = placed.withColumns({name: F.avg(e).over(w) for name, e in measures.items()})
+    return out.filter(~F.col("__context")).drop(ordv, "__chunk", "__context")
+
+
+def spec_names(order: list) -> list[str]:
+    return [spec_parts(s)[0] for s in order]

@@ -26,6 +26,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from tierlake.operators.ordered import ranked_within
+from tierlake.session import materialize
+
 # Number of teams the nation keys wrap around (nation has 25 rows).
 TEAM_COUNT = 25
 
@@ -52,13 +55,27 @@ def _entry_groups(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def ranked_entries(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """(season, round, driver_key, laps, qty, grid, finish, team_key)."""
-    race = Window.partitionBy("season", "round")
-    df = _entry_groups(spark, sf_dir).withColumns({
-        "grid": F.row_number().over(race.orderBy("min_price", "driver_key")),
-        "finish": F.row_number().over(race.orderBy(F.desc("qty"), "driver_key")),
-    })
+def ranked_entries(spark: SparkSession, sf_dir: str, skew_safe: bool = True) -> DataFrame:
+    """(season, round, driver_key, laps, qty, grid, finish, team_key).
+
+    A race is a (season, month) group, so there are only ~80 races however large
+    the input: with ``skew_safe`` the grid and finishing orders are computed by
+    range-bucketed ranking (exact, no race held in one task) over the
+    aggregated entries written once to the shared scratch root.
+    """
+    groups = _entry_groups(spark, sf_dir)
+    if skew_safe:
+        groups = materialize(groups, "entry-groups")
+        n = groups.count()
+        df = ranked_within(groups, ["season", "round"], ["min_price", "driver_key"], "grid", n_rows=n)
+        df = materialize(df, "entry-grid")
+        df = ranked_within(df, ["season", "round"], [("qty", False), "driver_key"], "finish", n_rows=n)
+    else:
+        race = Window.partitionBy("season", "round")
+        df = groups.withColumns({
+            "grid": F.row_number().over(race.orderBy("min_price", "driver_key")),
+            "finish": F.row_number().over(race.orderBy(F.desc("qty"), "driver_key")),
+        })
     supplier = table(spark, sf_dir, "supplier").select("s_suppkey", "s_nationkey")
     switch = F.when((F.col("round") > 6) & (F.col("driver_key") % 10 == 0), 1).otherwise(0)
     return (

@@ -58,11 +58,15 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return os.path.join(root, "tierlake-scratch", f"{name}-{uuid.uuid4().hex[:12]}")
 
 
-def materialize(df):
-    """Reliable checkpoint (eager) into the session's checkpoint directory.
+def materialize(df, name: str = "stage"):
+    """Write ``df`` once as Parquet under the shared scratch root and read it back.
 
-    Used where a frame is re-read many times; it also cuts the lineage so a
-    lost executor does not trigger recomputation from the sources.
+    Used where a frame is read several times (sampling, counting, two branches,
+    many model passes): the plan runs once, later reads get column pruning and
+    filter pushdown, and the lineage is cut, so a lost executor re-reads files
+    instead of recomputing from the sources.
     """
-    ensure_checkpoint_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
+    spark = df.sparkSession
+    path = scratch_path(spark, name)
+    df.write.mode("overwrite").parquet(path)
+    return spark.read.parquet(path)
