@@ -38,3 +38,14 @@ def test_rolling_rows_matches_window(spark, skewed, chunk_rows, buckets):
     want = skewed.withColumn("m", F.avg("x").over(w))
     assert sorted(got.select("id", "m").collect()) == sorted(want.select("id", "m").collect())
     assert got.count() == skewed.count()
+
+
+def test_adaptive_paths_agree(spark, skewed):
+    from tierlake.operators.ordered import rank_columns, rolling_mean_rows_adaptive
+    ranks = {"r1": ([("v", False), "id"], "row_number"), "r2": ([("v", False)], "rank")}
+    a = rank_columns(skewed, ["g"], ranks, max_plain_rows=10**9)
+    b = rank_columns(skewed, ["g"], ranks, max_plain_rows=0)
+    assert sorted(a.select("id", "r1", "r2").collect()) == sorted(b.select("id", "r1", "r2").collect())
+    m1 = rolling_mean_rows_adaptive(skewed, {"m": F.col("x")}, ["g"], ["v", "id"], 3, max_plain_rows=10**9)
+    m0 = rolling_mean_rows_adaptive(skewed, {"m": F.col("x")}, ["g"], ["v", "id"], 3, max_plain_rows=0)
+    assert sorted(m1.select("id", "m").collect()) == sorted(m0.select("id", "m").collect())

@@ -40,7 +40,8 @@ def sweep_thresholds(start: float = SWEEP_START, stop: float = SWEEP_STOP, step:
 
 def running_sums(df: DataFrame, value: str, cols: list[str], descending: bool = False,
                  inclusive: bool = True, buckets: int = 256) -> DataFrame:
-    """Add ``cum_<c>``: sum of ``c`` over rows whose ``value`` is <= (or >=) this row's.
+    """Add ``cum_<c>``: sum of ``c`` over rows whose ``value`` is <= (or >=) this row's,
+    and ``total_<c>``: the sum over all rows (taken from the small bucket table).
 
     ``df`` must hold one row per distinct non-NULL ``value`` (an aggregate).
     Exclusive sums (``inclusive=False``) leave the current row out.
@@ -52,8 +53,10 @@ def running_sums(df: DataFrame, value: str, cols: list[str], descending: bool =
     totals = df.groupBy("__bucket").agg(*[F.sum(c).alias(f"__t_{c}") for c in cols])
     border = F.desc("__bucket") if descending else F.asc("__bucket")
     before = Window.orderBy(border).rowsBetween(Window.unboundedPreceding, -1)  # <= buckets rows
+    everything = Window.partitionBy()                                          # <= buckets rows
     offsets = totals.select("__bucket", *[
-        F.coalesce(F.sum(f"__t_{c}").over(before), F.lit(0)).alias(f"__o_{c}") for c in cols])
+        F.coalesce(F.sum(f"__t_{c}").over(before), F.lit(0)).alias(f"__o_{c}") for c in cols], *[
+        F.sum(f"__t_{c}").over(everything).alias(f"total_{c}") for c in cols])
     vorder = F.desc(value) if descending else F.asc(value)
     within = Window.partitionBy("__bucket").orderBy(vorder).rowsBetween(
         Window.unboundedPreceding, 0 if inclusive else -1)
@@ -77,7 +80,7 @@ def auc_roc(df: DataFrame, y: str, p: str) -> DataFrame:
     AUC = sum_s pos_s * (neg_below_s + neg_s / 2) / (P * N); the numerator is
     accumulated doubled, in DECIMAL(38,0), so the sum is exact at any size.
     """
-    per = running_sums(score_counts(df, y, p), p, ["neg"], inclusive=False)
+    per = running_sums(score_counts(df, y, p), p, ["neg"], inclusive=False).drop("total_neg")
     dec = "decimal(38,0)"
     num2 = F.sum(F.lit(2).cast(dec) * F.col("pos").cast(dec) * F.col("cum_neg").cast(dec)
                  + F.col("pos").cast(dec) * F.col("neg").cast(dec))
@@ -222,9 +225,7 @@ def confusion_matrix(df: DataFrame, y: str, yhat: str) -> DataFrame:
 
 def _cumulative_desc(df: DataFrame, y: str, p: str) -> DataFrame:
     per = running_sums(score_counts(df, y, p), p, ["pos", "neg"], descending=True)
-    # Class totals are two scalars: fetch them (one aggregate row) as literals.
-    tot = per.agg(F.sum("pos").alias("P"), F.sum("neg").alias("N")).first()
-    return per.withColumns({"__all_pos": F.lit(int(tot["P"] or 0)), "__all_neg": F.lit(int(tot["N"] or 0))})
+    return per.withColumnsRenamed({"total_pos": "__all_pos", "total_neg": "__all_neg"})
 
 
 def roc_curve(df: DataFrame, y: str, p: str) -> DataFrame:

@@ -13,8 +13,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tierlake.functions.exprs import surrogate_key
-from tierlake.operators.ordered import rolling_mean_rows
-from tierlake.session import materialize
+from tierlake.operators.ordered import rolling_mean_rows_adaptive
 
 # --- fixed values: feature names and frame sizes of the reference model --------
 DRIVER_FRAME = 5        # rows -5 .. -1 per driver
@@ -145,8 +144,8 @@ def constructor_form(df: DataFrame, mode: str = "rows", skew_safe: bool = True)
     order = ["season", "round", "driver_id"]
     if mode == "rows":
         if skew_safe:
-            return rolling_mean_rows(materialize(df, "constructor-input"), measures(CONSTRUCTOR_MEASURES),
-                                     ["constructor_id"], order, CONSTRUCTOR_FRAME)
+            return rolling_mean_rows_adaptive(df, measures(CONSTRUCTOR_MEASURES), ["constructor_id"], order,
+                                              CONSTRUCTOR_FRAME, stage="constructor-input")
         return rolling_mean(df, measures(CONSTRUCTOR_MEASURES), ["constructor_id"], order, CONSTRUCTOR_FRAME)
     if mode == "prior_races":
         if skew_safe:

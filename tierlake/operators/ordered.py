@@ -29,6 +29,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tierlake.functions.ordering import ascending_key, count_at_or_below, spec_parts, window_order
+from tierlake.session import materialize
 
 DEFAULT_OVERSAMPLE = 16
 
@@ -120,3 +121,43 @@ def rolling_mean_rows(df: DataFrame, measures: dict[str, Column], by: list[str],
 
 def spec_names(order: list) -> list[str]:
     return [spec_parts(s)[0] for s in order]
+
+
+# --- adaptive entry points -------------------------------------------------------
+# Up to this many rows in the *whole* input, a plain window is safe even if one
+# group held every row (one task sorts and spills it comfortably); beyond it the
+# range-bucketed path is used.  Results are identical either way.
+PLAIN_WINDOW_MAX_ROWS = 4_000_000
+
+
+def rank_columns(df: DataFrame, group: list[str], ranks: dict[str, tuple[list, str]],
+                 max_plain_rows: int = PLAIN_WINDOW_MAX_ROWS, stage: str = "rank-input") -> DataFrame:
+    """Add several ``out -> (order, fn)`` rankings within ``group``.
+
+    The input is written once to the shared scratch root (it is read several
+    times below) and counted from that copy.
+    """
+    m = materialize(df, stage)
+    n = m.count()
+    if n <= max_plain_rows:
+        fns = {"row_number": F.row_number, "rank": F.rank}
+        return m.withColumns({
+            out: fns[fn]().over(Window.partitionBy(*group).orderBy(*[window_order(s) for s in order]))
+            for out, (order, fn) in ranks.items()})
+    items = list(ranks.items())
+    for i, (out, (order, fn)) in enumerate(items):
+        m = ranked_within(m, group, order, out, fn, n_rows=n)
+        if i < len(items) - 1:
+            m = materialize(m, f"{stage}-{i}")
+    return m
+
+
+def rolling_mean_rows_adaptive(df: DataFrame, measures: dict[str, Column], by: list[str], order: list,
+                               n: int, max_plain_rows: int = PLAIN_WINDOW_MAX_ROWS,
+                               stage: str = "rolling-input") -> DataFrame:
+    """``rolling_mean_rows`` with the plain-window shortcut for small inputs."""
+    m = materialize(df, stage)
+    if m.count() <= max_plain_rows:
+        w = Window.partitionBy(*by).orderBy(*[window_order(s) for s in order]).rowsBetween(-n, -1)
+        return m.withColumns({name: F.avg(e).over(w) for name, e in measures.items()})
+    return rolling_mean_rows(m, measures, by, order, n)

@@ -26,8 +26,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from tierlake.operators.ordered import ranked_within
-from tierlake.session import materialize
+from tierlake.functions.ordering import window_order
+from tierlake.operators.ordered import rank_columns
 
 # Number of teams the nation keys wrap around (nation has 25 rows).
 TEAM_COUNT = 25
@@ -64,18 +64,14 @@ def ranked_entries(spark: SparkSession, sf_dir: str, skew_safe: bool = True) ->
     aggregated entries written once to the shared scratch root.
     """
     groups = _entry_groups(spark, sf_dir)
+    ranks = {"grid": (["min_price", "driver_key"], "row_number"),
+             "finish": ([("qty", False), "driver_key"], "row_number")}
     if skew_safe:
-        groups = materialize(groups, "entry-groups")
-        n = groups.count()
-        df = ranked_within(groups, ["season", "round"], ["min_price", "driver_key"], "grid", n_rows=n)
-        df = materialize(df, "entry-grid")
-        df = ranked_within(df, ["season", "round"], [("qty", False), "driver_key"], "finish", n_rows=n)
+        df = rank_columns(groups, ["season", "round"], ranks, stage="entry-groups")
     else:
         race = Window.partitionBy("season", "round")
-        df = groups.withColumns({
-            "grid": F.row_number().over(race.orderBy("min_price", "driver_key")),
-            "finish": F.row_number().over(race.orderBy(F.desc("qty"), "driver_key")),
-        })
+        df = groups.withColumns({out: F.row_number().over(race.orderBy(*[window_order(s) for s in order]))
+                                 for out, (order, _) in ranks.items()})
     supplier = table(spark, sf_dir, "supplier").select("s_suppkey", "s_nationkey")
     switch = F.when((F.col("round") > 6) & (F.col("driver_key") % 10 == 0), 1).otherwise(0)
     return (

@@ -17,6 +17,7 @@ from tierlake.operators.profile import class_balance
 from tierlake.plans import fixtures as fx
 from tierlake.plans import oracle_sql as osql
 from tierlake.plans.catalog import register
+from tierlake.session import materialize
 
 MODEL = osql.with_ctes(*osql.model_prefix())
 SCORED = osql.with_ctes(*osql.scored_prefix())
@@ -35,11 +36,16 @@ def scored(spark, sf_dir):
                              "yhat": (p > F.lit(0.5)).cast("int")})
 
 
-def tuned_threshold(spark, sf_dir, min_acc=ev.MIN_ACCURACY) -> float:
-    sweep = ev.threshold_sweep(scored(spark, sf_dir), "y", "p")
+def tuned_threshold(scored_df, min_acc=ev.MIN_ACCURACY) -> float:
+    sweep = ev.threshold_sweep(scored_df, "y", "p")
     return ev.best_threshold(sweep, min_acc).first()["threshold"]
 
 
+def scored_once(spark, sf_dir):
+    """The scored test split, written once: it is read for the threshold and again for the result."""
+    return materialize(scored(spark, sf_dir), "scored")
+
+
 @register("time_split", MODEL + f"""
 SELECT {FILLED_SQL}, is_podium, driver_id,
        CASE WHEN season < 2000 THEN 'train' ELSE 'test' END AS split
@@ -151,8 +157,8 @@ tuned AS (SELECT s.*, CAST(s.p >= (SELECT threshold FROM best) AS INTEGER) AS yh
 
 @register("apply_threshold", _TUNED + "SELECT season, round, driver_id, p, y, yhat_tuned FROM tuned")
 def q_apply_threshold(spark, sf_dir):
-    t = tuned_threshold(spark, sf_dir)
-    return ev.apply_threshold(scored(spark, sf_dir), "p", t, "yhat_tuned").select(
+    s = scored_once(spark, sf_dir)
+    return ev.apply_threshold(s, "p", tuned_threshold(s), "yhat_tuned").select(
         "season", "round", "driver_id", "p", "y", "yhat_tuned")
 
 
@@ -162,8 +168,8 @@ counts AS (SELECT y AS actual, yhat_tuned AS predicted, count(*) AS n FROM tuned
 SELECT c.actual, c.predicted, coalesce(n.n, 0) AS n
 FROM cells c LEFT JOIN counts n ON c.actual = n.actual AND c.predicted = n.predicted""")
 def q_confusion_matrix(spark, sf_dir):
-    t = tuned_threshold(spark, sf_dir)
-    return ev.confusion_matrix(ev.apply_threshold(scored(spark, sf_dir), "p", t, "yhat_tuned"), "y", "yhat_tuned")
+    s = scored_once(spark, sf_dir)
+    return ev.confusion_matrix(ev.apply_threshold(s, "p", tuned_threshold(s), "yhat_tuned"), "y", "yhat_tuned")
 
 
 _CURVE = SCORED + """,
@@ -200,8 +206,8 @@ FROM tuned WHERE season = (SELECT max(season) FROM tuned)
 ORDER BY p DESC, season, round, driver_id LIMIT 20""")
 def q_latest_season_topk(spark, sf_dir):
     from tierlake.operators.reports import latest_season_topk
-    t = tuned_threshold(spark, sf_dir)
-    s = ev.apply_threshold(scored(spark, sf_dir), "p", t, "predicted_podium").withColumnRenamed(
+    s = scored_once(spark, sf_dir)
+    s = ev.apply_threshold(s, "p", tuned_threshold(s), "predicted_podium").withColumnRenamed(
         "p", "predicted_podium_prob")
     return latest_season_topk(s.drop("is_podium").withColumnRenamed("y", "is_podium"), 20)
 
