@@ -2,13 +2,9 @@
 
 from __future__ import annotations
 
-import re
-
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 VERSION_COL = "_version"
-_VERSION_RE = re.compile(r"/" + VERSION_COL + r"=(\d+)/")
 
 
 def read_table(spark: SparkSession, name: str) -> DataFrame:
@@ -21,26 +17,34 @@ def from_rows(spark: SparkSession, rows, schema) -> DataFrame:
     return spark.createDataFrame(rows, schema=schema)
 
 
+def _list_dirs(spark: SparkSession, path: str) -> list[str]:
+    """Names of the immediate sub-directories of ``path`` (one listing call, no job)."""
+    jvm = spark.sparkContext._jvm
+    hpath = jvm.org.apache.hadoop.fs.Path(path)
+    fs = hpath.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    if not fs.exists(hpath):
+        return []
+    return [st.getPath().getName() for st in fs.listStatus(hpath) if st.isDirectory()]
+
+
 def snapshot_versions(spark: SparkSession, path: str) -> list[int]:
-    """Versions present under a snapshot path (from the file listing only, no job)."""
-    try:
-        files = spark.read.parquet(path).inputFiles()
-    except Exception as exc:  # no snapshot written yet
-        if "PATH_NOT_FOUND" in str(exc) or "UNABLE_TO_INFER_SCHEMA" in str(exc):
-            return []
-        raise
-    return sorted({int(m.group(1)) for f in files for m in [_VERSION_RE.search(f)] if m})
+    """Versions present under a snapshot path, from its top-level directory names only."""
+    names = _list_dirs(spark, path)
+    prefix = VERSION_COL + "="
+    return sorted(int(n[len(prefix):]) for n in names if n.startswith(prefix) and n[len(prefix):].isdigit())
 
 
 def read_snapshot(spark: SparkSession, path: str, version: int | None = None) -> DataFrame:
     """Read one version of a snapshot table (``None`` = latest).
 
-    The version is a partition column, so the filter prunes whole directories
-    at planning time; no other version's files are opened.
+    Only that version's directory is listed and read (``basePath`` keeps the
+    partition column, which is then dropped), so the cost does not grow with
+    the number of versions kept.
     """
     if version is None:
         versions = snapshot_versions(spark, path)
         if not versions:
             raise FileNotFoundError(f"no snapshot under {path}")
         version = versions[-1]
-    return spark.read.parquet(path).filter(F.col(VERSION_COL) == version).drop(VERSION_COL)
+    vdir = f"{path.rstrip('/')}/{VERSION_COL}={int(version)}"
+    return spark.read.option("basePath", path).parquet(vdir).drop(VERSION_COL)
