@@ -122,11 +122,15 @@ def measures(spec: dict[str, tuple[str, bool]]) -> dict[str, Column]:
 
 
 def driver_form(df: DataFrame) -> DataFrame:
+    # Plain window: silver results are unique on (season, round, driver), so a
+    # driver's group - even a NULL driver's - has at most one row per race.
     return rolling_mean(df, measures(DRIVER_MEASURES), ["driver_id"], ["season", "round"], DRIVER_FRAME)
 
 
 def circuit_history(df: DataFrame) -> DataFrame:
     # Keyed by circuit *name*: entries without a circuit form one NULL-name group.
+    # Bounded like the driver window (at most one row per race), and it reuses
+    # the driver window's hash partitioning (driver_id), so no extra exchange.
     return expanding_stats(df, "position", ["driver_id", "circuit_name"], ["season", "round"],
                            "driver_circuit_avg_position", "driver_circuit_races")
 

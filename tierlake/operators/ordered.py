@@ -95,7 +95,8 @@ def ranked_within(df: DataFrame, group: list[str], order: list, out: str, fn: st
 
 
 def rolling_mean_rows(df: DataFrame, measures: dict[str, Column], by: list[str], order: list,
-                      n: int, chunk_rows: int = 1 << 20, buckets: int | None = None) -> DataFrame:
+                      n: int, chunk_rows: int = 1 << 20, buckets: int | None = None,
+                      n_rows: int | None = None) -> DataFrame:
     """Mean of each measure over the ``n`` preceding rows within ``by`` (current
     row excluded; NULL when the frame is empty), for arbitrarily large groups.
 
@@ -105,7 +106,7 @@ def rolling_mean_rows(df: DataFrame, measures: dict[str, Column], by: list[str],
     if chunk_rows < n:
         raise ValueError("chunk_rows must be >= n")
     ordv = "__ordinal"
-    ranked = ranked_within(df, by, order, ordv, "row_number", buckets)
+    ranked = ranked_within(df, by, order, ordv, "row_number", buckets, n_rows)
     chunk = F.floor((F.col(ordv) - 1) / F.lit(chunk_rows)).cast("long")
     own = F.struct(chunk.alias("c"), F.lit(False).alias("ctx"))
     nxt = F.struct((chunk + 1).alias("c"), F.lit(True).alias("ctx"))
@@ -124,22 +125,30 @@ def spec_names(order: list) -> list[str]:
 
 
 # --- adaptive entry points -------------------------------------------------------
-# Up to this many rows in the *whole* input, a plain window is safe even if one
-# group held every row (one task sorts and spills it comfortably); beyond it the
-# range-bucketed path is used.  Results are identical either way.
+# A plain window is used when the largest group has at most this many rows (one
+# task sorts and spills it comfortably); otherwise the range-bucketed path.
+# Results are identical either way.
 PLAIN_WINDOW_MAX_ROWS = 4_000_000
 
 
+def group_stats(df: DataFrame, group: list[str]) -> tuple[int, int]:
+    """(rows, rows in the largest group) in one aggregate job (partial aggregation)."""
+    r = df.groupBy(*group).agg(F.count(F.lit(1)).alias("n")).agg(
+        F.sum("n").alias("rows"), F.max("n").alias("largest")).first()
+    return int(r["rows"] or 0), int(r["largest"] or 0)
+
+
 def rank_columns(df: DataFrame, group: list[str], ranks: dict[str, tuple[list, str]],
                  max_plain_rows: int = PLAIN_WINDOW_MAX_ROWS, stage: str = "rank-input") -> DataFrame:
     """Add several ``out -> (order, fn)`` rankings within ``group``.
 
     The input is written once to the shared scratch root (it is read several
-    times below) and counted from that copy.
+    times below); its group sizes decide between a plain window and the
+    range-bucketed path.
     """
     m = materialize(df, stage)
-    n = m.count()
-    if n <= max_plain_rows:
+    n, largest = group_stats(m, group)
+    if largest <= max_plain_rows:
         fns = {"row_number": F.row_number, "rank": F.rank}
         return m.withColumns({
             out: fns[fn]().over(Window.partitionBy(*group).orderBy(*[window_order(s) for s in order]))
@@ -155,9 +164,10 @@ def rank_columns(df: DataFrame, group: list[str], ranks: dict[str, tuple[list, s
 def rolling_mean_rows_adaptive(df: DataFrame, measures: dict[str, Column], by: list[str], order: list,
                                n: int, max_plain_rows: int = PLAIN_WINDOW_MAX_ROWS,
                                stage: str = "rolling-input") -> DataFrame:
-    """``rolling_mean_rows`` with the plain-window shortcut for small inputs."""
+    """``rolling_mean_rows`` with the plain-window shortcut when every group is small."""
     m = materialize(df, stage)
-    if m.count() <= max_plain_rows:
+    rows, largest = group_stats(m, by)
+    if largest <= max_plain_rows:
         w = Window.partitionBy(*by).orderBy(*[window_order(s) for s in order]).rowsBetween(-n, -1)
         return m.withColumns({name: F.avg(e).over(w) for name, e in measures.items()})
-    return rolling_mean_rows(m, measures, by, order, n)
+    return rolling_mean_rows(m, measures, by, order, n, n_rows=rows)
