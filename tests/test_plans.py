@@ -16,8 +16,19 @@ def test_feature_windows_need_two_exchanges(spark):
         [(2000, 1, "d", "c", "x", 1, 1.0, True, False, False)],
         "season int, round int, driver_id string, constructor_id string, circuit_name string, "
         "position int, points double, is_podium boolean, is_winner boolean, is_dnf boolean")
-    p = plan(ft.podium_features(base))
-    assert p.count("Exchange hashpartitioning") == 2
+    # driver and driver x circuit windows share one exchange ...
+    assert plan(ft.circuit_history(ft.driver_form(base))).count("Exchange hashpartitioning") == 1
+    # ... and the whole plain feature plan needs two
+    assert plan(ft.podium_features(base, skew_safe=False)).count("Exchange hashpartitioning") == 2
+    # the adaptive plan reads the written constructor input: one exchange left
+    assert plan(ft.podium_features(base)).count("Exchange hashpartitioning") == 1
+
+
+def test_bucketed_ranking_partitions_by_bucket(spark):
+    from tierlake.operators.ordered import ranked_within
+    df = spark.createDataFrame([(1, i) for i in range(100)], "g int, v int")
+    p = plan(ranked_within(df, ["g"], ["v"], "r", buckets=8))
+    assert "hashpartitioning(g#" in p and "__range_bucket" in p
 
 
 def test_scan_pushdown_and_pruning(spark):
