@@ -18,6 +18,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tierlake.functions.ordering import count_at_or_below
+from tierlake.session import materialize
 
 # --- fixed values: the reference's threshold grid and report labels -------------
 SWEEP_START, SWEEP_STOP, SWEEP_STEP = 0.3, 0.9, 0.01
@@ -46,6 +47,9 @@ def running_sums(df: DataFrame, value: str, cols: list[str], descending: bool =
     ``df`` must hold one row per distinct non-NULL ``value`` (an aggregate).
     Exclusive sums (``inclusive=False``) leave the current row out.
     """
+    # Read three times below (quantiles, bucket totals, per-bucket window):
+    # write the per-value table once instead of recomputing its upstream.
+    df = materialize(df, "per-value")
     probs = [i / buckets for i in range(1, buckets)]
     q = df.agg(F.percentile_approx(value, probs, 10000).alias("q")).first()["q"] or []
     bounds = sorted({v for v in q if v is not None})          # <= buckets - 1 values

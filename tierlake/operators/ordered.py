@@ -28,7 +28,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tierlake.functions.ordering import ascending_key, count_at_or_below, spec_parts, window_order
+from tierlake.functions.ordering import ascending_key, count_at_or_below, window_order
 from tierlake.session import materialize
 
 DEFAULT_OVERSAMPLE = 16
@@ -120,10 +120,6 @@ def rolling_mean_rows(df: DataFrame, measures: dict[str, Column], by: list[str],
     return out.filter(~F.col("__context")).drop(ordv, "__chunk", "__context")
 
 
-def spec_names(order: list) -> list[str]:
-    return [spec_parts(s)[0] for s in order]
-
-
 # --- adaptive entry points -------------------------------------------------------
 # A plain window is used when the largest group has at most this many rows (one
 # task sorts and spills it comfortably); otherwise the range-bucketed path.
