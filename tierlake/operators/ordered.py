@@ -6,11 +6,11 @@ A plain ``Window.partitionBy(group)`` sends each group to one task, and AQE does
 not split window partitions.  Here each group is cut into contiguous *range
 buckets* of the composite key (group, order):
 
-1. boundaries: a small sorted sample of the composite key (at most
-   ``buckets * oversample`` rows reach the driver) gives up to ``buckets - 1``
-   boundaries; a balanced CASE tree assigns every row its bucket.  The
-   boundaries only balance the work - any boundaries give exact results -
-   and equal keys always share a bucket, so ties never straddle two buckets;
+1. buckets: ``repartitionByRange`` on the composite key (Spark samples the
+   keys and binary-searches the bounds, for any number of buckets); the
+   range index is captured and written out once.  The bounds only balance the
+   work - any bounds give exact results - and equal keys always share a
+   bucket, so ties never straddle two buckets;
 2. local rank: a window partitioned by (group, bucket), each partition at most
    about one bucket's share of the data;
 3. offsets: rows per (group, bucket) - an aggregate with at most
@@ -28,42 +28,31 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tierlake.functions.ordering import ascending_key, count_at_or_below, window_order
+from tierlake.functions.ordering import ascending_key, window_order
 from tierlake.session import materialize
 
-DEFAULT_OVERSAMPLE = 16
+# Rows per range bucket on the bucketed path: a bucket is one window partition.
+ROWS_PER_BUCKET = 2_000_000
 
 
-def _default_buckets(df: DataFrame) -> int:
-    return max(1, int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+def _default_buckets(df: DataFrame, n_rows: int | None) -> int:
+    floor_ = max(1, int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+    if n_rows is None:
+        return floor_
+    return max(floor_, -(-n_rows // ROWS_PER_BUCKET))
 
 
-def key_boundaries(df: DataFrame, group: list[str], order: list, buckets: int,
-                   n_rows: int | None = None, seed: int = 17,
-                   oversample: int = DEFAULT_OVERSAMPLE) -> tuple[list[Column], Column]:
-    """(boundary literals, composite key expression) for ``buckets`` range buckets."""
+def with_range_buckets(df: DataFrame, group: list[str], order: list, buckets: int) -> DataFrame:
+    """Add ``__range_bucket``: the index of the composite (group, order) key's range.
+
+    Spark's range partitioner samples the keys and binary-searches the bounds,
+    for any bucket count; the partition index is captured right after the
+    exchange and written out once, so every later read sees the same buckets.
+    Equal keys always share a bucket.
+    """
     keys = [F.col(g) for g in group] + [ascending_key(df, s) for s in order]
-    names = [f"__k{i}" for i in range(len(keys))]
-    kdf = df.select(*[k.alias(n) for k, n in zip(keys, names)])
-    key = F.struct(*[k.alias(n) for k, n in zip(keys, names)])
-    if buckets <= 1:
-        return [], key
-    total = kdf.count() if n_rows is None else n_rows
-    if total == 0:
-        return [], key
-    want = buckets * oversample
-    frac = min(1.0, want / total)
-    sample = kdf.sample(withReplacement=False, fraction=frac, seed=seed).orderBy(*names).limit(2 * want).collect()
-    bounds: list[tuple] = []
-    if sample:
-        step = len(sample) / buckets
-        for i in range(1, buckets):
-            row = tuple(sample[min(len(sample) - 1, int(i * step))])
-            if not bounds or row != bounds[-1]:
-                bounds.append(row)
-    types = [f.dataType for f in kdf.schema.fields]
-    lits = [F.struct(*[F.lit(v).cast(t).alias(n) for v, t, n in zip(b, types, names)]) for b in bounds]
-    return lits, key
+    ranged = df.repartitionByRange(buckets, *keys).withColumn("__range_bucket", F.spark_partition_id())
+    return materialize(ranged, "range-buckets")
 
 
 def ranked_within(df: DataFrame, group: list[str], order: list, out: str, fn: str = "row_number",
@@ -72,13 +61,11 @@ def ranked_within(df: DataFrame, group: list[str], order: list, out: str, fn: st
 
     ``order`` items are ``"col"`` or ``("col", ascending)``; descending keys must
     be numeric / date / timestamp.  For ``row_number`` the order must be total
-    within the group.  ``df`` is read three times (count, sample, result):
-    materialise an expensive input first.
+    within the group.
     """
-    buckets = _default_buckets(df) if buckets is None else buckets
-    bounds, key = key_boundaries(df, group, order, buckets, n_rows)
+    buckets = _default_buckets(df, n_rows) if buckets is None else buckets
     b = "__range_bucket"
-    df = df.withColumn(b, count_at_or_below(key, bounds))
+    df = with_range_buckets(df, group, order, buckets)
     local_fn = {"row_number": F.row_number(), "rank": F.rank()}[fn]
     local = Window.partitionBy(*group, b).orderBy(*[window_order(s) for s in order])
     ranked = df.withColumn("__local", local_fn.over(local))
