@@ -2,12 +2,12 @@
 
 Everything stays in DataFrames.  Only aggregated rows reach a single task:
 per-class counts (<= 4 rows), per-threshold-bucket counts (<= 62 rows), per
-score-range bucket totals (<= ``buckets`` rows).  Running sums over *distinct
+score-range bucket totals (one row per bucket).  Running sums over *distinct
 scores* - whose number grows with the data - use a two-level prefix sum:
-range buckets from approximate quantiles (any boundaries give exact sums; the
-quantiles only balance the work), exact bucket offsets from the small bucket
-table, and a per-bucket running window.  No window ever runs unpartitioned
-over raw or per-score rows.
+contiguous range buckets of the scores (any bounds give exact sums; they only
+balance the work), exact bucket offsets from the bucket table, and a
+per-bucket running window.  No window ever runs unpartitioned over raw or
+per-score rows.
 """
 
 from __future__ import annotations
@@ -18,6 +18,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tierlake.functions.ordering import count_at_or_below
+from tierlake.operators.ordered import _default_buckets, with_range_buckets
 from tierlake.session import materialize
 
 # --- fixed values: the reference's threshold grid and report labels -------------
@@ -40,34 +41,37 @@ def sweep_thresholds(start: float = SWEEP_START, stop: float = SWEEP_STOP, step:
 
 
 def running_sums(df: DataFrame, value: str, cols: list[str], descending: bool = False,
-                 inclusive: bool = True, buckets: int = 256) -> DataFrame:
+                 inclusive: bool = True, buckets: int | None = None) -> DataFrame:
     """Add ``cum_<c>``: sum of ``c`` over rows whose ``value`` is <= (or >=) this row's,
     and ``total_<c>``: the sum over all rows (taken from the small bucket table).
 
     ``df`` must hold one row per distinct non-NULL ``value`` (an aggregate).
-    Exclusive sums (``inclusive=False``) leave the current row out.
+    Exclusive sums (``inclusive=False``) leave the current row out.  Values are
+    cut into contiguous range buckets (count scaled to the number of values);
+    bucket totals give exact offsets, and a window per bucket finishes the sum.
     """
-    # Read three times below (quantiles, bucket totals, per-bucket window):
-    # write the per-value table once instead of recomputing its upstream.
     df = materialize(df, "per-value")
-    probs = [i / buckets for i in range(1, buckets)]
-    q = df.agg(F.percentile_approx(value, probs, 10000).alias("q")).first()["q"] or []
-    bounds = sorted({v for v in q if v is not None})          # <= buckets - 1 values
-    df = df.withColumn("__bucket", count_at_or_below(F.col(value), bounds))
-    totals = df.groupBy("__bucket").agg(*[F.sum(c).alias(f"__t_{c}") for c in cols])
-    border = F.desc("__bucket") if descending else F.asc("__bucket")
-    before = Window.orderBy(border).rowsBetween(Window.unboundedPreceding, -1)  # <= buckets rows
-    everything = Window.partitionBy()                                          # <= buckets rows
-    offsets = totals.select("__bucket", *[
+    n = df.count()
+    order = [(value, not descending)]
+    df = with_range_buckets(df, [], order, buckets or _default_buckets(df, n))
+    b = "__range_bucket"
+    totals = df.groupBy(b).agg(*[F.sum(c).alias(f"__t_{c}") for c in cols])   # one row per bucket
+    # Buckets are numbered in the sum's own order (descending values were
+    # range-partitioned on their negation), so offsets accumulate upwards.
+    before = Window.orderBy(F.asc(b)).rowsBetween(Window.unboundedPreceding, -1)
+    everything = Window.partitionBy()
+    offsets = totals.select(b, *[
         F.coalesce(F.sum(f"__t_{c}").over(before), F.lit(0)).alias(f"__o_{c}") for c in cols], *[
         F.sum(f"__t_{c}").over(everything).alias(f"total_{c}") for c in cols])
     vorder = F.desc(value) if descending else F.asc(value)
-    within = Window.partitionBy("__bucket").orderBy(vorder).rowsBetween(
+    within = Window.partitionBy(b).orderBy(vorder).rowsBetween(
         Window.unboundedPreceding, 0 if inclusive else -1)
-    out = df.join(F.broadcast(offsets), "__bucket")
+    # The offsets table has one row per bucket; AQE broadcasts it when its
+    # measured size allows and shuffles otherwise.
+    out = df.join(offsets, b)
     out = out.withColumns({
         f"cum_{c}": F.col(f"__o_{c}") + F.coalesce(F.sum(c).over(within), F.lit(0)) for c in cols})
-    return out.drop("__bucket", *[f"__o_{c}" for c in cols])
+    return out.drop(b, *[f"__o_{c}" for c in cols])
 
 
 def score_counts(df: DataFrame, y: str, p: str) -> DataFrame:
