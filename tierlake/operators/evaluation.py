@@ -19,7 +19,7 @@ from pyspark.sql import functions as F
 
 from tierlake.functions.ordering import count_at_or_below
 from tierlake.operators.ordered import _default_buckets, with_range_buckets
-from tierlake.session import materialize
+from tierlake.session import materialize_counted
 
 # --- fixed values: the reference's threshold grid and report labels -------------
 SWEEP_START, SWEEP_STOP, SWEEP_STEP = 0.3, 0.9, 0.01
@@ -50,8 +50,7 @@ def running_sums(df: DataFrame, value: str, cols: list[str], descending: bool =
     cut into contiguous range buckets (count scaled to the number of values);
     bucket totals give exact offsets, and a window per bucket finishes the sum.
     """
-    df = materialize(df, "per-value")
-    n = df.count()
+    df, n = materialize_counted(df, "per-value")
     order = [(value, not descending)]
     df = with_range_buckets(df, [], order, buckets or _default_buckets(df, n))
     b = "__range_bucket"

@@ -29,7 +29,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tierlake.functions.ordering import ascending_key, window_order
-from tierlake.session import materialize
+from tierlake.session import materialize, materialize_counted
 
 # Rows per range bucket on the bucketed path: a bucket is one window partition.
 ROWS_PER_BUCKET = 2_000_000
@@ -129,8 +129,9 @@ def rank_columns(df: DataFrame, group: list[str], ranks: dict[str, tuple[list, s
     times below); its group sizes decide between a plain window and the
     range-bucketed path.
     """
-    m = materialize(df, stage)
-    n, largest = group_stats(m, group)
+    m, n = materialize_counted(df, stage)
+    # The whole input bounds every group; measure groups only when it is large.
+    largest = n if n <= max_plain_rows else group_stats(m, group)[1]
     if largest <= max_plain_rows:
         fns = {"row_number": F.row_number, "rank": F.rank}
         return m.withColumns({
@@ -148,8 +149,8 @@ def rolling_mean_rows_adaptive(df: DataFrame, measures: dict[str, Column], by: l
                                n: int, max_plain_rows: int = PLAIN_WINDOW_MAX_ROWS,
                                stage: str = "rolling-input") -> DataFrame:
     """``rolling_mean_rows`` with the plain-window shortcut when every group is small."""
-    m = materialize(df, stage)
-    rows, largest = group_stats(m, by)
+    m, rows = materialize_counted(df, stage)
+    largest = rows if rows <= max_plain_rows else group_stats(m, by)[1]
     if largest <= max_plain_rows:
         w = Window.partitionBy(*by).orderBy(*[window_order(s) for s in order]).rowsBetween(-n, -1)
         return m.withColumns({name: F.avg(e).over(w) for name, e in measures.items()})

@@ -70,3 +70,14 @@ def materialize(df, name: str = "stage"):
     path = scratch_path(spark, name)
     df.write.mode("overwrite").parquet(path)
     return spark.read.parquet(path)
+
+
+def materialize_counted(df, name: str = "stage"):
+    """``materialize`` that also returns the row count, observed during the write
+    (no extra job)."""
+    from pyspark.sql import Observation
+    from pyspark.sql import functions as F
+
+    obs = Observation(f"rows-{name}")
+    out = materialize(df.observe(obs, F.count(F.lit(1)).alias("rows")), name)
+    return out, int(obs.get["rows"])
