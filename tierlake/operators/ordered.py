@@ -122,13 +122,14 @@ def group_stats(df: DataFrame, group: list[str]) -> tuple[int, int]:
 
 
 def rank_columns(df: DataFrame, group: list[str], ranks: dict[str, tuple[list, str]],
-                 max_plain_rows: int = PLAIN_WINDOW_MAX_ROWS, stage: str = "rank-input") -> DataFrame:
+                 max_plain_rows: int | None = None, stage: str = "rank-input") -> DataFrame:
     """Add several ``out -> (order, fn)`` rankings within ``group``.
 
     The input is written once to the shared scratch root (it is read several
     times below); its group sizes decide between a plain window and the
     range-bucketed path.
     """
+    max_plain_rows = PLAIN_WINDOW_MAX_ROWS if max_plain_rows is None else max_plain_rows
     m, n = materialize_counted(df, stage)
     # The whole input bounds every group; measure groups only when it is large.
     largest = n if n <= max_plain_rows else group_stats(m, group)[1]
@@ -146,9 +147,10 @@ def rank_columns(df: DataFrame, group: list[str], ranks: dict[str, tuple[list, s
 
 
 def rolling_mean_rows_adaptive(df: DataFrame, measures: dict[str, Column], by: list[str], order: list,
-                               n: int, max_plain_rows: int = PLAIN_WINDOW_MAX_ROWS,
+                               n: int, max_plain_rows: int | None = None,
                                stage: str = "rolling-input") -> DataFrame:
     """``rolling_mean_rows`` with the plain-window shortcut when every group is small."""
+    max_plain_rows = PLAIN_WINDOW_MAX_ROWS if max_plain_rows is None else max_plain_rows
     m, rows = materialize_counted(df, stage)
     largest = rows if rows <= max_plain_rows else group_stats(m, by)[1]
     if largest <= max_plain_rows:
