@@ -13,6 +13,8 @@ operations so every query's work grows with the input tables:
   every 5th lap count (laps % 5 = 0) retires (NULL position, text 'R'),
   laps % 5 = 1 finishes '+1 LAP' behind, the rest 'finished';
 * team = supplier nation, with a mid-season switch for every 10th driver;
+* the result date is the first day of the race month; sprint entries are the
+  same grid with half the points and the date as text;
 * drivers = supplier x nation, teams = nation x region, races = the distinct
   (season, month) of orders, circuits = regions except key 4 (so some races
   have no circuit and the left join keeps them with NULLs).
