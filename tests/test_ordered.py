@@ -49,3 +49,16 @@ def test_adaptive_paths_agree(spark, skewed):
     m1 = rolling_mean_rows_adaptive(skewed, {"m": F.col("x")}, ["g"], ["v", "id"], 3, max_plain_rows=10**9)
     m0 = rolling_mean_rows_adaptive(skewed, {"m": F.col("x")}, ["g"], ["v", "id"], 3, max_plain_rows=0)
     assert sorted(m1.select("id", "m").collect()) == sorted(m0.select("id", "m").collect())
+
+
+def test_desc_keys_with_nulls_and_strings(spark):
+    rows = [("h", None if i % 5 == 0 else i % 9, f"s{i % 4}", i) for i in range(400)]
+    df = spark.createDataFrame(rows, "g string, v int, s string, id int")
+    order = [("v", False), ("s", False), "id"]
+    got = ranked_within(df, ["g"], order, "r", "row_number", buckets=9)
+    w = Window.partitionBy("g").orderBy(F.desc("v"), F.desc("s"), "id")
+    want = df.withColumn("r", F.row_number().over(w))
+    assert sorted(got.select("id", "r").collect()) == sorted(want.select("id", "r").collect())
+    got_rank = ranked_within(df, ["g"], [("v", False)], "r", "rank", buckets=9)
+    want_rank = df.withColumn("r", F.rank().over(Window.partitionBy("g").orderBy(F.desc("v"))))
+    assert sorted(got_rank.select("id", "r").collect()) == sorted(want_rank.select("id", "r").collect())

@@ -28,7 +28,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tierlake.functions.ordering import ascending_key, window_order
+from tierlake.functions.ordering import window_order
 from tierlake.session import materialize, materialize_counted
 
 # Rows per range bucket on the bucketed path: a bucket is one window partition.
@@ -50,7 +50,9 @@ def with_range_buckets(df: DataFrame, group: list[str], order: list, buckets: in
     exchange and written out once, so every later read sees the same buckets.
     Equal keys always share a bucket.
     """
-    keys = [F.col(g) for g in group] + [ascending_key(df, s) for s in order]
+    # The same sort orders as the windows that follow (ASC NULLS FIRST,
+    # DESC NULLS LAST), so bucket order and window order always agree.
+    keys = [F.col(g).asc() for g in group] + [window_order(s) for s in order]
     ranged = df.repartitionByRange(buckets, *keys).withColumn("__range_bucket", F.spark_partition_id())
     return materialize(ranged, "range-buckets")
 
@@ -59,9 +61,9 @@ def ranked_within(df: DataFrame, group: list[str], order: list, out: str, fn: st
                   buckets: int | None = None, n_rows: int | None = None) -> DataFrame:
     """Add ``out`` = ``row_number`` or ``rank`` within ``group`` by ``order``.
 
-    ``order`` items are ``"col"`` or ``("col", ascending)``; descending keys must
-    be numeric / date / timestamp.  For ``row_number`` the order must be total
-    within the group.
+    ``order`` items are ``"col"`` or ``("col", ascending)`` (ASC NULLS FIRST /
+    DESC NULLS LAST, as in a window).  For ``row_number`` the order must be
+    total within the group.
     """
     buckets = _default_buckets(df, n_rows) if buckets is None else buckets
     b = "__range_bucket"
