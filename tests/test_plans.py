@@ -47,7 +47,8 @@ def test_evaluation_has_no_single_partition_exchange_over_rows(spark):
             if "SinglePartition" in line:
                 assert "Exchange SinglePartition" in line
     # the per-score running sums are partitioned by range bucket
-    assert "hashpartitioning(__range_bucket" in plan(ev.roc_curve(s, "y", "p"))
+    assert "hashpartitioning(__range_bucket" in plan(ev.running_sums(
+        ev.score_counts(s, "y", "p"), "p", ["pos"], buckets=4))
 
 
 def test_flagship_join_plan(spark):

@@ -18,6 +18,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tierlake.functions.ordering import count_at_or_below
+from tierlake.operators import ordered
 from tierlake.operators.ordered import _default_buckets, with_range_buckets
 from tierlake.session import materialize_counted
 
@@ -52,7 +53,10 @@ def running_sums(df: DataFrame, value: str, cols: list[str], descending: bool =
     """
     df, n = materialize_counted(df, "per-value")
     order = [(value, not descending)]
-    df = with_range_buckets(df, [], order, buckets or _default_buckets(df, n))
+    if buckets is None:
+        # Up to the plain-window bound one bucket (one window partition) is enough.
+        buckets = 1 if n <= ordered.PLAIN_WINDOW_MAX_ROWS else _default_buckets(df, n)
+    df = with_range_buckets(df, [], order, buckets)
     b = "__range_bucket"
     totals = df.groupBy(b).agg(*[F.sum(c).alias(f"__t_{c}") for c in cols])   # one row per bucket
     # Buckets are numbered in the sum's own order (descending values were

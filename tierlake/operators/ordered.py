@@ -52,6 +52,8 @@ def with_range_buckets(df: DataFrame, group: list[str], order: list, buckets: in
     """
     # The same sort orders as the windows that follow (ASC NULLS FIRST,
     # DESC NULLS LAST), so bucket order and window order always agree.
+    if buckets <= 1:
+        return df.withColumn("__range_bucket", F.lit(0))
     keys = [F.col(g).asc() for g in group] + [window_order(s) for s in order]
     ranged = df.repartitionByRange(buckets, *keys).withColumn("__range_bucket", F.spark_partition_id())
     return materialize(ranged, "range-buckets")
