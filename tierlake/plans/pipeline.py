@@ -71,3 +71,41 @@ def run_all(spark: SparkSession, landing_root: str, names: LakeNames = LakeNames
     run_silver(spark, names, locations)
     run_gold(spark, names, locations)
     return run_features(spark, names)
+
+
+def main(argv=None) -> None:
+    """Run the whole lakehouse from a landing folder (the notebooks' run order).
+
+        python -m tierlake.plans.pipeline --landing PATH [--catalog C] [--sf-dir DIR]
+
+    With ``--sf-dir`` the landing files are first derived from the driver's
+    tables (under the shared scratch root) and ``--landing`` may be omitted.
+    """
+    import argparse
+    import json
+
+    from tierlake.plans.landing import land_all
+    from tierlake.session import local_session, scratch_path
+
+    ap = argparse.ArgumentParser()
+    ap.add_argument("--landing")
+    ap.add_argument("--sf-dir")
+    ap.add_argument("--catalog", default="spark_catalog")
+    ap.add_argument("--master", default=None, help="local[N] for a local run; omit under spark-submit")
+    args = ap.parse_args(argv)
+    if args.master:
+        spark = local_session("tierlake-pipeline", cpus=args.master.strip("local[]") or "*")
+    else:
+        spark = SparkSession.builder.appName("tierlake-pipeline").getOrCreate()
+    landing = args.landing
+    if args.sf_dir:
+        landing = landing or scratch_path(spark, "landing")
+        land_all(spark, args.sf_dir, landing)
+    if not landing:
+        ap.error("--landing or --sf-dir is required")
+    stats = run_all(spark, landing, LakeNames(catalog=args.catalog))
+    print(json.dumps({"landing": landing, "feature_table": stats}))
+
+
+if __name__ == "__main__":
+    main()
