@@ -162,3 +162,19 @@ def test_rank_ties_share_rank(spark):
                                "season int, total_points double, wins long")
     ranks = sorted(r.season_rank for r in marts.season_rank(df).collect())
     assert ranks == [1, 1, 3, 4]
+
+
+def test_driver_name_both_null_is_empty(spark):
+    df = spark.createDataFrame([(None, None, 1, "Finished", 1)],
+                               "first_name string, last_name string, position int, status string, grid int")
+    assert marts.race_flags(df).first().driver_name == ""
+
+
+def test_failfast_needs_the_column_parsed(spark, tmp):
+    root = tmp.replace("file:", "")
+    bad = os.path.join(root, "bad.csv")
+    _write(bad, "circuitId,url,circuitName,lat,long,locality,country\nc1,u,n,abc,2.5,l,k\n")
+    df = read_csv_strict(spark, bad, CIRCUITS_SCHEMA)
+    assert df.select("circuitId").count() == 1          # lat never parsed: no failure
+    with pytest.raises(Exception):
+        df.collect()                                    # fully projected, as bronze writes it
