@@ -12,7 +12,9 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tierlake.llm import exact_dedup, mixing, rule_ledger, secret_ledger
+from tierlake.llm import (
+    bilinear_lm, bpe, exact_dedup, mixing, ordinal, range_coder, resharding, rule_ledger, secret_ledger, simhash,
+)
 from tierlake.llm.common import documents
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -24,6 +26,37 @@ def query(fn):
     return fn
 
 
+OLD_SHARDS, NEW_SHARDS = 12, 16
+
+
+def tokenizer_path() -> str:
+    import public_tokenizers
+    return public_tokenizers.path("word_bpe_49k.json")
+
+
+@query
+def op1_resharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """From 12 shards by source (one holds a third of all rows) to 16 equal ones."""
+    old = F.pmod(F.xxhash64("source"), F.lit(OLD_SHARDS))
+    docs = documents(spark, sf_dir).select("doc_id", "text", "source")
+    placed = resharding.reshard(docs, old, OLD_SHARDS, NEW_SHARDS)
+    return placed.select(
+        "doc_id", F.col("size").cast("long").alias("size"),
+        F.crc32(F.coalesce("text", F.lit("")).cast("binary")).alias("text_crc32"),
+        F.lit("bytes").alias("law"), F.col("shard").cast("int").alias("shard"), "slot",
+        F.lit(None).cast("int").alias("grown_shard"), "old_shard")
+
+
+@query
+def op2_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return bpe.round_trip(documents(spark, sf_dir), tokenizer_path())
+
+
+@query
+def op3_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return simhash.near_duplicates(documents(spark, sf_dir))
+
+
 @query
 def op4_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     versions = documents(spark, sf_dir).select("doc_id", "text")
@@ -39,6 +72,23 @@ def op4_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
         secret_ledger.written(F.col("findings")).alias("spans"))
 
 
+@query
+def op5_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return bilinear_lm.score_documents(documents(spark, sf_dir))
+
+
+@query
+def op6_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = documents(spark, sf_dir)
+    model = ordinal.train(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"), ordinal.label_grade(), ordinal.GRADES)
+    return ordinal.score_documents(docs, model)
+
+
+@query
+def op7_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return range_coder.written_and_read(documents(spark, sf_dir), tokenizer_path())
+
+
 @query
 def op8_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     ledger = rule_ledger.measure(documents(spark, sf_dir))
