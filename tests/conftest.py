@@ -12,11 +12,12 @@ SF_SMALL = "/root/testdata/sf0.001"
 
 @pytest.fixture(scope="session")
 def spark():
-    from tierlake.session import local_session
+    from tierlake.session import local_session, release_scratch
     wh = tempfile.mkdtemp(prefix="tierlake-wh-")
     s = local_session("tierlake-tests", cpus="*", shuffle_partitions=8,
                       extra={"spark.sql.warehouse.dir": wh})
     yield s
+    release_scratch(s)
     s.stop()
 
 

@@ -5,10 +5,14 @@ import os
 from decimal import Decimal
 
 import pytest
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from tierlake.functions.dates import parse_date
+from tierlake.operators import evaluation as ev
+from tierlake.operators import features as ft
 from tierlake.operators import marts
+from tierlake.operators import modeling as md
 from tierlake.operators.conform import conform_races, require_not_null
 from tierlake.operators.dedupe import dedupe
 from tierlake.sinks.tables import write_keyed_table, write_snapshot
@@ -52,14 +56,17 @@ def test_initcap_semantics(spark):
     assert [(r.a, r.b) for r in out] == [("Jean-eric", "Mclaren"), ("A  B", "X\ty"), (None, "")]
 
 
-def test_avg_decimal_half_up_and_overflow_null(spark):
+def test_avg_decimal_is_half_up_and_never_silently_null(spark):
     df = spark.createDataFrame(
         [("a", 2), ("a", 2), ("a", 2), ("a", 2), ("a", 2), ("a", 3), ("a", 2), ("a", 2)]
-        + [("b", 427)] + [("b", 0)] * 199 + [("c", 1234), ("c", 1235)], "g string, x int")
-    out = {r.g: r.m for r in df.groupBy("g").agg(F.avg("x").try_cast("decimal(5,2)").alias("m")).collect()}
+        + [("b", 427)] + [("b", 0)] * 199, "g string, x int")
+    out = {r.g: r.m for r in df.groupBy("g").agg(marts.mean_2dp("x").alias("m")).collect()}
     assert out["a"] == Decimal("2.13")      # 2.125 -> half-up 2.13
     assert out["b"] == Decimal("2.14")      # 2.135 -> 2.14 (not the binary 2.13)
-    assert out["c"] is None                 # 1234.5 does not fit DECIMAL(5,2)
+    wide = spark.createDataFrame([("c", 1234), ("c", 1235)], "g string, x int")
+    with pytest.raises(Exception):          # 1234.5 does not fit DECIMAL(5,2): the job fails
+        wide.groupBy("g").agg(marts.mean_2dp("x").alias("m")).collect()
+    assert wide.groupBy("g").agg(marts.mean_2dp("x", 9).alias("m")).first().m == Decimal("1234.50")
 
 
 def test_string_round_joins_as_int(spark):
@@ -144,6 +151,23 @@ def test_snapshots(spark, tmp):
     assert read_snapshot(spark, tmp, 0).columns == ["k", "v"]
 
 
+def test_empty_and_aborted_snapshot_loads(spark, tmp):
+    df = spark.createDataFrame([(1, "a")], "k int, v string")
+    assert write_snapshot(df, tmp) == 0
+    assert write_snapshot(df.limit(0), tmp) == 1            # an empty load is a version
+    assert read_snapshot(spark, tmp).count() == 0 and read_snapshot(spark, tmp).columns == ["k", "v"]
+    # a load that died before its commit leaves files but no marker
+    died = os.path.join(tmp.replace("file:", ""), "_version=2")
+    os.makedirs(died)
+    with open(os.path.join(died, "part-00000.parquet"), "wb") as f:
+        f.write(b"half a file")
+    assert snapshot_versions(spark, tmp) == [0, 1] and read_snapshot(spark, tmp).count() == 0
+    with pytest.raises(FileNotFoundError):
+        read_snapshot(spark, tmp, 2)
+    assert write_snapshot(df, tmp) == 3
+    assert read_snapshot(spark, tmp).first().v == "a"
+
+
 def test_keyed_table_rejects_duplicates_and_nulls(spark):
     spark.sql("CREATE SCHEMA IF NOT EXISTS keyed_test")
     ok = spark.createDataFrame([("a", 1), ("b", 2)], "k string, v int")
@@ -155,6 +179,14 @@ def test_keyed_table_rejects_duplicates_and_nulls(spark):
     nul = spark.createDataFrame([(None, 1), ("a", 2)], "k string, v int")
     with pytest.raises(ValueError):
         write_keyed_table(nul, "keyed_test.t3", ["k"])
+    # a bad load, or one of another schema, leaves the last good table alone
+    for bad in (dup, nul, ok.withColumn("w", F.lit(1))):
+        with pytest.raises(ValueError):
+            write_keyed_table(bad, "keyed_test.t1", ["k"])
+        assert sorted((r.k, r.v) for r in spark.table("keyed_test.t1").collect()) == [("a", 1), ("b", 2)]
+    assert not spark.catalog.tableExists("keyed_test.t1__staging")
+    write_keyed_table(ok.limit(1), "keyed_test.t1", ["k"])
+    assert spark.table("keyed_test.t1").count() == 1
 
 
 def test_rank_ties_share_rank(spark):
@@ -164,6 +196,39 @@ def test_rank_ties_share_rank(spark):
     assert ranks == [1, 1, 3, 4]
 
 
+def test_rank_equals_the_window_rank(spark):
+    rows = [(s, float(p % 5), p % 3) for s in (None, 1999, 2000) for p in range(40)] + [(2000, None, 1)]
+    df = spark.createDataFrame(rows, "season int, total_points double, wins long")
+    w = Window.partitionBy("season").orderBy(F.desc("total_points"), F.desc("wins"))
+    want = df.withColumn("season_rank", F.rank().over(w))
+    assert sorted(map(repr, marts.season_rank(df).collect())) == sorted(map(repr, want.collect()))
+
+
+def test_null_seasons_are_in_no_split(spark):
+    df = spark.createDataFrame([(1999, 1), (None, 2), (2000, 3)], "season int, x int")
+    assert sorted((r.x, r.split) for r in md.label_split(df, cut=2000, fill_cols=["x"]).collect()) == [(1, "train"), (3, "test")]
+    train, test = md.time_split(df, cut=2000, fill_cols=["x"])
+    assert [r.x for r in train.collect()] == [1] and [r.x for r in test.collect()] == [3]
+
+
+def test_evaluation_of_an_empty_frame(spark):
+    df = spark.createDataFrame([], "y int, p double, yhat int")
+    assert ev.auc_roc(df, "y", "p").first().auc is None
+    sweep = ev.threshold_sweep(df, "y", "p").collect()
+    assert len(sweep) == 61 and all(r.accuracy is None and r.recall is None and r.f1 == 0.0 for r in sweep)
+    report = {r.label: r for r in ev.classification_report(df, "y", "yhat").collect()}
+    assert report["weighted avg"].f1_score is None and report["accuracy"].f1_score is None
+    assert sum(r.n for r in ev.confusion_matrix(df, "y", "yhat").collect()) == 0
+
+
+def test_prior_races_of_a_null_team(spark):
+    rows = [(2000, r, f"d{r}", None, float(r), False, False) for r in (1, 2, 3)]
+    df = spark.createDataFrame(rows, "season int, round int, driver_id string, constructor_id string, points double, "
+                                     "is_podium boolean, is_dnf boolean")
+    out = {r["round"]: r.constructor_avg_points_last10 for r in ft.constructor_form(df, "prior_races").collect()}
+    assert out == {1: None, 2: 1.0, 3: 1.5}
+
+
 def test_driver_name_both_null_is_empty(spark):
     df = spark.createDataFrame([(None, None, 1, "Finished", 1)],
                                "first_name string, last_name string, position int, status string, grid int")

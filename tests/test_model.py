@@ -2,15 +2,17 @@
 
 from pyspark.sql import functions as F
 
+from tierlake.operators import evaluation as ev
 from tierlake.operators import modeling as md
 from tierlake.operators.features import FEATURE_COLS
+from tierlake.plans.fixtures import CUT_SEASON
 from tierlake.plans.queries_eval import model_frame
 from tierlake.session import scratch_path
 from tests.conftest import SF_SMALL
 
 
 def test_train_score_roundtrip_importance(spark):
-    train, test = md.time_split(model_frame(spark, SF_SMALL))
+    train, test = md.time_split(model_frame(spark, SF_SMALL), cut=CUT_SEASON)
     model = md.train_podium_model(train, params={"maxIter": 10})
     scored = md.score(model, test)
     assert scored.count() == test.count()
@@ -23,12 +25,21 @@ def test_train_score_roundtrip_importance(spark):
     assert a == b
     imp = md.feature_importance(spark, model).collect()
     assert len(imp) == len(FEATURE_COLS) and abs(sum(r.importance for r in imp) - 1.0) < 1e-9
-    perm = md.permutation_importance(model, test, ["season", "round", "driver_id"], feature_cols=["grid"])
-    assert perm.count() == 1
+    keys = ["season", "round", "driver_id"]
+    frames = [md.permutation_importance(model, test.repartition(n), keys) for n in (4, 16)]
+    a, b = (sorted(tuple(r) for r in f.collect()) for f in frames)
+    assert a == b and len(a) == len(FEATURE_COLS)           # whatever the layout
+    base = ev.auc_roc(scored.withColumn("y", F.col("is_podium").cast("int")), "y", "predicted_podium_prob").first().auc
+    assert {r[1] for r in a} == {base}
+    one = md.permutation_importance(model, test, keys, feature_cols=["grid"]).collect()
+    assert [tuple(r) for r in one] == [r for r in a if r[0] == "grid"]
 
 
 def test_permutation_is_a_permutation(spark):
-    df = spark.createDataFrame([(i, float(i % 17)) for i in range(300)], "k int, x double")
-    out = md.permuted_column(df, "x", ["k"], groups=5)
-    assert sorted(r.x for r in out.collect()) == sorted(r.x for r in df.collect())
-    assert out.join(df.withColumnRenamed("x", "x0"), "k").filter("x != x0").count() > 0
+    df = spark.createDataFrame([(i, float(i % 17), i % 3) for i in range(300)], "k int, x double, z int")
+    out = md.permuted_columns(df, ["x", "z"], ["k"], groups=5)
+    rows = out.select("k", "x", "__next.x", "__next.z").collect()
+    assert sorted(r[2] for r in rows) == sorted(r[1] for r in rows)
+    assert any(r[1] != r[2] for r in rows)
+    again = md.permuted_columns(df.repartition(16), ["x", "z"], ["k"], groups=5).select("k", "x", "__next.x", "__next.z")
+    assert sorted(rows) == sorted(again.collect())

@@ -1,9 +1,14 @@
-"""Plan shape checks: exchanges, pushdown, no single-partition windows over rows."""
+"""Plan shape: laziness, exchanges, pushdown, join types, no single-task windows over rows."""
+
+import re
+import uuid
 
 from tierlake.operators import evaluation as ev
 from tierlake.operators import features as ft
+from tierlake.operators import marts
 from tierlake.plans import fixtures as fx
 from tierlake.plans.queries_eval import scored
+from tierlake.plans.registry import QUERIES
 from tests.conftest import SF_SMALL
 
 
@@ -11,24 +16,46 @@ def plan(df):
     return df._jdf.queryExecution().executedPlan().toString()
 
 
+def jobs_of(spark, build):
+    """Ids of the Spark jobs that ``build`` starts."""
+    group = f"laziness-{uuid.uuid4().hex}"
+    spark.sparkContext.setJobGroup(group, group)
+    try:
+        build()
+        return list(spark.sparkContext.statusTracker().getJobIdsForGroup(group))
+    finally:
+        spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+
+
+def test_building_a_frame_starts_no_job_beyond_schema_reads(spark):
+    keys = ["race_results", "driver_standings", "constructor_standings", "rank_drivers", "recent_standings",
+            "podium_features", "rolling_constructor_form", "filter_has_history", "auc_roc", "roc_curve", "pr_curve",
+            "threshold_sweep", "best_threshold", "classification_report", "time_split"]
+    reads = len(jobs_of(spark, lambda: QUERIES["race_results"](spark, SF_SMALL)))     # parquet footers
+    for k in keys:
+        assert len(jobs_of(spark, lambda: QUERIES[k](spark, SF_SMALL))) <= reads, k
+
+
 def test_feature_windows_need_two_exchanges(spark):
     base = spark.createDataFrame(
         [(2000, 1, "d", "c", "x", 1, 1.0, True, False, False)],
         "season int, round int, driver_id string, constructor_id string, circuit_name string, "
         "position int, points double, is_podium boolean, is_winner boolean, is_dnf boolean")
-    # driver and driver x circuit windows share one exchange ...
+    # driver and driver x circuit windows share one exchange, the constructor has its own
     assert plan(ft.circuit_history(ft.driver_form(base))).count("Exchange hashpartitioning") == 1
-    # ... and the whole plain feature plan needs two
-    assert plan(ft.podium_features(base, skew_safe=False)).count("Exchange hashpartitioning") == 2
-    # the adaptive plan reads the written constructor input: one exchange left
-    assert plan(ft.podium_features(base)).count("Exchange hashpartitioning") == 1
+    assert plan(ft.podium_features(base)).count("Exchange hashpartitioning") == 2
+
 
+def test_unused_windows_are_pruned(spark):
+    p = plan(QUERIES["threshold_sweep"](spark, SF_SMALL))
+    assert "constructor_avg_points_last10" not in p and "Window" in p
 
-def test_bucketed_ranking_partitions_by_bucket(spark):
-    from tierlake.operators.ordered import ranked_within
-    df = spark.createDataFrame([(1, i) for i in range(100)], "g int, v int")
-    p = plan(ranked_within(df, ["g"], ["v"], "r", buckets=8))
-    assert "hashpartitioning(g#" in p and "__range_bucket" in p
+
+def test_season_filter_is_below_the_rank(spark):
+    p = plan(QUERIES["recent_standings"](spark, SF_SMALL))
+    filters = [m.start() for m in re.finditer(r"Filter .*season#\d+ >= 2000|year\(.*>= 2000", p)]
+    ranks = [m.start() for m in re.finditer("Window ", p)]
+    assert filters and ranks and min(filters) > min(ranks)      # further down the printed tree
 
 
 def test_scan_pushdown_and_pruning(spark):
@@ -38,19 +65,29 @@ def test_scan_pushdown_and_pruning(spark):
     assert "ReadSchema: struct<l_orderkey:bigint,l_quantity:double>" in p
 
 
-def test_evaluation_has_no_single_partition_exchange_over_rows(spark):
+def test_evaluation_windows_are_partitioned(spark):
+    """Whatever reaches a single partition has been aggregated first: per range, per
+    threshold bucket or to one row."""
     s = scored(spark, SF_SMALL)
     for df in (ev.auc_roc(s, "y", "p"), ev.roc_curve(s, "y", "p"), ev.threshold_sweep(s, "y", "p")):
-        p = plan(df)
-        # single-partition exchanges may only appear above the small bucket tables
-        for line in p.splitlines():
-            if "SinglePartition" in line:
-                assert "Exchange SinglePartition" in line
-    # the per-score running sums are partitioned by range bucket
-    assert "hashpartitioning(__range_bucket" in plan(ev.running_sums(
-        ev.score_counts(s, "y", "p"), "p", ["pos"], buckets=4))
-
-
-def test_flagship_join_plan(spark):
-    p = plan(fx.gold_race_results(spark, SF_SMALL))
-    assert "BroadcastHashJoin" in p or "SortMergeJoin" in p
+        lines = plan(df).splitlines()
+        for i, line in enumerate(lines):
+            if "Exchange SinglePartition" in line:
+                below = next(x for x in lines[i + 1:] if re.search(r"[A-Z]\w+", x))
+                assert re.search("HashAggregate|Project|BroadcastHashJoin|SortMergeJoin", below), below
+                feeding = "\n".join(lines[i + 1:i + 8])
+                assert "HashAggregate" in feeding or "Range" in feeding, feeding
+    assert "hashpartitioning(__range" in plan(ev.running_sums(ev.score_counts(s, "y", "p"), "p", ["pos"]))
+
+
+def test_flagship_joins_are_left_outer_without_forced_broadcast(spark):
+    df = fx.gold_race_results(spark, SF_SMALL)
+    logical = df._jdf.queryExecution().optimizedPlan().toString()
+    assert logical.count("Join LeftOuter") >= 4 and "strategy=broadcast" not in logical
+    names = re.findall(r"(BroadcastHashJoin|SortMergeJoin|ShuffledHashJoin|CartesianProduct|BroadcastNestedLoopJoin)", plan(df))
+    assert len(names) >= 4 and not {"CartesianProduct", "BroadcastNestedLoopJoin"} & set(names)
+
+
+def test_standings_rank_ties_join_back(spark):
+    p = plan(marts.season_rank(marts.driver_season_stats(fx.gold_race_results(spark, SF_SMALL))))
+    assert "__tied" in p and "rank(" not in p

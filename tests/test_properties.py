@@ -37,11 +37,11 @@ def test_auc_equals_pair_counting(spark, rows):
 
 @SETTINGS
 @given(st.lists(st.integers(0, 1000), min_size=1, max_size=80), st.integers(1, 9), st.booleans())
-def test_running_sums_match_cumsum(spark, values, buckets, desc):
+def test_running_sums_match_cumsum(spark, values, ranges, desc):
     distinct = sorted(set(values), reverse=desc)
-    rows = [(float(v), i + 1) for i, v in enumerate(distinct)]
+    rows = [(v / 800.0, i + 1) for i, v in enumerate(distinct)]        # some beyond the ranges
     df = spark.createDataFrame(rows, "v double, c long")
-    out = {r.v: r.cum_c for r in ev.running_sums(df, "v", ["c"], descending=desc, buckets=buckets).collect()}
+    out = {r.v: r.cum_c for r in ev.running_sums(df, "v", ["c"], descending=desc, ranges=ranges).collect()}
     acc = 0
     for v, c in rows:
         acc += c

@@ -8,7 +8,7 @@ so Catalyst sees one declarative plan per query.  Sub-packages:
 * ``functions`` - small column-expression helpers (initcap, dates, safe division)
 * ``operators`` - conform (silver), marts (gold), history features, evaluation, model
 * ``plans``     - the race-shaped fixture, landing files, pipeline and query registry
-* ``streaming`` - intentionally empty (the reference has no streaming work)
+* ``llm``       - training-data operators (optional: nothing else imports it)
 """
 
 __version__ = "0.1.0"

@@ -17,9 +17,9 @@ def count_if(cond: Column) -> Column:
 
 
 def safe_div(num: Column, den: Column, zero: float | None = 0.0) -> Column:
-    """``num / den`` when ``den > 0``, else ``zero`` (NULL if ``zero`` is None)."""
+    """``num / den`` as a double when ``den > 0``, else ``zero`` (NULL if ``zero`` is None)."""
     fallback = F.lit(None).cast("double") if zero is None else F.lit(float(zero))
-    return F.when(den > 0, num / den).otherwise(fallback)
+    return F.when(den > 0, num.cast("double") / den.cast("double")).otherwise(fallback)
 
 
 def surrogate_key(*cols: str, sep: str = "_") -> Column:

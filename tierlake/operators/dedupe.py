@@ -3,9 +3,10 @@
 ``dropDuplicates`` keeps an arbitrary survivor.  Here the survivor is the first
 row of each key under a *total* order: the caller's ``order_by`` keys, then every
 remaining column.  It is expressed as ``min(struct(order..., payload...))`` per
-key, i.e. a plain hash aggregate: Spark combines map-side (partial aggregation),
-so a key that holds a third of all rows still ships one row per map task, and
-no key group is ever sorted or buffered in a single task.
+key.  A struct has no fixed-width buffer, so Spark plans it as a sort aggregate:
+rows are sorted by key within each map task and combined there (partial
+aggregation), and the combined rows once more after the exchange.  A key that
+holds a third of all rows still ships one row per map task.
 """
 
 from __future__ import annotations

@@ -1,13 +1,12 @@
 """Distributed binary-classifier evaluation: AUC, F1, report, sweep, curves.
 
-Everything stays in DataFrames.  Only aggregated rows reach a single task:
+Everything stays in lazy DataFrames.  Only aggregated rows reach a single task:
 per-class counts (<= 4 rows), per-threshold-bucket counts (<= 62 rows), per
-score-range bucket totals (one row per bucket).  Running sums over *distinct
-scores* - whose number grows with the data - use a two-level prefix sum:
-contiguous range buckets of the scores (any bounds give exact sums; they only
-balance the work), exact bucket offsets from the bucket table, and a
-per-bucket running window.  No window ever runs unpartitioned over raw or
-per-score rows.
+score-range totals (<= ``SCORE_RANGES`` + 1 rows).  Running sums over *distinct
+scores* - whose number grows with the data - use a two-level prefix sum: equal
+ranges of the score (a pure function of the score, so both reads of the plan
+agree; any bounds give exact sums), exact range offsets, and a running window
+per range.  No window ever runs unpartitioned over raw or per-score rows.
 """
 
 from __future__ import annotations
@@ -17,16 +16,15 @@ import math
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from tierlake.functions.exprs import safe_div
 from tierlake.functions.ordering import count_at_or_below
-from tierlake.operators import ordered
-from tierlake.operators.ordered import _default_buckets, with_range_buckets
-from tierlake.session import materialize_counted
 
 # --- fixed values: the reference's threshold grid and report labels -------------
 SWEEP_START, SWEEP_STOP, SWEEP_STEP = 0.3, 0.9, 0.01
 MIN_ACCURACY = 0.90
 CLASS_NAMES = ("No Podium", "Podium")
 # --- end fixed values ------------------------------------------------------------
+SCORE_RANGES = 1024     # ranges of the two-level prefix sums
 
 
 def sweep_thresholds(start: float = SWEEP_START, stop: float = SWEEP_STOP, step: float = SWEEP_STEP) -> list[float]:
@@ -41,63 +39,59 @@ def sweep_thresholds(start: float = SWEEP_START, stop: float = SWEEP_STOP, step:
     return [start + i * delta for i in range(n)]
 
 
+def score_range(value: str, ranges: int = SCORE_RANGES) -> Column:
+    """Number of the score's range: ``ranges`` equal parts of [0, 1], ends included in the
+    outer ones.  Monotone, so ranges are contiguous whatever the scores are."""
+    return F.floor(F.greatest(F.lit(0.0), F.least(F.lit(1.0), F.col(value).cast("double"))) * ranges).cast("int")
+
+
 def running_sums(df: DataFrame, value: str, cols: list[str], descending: bool = False,
-                 inclusive: bool = True, buckets: int | None = None) -> DataFrame:
+                 inclusive: bool = True, by: tuple[str, ...] = (), ranges: int = SCORE_RANGES) -> DataFrame:
     """Add ``cum_<c>``: sum of ``c`` over rows whose ``value`` is <= (or >=) this row's,
-    and ``total_<c>``: the sum over all rows (taken from the small bucket table).
+    and ``total_<c>``: the sum over all rows, both within ``by``.
 
     ``df`` must hold one row per distinct non-NULL ``value`` (an aggregate).
-    Exclusive sums (``inclusive=False``) leave the current row out.  Values are
-    cut into contiguous range buckets (count scaled to the number of values);
-    bucket totals give exact offsets, and a window per bucket finishes the sum.
+    Exclusive sums (``inclusive=False``) leave the current row out.
     """
-    df, n = materialize_counted(df, "per-value")
-    order = [(value, not descending)]
-    if buckets is None:
-        # Up to the plain-window bound one bucket (one window partition) is enough.
-        buckets = 1 if n <= ordered.PLAIN_WINDOW_MAX_ROWS else _default_buckets(df, n)
-    df = with_range_buckets(df, [], order, buckets)
-    b = "__range_bucket"
-    totals = df.groupBy(b).agg(*[F.sum(c).alias(f"__t_{c}") for c in cols])   # one row per bucket
-    # Buckets are numbered in the sum's own order (descending values were
-    # range-partitioned on their negation), so offsets accumulate upwards.
-    before = Window.orderBy(F.asc(b)).rowsBetween(Window.unboundedPreceding, -1)
-    everything = Window.partitionBy()
-    offsets = totals.select(b, *[
+    b = "__range"
+    df = df.withColumn(b, score_range(value, ranges))
+    totals = df.groupBy(*by, b).agg(*[F.sum(c).alias(f"__t_{c}") for c in cols])   # one row per range
+    everything = Window.partitionBy(*by)
+    before = everything.orderBy(F.desc(b) if descending else F.asc(b)).rowsBetween(Window.unboundedPreceding, -1)
+    offsets = totals.select(*by, b, *[
         F.coalesce(F.sum(f"__t_{c}").over(before), F.lit(0)).alias(f"__o_{c}") for c in cols], *[
         F.sum(f"__t_{c}").over(everything).alias(f"total_{c}") for c in cols])
-    vorder = F.desc(value) if descending else F.asc(value)
-    within = Window.partitionBy(b).orderBy(vorder).rowsBetween(
+    within = Window.partitionBy(*by, b).orderBy(F.desc(value) if descending else F.asc(value)).rowsBetween(
         Window.unboundedPreceding, 0 if inclusive else -1)
-    # The offsets table has one row per bucket; AQE broadcasts it when its
-    # measured size allows and shuffles otherwise.
-    out = df.join(offsets, b)
+    out = df.join(offsets, [*by, b])
     out = out.withColumns({
         f"cum_{c}": F.col(f"__o_{c}") + F.coalesce(F.sum(c).over(within), F.lit(0)) for c in cols})
     return out.drop(b, *[f"__o_{c}" for c in cols])
 
 
-def score_counts(df: DataFrame, y: str, p: str) -> DataFrame:
+def score_counts(df: DataFrame, y: str, p: str, by: tuple[str, ...] = ()) -> DataFrame:
     """Positives and negatives per distinct score (the only per-score state)."""
     return (df.filter(F.col(p).isNotNull())
-              .groupBy(p)
+              .groupBy(*by, p)
               .agg(F.sum(F.col(y).cast("long")).alias("pos"),
                    F.sum((1 - F.col(y)).cast("long")).alias("neg")))
 
 
-def auc_roc(df: DataFrame, y: str, p: str) -> DataFrame:
-    """Exact ROC AUC with tied scores counted half: one row (auc, positives, negatives).
+def auc_roc(df: DataFrame, y: str, p: str, by: tuple[str, ...] = ()) -> DataFrame:
+    """Exact ROC AUC with tied scores counted half: (auc, positives, negatives), one row
+    or one per ``by``.
 
     AUC = sum_s pos_s * (neg_below_s + neg_s / 2) / (P * N); the numerator is
     accumulated doubled, in DECIMAL(38,0), so the sum is exact at any size.
     """
-    per = running_sums(score_counts(df, y, p), p, ["neg"], inclusive=False).drop("total_neg")
+    per = running_sums(score_counts(df, y, p, by), p, ["neg"], inclusive=False, by=by).drop("total_neg")
     dec = "decimal(38,0)"
     num2 = F.sum(F.lit(2).cast(dec) * F.col("pos").cast(dec) * F.col("cum_neg").cast(dec)
                  + F.col("pos").cast(dec) * F.col("neg").cast(dec))
-    agg = per.agg(num2.alias("num2"), F.sum("pos").alias("positives"), F.sum("neg").alias("negatives"))
+    agg = per.groupBy(*by).agg(num2.alias("num2"), F.sum("pos").alias("positives"), F.sum("neg").alias("negatives"))
     den = F.lit(2.0) * F.col("positives").cast("double") * F.col("negatives").cast("double")
     return agg.select(
+        *by,
         F.when(den > 0, F.col("num2").cast("double") / den).alias("auc"),
         F.col("positives").cast("long").alias("positives"),
         F.col("negatives").cast("long").alias("negatives"))
@@ -113,15 +107,11 @@ def confusion_counts(df: DataFrame, y: str, yhat: str) -> DataFrame:
         F.count(F.when((yy == 0) & (hh == 0), 1)).alias("tn"))
 
 
-def _ratio(num: Column, den: Column) -> Column:
-    return F.when(den > 0, num.cast("double") / den.cast("double")).otherwise(F.lit(0.0))
-
-
 def f1_binary(df: DataFrame, y: str, yhat: str) -> DataFrame:
     """F1 of the positive class (label 1), 0 when undefined; with its counts."""
     c = confusion_counts(df, y, yhat)
     return c.select("tp", "fp", "fn",
-                    _ratio(2 * F.col("tp"), 2 * F.col("tp") + F.col("fp") + F.col("fn")).alias("f1"))
+                    safe_div(2 * F.col("tp"), 2 * F.col("tp") + F.col("fp") + F.col("fn")).alias("f1"))
 
 
 def classification_report(df: DataFrame, y: str, yhat: str, names=CLASS_NAMES) -> DataFrame:
@@ -132,9 +122,9 @@ def classification_report(df: DataFrame, y: str, yhat: str, names=CLASS_NAMES) -
     stats = {0: (tn1, fn1, fp1), 1: (tp1, fp1, fn1)}
     cols = {}
     for k, (tp, fp, fn) in stats.items():
-        cols[f"p{k}"] = _ratio(tp, tp + fp)
-        cols[f"r{k}"] = _ratio(tp, tp + fn)
-        cols[f"f{k}"] = _ratio(2 * tp, 2 * tp + fp + fn)
+        cols[f"p{k}"] = safe_div(tp, tp + fp)
+        cols[f"r{k}"] = safe_div(tp, tp + fn)
+        cols[f"f{k}"] = safe_div(2 * tp, 2 * tp + fp + fn)
         cols[f"s{k}"] = (tp + fn).cast("long")
     c = c.select(*[v.alias(k) for k, v in cols.items()], (tp1 + tn1).alias("correct"))
     total = (F.col("s0") + F.col("s1")).cast("double")
@@ -147,13 +137,13 @@ def classification_report(df: DataFrame, y: str, yhat: str, names=CLASS_NAMES) -
         return (F.col(f"{m}0") + F.col(f"{m}1")) / F.lit(2.0)
 
     def weighted(m):
-        return (F.col(f"{m}0") * F.col("s0") + F.col(f"{m}1") * F.col("s1")) / total
+        return safe_div(F.col(f"{m}0") * F.col("s0") + F.col(f"{m}1") * F.col("s1"), total, zero=None)
 
     null = F.lit(None).cast("double")
     rows = F.array(
         row(names[0], F.col("p0"), F.col("r0"), F.col("f0"), F.col("s0")),
         row(names[1], F.col("p1"), F.col("r1"), F.col("f1"), F.col("s1")),
-        row("accuracy", null, null, _ratio(F.col("correct"), F.col("s0") + F.col("s1")), F.col("s0") + F.col("s1")),
+        row("accuracy", null, null, safe_div(F.col("correct"), total, zero=None), F.col("s0") + F.col("s1")),
         row("macro avg", macro("p"), macro("r"), macro("f"), F.col("s0") + F.col("s1")),
         row("weighted avg", weighted("p"), weighted("r"), weighted("f"), F.col("s0") + F.col("s1")),
     )
@@ -165,8 +155,8 @@ def threshold_sweep(df: DataFrame, y: str, p: str, thresholds: list[float] | Non
 
     One pass over the rows: each row falls in bucket b = #thresholds <= p, and
     it is a predicted positive at threshold i exactly when b > i.  Per-bucket
-    counts (<= len(grid)+1 rows) are suffix-summed.  recall is NULL without
-    positives; precision is 0 without predicted positives; F1 is 0 when
+    counts (<= len(grid)+1 rows) are suffix-summed.  accuracy is NULL without
+    rows, recall is NULL without positives; precision is 0 without predicted positives; F1 is 0 when
     precision + recall is not > 0.
     """
     spark = df.sparkSession
@@ -191,15 +181,11 @@ def threshold_sweep(df: DataFrame, y: str, p: str, thresholds: list[float] | Non
     correct = F.col("tp") + (F.col("total") - F.col("positives")) - (F.col("pp") - F.col("tp"))
     g = g.select(
         "threshold",
-        (correct.cast("double") / F.col("total").cast("double")).alias("accuracy"),
-        F.when(F.col("positives") > 0, F.col("tp").cast("double") / F.col("positives").cast("double"))
-         .alias("recall"),
-        F.when(F.col("pp") > 0, F.col("tp").cast("double") / F.col("pp").cast("double"))
-         .otherwise(F.lit(0.0)).alias("precision"))
-    f1 = F.when(F.col("precision") + F.col("recall") > 0,
-                F.lit(2.0) * F.col("precision") * F.col("recall") / (F.col("precision") + F.col("recall"))
-                ).otherwise(F.lit(0.0))
-    return g.withColumn("f1", f1)
+        safe_div(correct, F.col("total"), zero=None).alias("accuracy"),
+        safe_div(F.col("tp"), F.col("positives"), zero=None).alias("recall"),
+        safe_div(F.col("tp"), F.col("pp")).alias("precision"))
+    return g.withColumn("f1", safe_div(F.lit(2.0) * F.col("precision") * F.col("recall"),
+                                       F.col("precision") + F.col("recall")))
 
 
 def best_threshold(sweep: DataFrame, min_acc: float = MIN_ACCURACY) -> DataFrame:
@@ -244,8 +230,8 @@ def roc_curve(df: DataFrame, y: str, p: str) -> DataFrame:
     c = _cumulative_desc(df, y, p)
     pts = c.select(
         F.col(p).cast("double").alias("threshold"),
-        F.when(F.col("__all_neg") > 0, F.col("cum_neg").cast("double") / F.col("__all_neg").cast("double")).alias("fpr"),
-        F.when(F.col("__all_pos") > 0, F.col("cum_pos").cast("double") / F.col("__all_pos").cast("double")).alias("tpr"))
+        safe_div(F.col("cum_neg"), F.col("__all_neg"), zero=None).alias("fpr"),
+        safe_div(F.col("cum_pos"), F.col("__all_pos"), zero=None).alias("tpr"))
     origin = df.sparkSession.range(1).select(
         F.lit(float("inf")).alias("threshold"), F.lit(0.0).alias("fpr"), F.lit(0.0).alias("tpr"))
     return origin.unionByName(pts)
@@ -258,8 +244,7 @@ def pr_curve(df: DataFrame, y: str, p: str) -> DataFrame:
     pts = c.select(
         F.col(p).cast("double").alias("threshold"),
         (F.col("cum_pos").cast("double") / (F.col("cum_pos") + F.col("cum_neg")).cast("double")).alias("precision"),
-        F.when(F.col("__all_pos") > 0, F.col("cum_pos").cast("double") / F.col("__all_pos").cast("double"))
-         .otherwise(F.lit(1.0)).alias("recall"))
+        safe_div(F.col("cum_pos"), F.col("__all_pos"), zero=1.0).alias("recall"))
     end = df.sparkSession.range(1).select(
         F.lit(None).cast("double").alias("threshold"), F.lit(1.0).alias("precision"), F.lit(0.0).alias("recall"))
     return pts.unionByName(end)

@@ -13,7 +13,6 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tierlake.functions.exprs import surrogate_key
-from tierlake.operators.ordered import rolling_mean_rows_adaptive
 
 # --- fixed values: feature names and frame sizes of the reference model --------
 DRIVER_FRAME = 5        # rows -5 .. -1 per driver
@@ -75,26 +74,6 @@ def rolling_mean_prior_events(df: DataFrame, measures: dict[str, Column], by: li
     return df.withColumns({name: F.avg(expr).over(w) for name, expr in measures.items()}).drop(ordinal)
 
 
-def prior_events_mean(df: DataFrame, measures_: dict[str, Column], by: list[str], event: list[str],
-                      n: int) -> DataFrame:
-    """Same result as ``rolling_mean_prior_events``, pre-aggregated.
-
-    Each (entity, event) collapses to per-measure (sum, count) first - map-side
-    partial aggregation, so a huge event costs one row per task - then a
-    ``rows -n..-1`` frame over the per-event rows adds them up, and the means
-    join back on (entity, event).  Exact for sums that are exact in double
-    (integer-valued measures, 0/1 rates).
-    """
-    sums = {f"__s_{k}": F.sum(e) for k, e in measures_.items()}
-    cnts = {f"__c_{k}": F.count(e) for k, e in measures_.items()}
-    per_event = df.groupBy(*by, *event).agg(*[v.alias(k) for k, v in {**sums, **cnts}.items()])
-    w = Window.partitionBy(*by).orderBy(*event).rowsBetween(-n, -1)
-    means = per_event.select(*by, *event, *[
-        (F.sum(f"__s_{k}").over(w) / F.when(F.sum(f"__c_{k}").over(w) > 0, F.sum(f"__c_{k}").over(w))).alias(k)
-        for k in measures_])
-    return df.join(means, on=[*by, *event], how="left")
-
-
 def expanding_stats(df: DataFrame, col: str, by: list[str], order: list[str],
                     mean_name: str, count_name: str) -> DataFrame:
     """Mean of ``col`` and count of rows over all earlier rows (0 count when none)."""
@@ -135,41 +114,32 @@ def circuit_history(df: DataFrame) -> DataFrame:
                            "driver_circuit_avg_position", "driver_circuit_races")
 
 
-def constructor_form(df: DataFrame, mode: str = "rows", skew_safe: bool = True) -> DataFrame:
+def constructor_form(df: DataFrame, mode: str = "rows") -> DataFrame:
     """``rows``: the previous 10 rows by (season, round), team-mates ordered by
     driver_id (parity with the reference's frame, which can see a team-mate's
     same-race result).  ``prior_races``: all cars of the previous 5 races.
 
-    A team's history spans all its cars and seasons and there are few teams,
-    so with ``skew_safe``: ``rows`` runs as a chunked frame over an exact
-    range-bucketed ordinal (input written once), and ``prior_races``
-    pre-aggregates each team-race to one row before its window.
+    A team's history has a few rows per race it entered, so a team is one
+    window group.  NULL teams form one group, as in any window.
     """
-    order = ["season", "round", "driver_id"]
     if mode == "rows":
-        if skew_safe:
-            return rolling_mean_rows_adaptive(df, measures(CONSTRUCTOR_MEASURES), ["constructor_id"], order,
-                                              CONSTRUCTOR_FRAME, stage="constructor-input")
-        return rolling_mean(df, measures(CONSTRUCTOR_MEASURES), ["constructor_id"], order, CONSTRUCTOR_FRAME)
+        return rolling_mean(df, measures(CONSTRUCTOR_MEASURES), ["constructor_id"], ["season", "round", "driver_id"],
+                            CONSTRUCTOR_FRAME)
     if mode == "prior_races":
-        if skew_safe:
-            return prior_events_mean(df, measures(CONSTRUCTOR_MEASURES), ["constructor_id"], ["season", "round"],
-                                     PRIOR_RACES)
         return rolling_mean_prior_events(df, measures(CONSTRUCTOR_MEASURES), ["constructor_id"], ["season", "round"],
                                          PRIOR_RACES)
     raise ValueError(f"unknown constructor mode {mode!r}")
 
 
-def podium_features(race_results: DataFrame, constructor_mode: str = "rows", skew_safe: bool = True) -> DataFrame:
+def podium_features(race_results: DataFrame, constructor_mode: str = "rows") -> DataFrame:
     """Classified entries (non-NULL position) with all ten history features.
 
     Entries without a position are removed *before* the windows, so history
-    skips them.
+    skips them.  The whole frame is lazy: a consumer that needs a few columns
+    gets only their windows.
     """
     df = race_results.filter(F.col("position").isNotNull())
-    df = driver_form(df)
-    df = circuit_history(df)
-    return constructor_form(df, constructor_mode, skew_safe)
+    return constructor_form(circuit_history(driver_form(df)), constructor_mode)
 
 
 def has_history(features: DataFrame) -> DataFrame:

@@ -14,9 +14,11 @@ from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from tierlake.operators.evaluation import auc_roc
+from tierlake.functions.exprs import safe_div
+from tierlake.operators.evaluation import (
+    MIN_ACCURACY, apply_threshold, auc_roc, best_threshold, classification_report, f1_binary, threshold_sweep,
+)
 from tierlake.operators.features import FEATURE_COLS, TARGET_COL
-from tierlake.session import materialize
 
 # --- fixed values: the reference model's hyper-parameters, mapped to GBTClassifier
 PODIUM_PARAMS = {
@@ -24,19 +26,23 @@ PODIUM_PARAMS = {
     "maxDepth": 6,             # max_depth
     "stepSize": 0.05,          # learning_rate
     "minInstancesPerNode": 20,  # min_child_samples
-    "subsamplingRate": 0.8,    # subsample
+    "subsamplingRate": 1.0,    # subsample is 0.8 there, but without a bagging frequency it is ignored
     "featureSubsetStrategy": "0.8",  # colsample_bytree (per node here)
     "seed": 42,                # random_state
 }
-SPLIT_SEASON = 2000  # stands in for the reference's 2020 on the 1995-2001 calendar
+SPLIT_SEASON = 2020
 # --- end fixed values ------------------------------------------------------------
 
 
 def label_split(df: DataFrame, col: str = "season", cut: int = SPLIT_SEASON,
                 fill_cols: list[str] | None = None) -> DataFrame:
-    """One pass: ``split`` = 'train' (col < cut) or 'test' (col >= cut); NULL features -> 0."""
+    """One pass: ``split`` = 'train' (col < cut) or 'test' (col >= cut); NULL features -> 0.
+
+    Rows without a ``col`` are in neither split and are dropped, as by ``time_split``.
+    """
     fill_cols = FEATURE_COLS if fill_cols is None else fill_cols
-    out = df.withColumn("split", F.when(F.col(col) < cut, "train").otherwise("test"))
+    out = df.filter(F.col(col).isNotNull()).withColumn(
+        "split", F.when(F.col(col) < cut, "train").otherwise("test"))
     return out.fillna(0, subset=fill_cols)
 
 
@@ -55,7 +61,7 @@ def class_weights(train: DataFrame, y: str = TARGET_COL) -> DataFrame:
     agg = train.agg(F.count(F.when(yy == 0, 1)).alias("negatives"), F.count(F.when(yy == 1, 1)).alias("positives"))
     return agg.withColumn(
         "scale_pos_weight",
-        F.when(F.col("positives") > 0, F.col("negatives").cast("double") / F.col("positives").cast("double")))
+        safe_div(F.col("negatives"), F.col("positives"), zero=None))
 
 
 def with_weight(train: DataFrame, y: str = TARGET_COL, weight_col: str = "weight") -> DataFrame:
@@ -71,8 +77,8 @@ def train_podium_model(train: DataFrame, feature_cols: list[str] | None = None,
     gbt = GBTClassifier(featuresCol="features", labelCol="label", weightCol="weight",
                         **{**PODIUM_PARAMS, **(params or {})})
     pipe = Pipeline(stages=[VectorAssembler(inputCols=feature_cols, outputCol="features"), gbt])
-    # Boosting makes many passes: materialise the (weighted) input once.
-    data = with_weight(materialize(train), y).withColumn("label", F.col(y).cast("double"))
+    # The booster persists its input; ``train`` should be a filter over a written table.
+    data = with_weight(train, y).withColumn("label", F.col(y).cast("double"))
     return pipe.fit(data)
 
 
@@ -99,6 +105,26 @@ def metrics_table(spark: SparkSession, run_id: str, values: list[tuple[str, str,
     return spark.createDataFrame(rows, "run_id string, kind string, name string, value string")
 
 
+def evaluate_scores(scored: DataFrame, y: str, p: str, label: str, min_acc: float = MIN_ACCURACY) -> tuple[float, list]:
+    """(tuned threshold, the run's metrics, params and tags); accuracy is computed at
+    the tuned threshold.  ``scored`` is read five times: pass a written table."""
+    auc = auc_roc(scored, y, p).first()["auc"]
+    f1 = f1_binary(scored, y, label).first()["f1"]
+    threshold = best_threshold(threshold_sweep(scored, y, p), min_acc).first()["threshold"]
+    report = classification_report(apply_threshold(scored, p, threshold, "__tuned"), y, "__tuned")
+    accuracy = report.filter(F.col("label") == "accuracy").first()["f1_score"]
+    return threshold, [
+        ("metric", "test_auc", auc),
+        ("metric", "test_f1", f1),
+        ("metric", "test_accuracy", accuracy),
+        ("param", "threshold", threshold),
+        *[("param", k, v) for k, v in PODIUM_PARAMS.items()],
+        ("tag", "model_type", "GBTClassifier"),
+        ("tag", "task", "binary_classification"),
+        ("tag", "target", "podium_finish"),
+    ]
+
+
 def feature_importance(spark: SparkSession, model: PipelineModel, feature_cols: list[str] | None = None) -> DataFrame:
     """Impurity-gain importance per feature (the booster's own, normalised), ascending."""
     feature_cols = FEATURE_COLS if feature_cols is None else feature_cols
@@ -107,47 +133,49 @@ def feature_importance(spark: SparkSession, model: PipelineModel, feature_cols:
     return df.orderBy("importance", "feature")
 
 
-def permuted_column(df: DataFrame, col: str, key_cols: list[str], seed: int = 42,
-                    groups: int | None = None) -> DataFrame:
-    """Replace ``col`` by a deterministic permutation of its own values.
+# Rows are permuted within this many hash groups of their key, whatever the layout.
+PERMUTATION_GROUPS = 256
+
+
+def permuted_columns(df: DataFrame, cols: list[str], key_cols: list[str], seed: int = 42,
+                     groups: int = PERMUTATION_GROUPS) -> DataFrame:
+    """Add ``__next``: for every row the values of ``cols`` in its successor row.
 
-    Rows are spread over ``groups`` hash groups of a unique row key; within a
-    group, ordered by a second hash, each row takes the next row's value (the
-    last takes the first): a cyclic shift, computed by partitioned windows.
+    Rows are dealt to ``groups`` hash groups of a unique key; within a group,
+    ordered by a second hash, each row takes the next row's values (the last
+    takes the first's): a permutation that depends on the keys alone.
     """
-    # One hash group per input partition by default: group sizes follow the
-    # partition sizes the planner already chose, whatever the data volume.
-    groups = groups or max(8, df.rdd.getNumPartitions())
-    h1 = F.xxhash64(*[F.col(k) for k in key_cols], F.lit(seed))
-    h2 = F.xxhash64(*[F.col(k) for k in key_cols], F.lit(seed + 1))
-    tmp = df.withColumns({"__g": F.pmod(h1, F.lit(groups)), "__h": h2})
+    keys = [F.col(k) for k in key_cols]
+    tmp = df.withColumns({"__g": F.pmod(F.xxhash64(*keys, F.lit(seed)), F.lit(groups)),
+                          "__h": F.xxhash64(*keys, F.lit(seed + 1)), "__own": F.struct(*cols)})
     w = Window.partitionBy("__g").orderBy("__h", *key_cols)
-    wall = Window.partitionBy("__g")
-    nxt = F.lead(F.col(col)).over(w)
-    wrap = F.min_by(F.col(col), F.struct(F.col("__h"), *[F.col(k) for k in key_cols])).over(wall)
-    return tmp.withColumn(col, F.when(F.lead(F.lit(1)).over(w).isNull(), wrap).otherwise(nxt)).drop("__g", "__h")
+    first = F.first("__own").over(w.rowsBetween(Window.unboundedPreceding, Window.currentRow))
+    return tmp.withColumn("__next", F.coalesce(F.lead("__own").over(w), first)).drop("__g", "__h", "__own")
 
 
 def permutation_importance(model: PipelineModel, df: DataFrame, key_cols: list[str],
                            feature_cols: list[str] | None = None, y: str = TARGET_COL,
-                           seed: int = 42) -> DataFrame:
+                           seed: int = 42, groups: int = PERMUTATION_GROUPS) -> DataFrame:
     """AUC lost when each feature's values are permuted (larger = more important).
 
-    A model-agnostic stand-in for per-row attribution: one scoring pass and
-    one exact distributed AUC per feature.
+    A model-agnostic stand-in for per-row attribution, in one pass: every row is
+    scored as it is and once per feature with that feature taken from its
+    successor; one exact AUC per feature follows.
     """
     feature_cols = FEATURE_COLS if feature_cols is None else feature_cols
-    spark = df.sparkSession
-    yy = F.col(y).cast("int").alias("__y")
-
-    def auc_of(frame: DataFrame) -> float:
-        scored = score(model, frame).select(yy, "predicted_podium_prob")
-        return auc_roc(scored, "__y", "predicted_podium_prob").first()["auc"]
-
-    # The frame is re-read once per feature: cut its lineage once, reliably,
-    # into the session's checkpoint directory (shared storage on a cluster).
-    df = materialize(df)
-    base = auc_of(df)
-    rows = [(f, float(base), float(auc_of(permuted_column(df, f, key_cols, seed)))) for f in feature_cols]
-    out = spark.createDataFrame(rows, "feature string, base_auc double, permuted_auc double")
-    return out.withColumn("importance", F.col("base_auc") - F.col("permuted_auc"))
+    rest = [c for c in FEATURE_COLS if c not in feature_cols and c in df.columns]
+    rows = permuted_columns(df, feature_cols, key_cols, seed, groups)
+
+    def variant(name: str | None):
+        return F.struct(F.lit(name).cast("string").alias("feature"),
+                        *[(F.col(f"__next.{c}") if c == name else F.col(c)).alias(c) for c in feature_cols])
+
+    stacked = rows.select(F.col(y).cast("int").alias("__y"), *rest, F.explode(
+        F.array(variant(None), *[variant(c) for c in feature_cols])).alias("v")).select("__y", *rest, "v.*")
+    scored = score(model, stacked).select("feature", "__y", "predicted_podium_prob")
+    named = scored.withColumn("feature", F.coalesce("feature", F.lit("")))
+    per = auc_roc(named, "__y", "predicted_podium_prob", by=("feature",)).select("feature", "auc")
+    # one row per feature and the unchanged rows' own
+    base = F.max(F.when(F.col("feature") == "", F.col("auc"))).over(Window.partitionBy())
+    return per.withColumn("base_auc", base).filter("feature <> ''").select(
+        "feature", "base_auc", F.col("auc").alias("permuted_auc"), (F.col("base_auc") - F.col("auc")).alias("importance"))

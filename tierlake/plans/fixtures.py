@@ -4,20 +4,29 @@ The reference ingests motor-racing landing files; the test data are TPC-H-style
 parquet tables.  This module maps one onto the other with plain DataFrame
 operations so every query's work grows with the input tables:
 
-* an *entry* (one driver in one race) is a (season, round, driver) group of
-  ``lineitem JOIN orders``: season = year(o_orderdate), round = month,
-  driver = l_suppkey;
+* an *entry* (one driver in one race) is a (season, month, supplier) group of
+  ``lineitem JOIN orders``: season = year(o_orderdate), driver = l_suppkey;
+* suppliers are dealt to grids of 20 (``l_suppkey div 20``) and every grid races
+  once a month: round = month + 12 * grid block.  So races, teams and drivers
+  multiply with the input while a race keeps at most 20 cars, a team two or
+  three and a driver one entry per month - every window group stays bounded;
 * laps = rows in the group, points = sum(l_quantity) (integer-valued, exact);
 * grid = row_number in the race by (min(l_extendedprice), driver);
 * finishing order = row_number in the race by (points desc, driver);
   every 5th lap count (laps % 5 = 0) retires (NULL position, text 'R'),
-  laps % 5 = 1 finishes '+1 LAP' behind, the rest 'finished';
-* team = supplier nation, with a mid-season switch for every 10th driver;
+  laps % 5 = 1 finishes '+1 LAP' behind, the rest 'finished'; laps % 9 = 4 has a
+  NULL status;
+* team = ``l_suppkey div 2``, with a mid-season switch to the next team for every
+  10th driver (the last one to a team without a dimension row) and a NULL team
+  for ``l_suppkey % 13 = 5`` in March;
+* laps % 4 = 3 lands twice: the second row has number + 100 and is 'disqualified';
 * the result date is the first day of the race month; sprint entries are the
   same grid with half the points and the date as text;
-* drivers = supplier x nation, teams = nation x region, races = the distinct
-  (season, month) of orders, circuits = regions except key 4 (so some races
-  have no circuit and the left join keeps them with NULLs).
+* drivers = supplier x nation (some without a family name, some without any
+  name), teams = supplier pairs x nation x region, races = the distinct
+  (season, round) of the entries, circuits = regions; every sixth
+  (season + round) points to a circuit that does not exist, so the left join
+  keeps those races with NULLs.
 
 Every frame is landing-shaped: the column names and types of the declared
 landing schemas in ``tierlake.sources.schemas``.
@@ -28,11 +37,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from tierlake.functions.ordering import window_order
-from tierlake.operators.ordered import rank_columns
-
-# Number of teams the nation keys wrap around (nation has 25 rows).
-TEAM_COUNT = 25
+GRID_CARS = 20
+# The derived calendar's cut between train and test (the tables span 1995-2001).
+CUT_SEASON = 2000
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -42,51 +49,45 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 def _entry_groups(spark: SparkSession, sf_dir: str) -> DataFrame:
     li = table(spark, sf_dir, "lineitem").select("l_orderkey", "l_suppkey", "l_quantity", "l_extendedprice")
     orders = table(spark, sf_dir, "orders").select("o_orderkey", "o_orderdate")
-    return (
+    groups = (
         li.join(orders, F.col("l_orderkey") == F.col("o_orderkey"))
         .groupBy(
             F.year("o_orderdate").alias("season"),
-            F.month("o_orderdate").alias("round"),
+            F.month("o_orderdate").alias("month"),
             F.col("l_suppkey").alias("driver_key"),
         )
         .agg(
             F.count("*").cast("int").alias("laps"),
             F.sum("l_quantity").alias("qty"),
             F.min("l_extendedprice").alias("min_price"),
+            F.min("o_orderdate").cast("date").alias("first_date"),
         )
     )
+    block = F.floor(F.col("driver_key") / GRID_CARS).cast("int")
+    return groups.withColumn("round", F.col("month") + 12 * block)
 
 
-def ranked_entries(spark: SparkSession, sf_dir: str, skew_safe: bool = True) -> DataFrame:
-    """(season, round, driver_key, laps, qty, grid, finish, team_key).
-
-    A race is a (season, month) group, so there are only ~80 races however large
-    the input: with ``skew_safe`` the grid and finishing orders are computed by
-    range-bucketed ranking (exact, no race held in one task) over the
-    aggregated entries written once to the shared scratch root.
-    """
-    groups = _entry_groups(spark, sf_dir)
-    ranks = {"grid": (["min_price", "driver_key"], "row_number"),
-             "finish": ([("qty", False), "driver_key"], "row_number")}
-    if skew_safe:
-        df = rank_columns(groups, ["season", "round"], ranks, stage="entry-groups")
-    else:
-        race = Window.partitionBy("season", "round")
-        df = groups.withColumns({out: F.row_number().over(race.orderBy(*[window_order(s) for s in order]))
-                                 for out, (order, _) in ranks.items()})
-    supplier = table(spark, sf_dir, "supplier").select("s_suppkey", "s_nationkey")
-    switch = F.when((F.col("round") > 6) & (F.col("driver_key") % 10 == 0), 1).otherwise(0)
-    return (
-        df.join(supplier, F.col("driver_key") == F.col("s_suppkey"), "left")
-        .withColumn("team_key", (F.col("s_nationkey") + switch) % TEAM_COUNT)
-        .drop("s_suppkey", "s_nationkey", "min_price")
-    )
+def ranked_entries(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """(season, month, round, driver_key, laps, qty, grid, finish, team_key), lazily."""
+    race = Window.partitionBy("season", "round")
+    switch = F.when((F.col("month") > 6) & (F.col("driver_key") % 10 == 0), 1).otherwise(0)
+    no_team = (F.col("month") == 3) & (F.col("driver_key") % 13 == 5)
+    return _entry_groups(spark, sf_dir).withColumns({
+        "grid": F.row_number().over(race.orderBy("min_price", "driver_key")),
+        "finish": F.row_number().over(race.orderBy(F.desc("qty"), "driver_key")),
+        "team_key": F.when(~no_team, F.floor(F.col("driver_key") / 2) + switch),
+    })
 
 
 def _result_rows(entries: DataFrame, date_as_text: bool, points: F.Column) -> DataFrame:
+    copies = F.sequence(F.lit(0), F.when(F.col("laps") % 4 == 3, 1).otherwise(0))
+    entries = entries.withColumn("copy", F.explode(copies))
     retired = F.col("laps") % 5 == 0
     position = F.when(~retired, F.col("finish"))
-    date = F.make_date(F.col("season"), F.col("round"), F.lit(1))
+    date = F.make_date(F.col("season"), F.col("month"), F.lit(1))
+    status = (F.when(F.col("copy") == 1, "disqualified")
+              .when(F.col("laps") % 9 == 4, F.lit(None).cast("string"))
+              .when(retired, "retired").when(F.col("laps") % 5 == 1, "+1 LAP").otherwise("finished"))
     return entries.select(
         (F.date_format(date, "yyyy-MM-dd") if date_as_text else date).alias("date"),
         F.concat(F.lit("grand prix "), F.col("round").cast("string")).alias("raceName"),
@@ -97,11 +98,11 @@ def _result_rows(entries: DataFrame, date_as_text: bool, points: F.Column) -> Da
         F.col("driver_key").cast("string").alias("driverId"),
         F.col("grid").cast("int").alias("grid"),
         F.col("laps").cast("int").alias("laps"),
-        (F.col("driver_key") % 100).cast("int").alias("number"),
+        (F.col("driver_key") % 100 + 100 * F.col("copy")).cast("int").alias("number"),
         points.cast("float").alias("points"),
         position.cast("int").alias("position"),
         F.coalesce(position.cast("string"), F.lit("R")).alias("positionText"),
-        F.when(retired, "retired").when(F.col("laps") % 5 == 1, "+1 LAP").otherwise("finished").alias("status"),
+        status.alias("status"),
     )
 
 
@@ -119,8 +120,8 @@ def bronze_drivers(spark: SparkSession, sf_dir: str) -> DataFrame:
     n = table(spark, sf_dir, "nation").select("n_nationkey", "n_name")
     return s.join(n, F.col("s_nationkey") == F.col("n_nationkey"), "left").select(
         F.col("s_suppkey").cast("string").alias("driverId"),
-        F.struct(F.substring("s_name", 1, 8).alias("givenName"),
-                 F.expr("substring(s_name, 10)").alias("familyName")).alias("name"),
+        F.struct(F.when(F.col("s_suppkey") % 27 != 4, F.substring("s_name", 1, 8)).alias("givenName"),
+                 F.when(F.col("s_suppkey") % 9 != 4, F.expr("substring(s_name, 10)")).alias("familyName")).alias("name"),
         F.date_add(F.lit("1960-01-01").cast("date"), (F.col("s_suppkey") % 7300).cast("int")).alias("dateOfBirth"),
         F.lower("n_name").alias("nationality"),
         F.concat(F.lit("drivers/"), F.col("s_suppkey").cast("string")).alias("url"),
@@ -128,32 +129,34 @@ def bronze_drivers(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def bronze_constructors(spark: SparkSession, sf_dir: str) -> DataFrame:
+    teams = table(spark, sf_dir, "supplier").groupBy(F.floor(F.col("s_suppkey") / 2).alias("team")).agg(
+        F.min("s_nationkey").alias("nation"))
     n = table(spark, sf_dir, "nation")
     r = table(spark, sf_dir, "region")
-    return n.join(r, F.col("n_regionkey") == F.col("r_regionkey"), "left").select(
-        F.col("n_nationkey").cast("string").alias("constructorId"),
-        F.col("n_name").alias("name"),
+    joined = teams.join(n, F.col("nation") == F.col("n_nationkey"), "left").join(
+        r, F.col("n_regionkey") == F.col("r_regionkey"), "left")
+    return joined.select(
+        F.col("team").cast("string").alias("constructorId"),
+        F.concat_ws(" ", "n_name", F.lit("team"), F.col("team").cast("string")).alias("name"),
         F.col("r_name").alias("nationality"),
-        F.concat(F.lit("constructors/"), F.col("n_nationkey").cast("string")).alias("url"),
+        F.concat(F.lit("constructors/"), F.col("team").cast("string")).alias("url"),
     )
 
 
 def bronze_races(spark: SparkSession, sf_dir: str) -> DataFrame:
-    o = table(spark, sf_dir, "orders").select("o_orderdate")
-    g = o.groupBy(F.year("o_orderdate").alias("season"), F.month("o_orderdate").alias("rnd")).agg(
-        F.min("o_orderdate").cast("date").alias("date"))
-    return g.select(
+    races = _entry_groups(spark, sf_dir).groupBy("season", "round").agg(F.min("first_date").alias("date"))
+    return races.select(
         F.col("season").cast("int").alias("season"),
-        F.col("rnd").cast("string").alias("round"),
-        F.concat_ws("/", F.lit("races"), F.col("season"), F.col("rnd")).alias("url"),
-        F.concat(F.lit("grand prix "), F.col("rnd").cast("string")).alias("raceName"),
+        F.col("round").cast("string").alias("round"),
+        F.concat_ws("/", F.lit("races"), F.col("season"), F.col("round")).alias("url"),
+        F.concat(F.lit("grand prix "), F.col("round").cast("string")).alias("raceName"),
         F.col("date"),
-        ((F.col("season") + F.col("rnd")) % 5).cast("string").alias("circuitId"),
+        ((F.col("season") + F.col("round")) % 6).cast("string").alias("circuitId"),
     )
 
 
 def bronze_circuits(spark: SparkSession, sf_dir: str) -> DataFrame:
-    r = table(spark, sf_dir, "region").filter(F.col("r_regionkey") != 4)
+    r = table(spark, sf_dir, "region")
     return r.select(
         F.col("r_regionkey").cast("string").alias("circuitId"),
         F.concat(F.lit("circuits/"), F.col("r_regionkey").cast("string")).alias("url"),

@@ -27,11 +27,16 @@ FORMATS = {
 
 
 def _json_arrays(batches):
-    """mapInPandas body: all records of one partition -> one JSON array document."""
-    parts = [b["j"] for b in batches if len(b)]
-    if parts:
-        records = pd.concat(parts, ignore_index=True)
-        yield pd.DataFrame({"value": ["[\n  " + ",\n  ".join(records.tolist()) + "\n]\n"]})
+    """mapInPandas body: the records of one partition as the lines of one JSON array,
+    a batch at a time."""
+    opened = False
+    for b in batches:
+        if len(b):
+            first, rest = b["j"].iloc[0], b["j"].iloc[1:]
+            yield pd.DataFrame({"value": [f"  ,{first}" if opened else f"[ {first}", *("  ," + rest)]})
+            opened = True
+    if opened:
+        yield pd.DataFrame({"value": ["]"]})
 
 
 def _spread(df: DataFrame, files: int | None) -> DataFrame:

@@ -15,35 +15,38 @@ def initcap_sql(x: str) -> str:
 
 
 def avg_2dp_sql(x: str) -> str:
-    """Half-up mean to DECIMAL(5,2), exact in integers; NULL if out of range."""
+    """Half-up mean to DECIMAL(5,2), exact in integers."""
     n = (f"(sign(sum({x})) * ((200 * abs(sum({x})) + count({x})) // (2 * count({x}))))")
-    return (f"CASE WHEN count({x}) = 0 OR abs({n}) > 99999 THEN NULL "
-            f"ELSE CAST(CAST({n} AS DECIMAL(18,0)) / 100 AS DECIMAL(5,2)) END")
+    return (f"CASE WHEN count({x}) > 0 "
+            f"THEN CAST(CAST({n} AS DECIMAL(18,0)) / 100 AS DECIMAL(5,2)) END")
 
 
 # --- bronze (landing-shaped) fixture -------------------------------------------
 ENTRY_CTES = """
 entry_groups AS (
   SELECT CAST(year(o.o_orderdate) AS INTEGER) AS season,
-         CAST(month(o.o_orderdate) AS INTEGER) AS round,
+         CAST(month(o.o_orderdate) AS INTEGER) AS month,
          l.l_suppkey AS driver_key,
+         CAST(month(o.o_orderdate) + 12 * (l.l_suppkey // 20) AS INTEGER) AS round,
          CAST(count(*) AS INTEGER) AS laps,
          sum(l.l_quantity) AS qty,
-         min(l.l_extendedprice) AS min_price
+         min(l.l_extendedprice) AS min_price,
+         CAST(min(o.o_orderdate) AS DATE) AS first_date
   FROM lineitem l JOIN orders o ON l.l_orderkey = o.o_orderkey
-  GROUP BY 1, 2, 3
+  GROUP BY 1, 2, 3, 4
 ),
 ranked_entries AS (
-  SELECT e.season, e.round, e.driver_key, e.laps, e.qty,
-         CAST(row_number() OVER (PARTITION BY e.season, e.round ORDER BY e.min_price, e.driver_key) AS INTEGER) AS grid,
-         CAST(row_number() OVER (PARTITION BY e.season, e.round ORDER BY e.qty DESC, e.driver_key) AS INTEGER) AS finish,
-         (s.s_nationkey + CASE WHEN e.round > 6 AND e.driver_key % 10 = 0 THEN 1 ELSE 0 END) % 25 AS team_key
-  FROM entry_groups e LEFT JOIN supplier s ON e.driver_key = s.s_suppkey
+  SELECT *,
+         CAST(row_number() OVER (PARTITION BY season, round ORDER BY min_price, driver_key) AS INTEGER) AS grid,
+         CAST(row_number() OVER (PARTITION BY season, round ORDER BY qty DESC, driver_key) AS INTEGER) AS finish,
+         CASE WHEN month = 3 AND driver_key % 13 = 5 THEN NULL
+              ELSE driver_key // 2 + CASE WHEN month > 6 AND driver_key % 10 = 0 THEN 1 ELSE 0 END END AS team_key
+  FROM entry_groups
 )"""
 
 
 def _result_select(date_as_text: bool, points: str) -> str:
-    date = "make_date(season, round, 1)"
+    date = "make_date(season, month, 1)"
     if date_as_text:
         date = f"strftime({date}, '%Y-%m-%d')"
     pos = "CASE WHEN laps % 5 = 0 THEN NULL ELSE finish END"
@@ -56,12 +59,13 @@ def _result_select(date_as_text: bool, points: str) -> str:
          CAST(team_key AS VARCHAR) AS constructorId,
          CAST(driver_key AS VARCHAR) AS driverId,
          grid, laps,
-         CAST(driver_key % 100 AS INTEGER) AS number,
+         CAST(driver_key % 100 + 100 * copy AS INTEGER) AS number,
          CAST({points} AS FLOAT) AS points,
          CAST({pos} AS INTEGER) AS position,
          coalesce(CAST({pos} AS VARCHAR), 'R') AS positionText,
-         CASE WHEN laps % 5 = 0 THEN 'retired' WHEN laps % 5 = 1 THEN '+1 LAP' ELSE 'finished' END AS status
-  FROM ranked_entries"""
+         CASE WHEN copy = 1 THEN 'disqualified' WHEN laps % 9 = 4 THEN NULL WHEN laps % 5 = 0 THEN 'retired'
+              WHEN laps % 5 = 1 THEN '+1 LAP' ELSE 'finished' END AS status
+  FROM ranked_entries, (VALUES (0), (1)) AS copies(copy) WHERE copy = 0 OR laps % 4 = 3"""
 
 
 BRONZE_CTES = {
@@ -69,26 +73,26 @@ BRONZE_CTES = {
     "sprints": f"bronze_sprints AS ({_result_select(True, 'qty / 2')}\n)",
     "drivers": """bronze_drivers AS (
   SELECT CAST(s.s_suppkey AS VARCHAR) AS driverId,
-         {'givenName': substring(s.s_name, 1, 8), 'familyName': substring(s.s_name, 10)} AS name,
+         {'givenName': CASE WHEN s.s_suppkey % 27 <> 4 THEN substring(s.s_name, 1, 8) END,
+          'familyName': CASE WHEN s.s_suppkey % 9 <> 4 THEN substring(s.s_name, 10) END} AS name,
          CAST(DATE '1960-01-01' + CAST(s.s_suppkey % 7300 AS INTEGER) AS DATE) AS dateOfBirth,
          lower(n.n_name) AS nationality,
          'drivers/' || CAST(s.s_suppkey AS VARCHAR) AS url
   FROM supplier s LEFT JOIN nation n ON s.s_nationkey = n.n_nationkey
 )""",
     "constructors": """bronze_constructors AS (
-  SELECT CAST(n.n_nationkey AS VARCHAR) AS constructorId, n.n_name AS name,
-         r.r_name AS nationality, 'constructors/' || CAST(n.n_nationkey AS VARCHAR) AS url
-  FROM nation n LEFT JOIN region r ON n.n_regionkey = r.r_regionkey
+  SELECT CAST(t.team AS VARCHAR) AS constructorId, concat_ws(' ', n.n_name, 'team', t.team) AS name,
+         r.r_name AS nationality, 'constructors/' || CAST(t.team AS VARCHAR) AS url
+  FROM (SELECT s_suppkey // 2 AS team, min(s_nationkey) AS nation FROM supplier GROUP BY 1) t
+  LEFT JOIN nation n ON t.nation = n.n_nationkey LEFT JOIN region r ON n.n_regionkey = r.r_regionkey
 )""",
     "races": """bronze_races AS (
-  SELECT CAST(season AS INTEGER) AS season, CAST(rnd AS VARCHAR) AS round,
-         concat_ws('/', 'races', season, rnd) AS url,
-         'grand prix ' || CAST(rnd AS VARCHAR) AS raceName,
-         date,
-         CAST((season + rnd) % 5 AS VARCHAR) AS circuitId
-  FROM (SELECT year(o_orderdate) AS season, month(o_orderdate) AS rnd,
-               CAST(min(o_orderdate) AS DATE) AS date
-        FROM orders GROUP BY 1, 2)
+  SELECT season, CAST(round AS VARCHAR) AS round,
+         concat_ws('/', 'races', season, round) AS url,
+         'grand prix ' || CAST(round AS VARCHAR) AS raceName,
+         min(first_date) AS date,
+         CAST((season + round) % 6 AS VARCHAR) AS circuitId
+  FROM entry_groups GROUP BY season, round
 )""",
     "circuits": """bronze_circuits AS (
   SELECT CAST(r_regionkey AS VARCHAR) AS circuitId,
@@ -98,7 +102,7 @@ BRONZE_CTES = {
          CAST(r_regionkey * -3.25e0 AS DOUBLE) AS long,
          lower(r_name) || ' city' AS locality,
          r_name AS country
-  FROM region WHERE r_regionkey <> 4
+  FROM region
 )""",
 }
 
@@ -200,7 +204,7 @@ def with_ctes(*parts: str) -> str:
 
 def bronze_prefix(*names: str) -> list[str]:
     parts = []
-    if any(n in ("results", "sprints") for n in names):
+    if any(n in ("results", "sprints", "races") for n in names):
         parts.append(ENTRY_CTES)
     parts += [BRONZE_CTES[n] for n in names]
     return parts
@@ -260,8 +264,8 @@ def model_prefix() -> list[str]:
 
 # --- deterministic score fixture and evaluation -----------------------------------
 SCORED_CTE = """scored AS (
-  SELECT *, CAST(is_podium AS INTEGER) AS y, 1.0e0 - grid / 128.0e0 AS p,
-         CAST((1.0e0 - grid / 128.0e0) > 0.5e0 AS INTEGER) AS yhat
+  SELECT *, CAST(is_podium AS INTEGER) AS y, 1.0e0 - grid / 32.0e0 AS p,
+         CAST((1.0e0 - grid / 32.0e0) > 0.85e0 AS INTEGER) AS yhat
   FROM model_frame WHERE season >= 2000
 )"""
 
@@ -276,7 +280,8 @@ sweep_counts AS (
 ),
 sweep_rates AS (
   SELECT threshold,
-         CAST(tp + (total - positives) - (pp - tp) AS DOUBLE) / CAST(total AS DOUBLE) AS accuracy,
+         CASE WHEN total > 0 THEN CAST(tp + (total - positives) - (pp - tp) AS DOUBLE) / CAST(total AS DOUBLE) END
+           AS accuracy,
          CASE WHEN positives > 0 THEN CAST(tp AS DOUBLE) / CAST(positives AS DOUBLE) END AS recall,
          CASE WHEN pp > 0 THEN CAST(tp AS DOUBLE) / CAST(pp AS DOUBLE) ELSE 0.0e0 END AS precision
   FROM sweep_counts

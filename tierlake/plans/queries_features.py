@@ -8,6 +8,9 @@ from tierlake.operators import features as ft
 from tierlake.plans import fixtures as fx
 from tierlake.plans import oracle_sql as osql
 from tierlake.plans.catalog import register
+from tierlake.session import scratch_schema
+from tierlake.sinks.tables import write_keyed_table
+from tierlake.sources.tables import read_table
 
 GOLD = osql.with_ctes(*osql.gold_prefix())
 FEAT = osql.with_ctes(*osql.features_prefix())
@@ -107,7 +110,10 @@ SELECT concat_ws('_', driver_id, CAST(season AS VARCHAR), CAST(round AS VARCHAR)
        driver_circuit_avg_position, driver_circuit_races
 FROM features WHERE driver_avg_position_last5 IS NOT NULL""")
 def q_feature_table(spark, sf_dir):
-    return ft.feature_table(features(spark, sf_dir))
+    # Through the keyed sink: staged, its key validated, then published.
+    name = f"{scratch_schema(spark, 'features')}.driver_race_features"
+    write_keyed_table(ft.feature_table(features(spark, sf_dir)), name, ["feature_key"])
+    return read_table(spark, name)
 
 
 @register("profile", GOLD + """

@@ -4,8 +4,6 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from tierlake.config import RECENT_SEASON
-from tierlake.functions.exprs import count_if
 from tierlake.operators import marts
 from tierlake.operators.conform import require_not_null
 from tierlake.plans import fixtures as fx
@@ -15,6 +13,7 @@ from tierlake.sinks.tables import preview
 
 GOLD = osql.with_ctes(*osql.gold_prefix())
 A2 = osql.avg_2dp_sql
+RECENT_SEASON = fx.CUT_SEASON
 
 
 def rr(spark, sf_dir):
@@ -91,13 +90,13 @@ _BY_DRIVER = "GROUP BY season, driver_id"
 @register("agg_sum", GOLD + f"""
 SELECT season, driver_id, CAST(sum(points) AS DOUBLE) AS total_points FROM race_results {_BY_DRIVER}""")
 def q_agg_sum(spark, sf_dir):
-    return rr(spark, sf_dir).groupBy("season", "driver_id").agg(F.sum("points").alias("total_points"))
+    return marts.season_stats(rr(spark, sf_dir), ["driver_id"], ["total_points"])
 
 
 @register("agg_count", GOLD + f"""
 SELECT season, driver_id, count(*) AS races_entered FROM race_results {_BY_DRIVER}""")
 def q_agg_count(spark, sf_dir):
-    return rr(spark, sf_dir).groupBy("season", "driver_id").agg(F.count("*").alias("races_entered"))
+    return marts.season_stats(rr(spark, sf_dir), ["driver_id"], ["races_entered"])
 
 
 @register("agg_count_distinct", GOLD + """
@@ -105,8 +104,8 @@ SELECT season, constructor_id, count(DISTINCT round) AS races_entered,
        count(DISTINCT driver_id) AS num_drivers
 FROM race_results GROUP BY season, constructor_id""")
 def q_agg_count_distinct(spark, sf_dir):
-    return rr(spark, sf_dir).groupBy("season", "constructor_id").agg(
-        F.countDistinct("round").alias("races_entered"), F.countDistinct("driver_id").alias("num_drivers"))
+    return marts.season_stats(rr(spark, sf_dir), ["constructor_id"], ["races_entered", "num_drivers"],
+                              races_entered="rounds_entered")
 
 
 _COND_SQL = """CAST(sum(CASE WHEN is_winner THEN 1 ELSE 0 END) AS BIGINT) AS wins,
@@ -116,14 +115,12 @@ _COND_SQL = """CAST(sum(CASE WHEN is_winner THEN 1 ELSE 0 END) AS BIGINT) AS win
 
 @register("agg_conditional", GOLD + f"SELECT season, driver_id, {_COND_SQL} FROM race_results {_BY_DRIVER}")
 def q_agg_conditional(spark, sf_dir):
-    return rr(spark, sf_dir).groupBy("season", "driver_id").agg(
-        count_if(F.col("is_winner")).alias("wins"), count_if(F.col("is_podium")).alias("podiums"),
-        count_if(F.col("is_dnf")).alias("dnfs"))
+    return marts.season_stats(rr(spark, sf_dir), ["driver_id"], ["wins", "podiums", "dnfs"])
 
 
 @register("agg_min", GOLD + f"SELECT season, driver_id, min(position) AS best_finish FROM race_results {_BY_DRIVER}")
 def q_agg_min(spark, sf_dir):
-    return rr(spark, sf_dir).groupBy("season", "driver_id").agg(F.min("position").alias("best_finish"))
+    return marts.season_stats(rr(spark, sf_dir), ["driver_id"], ["best_finish"])
 
 
 @register("agg_avg_decimal", GOLD + f"""
@@ -131,9 +128,7 @@ SELECT season, driver_id, {A2('position')} AS avg_finish_position,
        {A2('positions_gained')} AS avg_positions_gained
 FROM race_results {_BY_DRIVER}""")
 def q_agg_avg_decimal(spark, sf_dir):
-    return rr(spark, sf_dir).groupBy("season", "driver_id").agg(
-        F.avg("position").try_cast("decimal(5,2)").alias("avg_finish_position"),
-        F.avg("positions_gained").try_cast("decimal(5,2)").alias("avg_positions_gained"))
+    return marts.season_stats(rr(spark, sf_dir), ["driver_id"], ["avg_finish_position", "avg_positions_gained"])
 
 
 # --- standings and ranks ----------------------------------------------------------------
@@ -195,7 +190,8 @@ def q_rank_constructors(spark, sf_dir):
 
 @register("recent_standings", f"SELECT * FROM ({DRIVER_STANDINGS_SQL}) WHERE season >= {RECENT_SEASON}")
 def q_recent_standings(spark, sf_dir):
-    return marts.driver_standings(rr(spark, sf_dir)).filter(F.col("season") >= RECENT_SEASON)
+    # A season is ranked by itself, so the filter goes below the rank and the joins.
+    return marts.driver_standings(rr(spark, sf_dir).filter(F.col("season") >= RECENT_SEASON))
 
 
 PREVIEW_ORDER = ["season", "season_rank", "driver_id", "constructor_name"]
@@ -204,5 +200,5 @@ PREVIEW_ORDER = ["season", "season_rank", "driver_id", "constructor_name"]
 @register("preview_sorted", f"""SELECT * FROM ({DRIVER_STANDINGS_SQL}) WHERE season >= {RECENT_SEASON}
 ORDER BY season, season_rank, driver_id, constructor_name LIMIT 20""")
 def q_preview_sorted(spark, sf_dir):
-    standings = marts.driver_standings(rr(spark, sf_dir), sort=False)
-    return preview(standings.filter(F.col("season") >= RECENT_SEASON), 20, PREVIEW_ORDER)
+    recent = rr(spark, sf_dir).filter(F.col("season") >= RECENT_SEASON)
+    return preview(marts.driver_standings(recent, sort=False), 20, PREVIEW_ORDER)

@@ -6,8 +6,6 @@ the shared scratch root (``spark.checkpoint.dir``), then returns the lazy read.
 
 from __future__ import annotations
 
-import uuid
-
 from pyspark.sql import functions as F
 
 from tierlake.operators import marts
@@ -15,8 +13,8 @@ from tierlake.plans import fixtures as fx
 from tierlake.plans import landing
 from tierlake.plans import oracle_sql as osql
 from tierlake.plans.catalog import register
-from tierlake.session import scratch_path
-from tierlake.sinks.tables import ensure_schema, overwrite_table, preview, write_snapshot
+from tierlake.session import scratch_path, scratch_schema
+from tierlake.sinks.tables import overwrite_table, preview, write_snapshot
 from tierlake.sources.files import read_csv_strict, read_json_strict
 from tierlake.sources.lineage import add_ingestion_meta
 from tierlake.sources.schemas import DRIVERS_SCHEMA, RESULTS_SCHEMA, SPRINTS_SCHEMA
@@ -35,13 +33,6 @@ def _bronze_sql(name: str, select: str | None = None) -> str:
     return osql.with_ctes(*osql.bronze_prefix(name)) + (select or f"SELECT * FROM bronze_{name}")
 
 
-def scratch_schema(spark, tag: str) -> str:
-    """A fresh catalog schema whose location is in the shared scratch root."""
-    name = f"tierlake_{tag}_{uuid.uuid4().hex[:10]}"
-    ensure_schema(spark, name, scratch_path(spark, name))
-    return name
-
-
 @register("scan_csv", _bronze_sql("results"))
 def q_scan_csv(spark, sf_dir):
     path = landing.write_landing(fx.bronze(spark, sf_dir, "results"), scratch_path(spark, "results-csv"), "csv")

@@ -46,16 +46,41 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
         return current
     configured = sc.getConf().get("spark.checkpoint.dir", None)
     if not configured:
-        # Unset (local tests): a private directory is acceptable here only.
+        if not sc.master.startswith("local") or sc.master.startswith("local-cluster"):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
+        # Local mode only: driver and executors are one process.
         configured = tempfile.mkdtemp(prefix="tierlake-ckpt-")
     sc.setCheckpointDir(configured)
     return sc.getCheckpointDir() or configured
 
 
+# What this process has created, by application: released together.
+_RUN = f"run-{uuid.uuid4().hex[:12]}"
+_SCHEMAS: dict[str, list[str]] = {}
+
+
 def scratch_path(spark: SparkSession, name: str) -> str:
-    """A fresh, never-reused path under the shared checkpoint root."""
+    """A fresh, never-reused path in this run's folder under the shared checkpoint root."""
     root = ensure_checkpoint_dir(spark)
-    return os.path.join(root, "tierlake-scratch", f"{name}-{uuid.uuid4().hex[:12]}")
+    return os.path.join(root, "tierlake-scratch", _RUN, f"{name}-{uuid.uuid4().hex[:12]}")
+
+
+def scratch_schema(spark: SparkSession, tag: str) -> str:
+    """A fresh catalog schema located in this run's scratch folder."""
+    name = f"tierlake_{tag}_{uuid.uuid4().hex[:10]}"
+    spark.sql(f"CREATE SCHEMA IF NOT EXISTS {name} LOCATION '{scratch_path(spark, name)}'")
+    _SCHEMAS.setdefault(spark.sparkContext.applicationId, []).append(name)
+    return name
+
+
+def release_scratch(spark: SparkSession) -> None:
+    """Drop the schemas and delete the files that this run created; frames that still
+    read them become invalid."""
+    for name in _SCHEMAS.pop(spark.sparkContext.applicationId, []):
+        spark.sql(f"DROP SCHEMA IF EXISTS {name} CASCADE")
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(
+        os.path.join(ensure_checkpoint_dir(spark), "tierlake-scratch", _RUN))
+    path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
 
 
 def materialize(df, name: str = "stage"):
@@ -70,14 +95,3 @@ def materialize(df, name: str = "stage"):
     path = scratch_path(spark, name)
     df.write.mode("overwrite").parquet(path)
     return spark.read.parquet(path)
-
-
-def materialize_counted(df, name: str = "stage"):
-    """``materialize`` that also returns the row count, observed during the write
-    (no extra job)."""
-    from pyspark.sql import Observation
-    from pyspark.sql import functions as F
-
-    obs = Observation(f"rows-{name}")
-    out = materialize(df.observe(obs, F.count(F.lit(1)).alias("rows")), name)
-    return out, int(obs.get["rows"])

@@ -1,6 +1,7 @@
 """Sinks: catalog tables, keyed writes, snapshots and previews."""
 
 from tierlake.sinks.tables import (
+    append_table,
     check_keys,
     ensure_schema,
     overwrite_table,
@@ -9,4 +10,4 @@ from tierlake.sinks.tables import (
     write_snapshot,
 )
 
-__all__ = ["check_keys", "ensure_schema", "overwrite_table", "preview", "write_keyed_table", "write_snapshot"]
+__all__ = ["append_table", "check_keys", "ensure_schema", "overwrite_table", "preview", "write_keyed_table", "write_snapshot"]

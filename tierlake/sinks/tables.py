@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tierlake.sources.tables import VERSION_COL, snapshot_versions
+from tierlake.sources.tables import version_numbers, version_path
 
 
 def ensure_schema(spark: SparkSession, name: str, location: str | None = None) -> None:
@@ -41,32 +41,43 @@ def check_keys(df: DataFrame, keys: list[str]) -> dict:
     return {"rows": row["rows"], "distinct_keys": row["distinct_keys"], "null_keys": row["null_keys"] or 0}
 
 
-def write_keyed_table(df: DataFrame, name: str, keys: list[str]) -> dict:
-    """Overwrite ``name`` and verify ``keys`` is a primary key (unique, non-NULL).
+def append_table(df: DataFrame, name: str, fmt: str = "parquet") -> None:
+    """Append to a catalog table, creating it on first use."""
+    df.write.format(fmt).mode("append").saveAsTable(name)
 
-    The check reads the key columns back from the written table, so the input
-    plan runs once.  A violation drops the table and raises.
+
+def write_keyed_table(df: DataFrame, name: str, keys: list[str], strict_schema: bool = True) -> dict:
+    """Replace ``name`` by ``df`` if ``keys`` is a primary key (unique, non-NULL).
+
+    The load goes to a staging table first and its key columns are checked
+    there, so the input plan runs once and a bad load raises while the last good
+    table stays as it was.
     """
     spark = df.sparkSession
-    overwrite_table(df, name, strict_schema=False)
-    stats = check_keys(spark.table(name), keys)
-    # count(DISTINCT a, b) skips rows with any NULL part, so add them back in.
-    if stats["null_keys"] or stats["distinct_keys"] != stats["rows"]:
-        spark.sql(f"DROP TABLE IF EXISTS {name}")
-        raise ValueError(f"{keys} is not a primary key of {name}: {stats}")
+    staging = f"{name}__staging"
+    spark.sql(f"DROP TABLE IF EXISTS {staging}")
+    overwrite_table(df, staging)
+    try:
+        stats = check_keys(spark.table(staging), keys)
+        # count(DISTINCT a, b) skips rows with any NULL part.
+        if stats["null_keys"] or stats["distinct_keys"] != stats["rows"]:
+            raise ValueError(f"{keys} is not a primary key of {name}: {stats}")
+        overwrite_table(spark.table(staging), name, strict_schema)
+    finally:
+        spark.sql(f"DROP TABLE IF EXISTS {staging}")
     return stats
 
 
 def write_snapshot(df: DataFrame, path: str) -> int:
     """Append ``df`` as the next version of a snapshot table; returns its number.
 
-    Each load is one ``_version=n`` partition directory.  Not transactional:
-    one writer per path at a time.
+    Each load is one ``_version=n`` directory that counts once its own ``_SUCCESS``
+    marker is there; the number of a load that died is not used again, and an
+    empty load is a version like any other.  One writer per path at a time.
     """
-    versions = snapshot_versions(df.sparkSession, path)
-    version = versions[-1] + 1 if versions else 0
-    (df.withColumn(VERSION_COL, F.lit(version)).write.mode("append")
-       .partitionBy(VERSION_COL).parquet(path))
+    used = version_numbers(df.sparkSession, path)
+    version = used[-1] + 1 if used else 0
+    df.write.parquet(version_path(path, version))
     return version
 
 
