@@ -42,6 +42,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
+from tierlake.llm.common import map_batches
+
 END = 0x1000            # added to a symbol's code point when it ends a word
 NEVER = 1 << 60
 GROUP_BYTES = 2_000_000
@@ -269,10 +271,9 @@ def _with_column(schema: T.StructType, name: str, kind: T.DataType) -> T.StructT
     return T.StructType([f for f in schema.fields if f.name != name] + [T.StructField(name, kind)])
 
 
-def _append(batch: pa.RecordBatch, name: str, values: pa.Array) -> pa.RecordBatch:
-    kept = [i for i, n in enumerate(batch.schema.names) if n != name]
+def _append(batch: pa.RecordBatch, kept: list[int], values: pa.Array) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([*[batch.column(i) for i in kept], values],
-                                      [*[batch.schema.names[i] for i in kept], name])
+                                      [f"c{k}" for k in range(len(kept) + 1)])
 
 
 def _raw(texts: pa.Array) -> list[bytes | None]:
@@ -283,30 +284,32 @@ def _raw(texts: pa.Array) -> list[bytes | None]:
 def encode_documents(docs: DataFrame, path: str, text: str = "text", out: str = "token_ids") -> DataFrame:
     """Add ``out`` (array<int>): the ids of the whole text."""
     schema = _with_column(docs.schema, out, T.ArrayType(T.IntegerType(), False))
+    at, kept = docs.columns.index(text), [k for k, c in enumerate(docs.columns) if c != out]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         enc = encoder(path)
         for b in batches:
-            packed = enc.encode_batch(_raw(b.column(b.schema.get_field_index(text))))
+            packed = enc.encode_batch(_raw(b.column(at)))
             ends = np.cumsum([0, *[len(p) // 4 for p in packed]], dtype="int32")
             ids = np.frombuffer(b"".join(packed), "<i4")
-            yield _append(b, out, pa.ListArray.from_arrays(pa.array(ends), pa.array(ids, pa.int32())))
+            yield _append(b, kept, pa.ListArray.from_arrays(pa.array(ends), pa.array(ids, pa.int32())))
 
-    return docs.mapInArrow(run, schema)
+    return map_batches(docs, run, schema)
 
 
 def decode_documents(docs: DataFrame, path: str, ids: str = "token_ids", out: str = "decoded_text") -> DataFrame:
     """Add ``out`` (string): the decoded text of an id array (NULL array: empty)."""
     schema = _with_column(docs.schema, out, T.StringType())
+    at, kept = docs.columns.index(ids), [k for k, c in enumerate(docs.columns) if c != out]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         enc = encoder(path)
         for b in batches:
-            lists = b.column(b.schema.get_field_index(ids))
+            lists = b.column(at)
             texts = [enc.decode(np.asarray(x.values, "<u4").tobytes() if x.is_valid else b"").decode() for x in lists]
-            yield _append(b, out, pa.array(texts, pa.string()))
+            yield _append(b, kept, pa.array(texts, pa.string()))
 
-    return docs.mapInArrow(run, schema)
+    return map_batches(docs, run, schema)
 
 
 ROUND_TRIP_SCHEMA = "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string"

@@ -29,3 +29,8 @@ def words(text: Column) -> Column:
     """Array of the words of ``text``: one literal split, no regular expression."""
     flat = F.translate(text, ASCII_SPACES, " " * len(ASCII_SPACES))
     return F.array_remove(F.split(flat, " "), "")
+
+
+def map_batches(df: DataFrame, run, schema) -> DataFrame:
+    """``mapInArrow`` over all columns by position: column names need not be plain."""
+    return df.toDF(*[f"c{k}" for k in range(len(df.columns))]).mapInArrow(run, schema)

@@ -34,6 +34,8 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tierlake.llm.common import map_batches
+
 HASH_BITS = 16
 N_HASHED = 1 << HASH_BITS
 N_SHARES = 4
@@ -199,16 +201,17 @@ def score_documents(docs: DataFrame, model: OrdinalModel, min_tail: float = MIN_
 
 def select_documents(docs: DataFrame, model: OrdinalModel, min_tail: float = MIN_TAIL, min_grade: int = 1) -> DataFrame:
     """The rows of ``docs`` that are kept, unchanged."""
+    at = docs.columns.index("text")
     shared = docs.sparkSession.sparkContext.broadcast(Scorer(model))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         scorer = shared.value
         for b in batches:
-            texts = b.column(b.schema.get_field_index("text")).cast(pa.binary())
+            texts = b.column(at).cast(pa.binary())
             tails = scorer.model.tails(scorer.scores([t.as_py() or b"" for t in texts]))
             yield b.filter(pa.array(tails[:, min_grade - 1] >= min_tail))
 
-    return docs.mapInArrow(run, docs.schema)
+    return map_batches(docs, run, docs.schema)
 
 
 def label_grade() -> Column:

@@ -208,7 +208,7 @@ def rewrite_affected(assigned: DataFrame, plan: Plan, path: str) -> DataFrame:
     out = spark.read.schema(schema).parquet(path)
     untouched = sorted(set(range(len(plan.flow[0]) if plan.flow else 0)) - set(plan.affected))
     if untouched:
-        out = out.unionByName(with_slots(assigned.filter(F.col("shard").isin(untouched))).select(*out.columns))
+        out = out.unionByName(with_slots(assigned.filter(F.col("shard").isin(untouched))))
     return out
 
 

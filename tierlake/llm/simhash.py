@@ -46,6 +46,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tierlake.llm.common import map_batches
 from tierlake.llm.components import stars
 from tierlake.session import materialize
 
@@ -79,14 +80,15 @@ def fingerprint(raw: bytes, shingle_words: int = SHINGLE_WORDS) -> int:
 def with_fingerprint(docs: DataFrame, out: str = "__fp", shingle_words: int = SHINGLE_WORDS) -> DataFrame:
     """Add the fingerprint of ``text`` as a signed long."""
     schema = T.StructType([*docs.schema.fields, T.StructField(out, T.LongType())])
+    at = docs.columns.index("text")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            texts = b.column(b.schema.get_field_index("text")).cast(pa.binary())
+            texts = b.column(at).cast(pa.binary())
             fps = np.fromiter((fingerprint(t.as_py() or b"", shingle_words) for t in texts), "u8", b.num_rows)
-            yield pa.RecordBatch.from_arrays([*b.columns, pa.array(fps.view("i8"))], [*b.schema.names, out])
+            yield pa.RecordBatch.from_arrays([*b.columns, pa.array(fps.view("i8"))], [*b.schema.names, "fp"])
 
-    return docs.mapInArrow(run, schema)
+    return map_batches(docs, run, schema)
 
 
 # --- statistics and plan ------------------------------------------------------------
