@@ -14,15 +14,17 @@ of the shared prefix are the path that stays on the stack.
 A word's final symbol carries the end-of-word mark of the vocabulary, as a
 symbol of its own, so a trie edge is one (marked) byte symbol.
 
-Texts are cut at ASCII white space into chunks; no token, no normalisation step
-and no pre-token of this family of tokenizers crosses such a boundary.  Each
-distinct chunk goes through the tokenizer file's own normaliser and
-pre-tokenizer (ASCII chunks through the same pattern in ``re``).  Chunk and word
-results are kept in per-worker caches of a fixed number of entries; a full
-cache is emptied, which costs time and never changes a result.
-
-Encoding is a map: no shuffle, memory bounded by the caches and by ``GROUP_BYTES``
-of text at a time plus the longest text.  NULL text counts as empty
+Texts of ASCII and composed Latin-1 letters without special tokens need no
+normalisation but lower case, and are cut into words by the same pattern in
+``re``.  Other texts are cut at ASCII white space into chunks - no token, no
+normalisation step and no pre-token of this family of tokenizers crosses such a
+boundary - and each distinct chunk goes through the tokenizer file's own
+normaliser and pre-tokenizer.  Results are kept in per-worker caches of two
+generations of a fixed number of entries: a full young generation becomes the
+old one, which costs time for rare words and never changes a result.
+
+Encoding is a map: no shuffle, memory bounded by the caches and by ``GROUP_CHARS``
+characters of text at a time plus the longest text.  NULL text counts as empty
 (no ids).  Repeated rows repeat their ids, an empty table gives an empty result,
 other columns are carried along untouched; an existing column of the output's
 name is replaced.
@@ -46,12 +48,16 @@ from tierlake.llm.common import map_batches
 
 END = 0x1000            # added to a symbol's code point when it ends a word
 NEVER = 1 << 60
-GROUP_BYTES = 2_000_000
+GROUP_CHARS = 2_000_000
 CACHE_ENTRIES = 500_000
 
 # --- fixed values: the pre-token pattern of the supported tokenizer files ----------
 WORD_PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
-ASCII_PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d|[a-z]+|[0-9]|[^ \t\n\r\x0b\x0ca-z0-9]+"
+# The same for lower-cased plain text: ASCII and the composed letters of Latin-1.
+PLAIN_PATTERN = r"[a-z\xdf-\xf6\xf8-\xff]+|'(?:s|t|re|ve|m|ll|d)|[0-9]|[^ \t\n\r\x0b\x0ca-z\xdf-\xf6\xf8-\xff0-9]+"
+NORMALIZER = {"type": "Sequence", "normalizers": [
+    {"type": "NFC"}, {"type": "Replace", "pattern": {"Regex": r"\s+"}, "content": " "}, {"type": "Lowercase"}]}
+PLAIN_TEXT = r"[\x00-\x7f\xc0-\xd6\xd8-\xf6\xf8-\xff]*"
 # --- end fixed values ---------------------------------------------------------------
 
 
@@ -62,6 +68,27 @@ def byte_symbols() -> dict[int, str]:
     return {b: chr(b) for b in shown} | {b: chr(256 + i) for i, b in enumerate(hidden)}
 
 
+class Cache(dict):
+    """A dictionary of at most ``2 * most`` entries: the young ones are the dictionary,
+    entries found among the old ones are young again."""
+
+    def __init__(self, most: int):
+        super().__init__()
+        self.most, self.old = most, {}
+
+    def unknown(self, keys: set) -> set:
+        """The keys in neither generation; makes room first."""
+        if len(self) > self.most:
+            self.old = dict(self)
+            self.clear()
+        missing = keys.difference(self)
+        if self.old and missing:
+            known = missing.intersection(self.old)
+            self.update((k, self.old[k]) for k in known)
+            missing -= known
+        return missing
+
+
 class TrieEncoder:
     """Encoder and decoder of one tokenizer file (a path that every worker can open)."""
 
@@ -74,8 +101,7 @@ class TrieEncoder:
         self.library = Tokenizer.from_file(path)
         self.suffix = model.get("end_of_word_suffix") or ""
         self.cache_entries = cache_entries
-        self.chunks: dict[bytes, bytes] = {}
-        self.words: dict[str, bytes] = {}
+        self.chunks, self.words = Cache(cache_entries), Cache(cache_entries)
         self.pairs: dict[int, bool] = {}
         self.steps: dict[str, tuple[str, tuple]] = {}
         self._load(model)
@@ -87,8 +113,10 @@ class TrieEncoder:
         self.packed = [i.to_bytes(4, "little") for i in range(max(texts) + 1)]
         self.special_start = os.path.commonprefix(list(self.special))
         split = [p["pattern"]["Regex"] for p in spec["pre_tokenizer"]["pretokenizers"] if p["type"] == "Split"]
-        self.ascii_re = re.compile(ASCII_PATTERN) if split == [WORD_PATTERN] else None
-        self.byte_map = {b: ord(c) for b, c in byte_symbols().items()}
+        known = split == [WORD_PATTERN] and spec["normalizer"] == NORMALIZER
+        self.plain_words = re.compile(PLAIN_PATTERN).findall if known else None
+        self.plain_text = re.compile(PLAIN_TEXT).fullmatch
+        self.symbols = byte_symbols()
 
     @staticmethod
     def _check(spec: dict) -> None:
@@ -163,8 +191,9 @@ class TrieEncoder:
         self.steps[text] = found = (s, ends)
         return found
 
-    def _encode_words(self, words: Iterable[str]) -> None:
-        """Walk the trie of the new words depth first; results go into the word cache."""
+    def _encode_words(self, words: Iterable[str]) -> dict[str, bytes]:
+        """Walk the trie of the words depth first: packed ids of each."""
+        found: dict[str, bytes] = {}
         pairs, steps, packed = self.pairs, self.steps, self.packed
         last, size, states = [0], [0], [""]     # per depth: last token, its length, automaton state
         before = ""
@@ -192,67 +221,67 @@ class TrieEncoder:
                 out.append(packed[last[d]])
                 d -= size[d]
             out.reverse()
-            self.words[w] = b"".join(out)
+            found[w] = b"".join(out)
             before = w
+        return found
+
+    def _marked(self, piece: str) -> str:
+        """A pre-token in byte symbols as the trie spells it: the last symbol marked."""
+        return piece[:-1] + chr(ord(piece[-1]) + END) if self.suffix else piece
+
+    def _spelled(self, word: str) -> str:
+        """A plain word in byte symbols, the last one marked."""
+        if not (word.isascii() and word.isprintable()):
+            word = "".join(map(self.symbols.__getitem__, word.encode()))
+        return self._marked(word)
 
-    def _pieces(self, text: str) -> list[str]:
-        """Pre-tokens of one stretch without special tokens, last symbols marked."""
-        if self.ascii_re and text.isascii():
-            found = self.ascii_re.findall(text.lower())
-            if not text.isprintable():
-                found = [p.translate(self.byte_map) for p in found]
-        else:
-            normal = self.library.normalizer.normalize_str(text) if self.library.normalizer else text
-            found = [p for p, _ in self.library.pre_tokenizer.pre_tokenize_str(normal)]
-        return [p[:-1] + chr(ord(p[-1]) + END) for p in found] if self.suffix else found
-
-    def _encode_chunks(self, chunks: Iterable[bytes]) -> None:
+    def _encode_plain(self, words: set[str]) -> None:
+        spelled = {w: self._spelled(w) for w in words}
+        found = self._encode_words(spelled.values())
+        self.words.update((w, found[x]) for w, x in spelled.items())
+
+    def _encode_chunks(self, chunks: set[bytes]) -> None:
+        """Chunks of texts that are not plain, through the library's own steps."""
         parts: dict[bytes, list] = {}
-        new: set[str] = set()
         for c in chunks:
+            out = parts[c] = []
             text = c.decode()
-            out: list = []
-            if self.special and self.special_start in text:
-                for stretch in self.special_re.split(text):
-                    if stretch in self.special:
-                        out.append(stretch)
-                    elif stretch:
-                        out += self._pieces(stretch)
-            else:
-                out = self._pieces(text)
-            parts[c] = out
-            new.update(out)
-        words = self.words
-        for name, i in self.special.items():     # a special token's string is its own word here
-            words[name] = self.packed[i]
-        self._encode_words(new.difference(words))
+            for stretch in self.special_re.split(text) if self.special and self.special_start in text else [text]:
+                if stretch in self.special:
+                    out.append(self.special[stretch])
+                elif stretch:
+                    normal = self.library.normalizer.normalize_str(stretch) if self.library.normalizer else stretch
+                    out += [self._marked(p) for p, _ in self.library.pre_tokenizer.pre_tokenize_str(normal)]
+        found = self._encode_words({p for out in parts.values() for p in out if isinstance(p, str)})
         for c, out in parts.items():
-            self.chunks[c] = words[out[0]] if len(out) == 1 else b"".join([words[p] for p in out])
+            self.chunks[c] = b"".join([found[p] if isinstance(p, str) else self.packed[p] for p in out])
 
     def encode_batch(self, texts: Iterable[str | bytes | None]) -> list[bytes]:
         """Ids of each text (UTF-8 bytes or str) as little-endian unsigned 32-bit integers."""
         out: list[bytes] = []
-        group: list[list[bytes]] = []
+        group: list[tuple[bool, list]] = []
         size = 0
 
         def flush() -> None:
             nonlocal group, size
-            if len(self.chunks) > self.cache_entries:
-                self.chunks.clear()
-            if len(self.words) > self.cache_entries:
-                self.words.clear()
-            new = set().union(*group).difference(self.chunks)
+            new = self.words.unknown(set().union(*[w for plain, w in group if plain]))
+            if new:
+                self._encode_plain(new)
+            new = self.chunks.unknown(set().union(*[w for plain, w in group if not plain]))
             if new:
                 self._encode_chunks(new)
-            known = self.chunks.__getitem__
-            out.extend([b"".join(map(known, chunks)) for chunks in group])
+            words, chunks = self.words.__getitem__, self.chunks.__getitem__
+            out.extend([b"".join(map(words if plain else chunks, w)) for plain, w in group])
             group, size = [], 0
 
         for t in texts:
-            raw = t.encode() if isinstance(t, str) else t or b""
-            group.append(raw.split())
-            size += len(raw)
-            if size >= GROUP_BYTES:
+            text = (t.decode() if isinstance(t, bytes) else t) or ""
+            if self.plain_words and self.plain_text(text) and not (self.special and self.special_start in text):
+                group.append((True, self.plain_words(text.lower())))
+            else:
+                group.append((False, text.encode().split()))
+            size += len(text)
+            if size >= GROUP_CHARS:
                 flush()
         flush()
         return out
@@ -276,11 +305,6 @@ def _append(batch: pa.RecordBatch, kept: list[int], values: pa.Array) -> pa.Reco
                                       [f"c{k}" for k in range(len(kept) + 1)])
 
 
-def _raw(texts: pa.Array) -> list[bytes | None]:
-    """The UTF-8 bytes of a string column, without decoding them first."""
-    return texts.cast(pa.binary()).to_pylist()
-
-
 def encode_documents(docs: DataFrame, path: str, text: str = "text", out: str = "token_ids") -> DataFrame:
     """Add ``out`` (array<int>): the ids of the whole text."""
     schema = _with_column(docs.schema, out, T.ArrayType(T.IntegerType(), False))
@@ -289,7 +313,7 @@ def encode_documents(docs: DataFrame, path: str, text: str = "text", out: str =
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         enc = encoder(path)
         for b in batches:
-            packed = enc.encode_batch(_raw(b.column(at)))
+            packed = enc.encode_batch(b.column(at).to_pylist())
             ends = np.cumsum([0, *[len(p) // 4 for p in packed]], dtype="int32")
             ids = np.frombuffer(b"".join(packed), "<i4")
             yield _append(b, kept, pa.ListArray.from_arrays(pa.array(ends), pa.array(ids, pa.int32())))
@@ -321,7 +345,7 @@ def round_trip(docs: DataFrame, path: str) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         enc = encoder(path)
         for b in batches:
-            packed = enc.encode_batch(_raw(b.column(1)))
+            packed = enc.encode_batch(b.column(1).to_pylist())
             yield pa.RecordBatch.from_arrays([
                 b.column(0).cast(pa.int64()),
                 pa.array([len(p) // 4 for p in packed], pa.int64()),

@@ -38,21 +38,20 @@ from tierlake.llm.bpe import encoder
 from tierlake.llm.common import text_or_empty
 from tierlake.session import scratch_path
 
-BLOCK = 2048
+BLOCK = 1024
 SEGMENT = 4_000_000
-SLOTS1, SLOTS2 = 1024, 2048
+SLOTS1, SLOTS2 = 512, 512
 CONTEXTS = 32           # 4 confidences x 4 confidences x agreement
 BUCKETS = 8             # ids below 512, then one bucket per doubling up to 65,536
 BITS = 12               # probabilities are in units of 1 / 4096
 ONE = np.uint32(1 << BITS)
 EVENT_RATE, BUCKET_RATE = 4, 5
-NEXT_CONFIDENCE = np.array([1, 1, 1, 2, 1, 2, 3, 3], "u4")   # miss with 0-3, hit with 0-3
-BUCKET_OF = np.array([0, 0, *np.repeat(np.arange(1, 8), 2 ** np.arange(1, 8))], "u4")   # by id >> 8
+FULL = (1 << BITS) - 3
+NEXT_CONFIDENCE = np.array([1, 1, 1, 2, 1, 2, 3, 3], "u4") << 16     # miss with 0-3, hit with 0-3
+LIMIT_NUMBER = np.arange(1, BUCKETS, dtype="i2")[:, None]
+BUCKET_OF = np.array([0, 0, *np.repeat(np.arange(1, 8), 2 ** np.arange(1, 8))])   # by id >> 8
 BUCKET_FIRST = np.array([0, *2 ** np.arange(9, 16)], "u4")
 BUCKET_BITS = np.array([9, *range(9, 16)], "u4")
-# What a bucket pulls each of the 7 inner limits towards: 0 up to itself, full beyond.
-BUCKET_PULL = np.where(np.arange(1, BUCKETS)[None, :] > np.arange(BUCKETS)[:, None], (1 << BITS) - BUCKETS, 0).astype("i2")
-LIMIT_STEP = np.arange(1, BUCKETS, dtype="i2")
 
 
 class Lanes:
@@ -64,65 +63,79 @@ class Lanes:
     """
 
     def __init__(self, n: int):
-        lane = np.arange(n, dtype="u4")
-        self.base1, self.base2, self.base_event = lane * np.uint32(SLOTS1), lane * np.uint32(SLOTS2), lane
-        self.n = np.uint32(n)
-        self.table1 = np.zeros(n * SLOTS1, "u4")      # predicted id << 2 | confidence
+        self.lane = np.arange(n)
+        self.n = n
+        self.base1, self.base2 = self.lane * SLOTS1, self.lane * SLOTS2
+        self.table1 = np.zeros(n * SLOTS1, "u4")      # confidence << 16 | predicted id
         self.table2 = np.zeros(n * SLOTS2, "u4")
-        full = (1 << BITS) - 3
         # limits of "order 2 is right" and "order 2 or order 1 is right", by context
-        self.limit2 = np.full(n * CONTEXTS, full // 5, "i4")
-        self.limit1 = np.full(n * CONTEXTS, 2 * full // 5, "i4")
-        self.buckets = np.tile((np.arange(1, BUCKETS) * (((1 << BITS) - BUCKETS) // BUCKETS)).astype("i2"), (n, 1))
+        self.limit2 = np.full(n * CONTEXTS, FULL // 5, "i4")
+        self.limit1 = np.full(n * CONTEXTS, 2 * FULL // 5, "i4")
+        # limits between the buckets, one row per limit; the outer rows never move
+        rows = np.arange(BUCKETS + 1) * ((int(ONE) - BUCKETS) // BUCKETS)
+        rows[-1] = int(ONE) - BUCKETS
+        self.buckets = np.repeat(rows[:, None], n, axis=1).astype("i2")
         self.last1 = np.zeros(n, "u4")
         self.last2 = np.zeros(n, "u4")
 
     def predict(self) -> None:
-        one, two = self.last1, self.last2
-        self.at1 = self.base1 + ((one * np.uint32(0x9E3779B1)) >> np.uint32(22))
-        self.at2 = self.base2 + ((one * np.uint32(0x85EBCA6B) + two * np.uint32(0xC2B2AE35)) >> np.uint32(21))
-        self.entry1, self.entry2 = self.table1.take(self.at1), self.table2.take(self.at2)
-        self.guess1, self.guess2 = self.entry1 >> np.uint32(2), self.entry2 >> np.uint32(2)
-        self.trust1, self.trust2 = self.entry1 & np.uint32(3), self.entry2 & np.uint32(3)
-        context = (self.trust2 << np.uint32(3)) | (self.trust1 << np.uint32(1)) | (self.guess1 == self.guess2)
-        self.at_event = self.base_event + context * self.n
+        one = self.last1
+        self.at1 = self.base1 + (one & np.uint32(SLOTS1 - 1))
+        self.at2 = self.base2 + ((one * np.uint32(0x85EBCA6B) + self.last2 * np.uint32(0xC2B2AE35)) & np.uint32(SLOTS2 - 1))
+        entry1, entry2 = self.table1.take(self.at1), self.table2.take(self.at2)
+        self.guess1, self.guess2 = entry1 & np.uint32(0xFFFF), entry2 & np.uint32(0xFFFF)
+        self.trust1, self.trust2 = entry1.view("u2")[1::2], entry2.view("u2")[1::2]
+        context = self.trust2 * np.uint16(8) + self.trust1 * np.uint16(2) + (self.guess1 == self.guess2)
+        self.at_event = self.lane * CONTEXTS + context
         self.raw2, self.raw1 = self.limit2.take(self.at_event), self.limit1.take(self.at_event)
-        self.upto2 = (self.raw2 + 1).astype("u4")
-        self.upto1 = (self.raw1 + 2).astype("u4")
+        self.upto2 = (self.raw2 + 1).view("u4")
+        self.upto1 = (self.raw1 + 2).view("u4")
 
     def update(self, ids: np.ndarray, hit2: np.ndarray, hit: np.ndarray) -> None:
         """``hit2``: order 2 was right; ``hit``: order 2 or order 1 was."""
         for table, at, guess, trust in ((self.table1, self.at1, self.guess1, self.trust1),
                                         (self.table2, self.at2, self.guess2, self.trust2)):
             right = guess == ids
-            keep = right | (trust > 1)
-            state = (right.astype("u4") << np.uint32(2)) | trust
-            table[at] = (np.where(keep, guess, ids) << np.uint32(2)) | NEXT_CONFIDENCE.take(state)
-        full = (1 << BITS) - 3
-        self.limit2[self.at_event] = self.raw2 + ((hit2 * np.int32(full) - self.raw2) >> EVENT_RATE)
-        self.limit1[self.at_event] = self.raw1 + ((hit * np.int32(full) - self.raw1) >> EVENT_RATE)
+            table[at] = np.where(right | (trust > 1), guess, ids) + NEXT_CONFIDENCE.take(right * np.uint16(4) + trust)
+        self.limit2[self.at_event] = self.raw2 + ((hit2 * np.int32(FULL) - self.raw2) >> EVENT_RATE)
+        self.limit1[self.at_event] = self.raw1 + ((hit * np.int32(FULL) - self.raw1) >> EVENT_RATE)
         self.last2, self.last1 = self.last1, ids
 
-    def bucket_limits(self, lanes: np.ndarray) -> np.ndarray:
-        self.rows = self.buckets.take(lanes, axis=0)
-        limits = np.empty((len(lanes), BUCKETS + 1), "u4")
-        limits[:, 0], limits[:, BUCKETS] = 0, ONE
-        limits[:, 1:BUCKETS] = self.rows + LIMIT_STEP
-        return limits
+    def bucket_limits(self, lanes: np.ndarray, bucket: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Start and end of each lane's bucket."""
+        flat, at = self.buckets.reshape(-1), bucket * self.n + lanes
+        start = flat.take(at) + bucket
+        return start.astype("u4"), (flat.take(at + self.n) + bucket + 1).astype("u4")
+
+    def find_bucket(self, lanes: np.ndarray, target: np.ndarray) -> np.ndarray:
+        wanted = np.zeros(self.n, "i2")
+        wanted[lanes] = target
+        inner = self.buckets[1:BUCKETS] + LIMIT_NUMBER
+        return np.add.reduce(wanted >= inner, axis=0, dtype="i8").take(lanes)
 
     def update_buckets(self, lanes: np.ndarray, bucket: np.ndarray) -> None:
-        self.buckets[lanes] = self.rows + ((BUCKET_PULL.take(bucket, axis=0) - self.rows) >> BUCKET_RATE)
+        """Inner limits of these lanes move towards 0 up to their bucket, to full beyond."""
+        seen = np.full(self.n, -1, "i2")
+        seen[lanes] = bucket
+        inner = self.buckets[1:BUCKETS]
+        step = ((seen < LIMIT_NUMBER) * np.int16(int(ONE) - BUCKETS) - inner) >> BUCKET_RATE
+        inner += step * (seen >= 0)
 
 
 class Writer:
-    """Range encoder of n lanes; words are finished when carries are resolved."""
+    """Range encoder of n lanes.
+
+    Words are noted in the order of the steps with their lanes and sorted by lane at
+    the end; a carry adds one to the lane's word before, wherever that lies.
+    """
 
-    def __init__(self, n: int, steps: int):
+    def __init__(self, n: int):
         self.low = np.zeros(n, "u4")
         self.range = np.full(n, 0xFFFFFFFF, "u4")
-        self.width = 3 * steps + 4
-        self.words = np.zeros(n * self.width, "u4")
-        self.at = np.arange(n) * self.width          # next word of each lane
+        self.used = np.zeros(n, "i8")
+        self.lanes: list[np.ndarray] = []
+        self.words: list[np.ndarray] = []
+        self.carries: list[tuple[np.ndarray, np.ndarray]] = []
 
     def code(self, lanes: np.ndarray | None, start: np.ndarray, end: np.ndarray, bits) -> None:
         """Narrow to [start, end) of 2^bits; ``lanes`` None: all of them."""
@@ -130,15 +143,16 @@ class Writer:
         unit = unit >> bits
         moved = low + unit * start
         width = unit * (end - start)
-        carry = np.flatnonzero(moved < low)
-        if carry.size:
-            self.words[self.at[carry if lanes is None else lanes[carry]] - 1] += 1
+        if (moved < low).any():
+            carry = np.flatnonzero(moved < low)
+            at = carry if lanes is None else lanes[carry]
+            self.carries.append((at, self.used[at] - 1))
         small = np.flatnonzero(width < 65536)
         if small.size:
             at, top = small if lanes is None else lanes[small], moved[small]
-            place = self.at[at]
-            self.words[place] = top >> np.uint32(16)
-            self.at[at] = place + 1
+            self.lanes.append(at)
+            self.words.append(top >> np.uint32(16))
+            self.used[at] += 1
             moved[small] = top << np.uint32(16)
             width[small] = width[small] << np.uint32(16)
         if lanes is None:
@@ -148,15 +162,20 @@ class Writer:
 
     def finish(self) -> tuple[np.ndarray, np.ndarray]:
         """(words per lane, all words lane by lane)."""
+        every = np.arange(len(self.low))
         for part in (self.low >> np.uint32(16), self.low & np.uint32(0xFFFF)):
-            self.words[self.at] = part
-            self.at += 1
-        while (over := np.flatnonzero(self.words > 0xFFFF)).size:
-            self.words[over] &= 0xFFFF
-            self.words[over - 1] += 1
-        used = self.at - np.arange(len(self.low)) * self.width
-        filled = np.arange(self.width) < used[:, None]
-        return used.astype("<u4"), self.words.reshape(-1, self.width)[filled].astype("<u2")
+            self.lanes.append(every)
+            self.words.append(part)
+            self.used += 1
+        lanes = np.concatenate(self.lanes)
+        words = np.concatenate(self.words)[np.argsort(lanes, kind="stable")]
+        first = np.cumsum(self.used) - self.used
+        for at, place in self.carries:
+            words[first[at] + place] += 1
+        while (over := np.flatnonzero(words > 0xFFFF)).size:
+            words[over] &= 0xFFFF
+            words[over - 1] += 1
+        return self.used.astype("<u4"), words.astype("<u2")
 
 
 class Reader:
@@ -206,7 +225,7 @@ def encode_ids(ids: np.ndarray) -> dict[str, bytes]:
     steps = min(BLOCK, len(ids))
     # The last block is padded with id 0; the reader knows the number of ids.
     grid = np.concatenate([ids, np.zeros(n * BLOCK - len(ids), "<u4")]).reshape(n, BLOCK)[:, :steps].T.copy()
-    model, out, bits = Lanes(n), Writer(n, steps), np.uint32(BITS)
+    model, out, bits = Lanes(n), Writer(n), np.uint32(BITS)
     zero = np.uint32(0)
     for now in grid:
         model.predict()
@@ -218,9 +237,7 @@ def encode_ids(ids: np.ndarray) -> dict[str, bytes]:
         if lanes.size:
             value = now.take(lanes)
             bucket = BUCKET_OF.take(value >> np.uint32(8))
-            limits = model.bucket_limits(lanes).reshape(-1)
-            at = np.arange(lanes.size) * (BUCKETS + 1) + bucket
-            out.code(lanes, limits.take(at), limits.take(at + 1), bits)
+            out.code(lanes, *model.bucket_limits(lanes, bucket), bits)
             low = value - BUCKET_FIRST.take(bucket)
             out.code(lanes, low, low + np.uint32(1), BUCKET_BITS.take(bucket))
             model.update_buckets(lanes, bucket)
@@ -250,11 +267,8 @@ def decode_ids(n_ids: int, block_words: bytes, block_crcs: bytes, words: bytes)
         now = np.where(hit2, model.guess2, model.guess1)
         lanes = np.flatnonzero(~hit)
         if lanes.size:
-            limits = model.bucket_limits(lanes)
-            bucket = (code.target(lanes, bits)[:, None] >= limits[:, 1:BUCKETS]).sum(axis=1)
-            at = np.arange(lanes.size) * (BUCKETS + 1) + bucket
-            limits = limits.reshape(-1)
-            code.advance(lanes, limits.take(at), limits.take(at + 1))
+            bucket = model.find_bucket(lanes, code.target(lanes, bits))
+            code.advance(lanes, *model.bucket_limits(lanes, bucket))
             low = code.target(lanes, BUCKET_BITS.take(bucket))
             code.advance(lanes, low, low + np.uint32(1))
             now[lanes] = low + BUCKET_FIRST.take(bucket)
@@ -295,9 +309,9 @@ def write_ids(docs: DataFrame, tokenizer: str, path: str, end_id: int = 2, segme
 
         held = 0
         for b in batches:
-            for lo in range(0, b.num_rows, 256):
-                piece = b.slice(lo, 256)
-                for d, p in zip(piece.column(0).to_pylist(), enc.encode_batch(piece.column(1).cast(pa.binary()).to_pylist())):
+            for lo in range(0, b.num_rows, 1024):
+                piece = b.slice(lo, 1024)
+                for d, p in zip(piece.column(0).to_pylist(), enc.encode_batch(piece.column(1).to_pylist())):
                     doc_ids.append(d)
                     packed.append(p + end)
                     lengths.append(len(p) // 4 + 1)
