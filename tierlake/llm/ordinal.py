@@ -68,12 +68,12 @@ def shares(raw: bytes, words: list[bytes]) -> list[float]:
     ]
 
 
-def features(raw: bytes) -> tuple[list[int], list[float], list[float]]:
+def features(raw: bytes) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Sparse hashed means (index, value) and the dense shares of a text."""
     words = raw.split()
     hashed = [k for w in words for k in word_features(w)]
     index, count = np.unique(np.array(hashed, "i8"), return_counts=True)
-    return index.tolist(), (count / max(len(words), 1)).tolist(), shares(raw, words)
+    return index.astype("<u4"), count / max(len(words), 1), np.array(shares(raw, words))
 
 
 @dataclass
@@ -89,10 +89,10 @@ class OrdinalModel:
         return 1 / (1 + np.exp(np.clip(self.thresholds[None, :] - np.asarray(score)[:, None], -500, 500)))
 
 
-def fit(rows: list[tuple[list[int], list[float], list[float], int]], grades: int,
+def fit(rows: list[tuple], grades: int,
         steps: int = STEPS, rate: float = RATE, ridge: float = RIDGE) -> OrdinalModel:
-    """Maximum likelihood by full-batch Adam; thresholds stay ordered because their
-    gaps are exponentials."""
+    """Maximum likelihood by full-batch Adam over rows (index, value, shares, grade);
+    thresholds stay ordered because their gaps are exponentials."""
     if not rows:
         return OrdinalModel(np.zeros(N_HASHED), np.zeros(N_SHARES), np.zeros(grades - 1))
     sizes = np.array([len(r[0]) for r in rows])
@@ -149,14 +149,14 @@ def train(docs: DataFrame, labels: DataFrame, grade: Column, grades: int,
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             got = [features(t.as_py() or b"") for t in b.column(2).cast(pa.binary())]
-            yield pa.RecordBatch.from_arrays([
-                b.column(0), b.column(1), pa.array([g[0] for g in got], pa.list_(pa.int32())),
-                pa.array([g[1] for g in got], pa.list_(pa.float64())),
-                pa.array([g[2] for g in got], pa.list_(pa.float64()))], ["doc_id", "grade", "i", "v", "d"])
-
-    rows = texts.mapInArrow(run, "doc_id long, grade int, i array<int>, v array<double>, d array<double>").collect()
-    rows.sort(key=lambda r: (r["doc_id"], r["grade"], r["i"], r["v"], r["d"]))
-    return fit([(r["i"], r["v"], r["d"], r["grade"]) for r in rows], grades)
+            packed = [pa.array([g[k].tobytes() for g in got], pa.binary()) for k in range(3)]
+            yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), *packed], ["doc_id", "grade", "i", "v", "d"])
+
+    # packed arrays: the driver holds 12 bytes per feature, not Python lists
+    rows = texts.mapInArrow(run, "doc_id long, grade int, i binary, v binary, d binary").collect()
+    rows.sort(key=lambda r: (r["doc_id"], r["grade"], bytes(r["i"]), bytes(r["v"]), bytes(r["d"])))
+    return fit([(np.frombuffer(r["i"], "<u4"), np.frombuffer(r["v"]), np.frombuffer(r["d"]), r["grade"]) for r in rows],
+               grades)
 
 
 class Scorer:
