@@ -77,6 +77,21 @@ def test_mixing_meets_targets_and_is_reproducible(edge_docs, small_docs):
         assert Counter(out) == Counter(again)
 
 
+def test_tiny_sources_meet_their_targets_beside_hot_ones(spark):
+    small = (3, 300, 1_500, 4_000)
+    rows = [(100 * k + i, " ".join(["w"] * 2_000), "big%02d" % k) for k in range(20) for i in range(100)]
+    rows += [(10_000 + 10 * k + i, " ".join(["w"] * (n // 3)), "tiny%d" % k) for k, n in enumerate(small) for i in range(3)]
+    rows += [(20_000, "", "none")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string")
+    taken, target = Counter(), {}
+    for r in mixing.mix(docs).collect():
+        taken[r.source] += r.taken
+        target[r.source] = r.target
+    assert all(target["tiny%d" % k] > 0 for k in range(len(small))) and target["none"] == 0
+    for s in target:
+        assert abs(taken[s] - target[s]) <= 0.5, s
+
+
 def test_sainte_lague_quotas_follow_highest_quotients(spark):
     t = spark.createDataFrame([("a", 1, 530, 530.0), ("b", 2, 310, 310.0), ("c", 3, 160, 160.0)],
                               "source string, source_no long, source_size long, target double")

@@ -99,7 +99,7 @@ def op8_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def op9_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return mixing.mix(documents(spark, sf_dir)).select("doc_id", "size", "source_size", "target", "taken")
+    return mixing.mix_blocks(documents(spark, sf_dir)).select("doc_id", "size", "source_size", "target", "taken")
 
 
 @query
