@@ -108,6 +108,22 @@ def test_mixed_documents_repeat_whole_rows(edge_docs):
     assert all(n <= 2 * have[t] for t, n in Counter(r.text for r in out.collect()).items())
 
 
+def test_written_words_are_within_a_document_of_the_targets(spark, small_docs):
+    # long documents of several blocks each, one id shared by many of them, and short ones beside
+    rows = [(None if k == 0 else 100 * k + i, "%d " % i + " ".join(["w"] * (3_000 + 7 * i)), "long%d" % k)
+            for k in range(4) for i in range(40)]
+    rows += [(None if i < 30 else 1_000 + i, "%d a b c" % i, "short") for i in range(60)]
+    for docs in (spark.createDataFrame(rows, "doc_id long, text string, source string"), small_docs):
+        target, longest, written = {}, Counter(), Counter()
+        for r in mixing.mix(docs).collect():
+            target[r.source] = r.target
+            longest[r.source] = max(longest[r.source], r.size)
+        for r in mixing.mixed_documents(docs).collect():
+            written[r.source] += len(re.findall(r"[^\x20\x09-\x0D]+", r.text))
+        for s in target:
+            assert abs(written[s] - target[s]) <= longest[s] / 2 + 0.5, s
+
+
 def test_rule_bits_policies_and_ablation(edge_docs):
     ledger = rule_ledger.measure(edge_docs).cache()
     rows = ledger.collect()
