@@ -60,6 +60,21 @@ def test_selection_is_the_score_and_keeps_columns(spark, edge_docs, empty_docs):
     assert ordinal.select_documents(empty_docs, model).collect() == []
 
 
+def test_sample_holds_distinct_documents(spark, monkeypatch):
+    texts = [(i, "good words here %d" % i if i % 2 else "bad BAD bad %d" % i) for i in range(30)]
+    docs = spark.createDataFrame(texts + [texts[1]] * 50 + [(3, "another text"), (None, "x")], "doc_id long, text string")
+    ratings = [(i, i % 2, 0) for i in range(30)] + [(1, 1, 0)] * 200            # one rated over and over
+    ratings += [(2, 1, 0)] + [(1_000 + i, 1, 0) for i in range(500)]            # undecided; without a document
+    labels = spark.createDataFrame(ratings, "doc_id long, quality int, toxic int")
+    given = []
+    monkeypatch.setattr(ordinal, "fit", lambda rows, grades: given.append(rows))
+    for most, n in ((20, 20), (100, 30)):
+        ordinal.train(docs.repartition(4), labels, ordinal.label_grade(), ordinal.GRADES, max_labelled=most)
+        sample = ordinal.rated_sample(docs, labels, ordinal.label_grade(), most).collect()
+        assert len(given[-1]) == len(sample) == len({r["__id"] for r in sample}) == n
+        assert all(r["__grade"] == (2 if r["__id"] % 2 else 0) for r in sample)
+
+
 def test_without_ratings_everything_stays(spark, edge_docs):
     none = spark.createDataFrame([], "doc_id long, quality int, toxic int")
     model = ordinal.train(edge_docs, none, ordinal.label_grade(), ordinal.GRADES)

@@ -11,8 +11,8 @@ and four shares that single words cannot show: immediate repeats, repeated
 three-word windows, repeated lines, and 1 / (1 + words).  All come from the whole
 text.
 
-The fit uses at most ``MAX_LABELLED`` rated rows, those with the smallest hashes of
-``doc_id``; only their sparse features are gathered, at most that many rows.
+The fit uses at most ``MAX_LABELLED`` distinct rated documents, those with the smallest
+hashes of ``doc_id``; only their sparse features are gathered, at most that many rows.
 Scoring is a map over all documents.
 
 Ratings that are NULL are not used.  Without any rated row every document gets
@@ -35,6 +35,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tierlake.llm.common import map_batches
+from tierlake.session import materialize
 
 HASH_BITS = 16
 N_HASHED = 1 << HASH_BITS
@@ -137,23 +138,46 @@ def fit(rows: list[tuple], grades: int,
     return OrdinalModel(params[0], params[1], thresholds(params[2]))
 
 
-def train(docs: DataFrame, labels: DataFrame, grade: Column, grades: int,
-          max_labelled: int = MAX_LABELLED) -> OrdinalModel:
-    """Fit on the documents of at most ``max_labelled`` rated rows of ``labels``."""
+def rated_sample(docs: DataFrame, labels: DataFrame, grade: Column, max_labelled: int = MAX_LABELLED) -> DataFrame:
+    """(__id, __grade, __digest) of at most ``max_labelled`` distinct rated documents.
+
+    A ``doc_id`` that is rated repeatedly has its most frequent grade, the lowest of
+    equally frequent ones.  Ratings without a document do not count.  Of the texts
+    of a repeated ``doc_id`` the one with the smallest digest is meant.
+    """
     rated = labels.select(F.col("doc_id").alias("__id"), grade.cast("int").alias("__grade")).filter(
         F.col("__grade").isNotNull() & F.col("__id").isNotNull())
-    sample = rated.orderBy(F.xxhash64("__id"), "__id", "__grade").limit(max_labelled)
-    texts = docs.select("doc_id", "text").join(F.broadcast(sample), F.col("doc_id") == F.col("__id")).select(
+    rated = rated.groupBy("__id").agg(F.mode("__grade", True).alias("__grade"))
+    rated = rated.join(docs.select(F.col("doc_id").alias("__id")).distinct(), "__id", "left_semi")
+    sample = materialize(rated.orderBy(F.xxhash64("__id"), "__id").limit(max_labelled), "rated-sample")
+    texts = docs.select("doc_id", "text").join(F.broadcast(sample), F.col("doc_id") == F.col("__id"))
+    return texts.groupBy("__id", "__grade").agg(F.min(F.xxhash64("text")).alias("__digest"))
+
+
+def train(docs: DataFrame, labels: DataFrame, grade: Column, grades: int,
+          max_labelled: int = MAX_LABELLED) -> OrdinalModel:
+    """Fit on at most ``max_labelled`` distinct rated documents."""
+    sample = materialize(rated_sample(docs, labels, grade, max_labelled), "rated-texts")
+    texts = docs.select("doc_id", "text").join(
+        F.broadcast(sample), (F.col("doc_id") == F.col("__id")) & (F.xxhash64("text") == F.col("__digest"))).select(
         "doc_id", "__grade", "text")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        seen: set = set()                                      # copies have one text
         for b in batches:
+            first = []
+            for k, d in enumerate(b.column(0).to_pylist()):
+                if d not in seen:
+                    seen.add(d)
+                    first.append(k)
+            b = b.take(pa.array(first, pa.int64()))
             got = [features(t.as_py() or b"") for t in b.column(2).cast(pa.binary())]
             packed = [pa.array([g[k].tobytes() for g in got], pa.binary()) for k in range(3)]
             yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), *packed], ["doc_id", "grade", "i", "v", "d"])
 
     # packed arrays: the driver holds 12 bytes per feature, not Python lists
-    rows = texts.mapInArrow(run, "doc_id long, grade int, i binary, v binary, d binary").collect()
+    rows = texts.mapInArrow(run, "doc_id long, grade int, i binary, v binary, d binary").groupBy("doc_id", "grade").agg(
+        F.min(F.struct("i", "v", "d")).alias("f")).select("doc_id", "grade", "f.*").collect()
     rows.sort(key=lambda r: (r["doc_id"], r["grade"], bytes(r["i"]), bytes(r["v"]), bytes(r["d"])))
     return fit([(np.frombuffer(r["i"], "<u4"), np.frombuffer(r["v"]), np.frombuffer(r["d"]), r["grade"]) for r in rows],
                grades)
