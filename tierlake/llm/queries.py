@@ -13,7 +13,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tierlake.llm import (
-    bilinear_lm, bpe, exact_dedup, mixing, ordinal, range_coder, resharding, rule_ledger, secret_ledger, simhash,
+    bilinear_lm, bpe, exact_dedup, line_dedup, mixing, ordinal, range_coder, resharding, rule_ledger, secret_ledger,
+    simhash,
 )
 from tierlake.llm.common import documents
 
@@ -107,6 +108,13 @@ def op10_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.duplicate_report(documents(spark, sf_dir))
 
 
+@query
+def op13_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    kept = line_dedup.drop_repeated_lines(documents(spark, sf_dir).select("doc_id", "text"))
+    return kept.select("doc_id", "n_lines", "n_dropped",
+                       F.sha2(F.coalesce("text", F.lit("")), 256).alias("kept_sha256"))
+
+
 # --- DuckDB SQL -------------------------------------------------------------------
 
 def _secret_branch(r: secret_ledger.Rule, no: int) -> str:
@@ -213,3 +221,15 @@ SELECT doc_id, first_value(doc_id) OVER w AS keep_id, count(*) OVER (PARTITION B
        row_number() OVER w = 1 AS kept, h AS text_sha256
 FROM k WINDOW w AS (PARTITION BY h ORDER BY p DESC, doc_id)
 """
+
+ORACLE["op13_line_dedup"] = rf"""
+WITH d AS (SELECT row_number() OVER () AS rid, doc_id, string_split(coalesce(text, ''), chr(10)) AS l FROM documents),
+     one AS (SELECT rid, doc_id, unnest(l) AS line, generate_subscripts(l, 1) AS pos FROM d),
+     k AS (SELECT *, translate(trim(line, ' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)),
+                               '{line_dedup.UPPER}', '{line_dedup.LOWER}') AS key FROM one),
+     own AS (SELECT key, min(doc_id) AS owner FROM k WHERE length(key) >= {line_dedup.MIN_POINTS} GROUP BY key),
+     m AS (SELECT k.*, owner IS NOT NULL AND doc_id IS DISTINCT FROM owner AS gone FROM k LEFT JOIN own USING (key))
+SELECT doc_id, count(*) AS n_lines, count(*) FILTER (gone) AS n_dropped,
+       sha256(coalesce(string_agg(line, chr(10) ORDER BY pos) FILTER (NOT gone), '')) AS kept_sha256
+FROM m GROUP BY rid, doc_id
+"""
