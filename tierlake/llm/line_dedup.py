@@ -42,6 +42,7 @@ from tierlake.llm.common import ASCII_SPACES, text_or_empty
 from tierlake.session import materialize
 
 MIN_POINTS = 10
+SLICE_ROWS = 256        # texts that are Python objects at a time
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
 DROPPED, OPEN, CLAIM = 0, 1, 2
@@ -192,7 +193,7 @@ def keep_lines(docs: DataFrame, bitmaps: DataFrame) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         place = kept.index(at)
-        for b in batches:
+        for b in (b.slice(k, SLICE_ROWS) for b in batches for k in range(0, b.num_rows, SLICE_ROWS)):
             *columns, lines, dropped, keep = b.columns
             columns[place] = pa.array(list(map(cut, columns[place].to_pylist(), lines.to_pylist(), dropped.to_pylist(),
                                                keep.to_pylist())), pa.string())
