@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tierlake.llm import (
-    bilinear_lm, bpe, exact_dedup, line_dedup, mixing, ordinal, range_coder, resharding, rule_ledger, secret_ledger,
+    bilinear_lm, bpe, exact_dedup, line_dedup, merkle, mixing, ordinal, range_coder, resharding, rule_ledger, secret_ledger,
     simhash,
 )
 from tierlake.llm.common import documents
@@ -108,6 +108,11 @@ def op10_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.duplicate_report(documents(spark, sf_dir))
 
 
+@query
+def op11_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return merkle.report(merkle.manifest(documents(spark, sf_dir)))
+
+
 @query
 def op13_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     kept = line_dedup.drop_repeated_lines(documents(spark, sf_dir).select("doc_id", "text"))
@@ -222,6 +227,54 @@ SELECT doc_id, first_value(doc_id) OVER w AS keep_id, count(*) OVER (PARTITION B
 FROM k WINDOW w AS (PARTITION BY h ORDER BY p DESC, doc_id)
 """
 
+# The tree of the SQL has a fixed number of levels: enough for 3 ** 13 rows a source, 3 ** 8 sources.
+_SOURCE_LEVELS, _TOP_LEVELS = 13, 8
+
+
+def _written(c: str) -> str:
+    return f"coalesce(strlen({c}::VARCHAR)::VARCHAR || ':' || {c}::VARCHAR, '-')"
+
+
+def _tree_sql(tree: str, levels: int, walk: str) -> str:
+    """CTEs: levels of ``{tree}0`` (g, idx, h), and the rows of ``{walk}0`` (rid, g, idx, proof, f) led up through them."""
+    run = "PARTITION BY g, idx // 3 ORDER BY idx ROWS BETWEEN"
+    parts = []
+    for k in range(levels):
+        parts.append(f"""
+     {tree}x{k} AS MATERIALIZED (SELECT *, count(*) OVER (PARTITION BY g) AS n,
+        coalesce(string_agg(h, '') OVER ({run} UNBOUNDED PRECEDING AND 1 PRECEDING), '') AS l,
+        coalesce(string_agg(h, '') OVER ({run} 1 FOLLOWING AND UNBOUNDED FOLLOWING), '') AS r FROM {tree}{k}),
+     {tree}{k + 1} AS MATERIALIZED (SELECT g, idx // 3 AS idx, CASE WHEN any_value(n) = 1 THEN any_value(h)
+        ELSE sha256(string_agg(h, '' ORDER BY idx)) END AS h FROM {tree}x{k} GROUP BY g, idx // 3),
+     {walk}{k + 1} AS MATERIALIZED (SELECT rid, g, w.idx // 3 AS idx, proof || l || r AS proof,
+        CASE WHEN n = 1 THEN f ELSE sha256(l || f || r) END AS f FROM {walk}{k} w JOIN {tree}x{k} USING (g, idx))""")
+    return ",".join(parts)
+
+
+_LEAF_SQL = " || ".join(_written(c) for c in merkle.LEAF_COLUMNS)
+_FLAT_SQL = " || ".join(_written(c if c != "text" else "replace(text, chr(10), '')") for c in merkle.LEAF_COLUMNS)
+
+ORACLE["op11_merkle_manifest"] = f"""
+WITH d AS (SELECT row_number() OVER () AS rid, doc_id, dense_rank() OVER (ORDER BY source NULLS FIRST) AS g,
+                  sha256({_LEAF_SQL}) AS leaf, sha256({_FLAT_SQL}) AS flat,
+                  -- the complement of the CRC-32 register after the id's digits: odd where 2 divides the CRC-32
+                  list_reduce(list_prepend(4294967295::BIGINT, list_transform(string_split(doc_id::VARCHAR, ''),
+                              lambda x: ascii(x)::BIGINT)),
+                              lambda c, b: list_reduce(list_prepend(xor(c, b), range(8)),
+                                                       lambda x, i: xor(x >> 1, 3988292384 * (x & 1)))) AS crc
+           FROM documents),
+     p AS MATERIALIZED (SELECT g, row_number() OVER (PARTITION BY g ORDER BY doc_id NULLS FIRST, leaf, rid) - 1 AS idx,
+                               leaf AS h, rid FROM d),
+     s0 AS MATERIALIZED (SELECT g, idx, h FROM p),
+     w0 AS MATERIALIZED (SELECT rid, g, idx, '' AS proof, CASE WHEN crc & 1 = 1 THEN flat ELSE leaf END AS f
+                         FROM d JOIN p USING (rid, g)),{_tree_sql('s', _SOURCE_LEVELS, 'w')},
+     t0 AS MATERIALIZED (SELECT 0 AS g, g - 1 AS idx, h FROM s{_SOURCE_LEVELS}),
+     v0 AS MATERIALIZED (SELECT rid, 0 AS g, g - 1 AS idx, proof, f FROM w{_SOURCE_LEVELS}),{_tree_sql('t', _TOP_LEVELS, 'v')}
+SELECT doc_id, leaf, s{_SOURCE_LEVELS}.h AS subroot, t{_TOP_LEVELS}.h AS root, sha256(proof) AS proof_sha256,
+       f AS folded_root, f = t{_TOP_LEVELS}.h AS verified
+FROM d JOIN s{_SOURCE_LEVELS} USING (g) JOIN v{_TOP_LEVELS} v USING (rid) JOIN t{_TOP_LEVELS} ON t{_TOP_LEVELS}.g = 0
+"""
+
 ORACLE["op13_line_dedup"] = rf"""
 WITH d AS (SELECT row_number() OVER () AS rid, doc_id, string_split(coalesce(text, ''), chr(10)) AS l FROM documents),
      one AS (SELECT rid, doc_id, unnest(l) AS line, generate_subscripts(l, 1) AS pos FROM d),
