@@ -13,8 +13,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tierlake.llm import (
-    bilinear_lm, bpe, exact_dedup, line_dedup, merkle, mixing, ordinal, range_coder, resharding, rule_ledger, secret_ledger,
-    simhash,
+    alignment, bilinear_lm, bpe, exact_dedup, line_dedup, merkle, mixing, ordinal, range_coder, resharding, rule_ledger,
+    secret_ledger, simhash,
 )
 from tierlake.llm.common import documents
 
@@ -30,9 +30,9 @@ def query(fn):
 OLD_SHARDS, NEW_SHARDS = 12, 16
 
 
-def tokenizer_path() -> str:
+def tokenizer_path(name: str = "word_bpe_49k.json") -> str:
     import public_tokenizers
-    return public_tokenizers.path("word_bpe_49k.json")
+    return public_tokenizers.path(name)
 
 
 @query
@@ -113,6 +113,12 @@ def op11_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
     return merkle.report(merkle.manifest(documents(spark, sf_dir)))
 
 
+@query
+def op12_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return alignment.align_documents(documents(spark, sf_dir), tokenizer_path("byte_bpe_50k.json"),
+                                     tokenizer_path("piece_bpe_32k.model"))
+
+
 @query
 def op13_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     kept = line_dedup.drop_repeated_lines(documents(spark, sf_dir).select("doc_id", "text"))
