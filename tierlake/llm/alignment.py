@@ -57,7 +57,7 @@ FLUSH_CODES = 1 << 22
 # or line feed between two other characters.
 CHUNK = re.compile(r"\s+\S*(?:(?![ \n]\S)\s+\S*)*")
 # Characters that some definitions count as white space and Python's does not.
-ODD_SPACES = re.compile("[᠎​﻿]")
+ODD_SPACES = re.compile("[" + "".join(map(chr, (0x180E, 0x200B, 0xFEFF))) + "]")
 
 
 class Aligned:
