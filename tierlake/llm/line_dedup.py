@@ -5,8 +5,8 @@ case.  A key of at least ``MIN_POINTS`` code points keeps its lines in the
 smallest ``doc_id`` that holds it and loses them everywhere else; all other
 lines stay.
 
-1. Every line with a long enough key becomes a row of two 64-bit hashes of the key,
-   ``doc_id``, a hash of the text and the line's position: no text is shuffled.
+1. Every line with a long enough key becomes a row of the two halves of the key's 128-bit
+   hash, ``doc_id``, a hash of the text and the line's position: no text is shuffled.
 2. These rows are range-partitioned by all their columns and sorted within the
    partitions (hashes first, then document and position).  The bounds come from a
    sample of the whole tuples, so a key that a third of all documents hold is
@@ -37,6 +37,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
+from xxhash import xxh3_128_digest
 
 from tierlake.llm.common import ASCII_SPACES, text_or_empty
 from tierlake.session import materialize
@@ -47,6 +48,7 @@ UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
 DROPPED, OPEN, CLAIM = 0, 1, 2
 LINE = ["h1", "h2", "doc_id", "text_key", "pos"]
+LINE_SCHEMA = "h1 long, h2 long, doc_id long, text_key long, pos int"
 FOUND_SCHEMA = "kind int, h1 long, h2 long, doc_id long, text_key long, pos int"
 BITMAP_FIELDS = ["doc_id", "text_key", "n_lines", "n_dropped", "keep"]
 BITMAP_SCHEMA = "doc_id long, text_key long, n_lines long, n_dropped long, keep binary"
@@ -58,12 +60,31 @@ def text_key(text: Column) -> Column:
 
 def line_rows(docs: DataFrame, min_points: int = MIN_POINTS) -> DataFrame:
     """h1, h2, doc_id, text_key, pos of every line whose key is long enough."""
+    spaces = ASCII_SPACES.encode()
+    lower = bytes.maketrans(UPPER.encode(), LOWER.encode())
+
+    def long_enough(key: bytes) -> bool:
+        # a code point has at most four bytes
+        return len(key) >= 4 * min_points or len(key) >= min_points and len(key.decode()) >= min_points
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in (b.slice(k, SLICE_ROWS) for b in batches for k in range(0, b.num_rows, SLICE_ROWS)):
+            digests, places, owners = [], [], []
+            for row, text in enumerate(b.column(2)):
+                for pos, line in enumerate(text.as_py().translate(lower).split(b"\n")):
+                    key = line.strip(spaces)
+                    if long_enough(key):
+                        digests.append(xxh3_128_digest(key))
+                        places.append(pos)
+                        owners.append(row)
+            hashes = np.frombuffer(b"".join(digests), "<i8").reshape(-1, 2)
+            rows = pa.array(owners, pa.int64())
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(np.ascontiguousarray(hashes[:, 0])), pa.array(np.ascontiguousarray(hashes[:, 1])),
+                 b.column(0).take(rows), b.column(1).take(rows), pa.array(places, pa.int32())], LINE)
+
     text = text_or_empty()
-    lines = docs.select(F.col("doc_id").cast("long").alias("doc_id"), text_key(text).alias("text_key"),
-                        F.posexplode(F.split(F.translate(text, UPPER, LOWER), "\n")).alias("pos", "line"))
-    keyed = lines.withColumn("line", F.btrim("line", F.lit(ASCII_SPACES))).filter(F.length("line") >= min_points)
-    return keyed.select(F.xxhash64("line").alias("h1"), F.xxhash64(F.lit(1), "line").alias("h2"),
-                        "doc_id", "text_key", "pos")
+    return docs.select(F.col("doc_id").cast("long"), text_key(text), text.cast("binary")).mapInArrow(run, LINE_SCHEMA)
 
 
 class _Runs:
@@ -155,7 +176,7 @@ def keep_bitmaps(docs: DataFrame, min_points: int = MIN_POINTS) -> DataFrame:
     """doc_id, text_key, n_lines, n_dropped, keep: one row per distinct (doc_id, text)."""
     text = text_or_empty()
     every = docs.select(F.col("doc_id").cast("long").alias("doc_id"), text_key(text).alias("text_key"),
-                        F.size(F.split(text, "\n")).alias("n_lines"), F.lit(None).cast("int").alias("pos"))
+                        (F.octet_length(text) - F.octet_length(F.replace(text, F.lit("\n"), F.lit(""))) + 1).alias("n_lines"), F.lit(None).cast("int").alias("pos"))
     gone = dropped_lines(docs, min_points).select("doc_id", "text_key", F.lit(None).cast("int").alias("n_lines"), "pos")
     grouped = every.unionByName(gone).groupBy("doc_id", "text_key").agg(
         F.max("n_lines").alias("n_lines"), F.collect_list("pos").alias("pos"))
