@@ -126,9 +126,8 @@ def test_edge_rows(spark, both, edge_docs):
     assert got(out) == brute(both, [(r.doc_id, r.text) for r in edge_docs.collect()])
 
 
-def test_large_groups_keep_distinct_pairs():
-    lengths = [1, 2]
-    x = al.Aligned([0] * 999 + [1], [1] * 500 + [0], lengths, lengths, 2)
-    assert (x.n_groups, x.n_links) == (500, 499 * 2 + 2 * 2)
-    y = al.Aligned([0] * 4, [1, 1], lengths, [0, 2], 2)
-    assert (y.n_groups, y.n_links, y.groups) == (2, 4, "0,0|1;0,0|1")
+def test_large_groups_count_distinct_pairs(both, monkeypatch):
+    texts = ["日本語🙂" * 30 + " and words", "🙂🙂👩‍👩‍👧 x", "plain words only"]
+    agrees(both, texts)
+    monkeypatch.setattr(al, "LARGE_GROUP", 1)
+    agrees(al.Aligner(tokenizer_path("byte_bpe_50k.json"), tokenizer_path("piece_bpe_32k.model")), texts + ODD)

@@ -46,7 +46,7 @@ from tierlake.session import materialize
 
 SPACE_MARK = "▁"
 GROUP_CHARS = 1_000_000
-CACHE_ENTRIES = 150_000
+CACHE_ENTRIES = 250_000
 CACHED_CHARS = 64           # longer chunks are not kept
 SLICE = 4096
 HEAD_PAIRS = 1 << 18        # pairs whose counts are broadcast, at most
@@ -60,33 +60,18 @@ CHUNK = re.compile(r"\s+\S*(?:(?![ \n]\S)\s+\S*)*")
 ODD_SPACES = re.compile("[" + "".join(map(chr, (0x180E, 0x200B, 0xFEFF))) + "]")
 
 
-class Aligned:
-    """The alignment of one chunk or text: sizes, groups text and packed links."""
-    __slots__ = ("n_a", "n_b", "n_groups", "n_links", "groups", "codes", "times")
-
-    def __init__(self, ids_a: list[int], ids_b: list[int], length_a: list[int], length_b: list[int], size_b: int):
-        ends_a = {e: k for k, e in enumerate(accumulate(map(length_a.__getitem__, ids_a)), 1)}
-        ends_b = {e: k for k, e in enumerate(accumulate(map(length_b.__getitem__, ids_b)), 1)}
-        groups, codes, times, links = [], [], [], 0
-        from_a = from_b = 0
-        for end in sorted(ends_a.keys() & ends_b.keys()):
-            to_a, to_b = ends_a[end], ends_b[end]
-            a, b = ids_a[from_a:to_a], ids_b[from_b:to_b]
-            from_a, from_b = to_a, to_b
-            groups.append(",".join(map(str, a)) + "|" + ",".join(map(str, b)))
-            links += len(a) * len(b)
-            if len(a) == 1 and len(b) == 1:
-                codes.append(a[0] * size_b + b[0])
-                times.append(1)
-            else:
-                of_b = Counter(b)
-                for x, n in Counter(a).items():
-                    codes += [x * size_b + y for y in of_b]
-                    times += [n * m for m in of_b.values()]
-        self.n_a, self.n_b, self.n_groups, self.n_links = len(ids_a), len(ids_b), len(groups), links
-        self.groups = ";".join(groups)
-        self.codes = np.array(codes, "<u8").tobytes()
-        self.times = np.array(times, "<u4").tobytes()
+def code_type(size_a: int, size_b: int) -> str:
+    """Of a pair's number ``a * size_b + b``."""
+    return "<u4" if size_a * size_b <= 1 << 32 else "<u8"
+
+
+SAFE_CHUNK = re.compile(r"[ \n]\S(?:.*\S)?", re.DOTALL).fullmatch
+LARGE_GROUP = 4096          # links of a group beyond which distinct pairs are counted instead
+
+
+# The alignment of a chunk or text: n_a, n_b, n_groups, n_links packed, the groups text, the
+# links' codes packed, and how often each of these stands for a link (None: once).
+Links = tuple[bytes, str, bytes, bytes | None]
 
 
 class Aligner:
@@ -110,7 +95,9 @@ class Aligner:
         self.bytes_b = [bytes([int(p[3:5], 16)]) if self.b.is_byte(i) else p.replace(SPACE_MARK, " ").encode()
                         for i, p in enumerate(pieces)]
         self.size_b = len(pieces)
+        self.dtype = code_type(len(self.bytes_a), self.size_b)
         self.length_a, self.length_b = (list(map(len, x)) for x in (self.bytes_a, self.bytes_b))
+        self.written = list(map(str, range(max(len(self.bytes_a), self.size_b))))
         self.mark = self.b.piece_to_id(SPACE_MARK)
         self.cuts = self._safe_cuts(spec, [p for i, p in enumerate(pieces) if not self.b.is_byte(i)])
         self.cache = Cache(cache_entries)
@@ -123,61 +110,117 @@ class Aligner:
             and not pre.get("add_prefix_space")
         return plain and not any(SPACE_MARK in p.lstrip(SPACE_MARK) or "\n" in p for p in pieces)
 
-    def _aligned(self, whole: str, ids_a: list[int], ids_b: list[int]) -> Aligned | None:
-        """None if a tokenizer's bytes are not those of ``whole``."""
-        own = whole.encode()
+    def _ids(self, text: str) -> tuple[list[int], list[int]] | None:
+        """Ids of a text that begins with white space; None if they do not spell its bytes."""
+        ids_a = self.a.encode(text, add_special_tokens=False).ids
+        ids_b = self.b.encode(text[1:] if text[0] == " " else text)         # B puts a space before any text
+        if text[0] != " " and ids_b and ids_b[0] == self.mark:
+            ids_b = ids_b[1:]
+        own = text.encode()
         if b"".join(map(self.bytes_a.__getitem__, ids_a)) != own or b"".join(map(self.bytes_b.__getitem__, ids_b)) != own:
             return None
-        return Aligned(ids_a, ids_b, self.length_a, self.length_b, self.size_b)
-
-    def _ids_a(self, texts: list[str]) -> list[list[int]]:
-        return [e.ids for e in self.a.encode_batch_fast(texts, add_special_tokens=False)]
-
-    def align_whole(self, text: str) -> Aligned | None:
-        return self._aligned(" " + text, self._ids_a([" " + text])[0], self.b.encode(text))
-
-    def _align_chunks(self, chunks: list[str]) -> dict[str, Aligned | None]:
-        out = {}
-        for k in range(0, len(chunks), SLICE):
-            part = chunks[k:k + SLICE]
-            # B puts a space before any text: the chunk's own, or one to be taken off
-            ids_b = self.b.encode([c[1:] if c[0] == " " else c for c in part], num_threads=1)
-            for c, a, b in zip(part, self._ids_a(part), ids_b):
-                if c[0] != " " and b and b[0] == self.mark:
-                    b = b[1:]
-                out[c] = self._aligned(c, a, b)
+        return ids_a, ids_b
+
+    def _group_text(self, a: list[int], b: list[int]) -> str:
+        w = self.written
+        if len(a) == 1 == len(b):
+            return f"{w[a[0]]}|{w[b[0]]}"
+        return f"{','.join([w[x] for x in a])}|{','.join([w[x] for x in b])}"
+
+    def _align(self, chunks: list[str]) -> list[Links] | None:
+        """The alignment of each chunk, cut out of that of the joined chunks."""
+        ids = self._ids("".join(chunks))
+        if ids is None:
+            return None
+        ids_a, ids_b = ids
+        ends_a = dict(zip(accumulate(map(self.length_a.__getitem__, ids_a)), range(1, len(ids_a) + 1)))
+        ends_b = dict(zip(accumulate(map(self.length_b.__getitem__, ids_b)), range(1, len(ids_b) + 1)))
+        common = sorted(ends_a.keys() & ends_b.keys())
+        to_a, to_b = list(map(ends_a.__getitem__, common)), list(map(ends_b.__getitem__, common))
+        from_a, from_b = [0, *to_a[:-1]], [0, *to_b[:-1]]
+        texts = [self._group_text(ids_a[i:j], ids_b[k:m]) for i, j, k, m in zip(from_a, to_a, from_b, to_b)]
+        # chunk ends are common ends: the groups of chunk c are first[c] to first[c + 1]
+        stops = np.cumsum([len(c.encode()) for c in chunks])
+        first = np.concatenate(([0], np.searchsorted(common, stops) + 1))
+        at_a, at_b = np.array([0, *to_a]), np.array([0, *to_b])
+        n_a, n_b = np.diff(at_a), np.diff(at_b)
+        n = n_a * n_b
+        at = np.concatenate(([0], np.cumsum(n)))
+        sizes = np.stack([np.diff(x[first]) for x in (at_a, at_b, np.arange(len(common) + 1), at)], axis=1)
+        packed = [r.tobytes() for r in sizes.astype("<u4")]
+        first = first.tolist()
+        groups = [";".join(texts[g:h]) for g, h in zip(first, first[1:])]
+        if n.max() > LARGE_GROUP:
+            return [(z, t, *self._counted(ids_a, ids_b, at_a, at_b, g, h))
+                    for z, t, g, h in zip(packed, groups, first, first[1:])]
+        group = np.repeat(np.arange(len(n)), n)
+        k = np.arange(at[-1]) - at[group]
+        a = np.array(ids_a, "int64")[at_a[group] + k // n_b[group]]
+        b = np.array(ids_b, "int64")[at_b[group] + k % n_b[group]]
+        codes, width = (a * self.size_b + b).astype(self.dtype).tobytes(), int(self.dtype[2])
+        cut = (at[first] * width).tolist()
+        return [(z, t, codes[i:j], None) for z, t, i, j in zip(packed, groups, cut, cut[1:])]
+
+    def _counted(self, ids_a, ids_b, at_a, at_b, g: int, h: int) -> tuple[bytes, bytes]:
+        """Codes and times of groups g to h, each pair of a group once."""
+        codes, times = [], []
+        for x in range(g, h):
+            of_b = Counter(ids_b[at_b[x]:at_b[x + 1]])
+            for i, n in Counter(ids_a[at_a[x]:at_a[x + 1]]).items():
+                codes += [i * self.size_b + j for j in of_b]
+                times += [n * m for m in of_b.values()]
+        return np.array(codes, self.dtype).tobytes(), np.array(times, "<u4").tobytes()
+
+    def _align_chunks(self, chunks: list[str]) -> dict[str, Links | None]:
+        """None for a chunk whose bytes the tokenizers do not give back."""
+        out: dict[str, Links | None] = {}
+        joined = [c for c in chunks if SAFE_CHUNK(c)]
+        for k in range(0, len(joined), SLICE):
+            part = joined[k:k + SLICE]
+            found = self._align(part)
+            if found is not None:
+                out.update(zip(part, found))
+        for c in chunks:
+            if c not in out:
+                found = self._align([c])
+                out[c] = found[0] if found else None
         return out
 
-    def _merged(self, text: str, chunks: list[str], found: dict[str, Aligned | None]) -> tuple | None:
-        """n_a, n_b, n_groups, n_links, groups digest, distinct codes, their times."""
-        counts = Counter(chunks)
-        parts = [found[c] for c in counts]
-        if None in parts:
-            whole = self.align_whole(text)
-            if whole is None:
-                return None
-            parts, times, groups = [whole], [1], whole.groups
+    def _merged(self, chunks: list[str], sizes: dict, groups: dict, codes: dict, counted: dict) -> tuple:
+        """n_a, n_b, n_groups, n_links, groups digest, distinct codes, how often each."""
+        totals = np.frombuffer(b"".join(map(sizes.__getitem__, chunks)), "<u4").reshape(-1, 4).sum(axis=0, dtype="int64")
+        digest = hashlib.sha256(";".join(map(groups.__getitem__, chunks)).encode()).hexdigest()
+        every = np.frombuffer(b"".join(map(codes.__getitem__, chunks)), self.dtype)
+        if counted.isdisjoint(chunks):
+            distinct, times = np.unique(every, return_counts=True)
         else:
-            times, groups = list(counts.values()), ";".join([found[c].groups for c in chunks])
-        codes = np.frombuffer(b"".join([p.codes for p in parts]), "<u8")
-        weight = np.frombuffer(b"".join([p.times for p in parts]), "<u4") * np.repeat(
-            np.array(times, "int64"), [len(p.codes) >> 3 for p in parts])
-        codes, where = np.unique(codes, return_inverse=True)
-        weight = np.bincount(where, weights=weight, minlength=len(codes))
-        totals = [sum(n * getattr(p, c) for p, n in zip(parts, times)) for c in ("n_a", "n_b", "n_groups", "n_links")]
-        return *totals, hashlib.sha256(groups.encode()).hexdigest(), codes.astype("<u8"), weight.astype("<u4")
+            weight = np.concatenate([np.frombuffer(counted[c], "<u4") if c in counted
+                                     else np.ones(len(codes[c]) // int(self.dtype[2])) for c in chunks])
+            distinct, where = np.unique(every, return_inverse=True)
+            times = np.bincount(where, weights=weight, minlength=len(distinct))
+        return *totals.tolist(), digest, distinct, times.astype("<u4")
 
     def align_batch(self, texts: Iterable[str | None]) -> Iterator[tuple | None]:
         group: list[tuple[str, list[str]]] = []
         size = 0
 
         def flush() -> Iterator[tuple | None]:
-            new = self.cache.unknown(set().union(*[c for _, c in group]))
+            every = set().union(*[c for _, c in group])
+            new = self.cache.unknown(every)
             fresh = self._align_chunks(sorted(new))
+            found = {c: fresh[c] if c in fresh else self.cache[c] for c in every}
             self.cache.update((c, x) for c, x in fresh.items() if len(c) <= CACHED_CHARS)
-            found = _Either(self.cache, fresh)
+            unlike = {c for c, x in found.items() if x is None}
+            # a text with such a chunk goes through as a whole
+            whole = {" " + t for t, chunks in group if unlike and not unlike.isdisjoint(chunks)}
+            found |= {t: x[0] if (x := self._align([t])) else None for t in whole}
+            sizes, groups, codes = ({c: x[k] for c, x in found.items() if x} for k in range(3))
+            counted = {c: x[3] for c, x in found.items() if x and x[3] is not None}
             for text, chunks in group:
-                yield self._merged(text, chunks, found) if chunks else None
+                if " " + text in whole:
+                    chunks = [" " + text]
+                known = chunks and found[chunks[0]] is not None
+                yield self._merged(chunks, sizes, groups, codes, counted) if known else None
 
         for t in texts:
             text = t or ""
@@ -195,16 +238,6 @@ class Aligner:
         yield from flush()
 
 
-class _Either:
-    """Look up chunks among the cached ones, else among those of this group."""
-
-    def __init__(self, cache: dict, fresh: dict):
-        self.cache, self.fresh = cache, fresh
-
-    def __getitem__(self, c: str):
-        return self.cache[c] if c in self.cache else self.fresh[c]
-
-
 @lru_cache(maxsize=2)
 def aligner(path_a: str, path_b: str) -> Aligner:
     return Aligner(path_a, path_b)
@@ -218,7 +251,7 @@ SLICE_ROWS = 256
 
 def document_links(docs: DataFrame, path_a: str, path_b: str) -> DataFrame:
     """One row per row of ``docs``: sizes, groups digest and packed distinct links."""
-    nothing = (0, 0, 0, 0, "", np.zeros(0, "<u8"), np.zeros(0, "<u4"))
+    nothing = (0, 0, 0, 0, "", np.zeros(0, "<u4"), np.zeros(0, "<u4"))
     types = [pa.int64()] * 4 + [pa.string()] + [pa.binary()] * 2
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -233,7 +266,7 @@ def document_links(docs: DataFrame, path_a: str, path_b: str) -> DataFrame:
     return rows.mapInArrow(run, LINK_SCHEMA)
 
 
-def pair_counts(links: DataFrame, size_b: int) -> DataFrame:
+def pair_counts(links: DataFrame, size_b: int, dtype: str) -> DataFrame:
     """code, n (documents that hold the pair linked), best (n is the A id's highest)."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -246,7 +279,7 @@ def pair_counts(links: DataFrame, size_b: int) -> DataFrame:
 
         for b in batches:
             for packed in b.column(0):
-                codes = np.frombuffer(packed.as_py(), "<u8")
+                codes = np.frombuffer(packed.as_py(), dtype)
                 held.append(codes)
                 size += len(codes)
                 if size >= FLUSH_CODES:
@@ -284,10 +317,11 @@ RESULT = ["n_a", "n_b", "n_groups", "n_links"]
 
 def align_documents(docs: DataFrame, path_a: str, path_b: str, head_pairs: int = HEAD_PAIRS) -> DataFrame:
     """doc_id, n_a, n_b, n_groups, n_links, n_best, count_sum, groups_sha256 per row of ``docs``."""
-    from sentencepiece import SentencePieceProcessor
     spark = docs.sparkSession
+    both = aligner(path_a, path_b)
+    size_b, dtype = both.size_b, both.dtype
     links = materialize(document_links(docs, path_a, path_b), "alignment-links")
-    counts = materialize(pair_counts(links, SentencePieceProcessor(model_file=path_b).get_piece_size()), "alignment-best")
+    counts = materialize(pair_counts(links, size_b, dtype), "alignment-best")
     lowest = head_bucket(counts, head_pairs)
     head = counts.filter(_bucket() >= lowest).orderBy("code").toArrow()         # at most head_pairs rows
     head = spark.sparkContext.broadcast(tuple(head.column(k).to_numpy() for k in ("code", "n", "best")))
@@ -300,7 +334,7 @@ def align_documents(docs: DataFrame, path_a: str, path_b: str, head_pairs: int =
         for b in (b.slice(k, SLICE_ROWS) for b in batches for k in range(0, b.num_rows, SLICE_ROWS)):
             sums, rest_codes, rest_times = [], [], []
             for packed, packed_times in zip(b.column(7), b.column(8)):
-                codes = np.frombuffer(packed.as_py(), "<u8").astype("int64")
+                codes = np.frombuffer(packed.as_py(), dtype).astype("int64")
                 times = np.frombuffer(packed_times.as_py(), "<u4").astype("int64")
                 at = np.minimum(np.searchsorted(known, codes), max(len(known) - 1, 0))
                 hit = known[at] == codes if len(known) else np.zeros(len(codes), bool)
