@@ -191,7 +191,7 @@ class Aligner:
         totals = np.frombuffer(b"".join(map(sizes.__getitem__, chunks)), "<u4").reshape(-1, 4).sum(axis=0, dtype="int64")
         digest = hashlib.sha256(";".join(map(groups.__getitem__, chunks)).encode()).hexdigest()
         every = np.frombuffer(b"".join(map(codes.__getitem__, chunks)), self.dtype)
-        if counted.isdisjoint(chunks):
+        if counted.keys().isdisjoint(chunks):
             distinct, times = np.unique(every, return_counts=True)
         else:
             weight = np.concatenate([np.frombuffer(counted[c], "<u4") if c in counted
