@@ -8,8 +8,8 @@ documents that hold it linked.
 1. A map encodes and aligns.  Neither tokenizer has a token across a single space or
    line feed between two other characters (``_safe_cuts`` verifies it from the files),
    so a text is the concatenation of such chunks, their last bytes are common ends, and
-   a distinct chunk is encoded, aligned and expanded once, kept in a per-worker cache of
-   a fixed number of entries.  A text with a chunk whose joined token bytes are not its
+   a distinct chunk is encoded, aligned and expanded once (many in one call), and known to
+   its worker until a fixed number of chunks or bytes is reached.  A text with a chunk whose joined token bytes are not its
    own goes through as a whole, without cuts.  Per document the distinct links and their
    multiplicities are packed as numbers ``a * |B| + b`` and written once.
 2. Counts are partial sums of each task's distinct pairs, then one shuffle by pair.  The
@@ -41,13 +41,13 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tierlake.llm.bpe import Cache, byte_symbols
+from tierlake.llm.bpe import byte_symbols
 from tierlake.session import materialize
 
 SPACE_MARK = "▁"
 GROUP_CHARS = 1_000_000
-CACHE_ENTRIES = 250_000
-CACHED_CHARS = 64           # longer chunks are not kept
+CACHE_ENTRIES = 500_000     # chunks known to a worker before it forgets them all
+CACHE_BYTES = 1 << 27       # of their texts, likewise
 SLICE = 4096
 HEAD_PAIRS = 1 << 18        # pairs whose counts are broadcast, at most
 COUNT_STEPS = 8             # histogram buckets per doubling of the count
@@ -69,9 +69,44 @@ SAFE_CHUNK = re.compile(r"[ \n]\S(?:.*\S)?", re.DOTALL).fullmatch
 LARGE_GROUP = 4096          # links of a group beyond which distinct pairs are counted instead
 
 
-# The alignment of a chunk or text: n_a, n_b, n_groups, n_links packed, the groups text, the
-# links' codes packed, and how often each of these stands for a link (None: once).
-Links = tuple[bytes, str, bytes, bytes | None]
+class Known:
+    """What the known chunks align to, by number: sizes, groups texts and the links' codes."""
+
+    def __init__(self, dtype: str):
+        self.dtype = dtype
+        self.clear()
+
+    def clear(self) -> None:
+        self.number: dict[str, int] = {}        # -1: its text goes through as a whole
+        self.groups: list[str] = []
+        self.sizes = np.zeros((0, 4), "int64")
+        self.starts = np.zeros(0, "int64")
+        self.codes = np.zeros(0, self.dtype)
+        self.used = self.held = 0
+
+    @staticmethod
+    def _room(x: np.ndarray, used: int, more: int) -> np.ndarray:
+        if used + more <= len(x):
+            return x
+        return np.concatenate([x[:used], np.zeros((max(used, more) + more, *x.shape[1:]), x.dtype)])
+
+    def add(self, chunks: list[str], sizes: np.ndarray, groups: list[str], codes: np.ndarray) -> None:
+        at, end = len(self.groups), len(self.groups) + len(chunks)
+        self.sizes, self.starts = self._room(self.sizes, at, len(chunks)), self._room(self.starts, at, len(chunks))
+        self.codes = self._room(self.codes, self.used, len(codes))
+        self.sizes[at:end] = sizes
+        self.starts[at:end] = self.used + np.cumsum(sizes[:, 3]) - sizes[:, 3]
+        self.codes[self.used:self.used + len(codes)] = codes
+        self.used += len(codes)
+        self.groups += groups
+        self.number.update(zip(chunks, range(at, end)))
+        self.held += sum(map(len, groups)) + sum(map(len, chunks)) + codes.nbytes
+
+    def codes_of(self, numbers: np.ndarray) -> np.ndarray:
+        """The codes of the chunks, one after the other."""
+        n = self.sizes[numbers, 3]
+        ends = np.cumsum(n)
+        return self.codes[np.repeat(self.starts[numbers] - ends + n, n) + np.arange(ends[-1])]
 
 
 class Aligner:
@@ -100,7 +135,7 @@ class Aligner:
         self.written = list(map(str, range(max(len(self.bytes_a), self.size_b))))
         self.mark = self.b.piece_to_id(SPACE_MARK)
         self.cuts = self._safe_cuts(spec, [p for i, p in enumerate(pieces) if not self.b.is_byte(i)])
-        self.cache = Cache(cache_entries)
+        self.known, self.most = Known(self.dtype), cache_entries
 
     @staticmethod
     def _safe_cuts(spec: dict, pieces: list[str]) -> bool:
@@ -112,7 +147,7 @@ class Aligner:
 
     def _ids(self, text: str) -> tuple[list[int], list[int]] | None:
         """Ids of a text that begins with white space; None if they do not spell its bytes."""
-        ids_a = self.a.encode(text, add_special_tokens=False).ids
+        ids_a = self.a.encode_batch_fast([text], add_special_tokens=False)[0].ids
         ids_b = self.b.encode(text[1:] if text[0] == " " else text)         # B puts a space before any text
         if text[0] != " " and ids_b and ids_b[0] == self.mark:
             ids_b = ids_b[1:]
@@ -127,8 +162,10 @@ class Aligner:
             return f"{w[a[0]]}|{w[b[0]]}"
         return f"{','.join([w[x] for x in a])}|{','.join([w[x] for x in b])}"
 
-    def _align(self, chunks: list[str]) -> list[Links] | None:
-        """The alignment of each chunk, cut out of that of the joined chunks."""
+    def _align(self, chunks: list[str]) -> tuple | None:
+        """(n_a, n_b, n_groups, n_links) and the groups text of each chunk, and the codes and
+        times of all links, cut out of the alignment of the joined chunks.  Times are None
+        where every code is one link; a large group has each of its pairs once."""
         ids = self._ids("".join(chunks))
         if ids is None:
             return None
@@ -147,80 +184,71 @@ class Aligner:
         n = n_a * n_b
         at = np.concatenate(([0], np.cumsum(n)))
         sizes = np.stack([np.diff(x[first]) for x in (at_a, at_b, np.arange(len(common) + 1), at)], axis=1)
-        packed = [r.tobytes() for r in sizes.astype("<u4")]
         first = first.tolist()
         groups = [";".join(texts[g:h]) for g, h in zip(first, first[1:])]
         if n.max() > LARGE_GROUP:
-            return [(z, t, *self._counted(ids_a, ids_b, at_a, at_b, g, h))
-                    for z, t, g, h in zip(packed, groups, first, first[1:])]
+            return sizes, groups, *self._counted(ids_a, ids_b, at_a.tolist(), at_b.tolist())
         group = np.repeat(np.arange(len(n)), n)
         k = np.arange(at[-1]) - at[group]
         a = np.array(ids_a, "int64")[at_a[group] + k // n_b[group]]
         b = np.array(ids_b, "int64")[at_b[group] + k % n_b[group]]
-        codes, width = (a * self.size_b + b).astype(self.dtype).tobytes(), int(self.dtype[2])
-        cut = (at[first] * width).tolist()
-        return [(z, t, codes[i:j], None) for z, t, i, j in zip(packed, groups, cut, cut[1:])]
+        return sizes, groups, (a * self.size_b + b).astype(self.dtype), None
 
-    def _counted(self, ids_a, ids_b, at_a, at_b, g: int, h: int) -> tuple[bytes, bytes]:
-        """Codes and times of groups g to h, each pair of a group once."""
+    def _counted(self, ids_a: list[int], ids_b: list[int], at_a: list[int], at_b: list[int]) -> tuple:
+        """Codes and times, each pair of a group once."""
         codes, times = [], []
-        for x in range(g, h):
-            of_b = Counter(ids_b[at_b[x]:at_b[x + 1]])
-            for i, n in Counter(ids_a[at_a[x]:at_a[x + 1]]).items():
-                codes += [i * self.size_b + j for j in of_b]
-                times += [n * m for m in of_b.values()]
-        return np.array(codes, self.dtype).tobytes(), np.array(times, "<u4").tobytes()
-
-    def _align_chunks(self, chunks: list[str]) -> dict[str, Links | None]:
-        """None for a chunk whose bytes the tokenizers do not give back."""
-        out: dict[str, Links | None] = {}
-        joined = [c for c in chunks if SAFE_CHUNK(c)]
-        for k in range(0, len(joined), SLICE):
-            part = joined[k:k + SLICE]
-            found = self._align(part)
-            if found is not None:
-                out.update(zip(part, found))
-        for c in chunks:
-            if c not in out:
-                found = self._align([c])
-                out[c] = found[0] if found else None
-        return out
-
-    def _merged(self, chunks: list[str], sizes: dict, groups: dict, codes: dict, counted: dict) -> tuple:
+        for i, j, k, m in zip(at_a, at_a[1:], at_b, at_b[1:]):
+            of_b = Counter(ids_b[k:m])
+            for x, n in Counter(ids_a[i:j]).items():
+                codes += [x * self.size_b + y for y in of_b]
+                times += [n * t for t in of_b.values()]
+        return np.array(codes, self.dtype), np.array(times, "int64")
+
+    def _learn(self, chunks: list[str]) -> None:
+        """Align new chunks; one that the tokenizers do not give back, or with a large group,
+        is found by halving."""
+        found = self._align(chunks)
+        if found is not None and found[3] is None:
+            self.known.add(chunks, *found[:3])
+        elif len(chunks) == 1:
+            self.known.number[chunks[0]] = -1
+        else:
+            self._learn(chunks[:len(chunks) // 2])
+            self._learn(chunks[len(chunks) // 2:])
+
+    def _result(self, text: str, chunks: list[str]) -> tuple | None:
         """n_a, n_b, n_groups, n_links, groups digest, distinct codes, how often each."""
-        totals = np.frombuffer(b"".join(map(sizes.__getitem__, chunks)), "<u4").reshape(-1, 4).sum(axis=0, dtype="int64")
-        digest = hashlib.sha256(";".join(map(groups.__getitem__, chunks)).encode()).hexdigest()
-        every = np.frombuffer(b"".join(map(codes.__getitem__, chunks)), self.dtype)
-        if counted.keys().isdisjoint(chunks):
-            distinct, times = np.unique(every, return_counts=True)
+        numbers = list(map(self.known.number.__getitem__, chunks))
+        if min(numbers) >= 0:
+            at = np.array(numbers)
+            totals = self.known.sizes[at].sum(axis=0)
+            groups = ";".join(map(self.known.groups.__getitem__, numbers))
+            distinct, times = np.unique(self.known.codes_of(at), return_counts=True)
         else:
-            weight = np.concatenate([np.frombuffer(counted[c], "<u4") if c in counted
-                                     else np.ones(len(codes[c]) // int(self.dtype[2])) for c in chunks])
+            whole = self._align([" " + text])
+            if whole is None:
+                return None
+            (totals,), (groups,), every, weight = whole
             distinct, where = np.unique(every, return_inverse=True)
             times = np.bincount(where, weights=weight, minlength=len(distinct))
-        return *totals.tolist(), digest, distinct, times.astype("<u4")
+        return *totals.tolist(), hashlib.sha256(groups.encode()).hexdigest(), distinct, times.astype("<u4")
 
     def align_batch(self, texts: Iterable[str | None]) -> Iterator[tuple | None]:
+        """One result per text, None without tokens."""
         group: list[tuple[str, list[str]]] = []
         size = 0
 
         def flush() -> Iterator[tuple | None]:
-            every = set().union(*[c for _, c in group])
-            new = self.cache.unknown(every)
-            fresh = self._align_chunks(sorted(new))
-            found = {c: fresh[c] if c in fresh else self.cache[c] for c in every}
-            self.cache.update((c, x) for c, x in fresh.items() if len(c) <= CACHED_CHARS)
-            unlike = {c for c, x in found.items() if x is None}
-            # a text with such a chunk goes through as a whole
-            whole = {" " + t for t, chunks in group if unlike and not unlike.isdisjoint(chunks)}
-            found |= {t: x[0] if (x := self._align([t])) else None for t in whole}
-            sizes, groups, codes = ({c: x[k] for c, x in found.items() if x} for k in range(3))
-            counted = {c: x[3] for c, x in found.items() if x and x[3] is not None}
+            if len(self.known.number) > self.most or self.known.held > CACHE_BYTES:
+                self.known.clear()
+            new = set().union(*[c for _, c in group]).difference(self.known.number)
+            joined = sorted(filter(SAFE_CHUNK, new))
+            for part in [joined[k:k + SLICE] for k in range(0, len(joined), SLICE)]:
+                self._learn(part)
+            for c in new.difference(joined):
+                self._learn([c])
             for text, chunks in group:
-                if " " + text in whole:
-                    chunks = [" " + text]
-                known = chunks and found[chunks[0]] is not None
-                yield self._merged(chunks, sizes, groups, codes, counted) if known else None
+                yield self._result(text, chunks) if chunks else None
 
         for t in texts:
             text = t or ""
