@@ -2,9 +2,10 @@
 
 All features are window aggregates whose frame ends one row (or one race)
 before the current one, so a row never sees its own outcome.  The three window
-specs are applied driver -> driver x circuit -> constructor: the first two
-share the ``driver_id`` hash partitioning, so the whole feature plan needs two
-exchanges rather than three.
+families are applied driver -> driver x circuit -> constructor: the first two
+share the ``driver_id`` hash partitioning.  A team's rows are not bounded - entries
+without a team are one group - so the constructor family runs over halo buckets
+(``operators.halo``) instead of a plain window.
 """
 
 from __future__ import annotations
@@ -13,6 +14,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tierlake.functions.exprs import surrogate_key
+from tierlake.operators import halo
 
 # --- fixed values: feature names and frame sizes of the reference model --------
 DRIVER_FRAME = 5        # rows -5 .. -1 per driver
@@ -42,7 +44,21 @@ FEATURE_TABLE_COLS = [
     "constructor_avg_points_last10", "constructor_podium_rate_last10", "constructor_dnf_rate_last10",
     "driver_circuit_avg_position", "driver_circuit_races",
 ]
+# feature name -> (source column, boolean outcome averaged as a 0/1 rate)
+DRIVER_MEASURES = {
+    "driver_avg_position_last5": ("position", False),
+    "driver_avg_points_last5": ("points", False),
+    "driver_podium_rate_last5": ("is_podium", True),
+    "driver_win_rate_last5": ("is_winner", True),
+    "driver_dnf_rate_last5": ("is_dnf", True),
+}
+CONSTRUCTOR_MEASURES = {
+    "constructor_avg_points_last10": ("points", False),
+    "constructor_podium_rate_last10": ("is_podium", True),
+    "constructor_dnf_rate_last10": ("is_dnf", True),
+}
 # --- end fixed values ------------------------------------------------------------
+BUCKET_ROUNDS = 16      # rounds of a season in one halo bucket
 
 
 def _rate(col: str) -> Column:
@@ -61,19 +77,6 @@ def rolling_mean(df: DataFrame, measures: dict[str, Column], by: list[str], orde
     return df.withColumns({name: F.avg(expr).over(w) for name, expr in measures.items()})
 
 
-def rolling_mean_prior_events(df: DataFrame, measures: dict[str, Column], by: list[str],
-                              event: list[str], n: int) -> DataFrame:
-    """Mean over all rows of the ``n`` previous *events* (e.g. races) of the entity.
-
-    Rows of the same event share an ordinal (``dense_rank``), so team-mates in
-    the same race never see each other's result.
-    """
-    ordinal = "__event_ordinal"
-    df = df.withColumn(ordinal, F.dense_rank().over(Window.partitionBy(*by).orderBy(*event)))
-    w = Window.partitionBy(*by).orderBy(ordinal).rangeBetween(-n, -1)
-    return df.withColumns({name: F.avg(expr).over(w) for name, expr in measures.items()}).drop(ordinal)
-
-
 def expanding_stats(df: DataFrame, col: str, by: list[str], order: list[str],
                     mean_name: str, count_name: str) -> DataFrame:
     """Mean of ``col`` and count of rows over all earlier rows (0 count when none)."""
@@ -81,21 +84,6 @@ def expanding_stats(df: DataFrame, col: str, by: list[str], order: list[str],
     return df.withColumns({mean_name: F.avg(col).over(w), count_name: F.count("*").over(w)})
 
 
-# feature name -> (source column, boolean outcome averaged as a 0/1 rate)
-DRIVER_MEASURES = {
-    "driver_avg_position_last5": ("position", False),
-    "driver_avg_points_last5": ("points", False),
-    "driver_podium_rate_last5": ("is_podium", True),
-    "driver_win_rate_last5": ("is_winner", True),
-    "driver_dnf_rate_last5": ("is_dnf", True),
-}
-CONSTRUCTOR_MEASURES = {
-    "constructor_avg_points_last10": ("points", False),
-    "constructor_podium_rate_last10": ("is_podium", True),
-    "constructor_dnf_rate_last10": ("is_dnf", True),
-}
-
-
 def measures(spec: dict[str, tuple[str, bool]]) -> dict[str, Column]:
     return {name: _rate(src) if as_rate else F.col(src) for name, (src, as_rate) in spec.items()}
 
@@ -114,32 +102,44 @@ def circuit_history(df: DataFrame) -> DataFrame:
                            "driver_circuit_avg_position", "driver_circuit_races")
 
 
+def season_buckets(rounds: int = BUCKET_ROUNDS) -> list[Column]:
+    """Ordered buckets of (season, round): the season, then stretches of ``rounds`` rounds."""
+    return [F.col("season"), F.floor(F.col("round") / F.lit(rounds))]
+
+
 def constructor_form(df: DataFrame, mode: str = "rows") -> DataFrame:
     """``rows``: the previous 10 rows by (season, round), team-mates ordered by
     driver_id (parity with the reference's frame, which can see a team-mate's
     same-race result).  ``prior_races``: all cars of the previous 5 races.
 
-    A team's history has a few rows per race it entered, so a team is one
-    window group.  NULL teams form one group, as in any window.
+    NULL teams form one group, as in any window; no group is one task's.
     """
     if mode == "rows":
-        return rolling_mean(df, measures(CONSTRUCTOR_MEASURES), ["constructor_id"], ["season", "round", "driver_id"],
-                            CONSTRUCTOR_FRAME)
+        return halo.rolling_mean(df, measures(CONSTRUCTOR_MEASURES), ["constructor_id"],
+                                 ["season", "round", "driver_id"], CONSTRUCTOR_FRAME, season_buckets())
     if mode == "prior_races":
-        return rolling_mean_prior_events(df, measures(CONSTRUCTOR_MEASURES), ["constructor_id"], ["season", "round"],
-                                         PRIOR_RACES)
+        return halo.rolling_mean_of_events(df, measures(CONSTRUCTOR_MEASURES), ["constructor_id"], ["season", "round"],
+                                           PRIOR_RACES, season_buckets())
     raise ValueError(f"unknown constructor mode {mode!r}")
 
 
-def podium_features(race_results: DataFrame, constructor_mode: str = "rows") -> DataFrame:
-    """Classified entries (non-NULL position) with all ten history features.
+FAMILIES = ("driver", "circuit", "constructor")
+
+
+def podium_features(race_results: DataFrame, constructor_mode: str = "rows",
+                    families: tuple[str, ...] = FAMILIES) -> DataFrame:
+    """Classified entries (non-NULL position) with the history features of ``families``.
 
     Entries without a position are removed *before* the windows, so history
-    skips them.  The whole frame is lazy: a consumer that needs a few columns
-    gets only their windows.
+    skips them.  The whole frame is lazy; name the families that are needed, as the
+    constructor family reads the rows a second time for its halos.
     """
     df = race_results.filter(F.col("position").isNotNull())
-    return constructor_form(circuit_history(driver_form(df)), constructor_mode)
+    if "driver" in families:
+        df = driver_form(df)
+    if "circuit" in families:
+        df = circuit_history(df)
+    return constructor_form(df, constructor_mode) if "constructor" in families else df
 
 
 def has_history(features: DataFrame) -> DataFrame:
