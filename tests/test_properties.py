@@ -9,7 +9,8 @@ from pyspark.sql import functions as F
 
 from tierlake.operators import evaluation as ev
 from tierlake.functions.ordering import count_at_or_below
-from tierlake.operators.features import rolling_mean, rolling_mean_prior_events
+from tierlake.operators.features import rolling_mean
+from tierlake.operators.halo import rolling_mean_of_events
 
 SETTINGS = settings(max_examples=12, deadline=None, suppress_health_check=list(HealthCheck))
 
@@ -86,7 +87,8 @@ def test_rolling_mean_matches_naive(spark, rows, n):
 def test_prior_events_never_see_same_event(spark):
     rows = [(1, 1, "a", 10.0), (1, 1, "b", 20.0), (1, 2, "a", 30.0), (1, 2, "b", 40.0), (1, 3, "a", 0.0)]
     df = spark.createDataFrame(rows, "k int, race int, d string, x double")
-    out = {(r.race, r.d): r.m for r in rolling_mean_prior_events(df, {"m": F.col("x")}, ["k"], ["race"], 1).collect()}
+    out = {(r.race, r.d): r.m for r in rolling_mean_of_events(
+        df, {"m": F.col("x")}, ["k"], ["race"], 1, [F.floor(F.col("race") / 2)]).collect()}
     assert out[(1, "a")] is None and out[(1, "b")] is None
     assert out[(2, "a")] == 15.0 and out[(2, "b")] == 15.0
     assert out[(3, "a")] == 35.0
@@ -98,3 +100,26 @@ def test_bucket_tree_counts_bounds(spark):
     df = spark.createDataFrame([(x,) for x in xs], "x double")
     got = [r.b for r in df.select(count_at_or_below(F.col("x"), bounds).alias("b")).collect()]
     assert got == [sum(b <= x for b in bounds) for x in xs]
+
+
+def test_clustered_scores_use_every_range(spark):
+    """Scores all in [0, 0.001]: the sketch's bounds spread them evenly, sums stay exact."""
+    rng = random.Random(11)
+    values = sorted({rng.random() ** 3 / 1000 for _ in range(4000)})
+    df = spark.createDataFrame([(v, 1 + k % 3, k % 2) for k, v in enumerate(values)], "v double, pos long, neg long")
+    sizes = [r["count"] for r in ev.with_ranges(df, "v", ["pos", "neg"], 64).groupBy("__range").count().collect()]
+    assert len(sizes) == 64 and max(sizes) <= 2 * len(values) / 64
+    out = {r.v: (r.cum_pos, r.cum_neg, r.total_pos) for r in ev.running_sums(df, "v", ["pos", "neg"], ranges=64).collect()}
+    total, a, b = sum(1 + k % 3 for k in range(len(values))), 0, 0
+    for k, v in enumerate(values):
+        a, b = a + 1 + k % 3, b + k % 2
+        assert out[v] == (a, b, total)
+
+
+def test_curves_on_empty_and_single_scores(spark):
+    for rows in ([], [(1, 0.4)], [(0, 0.4), (1, 0.4)], [(1, None), (0, 0.2)]):
+        df = spark.createDataFrame(rows, "y int, p double")
+        known = {p for _, p in rows if p is not None}
+        assert ev.roc_curve(df, "y", "p").count() == 1 + len(known)
+        assert ev.pr_curve(df, "y", "p").count() == 1 + len(known)
+        assert ev.auc_roc(df, "y", "p").count() == 1 if known else True

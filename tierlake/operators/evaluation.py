@@ -2,11 +2,13 @@
 
 Everything stays in lazy DataFrames.  Only aggregated rows reach a single task:
 per-class counts (<= 4 rows), per-threshold-bucket counts (<= 62 rows), per
-score-range totals (<= ``SCORE_RANGES`` + 1 rows).  Running sums over *distinct
-scores* - whose number grows with the data - use a two-level prefix sum: equal
-ranges of the score (a pure function of the score, so both reads of the plan
-agree; any bounds give exact sums), exact range offsets, and a running window
-per range.  No window ever runs unpartitioned over raw or per-score rows.
+score-range totals (<= ``SCORE_RANGES`` rows).  Running sums over *distinct
+scores* - whose number grows with the data - use a two-level prefix sum: ranges
+of the score whose bounds are quantiles from a mergeable sketch, exact range
+offsets, and a running window per range.  The ranges hold about equally many
+scores however these cluster, and any bounds give exact sums: a reader takes its
+bounds from the very row that holds the offsets belonging to them.
+No window ever runs unpartitioned over raw or per-score rows.
 """
 
 from __future__ import annotations
@@ -25,6 +27,7 @@ MIN_ACCURACY = 0.90
 CLASS_NAMES = ("No Podium", "Podium")
 # --- end fixed values ------------------------------------------------------------
 SCORE_RANGES = 1024     # ranges of the two-level prefix sums
+STRETCH = 32            # bounds between two that are searched first
 
 
 def sweep_thresholds(start: float = SWEEP_START, stop: float = SWEEP_STOP, step: float = SWEEP_STEP) -> list[float]:
@@ -39,34 +42,66 @@ def sweep_thresholds(start: float = SWEEP_START, stop: float = SWEEP_STOP, step:
     return [start + i * delta for i in range(n)]
 
 
-def score_range(value: str, ranges: int = SCORE_RANGES) -> Column:
-    """Number of the score's range: ``ranges`` equal parts of [0, 1], ends included in the
-    outer ones.  Monotone, so ranges are contiguous whatever the scores are."""
-    return F.floor(F.greatest(F.lit(0.0), F.least(F.lit(1.0), F.col(value).cast("double"))) * ranges).cast("int")
+def at_or_below(df: DataFrame, value: str, bounds: str, most: int, out: str) -> DataFrame:
+    """Add ``out``, the number of ascending ``bounds`` (a column of at most ``most`` values) that
+    are at or below the value: a search among every ``STRETCH``-th bound, then between two."""
+    v = F.col(value).cast("double")
+
+    def bound(k) -> Column:
+        return F.get(bounds, k if isinstance(k, Column) else F.lit(k))      # NULL beyond the last one
+
+    coarse = count_at_or_below(v, [bound(k * STRETCH - 1) for k in range(1, most // STRETCH + 1)])
+    df = df.withColumn(out, coarse * STRETCH)
+    return df.withColumn(out, F.col(out) + count_at_or_below(v, [bound(F.col(out) + k) for k in range(STRETCH - 1)]))
+
+
+def with_ranges(df: DataFrame, value: str, cols: list[str], ranges: int = SCORE_RANGES) -> DataFrame:
+    """``df`` (one row per distinct value) with ``__range``, the number of the value's range.
+
+    The bounds are one row, broadcast: quantiles of ``value`` from a sketch.  ``cols`` are
+    read for it too, so that both readings of ``df`` are the same exchange.
+    """
+    shares = ", ".join(f"{k / ranges!r}D" for k in range(1, ranges))
+    sketch = F.percentile_approx(F.col(value).cast("double"), F.expr(f"array({shares})"), F.lit(16 * ranges))
+    found = df.agg(sketch.alias("b"), *[F.sum(c).alias(f"__{c}") for c in cols])
+    read = F.coalesce(*[F.col(f"__{c}") for c in cols]).isNotNull()         # false only without rows
+    found = found.select(F.when(read, F.array_distinct("b")).alias("__bounds"))
+    return at_or_below(df.crossJoin(F.broadcast(found)), value, "__bounds", ranges, "__range").drop("__bounds")
+
+
+def range_offsets(df: DataFrame, value: str, cols: list[str], descending: bool, ranges: int) -> DataFrame:
+    """One row: the lowest value of every range (which bounds the ranges for the reader),
+    the sums of ``cols`` over all ranges before each, and over all rows."""
+    per = with_ranges(df, value, cols, ranges).groupBy("__range").agg(
+        F.min(F.col(value).cast("double")).alias("__low"), *[F.sum(c).alias(c) for c in cols])   # one row per range
+    everything = Window.partitionBy()
+    before = everything.orderBy(F.desc("__range") if descending else F.asc("__range")).rowsBetween(
+        Window.unboundedPreceding, -1)
+    sums = per.select("__low", *cols, F.struct(
+        *[F.coalesce(F.sum(c).over(before), F.lit(0)).alias(c) for c in cols]).alias("__before"))
+    one = sums.agg(F.sort_array(F.collect_list(F.struct("__low", "__before"))).alias("found"),
+                   F.struct(*[F.sum(c).alias(c) for c in cols]).alias("__totals"))
+    return one.select(F.transform("found", lambda x: x["__low"]).alias("__lows"),
+                      F.transform("found", lambda x: x["__before"]).alias("__offsets"), "__totals")
 
 
 def running_sums(df: DataFrame, value: str, cols: list[str], descending: bool = False,
-                 inclusive: bool = True, by: tuple[str, ...] = (), ranges: int = SCORE_RANGES) -> DataFrame:
+                 inclusive: bool = True, ranges: int = SCORE_RANGES) -> DataFrame:
     """Add ``cum_<c>``: sum of ``c`` over rows whose ``value`` is <= (or >=) this row's,
-    and ``total_<c>``: the sum over all rows, both within ``by``.
+    and ``total_<c>``: the sum over all rows.
 
     ``df`` must hold one row per distinct non-NULL ``value`` (an aggregate).
     Exclusive sums (``inclusive=False``) leave the current row out.
     """
-    b = "__range"
-    df = df.withColumn(b, score_range(value, ranges))
-    totals = df.groupBy(*by, b).agg(*[F.sum(c).alias(f"__t_{c}") for c in cols])   # one row per range
-    everything = Window.partitionBy(*by)
-    before = everything.orderBy(F.desc(b) if descending else F.asc(b)).rowsBetween(Window.unboundedPreceding, -1)
-    offsets = totals.select(*by, b, *[
-        F.coalesce(F.sum(f"__t_{c}").over(before), F.lit(0)).alias(f"__o_{c}") for c in cols], *[
-        F.sum(f"__t_{c}").over(everything).alias(f"total_{c}") for c in cols])
-    within = Window.partitionBy(*by, b).orderBy(F.desc(value) if descending else F.asc(value)).rowsBetween(
+    found = range_offsets(df, value, cols, descending, ranges)
+    rows = at_or_below(df.crossJoin(F.broadcast(found)), value, "__lows", ranges, "__range")
+    rows = rows.withColumns({"__before": F.get("__offsets", F.col("__range") - 1),
+                             **{f"total_{c}": F.col("__totals")[c] for c in cols}}).drop("__lows", "__offsets", "__totals")
+    within = Window.partitionBy("__range").orderBy(F.desc(value) if descending else F.asc(value)).rowsBetween(
         Window.unboundedPreceding, 0 if inclusive else -1)
-    out = df.join(offsets, [*by, b])
-    out = out.withColumns({
-        f"cum_{c}": F.col(f"__o_{c}") + F.coalesce(F.sum(c).over(within), F.lit(0)) for c in cols})
-    return out.drop(b, *[f"__o_{c}" for c in cols])
+    return rows.withColumns({
+        f"cum_{c}": F.col("__before")[c] + F.coalesce(F.sum(c).over(within), F.lit(0)) for c in cols
+    }).drop("__range", "__before")
 
 
 def score_counts(df: DataFrame, y: str, p: str, by: tuple[str, ...] = ()) -> DataFrame:
@@ -82,13 +117,24 @@ def auc_roc(df: DataFrame, y: str, p: str, by: tuple[str, ...] = ()) -> DataFram
     or one per ``by``.
 
     AUC = sum_s pos_s * (neg_below_s + neg_s / 2) / (P * N); the numerator is
-    accumulated doubled, in DECIMAL(38,0), so the sum is exact at any size.
+    accumulated doubled, in DECIMAL(38,0), so the sum is exact at any size.  Within a
+    range the scores are counted against each other, then whole ranges against the
+    negatives of the ranges below: one flow, no join back.
     """
-    per = running_sums(score_counts(df, y, p, by), p, ["neg"], inclusive=False, by=by).drop("total_neg")
-    dec = "decimal(38,0)"
-    num2 = F.sum(F.lit(2).cast(dec) * F.col("pos").cast(dec) * F.col("cum_neg").cast(dec)
-                 + F.col("pos").cast(dec) * F.col("neg").cast(dec))
-    agg = per.groupBy(*by).agg(num2.alias("num2"), F.sum("pos").alias("positives"), F.sum("neg").alias("negatives"))
+    def dec(c) -> Column:
+        return F.col(c).cast("decimal(38,0)") if isinstance(c, str) else c.cast("decimal(38,0)")
+
+    per = with_ranges(score_counts(df, y, p, by), p, ["pos", "neg"])
+    below = Window.partitionBy(*by, "__range").orderBy(p).rowsBetween(Window.unboundedPreceding, -1)
+    per = per.withColumn("__below", F.coalesce(F.sum("neg").over(below), F.lit(0)))
+    ranges = per.groupBy(*by, "__range").agg(
+        F.sum(F.lit(2).cast("decimal(38,0)") * dec("pos") * dec("__below") + dec("pos") * dec("neg")).alias("num2"),
+        F.sum("pos").alias("pos"), F.sum("neg").alias("neg"))                            # one row per range
+    lower = Window.partitionBy(*by).orderBy("__range").rowsBetween(Window.unboundedPreceding, -1)
+    ranges = ranges.withColumn("__lower", F.coalesce(F.sum("neg").over(lower), F.lit(0)))
+    agg = ranges.groupBy(*by).agg(
+        F.sum(dec("num2") + F.lit(2).cast("decimal(38,0)") * dec("pos") * dec("__lower")).alias("num2"),
+        F.sum("pos").alias("positives"), F.sum("neg").alias("negatives"))
     den = F.lit(2.0) * F.col("positives").cast("double") * F.col("negatives").cast("double")
     return agg.select(
         *by,

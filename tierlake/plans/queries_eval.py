@@ -29,8 +29,15 @@ def model_frame(spark, sf_dir):
     return ft.model_frame(ft.podium_features(fx.gold_race_results(spark, sf_dir)))
 
 
-def scored(spark, sf_dir):
-    _, test = md.time_split(model_frame(spark, sf_dir), cut=fx.CUT_SEASON)
+def label_frame(spark, sf_dir):
+    """The modelling frame's rows without the features that evaluation does not read: only the
+    driver's history decides which rows are in it."""
+    rows = ft.has_history(ft.podium_features(fx.gold_race_results(spark, sf_dir), families=("driver",)))
+    return rows.select("season", "round", "grid", ft.TARGET_COL, "driver_name", "race_name", "driver_id")
+
+
+def scored(spark, sf_dir, frame=label_frame, fill_cols=("season", "round", "grid")):
+    _, test = md.time_split(frame(spark, sf_dir), cut=fx.CUT_SEASON, fill_cols=list(fill_cols))
     p = F.lit(1.0) - F.col("grid") / F.lit(32.0)
     return test.withColumns({"y": F.col("is_podium").cast("int"), "p": p,
                              "yhat": (p > F.lit(0.85)).cast("int")})
@@ -59,7 +66,7 @@ SELECT CAST(is_podium AS INTEGER) AS is_podium, count(*) AS n,
        CAST(count(*) AS DOUBLE) / CAST(sum(count(*)) OVER () AS DOUBLE) AS share
 FROM model_frame GROUP BY 1""")
 def q_class_balance(spark, sf_dir):
-    return class_balance(model_frame(spark, sf_dir), "is_podium")
+    return class_balance(label_frame(spark, sf_dir), "is_podium")
 
 
 @register("split_rates", MODEL + """
@@ -67,7 +74,7 @@ SELECT CASE WHEN season < 2000 THEN 'train' ELSE 'test' END AS split, count(*) A
        avg(CAST(is_podium AS INTEGER)) AS podium_rate
 FROM model_frame WHERE season IS NOT NULL GROUP BY 1""")
 def q_split_rates(spark, sf_dir):
-    return md.label_split(model_frame(spark, sf_dir), cut=fx.CUT_SEASON).groupBy("split").agg(
+    return md.label_split(label_frame(spark, sf_dir), cut=fx.CUT_SEASON, fill_cols=["grid"]).groupBy("split").agg(
         F.count(F.lit(1)).alias("n"), F.avg(F.col("is_podium").cast("int")).alias("podium_rate"))
 
 
@@ -78,7 +85,7 @@ SELECT count(*) FILTER (WHERE NOT is_podium) AS negatives, count(*) FILTER (WHER
                  / CAST(count(*) FILTER (WHERE is_podium) AS DOUBLE) END AS scale_pos_weight
 FROM model_frame WHERE season < 2000""")
 def q_class_weight(spark, sf_dir):
-    train, _ = md.time_split(model_frame(spark, sf_dir), cut=fx.CUT_SEASON)
+    train, _ = md.time_split(label_frame(spark, sf_dir), cut=fx.CUT_SEASON, fill_cols=["grid"])
     return md.class_weights(train)
 
 
@@ -216,5 +223,5 @@ def q_latest_season_topk(spark, sf_dir):
 SELECT {FILLED_SQL}, is_podium, driver_id FROM scored ORDER BY season, round, driver_id LIMIT 500""")
 def q_sample_first_n(spark, sf_dir):
     from tierlake.sinks.tables import preview
-    s = scored(spark, sf_dir).select(*ft.FEATURE_COLS, "is_podium", "driver_id")
+    s = scored(spark, sf_dir, model_frame, ft.FEATURE_COLS).select(*ft.FEATURE_COLS, "is_podium", "driver_id")
     return preview(s, 500, ["season", "round", "driver_id"])
