@@ -41,9 +41,11 @@ def test_feature_windows_need_two_exchanges(spark):
         [(2000, 1, "d", "c", "x", 1, 1.0, True, False, False)],
         "season int, round int, driver_id string, constructor_id string, circuit_name string, "
         "position int, points double, is_podium boolean, is_winner boolean, is_dnf boolean")
-    # driver and driver x circuit windows share one exchange, the constructor has its own
+    # driver and driver x circuit windows share one exchange, the constructor's rows go by halo bucket
     assert plan(ft.circuit_history(ft.driver_form(base))).count("Exchange hashpartitioning") == 1
-    assert plan(ft.podium_features(base)).count("Exchange hashpartitioning") == 2
+    both = plan(ft.podium_features(base, families=("driver", "circuit")))
+    assert both.count("Exchange hashpartitioning") == 1
+    assert len(re.findall(r"Exchange hashpartitioning\(__key", plan(ft.podium_features(base)))) == 2    # rows, halos
 
 
 def test_unused_windows_are_pruned(spark):
@@ -88,6 +90,22 @@ def test_flagship_joins_are_left_outer_without_forced_broadcast(spark):
     assert len(names) >= 4 and not {"CartesianProduct", "BroadcastNestedLoopJoin"} & set(names)
 
 
+def final_plan(df):
+    """The plan as it ran, after all run-time changes."""
+    df.write.format("noop").mode("overwrite").save()        # warm file listings; the frame's own plan follows
+    df.collect()
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
+def test_standings_scan_each_fact_table_once(spark):
+    for key in ("driver_standings", "constructor_standings", "rank_drivers", "rank_constructors"):
+        p = final_plan(QUERIES[key](spark, SF_SMALL))
+        p = p[:p.index("== Initial Plan ==")] if "== Initial Plan ==" in p else p
+        once = len(re.findall(r"FileScan parquet \[l_orderkey", p))
+        assert once == 1, (key, once)
+        assert "ReusedExchange" in p
+
+
 def test_standings_rank_ties_join_back(spark):
     p = plan(marts.season_rank(marts.driver_season_stats(fx.gold_race_results(spark, SF_SMALL))))
     assert "__tied" in p and "rank(" not in p

@@ -176,16 +176,16 @@ def q_constructor_standings(spark, sf_dir):
 ds AS ({_DRIVER_AGG_SQL})
 SELECT season, driver_id, constructor_name, total_points, wins, {_RANK_SQL} FROM ds""")
 def q_rank_drivers(spark, sf_dir):
-    return marts.season_rank(marts.driver_season_stats(rr(spark, sf_dir))).select(
-        "season", "driver_id", "constructor_name", "total_points", "wins", "season_rank")
+    return marts.season_rank(marts.driver_season_stats(rr(spark, sf_dir)).select(
+        "season", "driver_id", "constructor_name", "total_points", "wins"))
 
 
 @register("rank_constructors", GOLD.rstrip() + f""",
 cs AS ({_CONSTRUCTOR_AGG_SQL})
 SELECT season, constructor_id, total_points, wins, {_RANK_SQL} FROM cs""")
 def q_rank_constructors(spark, sf_dir):
-    return marts.season_rank(marts.constructor_season_stats(rr(spark, sf_dir))).select(
-        "season", "constructor_id", "total_points", "wins", "season_rank")
+    return marts.season_rank(marts.constructor_season_stats(rr(spark, sf_dir)).select(
+        "season", "constructor_id", "total_points", "wins"))
 
 
 @register("recent_standings", f"SELECT * FROM ({DRIVER_STANDINGS_SQL}) WHERE season >= {RECENT_SEASON}")
