@@ -23,8 +23,6 @@ def test_train_score_roundtrip_importance(spark):
     a = sorted((r.driver_id, r.season, r.round, r.predicted_podium_prob) for r in scored.collect())
     b = sorted((r.driver_id, r.season, r.round, r.predicted_podium_prob) for r in again.collect())
     assert a == b
-    imp = md.feature_importance(spark, model).collect()
-    assert len(imp) == len(FEATURE_COLS) and abs(sum(r.importance for r in imp) - 1.0) < 1e-9
     keys = ["season", "round", "driver_id"]
     frames = [md.permutation_importance(model, test.repartition(n), keys) for n in (4, 16)]
     a, b = (sorted(tuple(r) for r in f.collect()) for f in frames)
@@ -37,9 +35,9 @@ def test_train_score_roundtrip_importance(spark):
 
 def test_permutation_is_a_permutation(spark):
     df = spark.createDataFrame([(i, float(i % 17), i % 3) for i in range(300)], "k int, x double, z int")
-    out = md.permuted_columns(df, ["x", "z"], ["k"], groups=5)
+    out = md.permuted_columns(df, ["x", "z"], ["k"], rows=5)
     rows = out.select("k", "x", "__next.x", "__next.z").collect()
     assert sorted(r[2] for r in rows) == sorted(r[1] for r in rows)
     assert any(r[1] != r[2] for r in rows)
-    again = md.permuted_columns(df.repartition(16), ["x", "z"], ["k"], groups=5).select("k", "x", "__next.x", "__next.z")
+    again = md.permuted_columns(df.repartition(16), ["x", "z"], ["k"], rows=5).select("k", "x", "__next.x", "__next.z")
     assert sorted(rows) == sorted(again.collect())

@@ -19,6 +19,7 @@ from tierlake.operators.evaluation import (
     MIN_ACCURACY, apply_threshold, auc_roc, best_threshold, classification_report, f1_binary, threshold_sweep,
 )
 from tierlake.operators.features import FEATURE_COLS, TARGET_COL
+from tierlake.operators.trees import split_importance
 
 # --- fixed values: the reference model's hyper-parameters, mapped to GBTClassifier
 PODIUM_PARAMS = {
@@ -125,54 +126,71 @@ def evaluate_scores(scored: DataFrame, y: str, p: str, label: str, min_acc: floa
     ]
 
 
-def feature_importance(spark: SparkSession, model: PipelineModel, feature_cols: list[str] | None = None) -> DataFrame:
-    """Impurity-gain importance per feature (the booster's own, normalised), ascending."""
+def feature_importance(nodes: DataFrame, feature_cols: list[str] | None = None) -> DataFrame:
+    """feature, splits, importance (share of all gain): every feature of a fitted model's node
+    table, ascending by splits (the reference's measure is split-based)."""
     feature_cols = FEATURE_COLS if feature_cols is None else feature_cols
-    imp = model.stages[-1].featureImportances.toArray().tolist()
-    df = spark.createDataFrame(list(zip(feature_cols, [float(v) for v in imp])), "feature string, importance double")
-    return df.orderBy("importance", "feature")
+    names = nodes.sparkSession.createDataFrame([(c,) for c in feature_cols], "feature string")
+    used = split_importance(nodes)
+    total = F.sum("gain").over(Window.partitionBy())                # one row per feature
+    return names.join(used, "feature", "left").select(
+        "feature", F.coalesce("splits", F.lit(0)).alias("splits"),
+        F.coalesce(F.col("gain") / total, F.lit(0.0)).alias("importance")).orderBy("splits", "feature")
 
 
-# Rows are permuted within this many hash groups of their key, whatever the layout.
-PERMUTATION_GROUPS = 256
+# A permutation group holds about this many rows at most.
+PERMUTATION_ROWS = 256
+HEX_DIGITS = 14         # 256 * 16^13 rows are beyond any table
 
 
 def permuted_columns(df: DataFrame, cols: list[str], key_cols: list[str], seed: int = 42,
-                     groups: int = PERMUTATION_GROUPS) -> DataFrame:
+                     rows: int = PERMUTATION_ROWS) -> DataFrame:
     """Add ``__next``: for every row the values of ``cols`` in its successor row.
 
-    Rows are dealt to ``groups`` hash groups of a unique key; within a group,
-    ordered by a second hash, each row takes the next row's values (the last
+    Rows are ordered by a hash (MD5) of seed and key, and grouped by the hash's first hex
+    digits: as many as the row count needs for about ``rows`` a group, so groups grow in
+    number and not in size.  Within a group each row takes the next row's values (the last
     takes the first's): a permutation that depends on the keys alone.
     """
-    keys = [F.col(k) for k in key_cols]
-    tmp = df.withColumns({"__g": F.pmod(F.xxhash64(*keys, F.lit(seed)), F.lit(groups)),
-                          "__h": F.xxhash64(*keys, F.lit(seed + 1)), "__own": F.struct(*cols)})
+    h = F.md5(F.concat_ws(":", F.lit(str(seed)), *[F.col(k).cast("string") for k in key_cols]).cast("binary"))
+    n = F.col("__n")
+    digits = F.lit(1)
+    for k in range(1, HEX_DIGITS):
+        digits = digits + (n > rows * 16 ** k).cast("int")
+    count = F.broadcast(df.agg(F.count(F.lit(1)).alias("__n")))                     # one row
+    tmp = df.crossJoin(count).withColumns({"__h": h, "__own": F.struct(*cols)}).withColumn(
+        "__g", F.substring(F.col("__h"), F.lit(1), digits))
     w = Window.partitionBy("__g").orderBy("__h", *key_cols)
     first = F.first("__own").over(w.rowsBetween(Window.unboundedPreceding, Window.currentRow))
-    return tmp.withColumn("__next", F.coalesce(F.lead("__own").over(w), first)).drop("__g", "__h", "__own")
+    return tmp.withColumn("__next", F.coalesce(F.lead("__own").over(w), first)).drop("__g", "__h", "__own", "__n")
 
 
-def permutation_importance(model: PipelineModel, df: DataFrame, key_cols: list[str],
+def permutation_importance(scorer, df: DataFrame, key_cols: list[str],
                            feature_cols: list[str] | None = None, y: str = TARGET_COL,
-                           seed: int = 42, groups: int = PERMUTATION_GROUPS) -> DataFrame:
+                           seed: int = 42, rows: int = PERMUTATION_ROWS) -> DataFrame:
     """AUC lost when each feature's values are permuted (larger = more important).
 
-    A model-agnostic stand-in for per-row attribution, in one pass: every row is
-    scored as it is and once per feature with that feature taken from its
-    successor; one exact AUC per feature follows.
+    ``scorer`` is a fitted pipeline, or a function that adds ``predicted_podium_prob`` to a
+    frame.  One pass: every row is scored as it is and once per feature with that feature
+    taken from its successor; one exact AUC per feature follows.
     """
+    if isinstance(scorer, PipelineModel):
+        model = scorer
+
+        def scorer(frame: DataFrame) -> DataFrame:
+            return score(model, frame)
+
     feature_cols = FEATURE_COLS if feature_cols is None else feature_cols
     rest = [c for c in FEATURE_COLS if c not in feature_cols and c in df.columns]
-    rows = permuted_columns(df, feature_cols, key_cols, seed, groups)
+    permuted = permuted_columns(df, feature_cols, key_cols, seed, rows)
 
     def variant(name: str | None):
         return F.struct(F.lit(name).cast("string").alias("feature"),
                         *[(F.col(f"__next.{c}") if c == name else F.col(c)).alias(c) for c in feature_cols])
 
-    stacked = rows.select(F.col(y).cast("int").alias("__y"), *rest, F.explode(
+    stacked = permuted.select(F.col(y).cast("int").alias("__y"), *rest, F.explode(
         F.array(variant(None), *[variant(c) for c in feature_cols])).alias("v")).select("__y", *rest, "v.*")
-    scored = score(model, stacked).select("feature", "__y", "predicted_podium_prob")
+    scored = scorer(stacked).select("feature", "__y", "predicted_podium_prob")
     named = scored.withColumn("feature", F.coalesce("feature", F.lit("")))
     per = auc_roc(named, "__y", "predicted_podium_prob", by=("feature",)).select("feature", "auc")
     # one row per feature and the unchanged rows' own
