@@ -15,7 +15,7 @@ from tierlake.operators import marts
 from tierlake.operators import modeling as md
 from tierlake.operators.conform import conform_races, require_not_null
 from tierlake.operators.dedupe import dedupe
-from tierlake.sinks.tables import write_keyed_table, write_snapshot
+from tierlake.sinks.tables import update_keyed_table, write_keyed_table, write_snapshot
 from tierlake.sources.files import read_csv_strict, read_json_strict
 from tierlake.sources.schemas import CIRCUITS_SCHEMA, RACES_SCHEMA, SPRINTS_SCHEMA
 from tierlake.sources.tables import read_snapshot, snapshot_versions
@@ -189,6 +189,48 @@ def test_keyed_table_rejects_duplicates_and_nulls(spark):
     assert spark.table("keyed_test.t1").count() == 1
 
 
+def _files(spark, name):
+    """Partition folder -> its data files (with length and time)."""
+    location = spark.sql(f"DESCRIBE FORMATTED {name}").filter("col_name = 'Location'").first()["data_type"]
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(location)
+    fs = path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    out = {}
+    for folder in fs.listStatus(path):
+        if folder.isDirectory():
+            found = [(f.getPath().getName(), f.getLen(), f.getModificationTime()) for f in fs.listStatus(folder.getPath())]
+            out[folder.getPath().getName()] = sorted(found)
+    return out
+
+
+def test_keyed_update_touches_only_its_partitions(spark):
+    spark.sql("CREATE SCHEMA IF NOT EXISTS keyed_test")
+    name = "keyed_test.updated"
+    spark.sql(f"DROP TABLE IF EXISTS {name}")
+    schema = "k string, season int, v int"
+    first = spark.createDataFrame([(f"{s}-{i}", s, i) for s in (2001, 2002, 2003) for i in range(4)], schema)
+    assert update_keyed_table(first, name, ["k"], "season")["inserted"] == 12
+    before = _files(spark, name)
+    batch = spark.createDataFrame([("2002-1", 2002, 100), ("2002-9", 2002, 9), ("2004-0", 2004, 0)], schema)
+    stats = update_keyed_table(batch, name, ["k"], "season")
+    assert (stats["updated"], stats["inserted"], stats["partitions"]) == (1, 2, 2)
+    after = _files(spark, name)
+    assert after["season=2001"] == before["season=2001"] and after["season=2003"] == before["season=2003"]
+    assert after["season=2002"] != before["season=2002"] and "season=2004" in after
+    want = {(f"{s}-{i}", s, i) for s in (2001, 2002, 2003) for i in range(4)} - {("2002-1", 2002, 1)}
+    want |= {("2002-1", 2002, 100), ("2002-9", 2002, 9), ("2004-0", 2004, 0)}
+    assert {(r.k, r.season, r.v) for r in spark.table(name).collect()} == want
+    # a bad batch changes nothing and leaves no helper table
+    for rows in ([("a", 2001, 1), ("a", 2001, 2)], [(None, 2001, 1)], [("b", None, 1)], [("2001-0", 2003, 1)]):
+        with pytest.raises(ValueError):
+            update_keyed_table(spark.createDataFrame(rows, schema), name, ["k"], "season")
+    with pytest.raises(ValueError):
+        update_keyed_table(spark.createDataFrame([("c", 2001, "x")], "k string, season int, v string"), name, ["k"], "season")
+    assert _files(spark, name) == after
+    assert {r.tableName for r in spark.sql("SHOW TABLES IN keyed_test").collect()} & {"updated__batch", "updated__merged"} == set()
+    assert update_keyed_table(first.limit(0), name, ["k"], "season")["rows"] == 0
+    assert spark.conf.get("spark.sql.sources.partitionOverwriteMode").lower() == "static"
+
+
 def test_rank_ties_share_rank(spark):
     df = spark.createDataFrame([(2000, 10.0, 1), (2000, 10.0, 1), (2000, 10.0, 0), (2000, 5.0, 3)],
                                "season int, total_points double, wins long")

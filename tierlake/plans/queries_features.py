@@ -8,8 +8,8 @@ from tierlake.operators import features as ft
 from tierlake.plans import fixtures as fx
 from tierlake.plans import oracle_sql as osql
 from tierlake.plans.catalog import register
-from tierlake.session import scratch_schema
-from tierlake.sinks.tables import write_keyed_table
+from tierlake.session import materialize, scratch_schema
+from tierlake.sinks.tables import update_keyed_table, write_keyed_table
 from tierlake.sources.tables import read_table
 
 GOLD = osql.with_ctes(*osql.gold_prefix())
@@ -116,6 +116,26 @@ def q_feature_table(spark, sf_dir):
     return read_table(spark, name)
 
 
+@register("feature_table_update", FEAT + f"""
+SELECT concat_ws('_', driver_id, CAST(season AS VARCHAR), CAST(round AS VARCHAR)) AS feature_key,
+       driver_id, season, round, grid + CASE WHEN season >= {fx.CUT_SEASON} AND round % 2 = 0 THEN 100 ELSE 0 END AS grid,
+       driver_avg_position_last5, driver_circuit_races
+FROM features WHERE driver_avg_position_last5 IS NOT NULL""")
+def q_feature_table_update(spark, sf_dir):
+    """The keyed table as first written without the newest rounds, then updated by the later
+    seasons: changed rows replace their old ones, missing rows are added, other seasons stay."""
+    name = f"{scratch_schema(spark, 'updated')}.driver_race_features"
+    rows = ft.feature_table(features(spark, sf_dir)).select(
+        "feature_key", "driver_id", "season", "round", "grid", "driver_avg_position_last5", "driver_circuit_races")
+    rows = materialize(rows, "features")
+    late, even = F.col("season") >= fx.CUT_SEASON, F.col("round") % 2 == 0
+    update_keyed_table(rows.filter(~(late & (F.col("round") % 3 == 0))), name, ["feature_key"], "season")
+    changed = rows.filter(late & (even | (F.col("round") % 3 == 0)))
+    changed = changed.withColumn("grid", F.col("grid") + F.when(even, 100).otherwise(0))
+    update_keyed_table(changed, name, ["feature_key"], "season")
+    return read_table(spark, name)
+
+
 @register("profile", GOLD + """
 SELECT count(*) AS n_rows, count(DISTINCT season) AS n_seasons, 23 AS n_columns FROM race_results""")
 def q_profile(spark, sf_dir):

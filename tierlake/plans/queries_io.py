@@ -14,7 +14,7 @@ from tierlake.plans import landing
 from tierlake.plans import oracle_sql as osql
 from tierlake.plans.catalog import register
 from tierlake.session import scratch_path, scratch_schema
-from tierlake.sinks.tables import overwrite_table, preview, write_snapshot
+from tierlake.sinks.tables import ensure_schema, overwrite_table, preview, write_snapshot
 from tierlake.sources.files import read_csv_strict, read_json_strict
 from tierlake.sources.lineage import add_ingestion_meta
 from tierlake.sources.schemas import DRIVERS_SCHEMA, RESULTS_SCHEMA, SPRINTS_SCHEMA
@@ -100,6 +100,20 @@ def q_table_roundtrip(spark, sf_dir):
     return read_table(spark, name)
 
 
+@register("ensure_schema", osql.with_ctes(*osql.gold_prefix()) + """
+SELECT season, count(*) AS n_rows, 1 AS n_schemas, 1 AS n_tables FROM race_results GROUP BY season""")
+def q_ensure_schema(spark, sf_dir):
+    """A schema that is asked for three times is made once, and keeps the table written between."""
+    name = scratch_schema(spark, "ensured")
+    ensure_schema(spark, name)
+    overwrite_table(fx.gold_race_results(spark, sf_dir), f"{name}.race_results")
+    ensure_schema(spark, name)
+    schemas = spark.sql(f"SHOW SCHEMAS LIKE '{name}'").count()
+    tables = spark.sql(f"SHOW TABLES IN {name}").count()
+    return read_table(spark, f"{name}.race_results").groupBy("season").agg(
+        F.count(F.lit(1)).alias("n_rows"), F.lit(schemas).alias("n_schemas"), F.lit(tables).alias("n_tables"))
+
+
 @register("snapshot_read", _bronze_sql("results"))
 def q_snapshot_read(spark, sf_dir):
     path = scratch_path(spark, "snapshots")

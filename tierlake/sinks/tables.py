@@ -68,6 +68,60 @@ def write_keyed_table(df: DataFrame, name: str, keys: list[str], strict_schema:
     return stats
 
 
+def _same_key(a: DataFrame, b: DataFrame, keys: list[str], how: str) -> DataFrame:
+    return a.join(b.select(*keys), keys, how)
+
+
+def update_keyed_table(df: DataFrame, name: str, keys: list[str], partition: str) -> dict:
+    """Create the keyed table ``name``, or update it by the rows of ``df``: a row whose key is
+    there replaces the old one, any other is added, rows of no new key stay.
+
+    The table is partitioned by ``partition``, a column that belongs to a row's identity (a
+    season): only the partitions that the batch touches are read and rewritten, the files of
+    all others stay as they are.  The batch goes to a staging table first and is checked
+    there: keys must be unique and non-NULL, the partition non-NULL, and a key that is in the
+    table must be in the same partition; else nothing changes.  The new content of the
+    touched partitions is written in full before it is published by one dynamic partition
+    overwrite, so the plan never reads what it replaces.  One writer per table at a time.
+    """
+    spark = df.sparkSession
+    batch_name, merged_name = f"{name}__batch", f"{name}__merged"
+    for t in (batch_name, merged_name):
+        spark.sql(f"DROP TABLE IF EXISTS {t}")
+    overwrite_table(df, batch_name)
+    try:
+        batch = spark.table(batch_name)
+        stats = check_keys(batch, keys)
+        homeless = batch.filter(F.col(partition).isNull()).limit(1).count()
+        if stats["null_keys"] or homeless or stats["distinct_keys"] != stats["rows"]:
+            raise ValueError(f"{keys} is not a primary key of the batch for {name}, or {partition} is NULL: {stats}")
+        if not spark.catalog.tableExists(name):
+            batch.write.format("parquet").partitionBy(partition).saveAsTable(name)
+            return {**stats, "updated": 0, "inserted": stats["rows"], "partitions": None}
+        table = spark.table(name)
+        if {(f.name, f.dataType) for f in table.schema.fields} != {(f.name, f.dataType) for f in batch.schema.fields}:
+            raise ValueError(f"schema of {name} would change: {table.schema.simpleString()} -> {batch.schema.simpleString()}")
+        touched = [r[0] for r in batch.select(partition).distinct().collect()]      # partition values of one batch
+        inside = F.col(partition).isin(touched)
+        if _same_key(table.filter(~inside).select(*keys), batch, keys, "left_semi").limit(1).count():
+            raise ValueError(f"a key of the batch for {name} is in another {partition}")
+        old = table.filter(inside)
+        updated = _same_key(old.select(*keys), batch, keys, "left_semi").count()
+        merged = _same_key(old, batch, keys, "left_anti").unionByName(batch)
+        overwrite_table(merged, merged_name)
+        setting = "spark.sql.sources.partitionOverwriteMode"
+        mode = spark.conf.get(setting)
+        spark.conf.set(setting, "dynamic")
+        try:
+            spark.table(merged_name).select(*table.columns).write.insertInto(name, overwrite=True)
+        finally:
+            spark.conf.set(setting, mode)
+        return {**stats, "updated": updated, "inserted": stats["rows"] - updated, "partitions": len(touched)}
+    finally:
+        for t in (batch_name, merged_name):
+            spark.sql(f"DROP TABLE IF EXISTS {t}")
+
+
 def write_snapshot(df: DataFrame, path: str) -> int:
     """Append ``df`` as the next version of a snapshot table; returns its number.
 
