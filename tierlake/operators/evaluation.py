@@ -45,14 +45,17 @@ def sweep_thresholds(start: float = SWEEP_START, stop: float = SWEEP_STOP, step:
 def at_or_below(df: DataFrame, value: str, bounds: str, most: int, out: str) -> DataFrame:
     """Add ``out``, the number of ascending ``bounds`` (a column of at most ``most`` values) that
     are at or below the value: a search among every ``STRETCH``-th bound, then between two."""
-    v = F.col(value).cast("double")
-
-    def bound(k) -> Column:
-        return F.get(bounds, k if isinstance(k, Column) else F.lit(k))      # NULL beyond the last one
-
-    coarse = count_at_or_below(v, [bound(k * STRETCH - 1) for k in range(1, most // STRETCH + 1)])
-    df = df.withColumn(out, coarse * STRETCH)
-    return df.withColumn(out, F.col(out) + count_at_or_below(v, [bound(F.col(out) + k) for k in range(STRETCH - 1)]))
+    def tree(index, low: int, high: int) -> str:
+        """Of the bounds at index(1), ..., index(high): how many are at or below (NULL: beyond the last)."""
+        if low == high:
+            return str(low)
+        mid = (low + high + 1) // 2
+        test = f"`{value}` >= get(`{bounds}`, {index(mid)})"
+        return f"CASE WHEN {test} THEN {tree(index, mid, high)} ELSE {tree(index, low, mid - 1)} END"
+
+    coarse = tree(lambda k: k * STRETCH - 1, 0, most // STRETCH)
+    fine = tree(lambda k: f"`{out}` + {k - 1}", 0, STRETCH - 1)
+    return df.withColumn(out, F.expr(f"{STRETCH} * {coarse}")).withColumn(out, F.expr(f"`{out}` + {fine}"))
 
 
 def with_ranges(df: DataFrame, value: str, cols: list[str], ranges: int = SCORE_RANGES) -> DataFrame:

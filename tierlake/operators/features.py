@@ -2,7 +2,7 @@
 
 All features are window aggregates whose frame ends one row (or one race)
 before the current one, so a row never sees its own outcome.  The three window
-families are applied driver -> driver x circuit -> constructor: the first two
+families are applied constructor -> driver -> driver x circuit: the last two
 share the ``driver_id`` hash partitioning.  A team's rows are not bounded - entries
 without a team are one group - so the constructor family runs over halo buckets
 (``operators.halo``) instead of a plain window.
@@ -124,22 +124,27 @@ def constructor_form(df: DataFrame, mode: str = "rows") -> DataFrame:
 
 
 FAMILIES = ("driver", "circuit", "constructor")
+# What the families read or a consumer reports of an entry.
+ENTRY_COLS = ["season", "round", "driver_id", "constructor_id", "circuit_name", "grid", "position", "points",
+              "is_podium", "is_winner", "is_dnf"]
+LABELS = ("driver_name", "race_name")
 
 
 def podium_features(race_results: DataFrame, constructor_mode: str = "rows",
-                    families: tuple[str, ...] = FAMILIES) -> DataFrame:
-    """Classified entries (non-NULL position) with the history features of ``families``.
+                    families: tuple[str, ...] = FAMILIES, labels: tuple[str, ...] = LABELS) -> DataFrame:
+    """Classified entries (non-NULL position) with the history features of ``families``, and
+    the named ``labels``.
 
     Entries without a position are removed *before* the windows, so history
-    skips them.  The whole frame is lazy; name the families that are needed, as the
-    constructor family reads the rows a second time for its halos.
+    skips them.  The whole frame is lazy; name the families and labels that are needed:
+    the constructor family reads its rows whole.
     """
     df = race_results.filter(F.col("position").isNotNull())
+    if "constructor" in families:
+        df = constructor_form(df.select(*ENTRY_COLS, *labels), constructor_mode)
     if "driver" in families:
         df = driver_form(df)
-    if "circuit" in families:
-        df = circuit_history(df)
-    return constructor_form(df, constructor_mode) if "constructor" in families else df
+    return circuit_history(df) if "circuit" in families else df
 
 
 def has_history(features: DataFrame) -> DataFrame:

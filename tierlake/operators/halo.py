@@ -10,6 +10,10 @@ from the parent's own halo.  So no task sees more than one bucket's rows, one pa
 bucket ends, or one group's ends of the coarsest level, and the result is that of the plain
 window, value by value in the same order.
 
+The rows are dealt once: their windows and the bucket ends read the same exchange.  For that
+both must read the same columns, so the ends carry a checksum of all of them; select the
+columns needed before asking for frames.
+
 Built-in functions only, lazy: no job runs while a frame is built.  NULL groups are groups.
 """
 
@@ -35,16 +39,18 @@ def _last(values: Column, n: int) -> Column:
 
 
 def with_buckets(df: DataFrame, by: list[str], value: Column, buckets: list[Column]) -> DataFrame:
-    """``df`` with its bucket columns, its key and the value that the frames are over."""
-    df = df.withColumns({**{_bucket(k): b for k, b in enumerate(buckets)}, VALUE: value})
-    return df.withColumn(KEY, _key(by, len(buckets)))
+    """``df`` dealt by (group, buckets): with that key and the value that the frames are over."""
+    key = F.struct(*[F.col(c) for c in by], *[b.alias(_bucket(k)) for k, b in enumerate(buckets)])
+    return df.withColumns({VALUE: value, KEY: key}).repartition(KEY)
 
 
 def bucket_ends(rows: DataFrame, by: list[str], order: list[str], n: int, levels: int) -> DataFrame:
-    """The last ``n`` values of every bucket of the finest level."""
-    parts = [F.col(c) for c in by] + [F.col(_bucket(k)) for k in range(levels)]
+    """Group, buckets and ``__ends``, the last ``n`` values of every bucket of the finest level."""
     ordered = F.sort_array(F.collect_list(F.struct(*order, F.col(VALUE))))
-    return rows.groupBy(*parts).agg(F.transform(_last(ordered, n), lambda x: x[VALUE]).alias("__ends"))
+    ends = rows.groupBy(KEY).agg(F.transform(_last(ordered, n), lambda x: x[VALUE]).alias("__ends"),
+                                 F.bit_xor(F.xxhash64(*[c for c in rows.columns if c != KEY])).alias("__whole"))
+    parts = [F.col(f"{KEY}.{c}").alias(c) for c in [*by, *[_bucket(k) for k in range(levels)]]]
+    return ends.select(*parts, F.when(F.col("__whole").isNotNull(), F.col("__ends")).alias("__ends"))
 
 
 def halos(ends: DataFrame, by: list[str], n: int, levels: int) -> DataFrame:
@@ -81,9 +87,7 @@ def rolling_mean(df: DataFrame, measures: dict[str, Column], by: list[str], orde
     """
     levels = len(buckets)
     rows = with_buckets(df, by, F.struct(*[c.alias(m) for m, c in measures.items()]), buckets)
-    # Only what the halos need goes into the second reading of the rows.
-    narrow = rows.select(*dict.fromkeys([*by, *order]), *[_bucket(k) for k in range(levels)], VALUE)
-    before = halos(bucket_ends(narrow, by, order, n, levels), by, n, levels)
+    before = halos(bucket_ends(rows, by, order, n, levels), by, n, levels)
     w = Window.partitionBy(KEY).orderBy(*order)
     frame = w.rowsBetween(-n, -1)
     rows = rows.withColumn("__at", F.row_number().over(w))
@@ -94,7 +98,7 @@ def rolling_mean(df: DataFrame, measures: dict[str, Column], by: list[str], orde
     joined = rows.join(before, KEY)
     whole = _last(F.concat(BEFORE, "__early"), n)
     means = {m: F.when(F.col("__at") > n, F.col(m)).otherwise(mean_of(whole, m)) for m in measures}
-    helpers = [KEY, VALUE, BEFORE, "__at", "__early", *[_bucket(k) for k in range(levels)]]
+    helpers = [KEY, VALUE, BEFORE, "__at", "__early"]
     return joined.withColumns(means).drop(*helpers)
 
 

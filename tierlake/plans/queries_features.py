@@ -21,8 +21,11 @@ def classified(spark, sf_dir):
     return fx.gold_race_results(spark, sf_dir).filter(F.col("position").isNotNull())
 
 
-def features(spark, sf_dir, mode="rows"):
-    return ft.podium_features(fx.gold_race_results(spark, sf_dir), mode)
+TEAM_COLS = [*KEYS, "constructor_id", "points", "is_podium", "is_dnf"]      # what the constructor family reads
+
+
+def features(spark, sf_dir, labels=()):
+    return ft.podium_features(fx.gold_race_results(spark, sf_dir), labels=labels)
 
 
 @register("rolling_driver_form", GOLD + """
@@ -47,7 +50,7 @@ FROM race_results WHERE position IS NOT NULL
 WINDOW cw AS (PARTITION BY constructor_id ORDER BY season, round, driver_id
               ROWS BETWEEN 10 PRECEDING AND 1 PRECEDING)""")
 def q_rolling_constructor_form(spark, sf_dir):
-    return ft.constructor_form(classified(spark, sf_dir), "rows").select(
+    return ft.constructor_form(classified(spark, sf_dir).select(*TEAM_COLS), "rows").select(
         *KEYS, "constructor_id", *ft.CONSTRUCTOR_MEASURES)
 
 
@@ -62,7 +65,7 @@ SELECT season, round, driver_id, constructor_id,
 FROM ordinals
 WINDOW pw AS (PARTITION BY constructor_id ORDER BY race_no RANGE BETWEEN 5 PRECEDING AND 1 PRECEDING)""")
 def q_rolling_constructor_prior_races(spark, sf_dir):
-    return ft.constructor_form(classified(spark, sf_dir), "prior_races").select(
+    return ft.constructor_form(classified(spark, sf_dir).select(*TEAM_COLS), "prior_races").select(
         *KEYS, "constructor_id", *ft.CONSTRUCTOR_MEASURES)
 
 
@@ -98,7 +101,7 @@ def q_podium_features(spark, sf_dir):
 
 @register("filter_has_history", osql.with_ctes(*osql.model_prefix()) + "SELECT * FROM model_frame")
 def q_filter_has_history(spark, sf_dir):
-    return ft.model_frame(features(spark, sf_dir))
+    return ft.model_frame(features(spark, sf_dir, ft.LABELS))
 
 
 @register("feature_table", FEAT + """
