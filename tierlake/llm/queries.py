@@ -100,7 +100,7 @@ def op8_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def op9_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return mixing.mix_blocks(documents(spark, sf_dir)).select("doc_id", "size", "source_size", "target", "taken")
+    return mixing.mix(documents(spark, sf_dir)).select("doc_id", "size", "source_size", "target", "taken")
 
 
 @query
@@ -184,7 +184,7 @@ _W = ", ".join(f"{float(x)}" for x in mixing.WEIGHTS)
 
 ORACLE["op9_mixing"] = fr"""
 WITH sizes AS (SELECT doc_id, source, len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+'))::BIGINT AS size,
-                      md5(concat_ws(':', '{mixing.SEED}', doc_id::VARCHAR)) AS h FROM documents),
+                      md5(concat_ws(':', '{mixing.SEED}', doc_id::VARCHAR, md5(text))) AS h FROM documents),
      per AS (SELECT source, sum(size)::BIGINT AS source_size,
                     row_number() OVER (ORDER BY source NULLS LAST) AS source_no FROM sizes GROUP BY source),
      w AS (SELECT *, [{_W}][((source_no - 1) % {len(mixing.WEIGHTS)} + 1)::INT] AS weight,
@@ -197,32 +197,14 @@ WITH sizes AS (SELECT doc_id, source, len(regexp_extract_all(coalesce(text, ''),
      t AS (SELECT source, source_no, source_size,
                   CASE WHEN fr.level IS NULL THEN cap ELSE least(cap, fr.level * weight) END AS target
            FROM lv LEFT JOIN fr ON true),
-     tb AS (SELECT *, greatest(1, ceil(sum(target) OVER () / {mixing.TOTAL_BLOCKS}))::BIGINT AS block FROM t),
-     ts AS (SELECT *, round(sum(target) OVER () / block)::BIGINT AS slots,
-                   ceil(source_size / block::DOUBLE)::BIGINT AS n_blocks FROM tb),
-     q AS (SELECT *, unnest(range(least(n_blocks * {mixing.MAX_REPEATS}, ceil(target / block)::BIGINT + 2))) AS k FROM ts),
-     ranked AS (SELECT *, row_number() OVER (ORDER BY target / (2 * k + 1) DESC, source_no, k) AS rank FROM q),
-     quota AS (SELECT source_no, n_blocks, block, source_size, count(*) AS quota FROM ranked WHERE rank <= slots
-               GROUP BY ALL),
-     b AS (SELECT *, unnest(range(n_blocks)) AS block_no FROM quota),
-     pick AS (SELECT *, quota // n_blocks + CASE WHEN row_number() OVER (PARTITION BY source_no ORDER BY
-                  md5(concat_ws(':', '{mixing.SEED}', source_no::VARCHAR, block_no::VARCHAR)), block_no)
-                  <= quota % n_blocks THEN 1 ELSE 0 END AS times FROM b),
-     bt AS (SELECT source_no, block_no, times, block, coalesce(sum(times * least(block, source_size - block_no * block))
-                  OVER (PARTITION BY source_no ORDER BY block_no ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0)
-                  AS before FROM pick),
-     pos AS (SELECT s.doc_id, s.size, tb.source_no, tb.source_size, tb.target, tb.block,
-                    coalesce(sum(s.size) OVER (PARTITION BY tb.source_no ORDER BY s.h, s.doc_id, s.size
+     q AS (SELECT *, round(target)::BIGINT AS quota,
+                  CASE WHEN source_size > 0 THEN round(target)::BIGINT // source_size ELSE 0 END AS times FROM t),
+     pos AS (SELECT s.doc_id, s.size, q.source_size, q.target, q.times, q.quota - q.times * q.source_size AS more,
+                    coalesce(sum(s.size) OVER (PARTITION BY q.source_no ORDER BY s.h, s.doc_id, s.size
                        ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0)::BIGINT AS a
-             FROM sizes s JOIN tb ON s.source IS NOT DISTINCT FROM tb.source)
-SELECT p.doc_id, p.size, p.source_size, p.target,
-       (CASE WHEN p.size > 0 THEN
-          coalesce(z.before + z.times * (p.a + p.size - z.block_no * p.block), 0)
-        - CASE WHEN p.a = 0 THEN 0 ELSE coalesce(y.before + y.times * (p.a - y.block_no * p.block), 0) END
-        ELSE 0 END)::BIGINT AS taken
-FROM pos p
-LEFT JOIN bt y ON y.source_no = p.source_no AND y.block_no = greatest(0, (p.a - 1) // p.block)
-LEFT JOIN bt z ON z.source_no = p.source_no AND z.block_no = greatest(0, (p.a + p.size - 1) // p.block)
+             FROM sizes s JOIN q ON s.source IS NOT DISTINCT FROM q.source)
+SELECT doc_id, size, source_size, target, (times * size + greatest(0, least(size, more - a)))::BIGINT AS taken
+FROM pos
 """
 
 ORACLE["op10_exact_dedup"] = r"""
