@@ -7,8 +7,11 @@ import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
 
+from pyspark.sql import functions as F
+
 from tierlake.llm import range_coder as rc
 from tierlake.llm.bpe import TrieEncoder
+from tierlake.llm.common import text_or_empty
 
 
 def round_trip(ids):
@@ -43,14 +46,27 @@ def test_prediction_pays():
 def test_blocks_are_independent_and_checked():
     ids = np.random.default_rng(4).integers(0, 500, 3 * rc.BLOCK).astype("<u4")
     coded = rc.encode_ids(ids)
-    alone = rc.encode_ids(ids[rc.BLOCK:2 * rc.BLOCK])
+    alone = rc.encode_ids(ids[rc.BLOCK:2 * rc.BLOCK], np.bincount(ids))
     counts = np.frombuffer(coded["block_words"], "<u4")
     words = np.frombuffer(coded["words"], "<u2")
     assert (words[counts[0]:counts[0] + counts[1]] == np.frombuffer(alone["words"], "<u2")).all()
     spoiled = bytearray(coded["words"])
     spoiled[len(spoiled) // 2] ^= 1
     with pytest.raises(ValueError):
-        rc.decode_ids(len(ids), coded["block_words"], coded["block_crcs"], bytes(spoiled))
+        rc.decode_ids(len(ids), **{**coded, "words": bytes(spoiled)})
+    for bad in (b"", b"no zlib", rc.encode_ids(ids[1:])["id_counts"]):
+        with pytest.raises(ValueError):
+            rc.decode_ids(len(ids), **{**coded, "id_counts": bad})
+
+
+def test_bits_per_id_on_documents(small_docs, tokenizer):
+    """Order 0 knows the ids' frequencies: well below the entropy of even ids, header included."""
+    enc = TrieEncoder(tokenizer)
+    packed = enc.encode_batch([r.text for r in small_docs.select("text").collect()])
+    ids = np.concatenate([np.frombuffer(p, "<u4") for p in packed])
+    coded = rc.encode_ids(ids)
+    assert (rc.decode_ids(len(ids), **coded) == ids).all()
+    assert 8 * sum(map(len, coded.values())) / len(ids) < 10
 
 
 def test_files_in_document_order(spark, tmp, edge_docs, tokenizer):
@@ -58,8 +74,8 @@ def test_files_in_document_order(spark, tmp, edge_docs, tokenizer):
     assert spark.read.parquet(tmp).count() > 3
     got = rc.with_start(spark, tmp, rc.read_ids(spark, tmp)).orderBy("start").collect()
     enc, start = TrieEncoder(tokenizer), 0
-    rows = sorted(((r.doc_id, r.text) for r in edge_docs.collect()),
-                  key=lambda r: (r[0] is not None, r[0] or 0, r[1] or ""))
+    ordered = edge_docs.select("doc_id", text_or_empty().alias("text")).orderBy("doc_id", F.xxhash64("text"), "text")
+    rows = [(r.doc_id, r.text) for r in ordered.collect()]
     assert len(got) == len(rows)
     for g, (d, t) in zip(got, rows):
         ids = enc.encode_batch([t])[0] + (2).to_bytes(4, "little")

@@ -5,11 +5,13 @@ and an order-1 table (hash of the last id) each predict one id with a confidence
 of 0 to 3.  Which of them is right - order 2, order 1 or neither - is a
 three-way event whose adaptive probabilities are chosen by both confidences and
 by whether the predictions agree, so they are the mixing weights of the orders
-in that context.  If neither is right, order 0 codes the id: an adaptive
-distribution of its magnitude, then its lower bits evenly.  Each decision is one step
+in that context.  If neither is right, order 0 codes the id by the frequencies of
+the segment's ids, which the segment's header holds: a block of a few thousand ids is too
+short to learn a vocabulary from.  The ``HEAD`` most frequent ids are coded in one step,
+the others by an escape and a second one.  Each decision is one step
 of a range coder with 32-bit low and range that writes 16-bit words.
 
-Blocks hold ``BLOCK`` ids, are independent, and carry the CRC-32 of their ids.  A
+Blocks hold ``BLOCK`` ids, are independent of each other, and carry the CRC-32 of their ids.  A
 segment is about ``SEGMENT`` ids of whole documents cut into blocks; its blocks
 are coded side by side in numpy, one lane per block, which turns the
 inherently sequential coder into array operations.  The file format is a Parquet
@@ -17,8 +19,8 @@ folder with one row per segment: documents, their lengths, the blocks' word
 counts and checksums, and the words.  Reading decodes each segment by itself and
 raises on any checksum that differs.
 
-Rows are range-partitioned and sorted by ``doc_id`` (NULL first, equal ids by
-text), so files are in ascending ``doc_id`` order; no global sort passes through
+Rows are range-partitioned and sorted by ``doc_id`` (NULL first, equal ids by a hash
+of their text), so files are in ascending ``doc_id`` order; no global sort passes through
 one task.  NULL text is empty and still gets its end id; an empty table gives
 no segments.  Only ``doc_id`` and ``text`` are read.
 """
@@ -38,20 +40,55 @@ from tierlake.llm.bpe import encoder
 from tierlake.llm.common import text_or_empty
 from tierlake.session import scratch_path
 
-BLOCK = 1024
+BLOCK = 2048
 SEGMENT = 4_000_000
-SLOTS1, SLOTS2 = 512, 512
+SLOTS1, SLOTS2 = 1024, 2048
 CONTEXTS = 32           # 4 confidences x 4 confidences x agreement
-BUCKETS = 8             # ids below 512, then one bucket per doubling up to 65,536
-BITS = 12               # probabilities are in units of 1 / 4096
+BITS = 12               # event probabilities are in units of 1 / 4096
 ONE = np.uint32(1 << BITS)
-EVENT_RATE, BUCKET_RATE = 4, 5
+EVENT_RATE = 4
 FULL = (1 << BITS) - 3
 NEXT_CONFIDENCE = np.array([1, 1, 1, 2, 1, 2, 3, 3], "u4") << 16     # miss with 0-3, hit with 0-3
-LIMIT_NUMBER = np.arange(1, BUCKETS, dtype="i2")[:, None]
-BUCKET_OF = np.array([0, 0, *np.repeat(np.arange(1, 8), 2 ** np.arange(1, 8))])   # by id >> 8
-BUCKET_FIRST = np.array([0, *2 ** np.arange(9, 16)], "u4")
-BUCKET_BITS = np.array([9, *range(9, 16)], "u4")
+HEAD = 8192             # ids coded in one step of order 0
+ORDER0_BITS = 16        # order-0 probabilities are in units of 1 / 65,536
+
+
+class Frequencies:
+    """Order 0: the segment's ids by frequency, as ranges of the unit interval.
+
+    Every id that occurs has a range, the more frequent the wider; the escape stands
+    first among the head's symbols.
+    """
+
+    def __init__(self, counts: np.ndarray):
+        """``counts``: of every id from 0 on."""
+        used = np.flatnonzero(counts)
+        ranked = used[np.lexsort((used, -counts[used].astype("i8")))]
+        head, tail = ranked[:HEAD], ranked[HEAD:]
+        size = max(len(counts), 1)
+        self.start, self.end = np.zeros(size, "u4"), np.zeros(size, "u4")
+        self.start2, self.end2 = np.zeros(size, "u4"), np.zeros(size, "u4")
+        self.escaped = np.zeros(size, bool)
+        self.escaped[tail] = True
+        edges = self._edges(np.concatenate(([counts[tail].sum(dtype="i8")], counts[head])))
+        self.escape = edges[0], edges[1]
+        self.start[head], self.end[head] = edges[1:-1], edges[2:]
+        self.start[tail], self.end[tail] = self.escape
+        self.ids = np.repeat(np.concatenate(([0], head)), np.diff(edges)).astype("u4")     # by place in the interval
+        edges = self._edges(counts[tail])
+        self.start2[tail], self.end2[tail] = edges[:-1], edges[1:]
+        self.ids2 = np.repeat(tail, np.diff(edges)).astype("u4")
+
+    @staticmethod
+    def _edges(counts: np.ndarray) -> np.ndarray:
+        """Range ends in proportion to the counts, at least one unit each that occurs."""
+        counts = counts.astype("i8")
+        if not counts.sum():
+            return np.zeros(len(counts) + 1, "u4")
+        some = (counts > 0).astype("i8")
+        width = some + counts * ((1 << ORDER0_BITS) - some.sum()) // counts.sum()
+        width[np.argmax(width)] += (1 << ORDER0_BITS) - width.sum()
+        return np.concatenate(([0], np.cumsum(width))).astype("u4")
 
 
 class Lanes:
@@ -71,10 +108,6 @@ class Lanes:
         # limits of "order 2 is right" and "order 2 or order 1 is right", by context
         self.limit2 = np.full(n * CONTEXTS, FULL // 5, "i4")
         self.limit1 = np.full(n * CONTEXTS, 2 * FULL // 5, "i4")
-        # limits between the buckets, one row per limit; the outer rows never move
-        rows = np.arange(BUCKETS + 1) * ((int(ONE) - BUCKETS) // BUCKETS)
-        rows[-1] = int(ONE) - BUCKETS
-        self.buckets = np.repeat(rows[:, None], n, axis=1).astype("i2")
         self.last1 = np.zeros(n, "u4")
         self.last2 = np.zeros(n, "u4")
 
@@ -101,26 +134,6 @@ class Lanes:
         self.limit1[self.at_event] = self.raw1 + ((hit * np.int32(FULL) - self.raw1) >> EVENT_RATE)
         self.last2, self.last1 = self.last1, ids
 
-    def bucket_limits(self, lanes: np.ndarray, bucket: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """Start and end of each lane's bucket."""
-        flat, at = self.buckets.reshape(-1), bucket * self.n + lanes
-        start = flat.take(at) + bucket
-        return start.astype("u4"), (flat.take(at + self.n) + bucket + 1).astype("u4")
-
-    def find_bucket(self, lanes: np.ndarray, target: np.ndarray) -> np.ndarray:
-        wanted = np.zeros(self.n, "i2")
-        wanted[lanes] = target
-        inner = self.buckets[1:BUCKETS] + LIMIT_NUMBER
-        return np.add.reduce(wanted >= inner, axis=0, dtype="i8").take(lanes)
-
-    def update_buckets(self, lanes: np.ndarray, bucket: np.ndarray) -> None:
-        """Inner limits of these lanes move towards 0 up to their bucket, to full beyond."""
-        seen = np.full(self.n, -1, "i2")
-        seen[lanes] = bucket
-        inner = self.buckets[1:BUCKETS]
-        step = ((seen < LIMIT_NUMBER) * np.int16(int(ONE) - BUCKETS) - inner) >> BUCKET_RATE
-        inner += step * (seen >= 0)
-
 
 class Writer:
     """Range encoder of n lanes.
@@ -213,20 +226,23 @@ class Reader:
             self.ahead[lanes], self.range[lanes] = ahead, width
 
 
-def encode_ids(ids: np.ndarray) -> dict[str, bytes]:
-    """Code one segment: word counts and CRC-32 per block, and the words."""
+def encode_ids(ids: np.ndarray, counts: np.ndarray | None = None) -> dict[str, bytes]:
+    """Code one segment: id counts, word counts and CRC-32 per block, and the words.
+
+    ``counts`` replaces the ids' own counts; a block's words depend on these and its ids alone."""
     ids = np.ascontiguousarray(ids, "<u4")
     if ids.size and ids.max() > 0xFFFF:
         raise ValueError("ids must be below 65,536")
     n = -(-len(ids) // BLOCK)
     if not n:
-        return {"block_words": b"", "block_crcs": b"", "words": b""}
+        return {"id_counts": b"", "block_words": b"", "block_crcs": b"", "words": b""}
     crcs = [zlib.crc32(ids[i * BLOCK:(i + 1) * BLOCK]) for i in range(n)]
     steps = min(BLOCK, len(ids))
-    # The last block is padded with id 0; the reader knows the number of ids.
-    grid = np.concatenate([ids, np.zeros(n * BLOCK - len(ids), "<u4")]).reshape(n, BLOCK)[:, :steps].T.copy()
-    model, out, bits = Lanes(n), Writer(n), np.uint32(BITS)
-    zero = np.uint32(0)
+    # The last block is padded with its last id; the reader knows the number of ids.
+    grid = np.concatenate([ids, np.full(n * BLOCK - len(ids), ids[-1], "<u4")]).reshape(n, BLOCK)[:, :steps].T.copy()
+    counts = np.bincount(ids).astype("<u4") if counts is None else counts
+    model, order0, out, bits = Lanes(n), Frequencies(counts), Writer(n), np.uint32(BITS)
+    zero, bits0 = np.uint32(0), np.uint32(ORDER0_BITS)
     for now in grid:
         model.predict()
         hit2 = now == model.guess2
@@ -236,17 +252,18 @@ def encode_ids(ids: np.ndarray) -> dict[str, bytes]:
         lanes = np.flatnonzero(~hit)
         if lanes.size:
             value = now.take(lanes)
-            bucket = BUCKET_OF.take(value >> np.uint32(8))
-            out.code(lanes, *model.bucket_limits(lanes, bucket), bits)
-            low = value - BUCKET_FIRST.take(bucket)
-            out.code(lanes, low, low + np.uint32(1), BUCKET_BITS.take(bucket))
-            model.update_buckets(lanes, bucket)
+            out.code(lanes, order0.start.take(value), order0.end.take(value), bits0)
+            rare = order0.escaped.take(value)
+            if rare.any():
+                value = value[rare]
+                out.code(lanes[rare], order0.start2.take(value), order0.end2.take(value), bits0)
         model.update(now, hit2, hit)
-    counts, words = out.finish()
-    return {"block_words": counts.tobytes(), "block_crcs": np.array(crcs, "<u4").tobytes(), "words": words.tobytes()}
+    lengths, words = out.finish()
+    return {"id_counts": zlib.compress(counts.tobytes(), 6), "block_words": lengths.tobytes(),
+            "block_crcs": np.array(crcs, "<u4").tobytes(), "words": words.tobytes()}
 
 
-def decode_ids(n_ids: int, block_words: bytes, block_crcs: bytes, words: bytes) -> np.ndarray:
+def decode_ids(n_ids: int, id_counts: bytes, block_words: bytes, block_crcs: bytes, words: bytes) -> np.ndarray:
     """The ids of one segment; ValueError when a block's checksum differs."""
     counts = np.frombuffer(block_words, "<u4")
     n = len(counts)
@@ -254,9 +271,16 @@ def decode_ids(n_ids: int, block_words: bytes, block_crcs: bytes, words: bytes)
         raise ValueError("the blocks do not fit the number of ids")
     if not n:
         return np.zeros(0, "<u4")
+    try:
+        seen = np.frombuffer(zlib.decompress(id_counts), "<u4")
+    except (zlib.error, ValueError) as e:
+        raise ValueError("the id counts cannot be read") from e
+    if seen.sum(dtype="i8") != n_ids:
+        raise ValueError("the id counts do not fit the number of ids")
     steps = min(BLOCK, n_ids)
-    model, code, bits = Lanes(n), Reader(counts, np.frombuffer(words, "<u2")), np.uint32(BITS)
-    zero = np.uint32(0)
+    model, order0 = Lanes(n), Frequencies(seen)
+    code, bits = Reader(counts, np.frombuffer(words, "<u2")), np.uint32(BITS)
+    zero, bits0 = np.uint32(0), np.uint32(ORDER0_BITS)
     grid = np.zeros((steps, n), "<u4")
     for t in range(steps):
         model.predict()
@@ -267,12 +291,18 @@ def decode_ids(n_ids: int, block_words: bytes, block_crcs: bytes, words: bytes)
         now = np.where(hit2, model.guess2, model.guess1)
         lanes = np.flatnonzero(~hit)
         if lanes.size:
-            bucket = model.find_bucket(lanes, code.target(lanes, bits))
-            code.advance(lanes, *model.bucket_limits(lanes, bucket))
-            low = code.target(lanes, BUCKET_BITS.take(bucket))
-            code.advance(lanes, low, low + np.uint32(1))
-            now[lanes] = low + BUCKET_FIRST.take(bucket)
-            model.update_buckets(lanes, bucket)
+            place = code.target(lanes, bits0)
+            value = order0.ids.take(place)
+            rare = place < order0.escape[1]
+            start, end = order0.start.take(value), order0.end.take(value)
+            start[rare], end[rare] = order0.escape
+            code.advance(lanes, start, end)
+            if rare.any():
+                late = lanes[rare]
+                found = order0.ids2.take(code.target(late, bits0))
+                code.advance(late, order0.start2.take(found), order0.end2.take(found))
+                value[rare] = found
+            now[lanes] = value
         model.update(now, hit2, hit)
         grid[t] = now
     ids = np.ascontiguousarray(grid.T).reshape(-1)[:n_ids].astype("<u4")
@@ -283,13 +313,13 @@ def decode_ids(n_ids: int, block_words: bytes, block_crcs: bytes, words: bytes)
 
 
 FILE_SCHEMA = ("part int, segment int, n_ids long, doc_ids array<long>, doc_tokens array<long>, "
-               "block_words binary, block_crcs binary, words binary")
+               "id_counts binary, block_words binary, block_crcs binary, words binary")
 
 
 def write_ids(docs: DataFrame, tokenizer: str, path: str, end_id: int = 2, segment: int = SEGMENT) -> None:
     """Encode every text, append ``end_id``, and write coded segments in ``doc_id`` order."""
-    ordered = docs.select("doc_id", text_or_empty().alias("text")).repartitionByRange("doc_id").sortWithinPartitions(
-        "doc_id", "text")
+    order = ["doc_id", F.xxhash64("text"), "text"]          # the hash parts rows without an id
+    ordered = docs.select("doc_id", text_or_empty().alias("text")).repartitionByRange(*order[:2]).sortWithinPartitions(*order)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         enc, part, number = encoder(tokenizer), TaskContext.get().partitionId(), 0
@@ -305,7 +335,7 @@ def write_ids(docs: DataFrame, tokenizer: str, path: str, end_id: int = 2, segme
             return pa.RecordBatch.from_pylist([row], schema=pa.schema([
                 ("part", pa.int32()), ("segment", pa.int32()), ("n_ids", pa.int64()),
                 ("doc_ids", pa.list_(pa.int64())), ("doc_tokens", pa.list_(pa.int64())),
-                ("block_words", pa.binary()), ("block_crcs", pa.binary()), ("words", pa.binary())]))
+                ("id_counts", pa.binary()), ("block_words", pa.binary()), ("block_crcs", pa.binary()), ("words", pa.binary())]))
 
         held = 0
         for b in batches:
@@ -334,7 +364,8 @@ def read_ids(spark: SparkSession, path: str, keep_ids: bool = True) -> DataFrame
         for b in batches:
             for i in range(b.num_rows):
                 row = {c: b.column(k)[i].as_py() for k, c in enumerate(b.schema.names)}
-                data = decode_ids(row["n_ids"], row["block_words"], row["block_crcs"], row["words"]).tobytes()
+                data = decode_ids(row["n_ids"], row["id_counts"], row["block_words"], row["block_crcs"],
+                                  row["words"]).tobytes()
                 ends = 4 * np.cumsum([0, *row["doc_tokens"]], dtype="i8")
                 parts = [data[a:z] for a, z in zip(ends[:-1].tolist(), ends[1:].tolist())]
                 n = len(parts)
