@@ -14,7 +14,16 @@ from tierlake.functions.dates import parse_date
 from tierlake.functions.text import initcap_columns
 from tierlake.operators.dedupe import dedupe
 
+# --- fixed values: silver column names by landing name, and the lineage columns -----
 LINEAGE = ("ingested_at", "source_file")
+CIRCUIT_NAMES = {"circuitId": "circuit_id", "circuitName": "circuit_name", "lat": "latitude", "long": "longitude"}
+RACE_NAMES = {"circuitId": "circuit_id", "raceName": "race_name", "date": "race_date"}
+CONSTRUCTOR_NAMES = {"constructorId": "constructor_id", "name": "constructor_name"}
+DRIVER_NAMES = {"driverId": "driver_id", "dateOfBirth": "date_of_birth"}
+PERSON_NAMES = {"givenName": "first_name", "familyName": "last_name"}
+RESULT_NAMES = {"raceName": "race_name", "constructorId": "constructor_id", "driverId": "driver_id",
+                "positionText": "position_text"}
+# --- end fixed values ---------------------------------------------------------------
 
 
 def select_present(df: DataFrame, cols: list[str]) -> DataFrame:
@@ -43,8 +52,7 @@ def require_not_null(df: DataFrame, cols: list[str]) -> DataFrame:
 def conform_circuits(bronze: DataFrame) -> DataFrame:
     df = select_present(bronze, ["circuitId", "circuitName", "lat", "long", "locality", "country",
                                  "ingested_at", "source_file"])
-    df = rename_columns(df, {"circuitId": "circuit_id", "circuitName": "circuit_name",
-                             "lat": "latitude", "long": "longitude"})
+    df = rename_columns(df, CIRCUIT_NAMES)
     df = require_not_null(df, ["circuit_id"])
     df = dedupe(df, ["circuit_id"])
     return initcap_columns(df, ["circuit_name", "locality"])
@@ -53,7 +61,7 @@ def conform_circuits(bronze: DataFrame) -> DataFrame:
 def conform_races(bronze: DataFrame) -> DataFrame:
     df = select_present(bronze, ["season", "round", "raceName", "date", "circuitId",
                                  "ingested_at", "source_file"])
-    df = rename_columns(df, {"circuitId": "circuit_id", "raceName": "race_name", "date": "race_date"})
+    df = rename_columns(df, RACE_NAMES)
     # Landing ``round`` is text; make it the integer key results use *before* the
     # dedupe so '1' and '01' are one race (a malformed round fails under ANSI).
     df = df.withColumn("round", F.col("round").cast("int"))
@@ -63,30 +71,26 @@ def conform_races(bronze: DataFrame) -> DataFrame:
 
 def conform_constructors(bronze: DataFrame) -> DataFrame:
     df = bronze.drop("url")
-    df = rename_columns(df, {"constructorId": "constructor_id", "name": "constructor_name"})
+    df = rename_columns(df, CONSTRUCTOR_NAMES)
     df = dedupe(df, ["constructor_id"])
     return initcap_columns(df, ["nationality"])
 
 
 def conform_drivers(bronze: DataFrame) -> DataFrame:
-    df = flatten_struct(bronze, "name", {"givenName": "first_name", "familyName": "last_name"}).drop("url")
-    df = rename_columns(df, {"driverId": "driver_id", "dateOfBirth": "date_of_birth"})
+    df = flatten_struct(bronze, "name", PERSON_NAMES).drop("url")
+    df = rename_columns(df, DRIVER_NAMES)
     df = dedupe(df, ["driver_id"])
     return initcap_columns(df, ["first_name", "last_name", "nationality"])
 
 
-_RESULT_RENAMES = {"raceName": "race_name", "constructorId": "constructor_id",
-                   "driverId": "driver_id", "positionText": "position_text"}
-
-
 def conform_results(bronze: DataFrame) -> DataFrame:
-    df = rename_columns(bronze.drop("url"), _RESULT_RENAMES)
+    df = rename_columns(bronze.drop("url"), RESULT_NAMES)
     df = dedupe(df, ["season", "round", "driver_id"])
     return initcap_columns(df, ["race_name", "status"])
 
 
 def conform_sprints(bronze: DataFrame, strict_dates: bool = True) -> DataFrame:
-    df = rename_columns(bronze.drop("url"), _RESULT_RENAMES)
+    df = rename_columns(bronze.drop("url"), RESULT_NAMES)
     df = dedupe(df, ["season", "round", "driver_id"])
     df = initcap_columns(df, ["race_name", "status"])
     return parse_date(df, "date", "yyyy-MM-dd", strict=strict_dates)
