@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from tierlake.functions.dates import parse_date
 from tierlake.functions.exprs import surrogate_key
 from tierlake.functions.text import initcap_columns
-from tierlake.operators.conform import _RESULT_RENAMES, flatten_struct, rename_columns
+from tierlake.operators.conform import RESULT_NAMES, flatten_struct, rename_columns
 from tierlake.operators.dedupe import dedupe
 from tierlake.plans import fixtures as fx
 from tierlake.plans import oracle_sql as osql
@@ -41,7 +41,7 @@ SELECT date, raceName AS race_name, round, season, url, constructorId AS constru
        positionText AS position_text, status FROM bronze_results"""))
 def q_rename_columns(spark, sf_dir):
     # ``nonexistent`` is absent from the frame and therefore ignored.
-    return rename_columns(fx.bronze(spark, sf_dir, "results"), {**_RESULT_RENAMES, "nonexistent": "x"})
+    return rename_columns(fx.bronze(spark, sf_dir, "results"), {**RESULT_NAMES, "nonexistent": "x"})
 
 
 @register("flatten_struct", _bronze("drivers", """
