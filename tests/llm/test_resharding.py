@@ -73,9 +73,29 @@ def test_only_affected_shards_are_rewritten(spark, tmp, edge_docs):
         assert sorted(r.slot for r in rows if r.shard == s) == list(range(sum(r.shard == s for r in rows)))
 
 
+def test_rows_without_or_with_repeated_ids_spread(spark, monkeypatch):
+    """A third without id, a third with one id: near equal shards and small slot buckets."""
+    monkeypatch.setattr(resharding, "BUCKET_BYTES", 2000)
+    rows = [(None if k % 3 == 0 else 7 if k % 3 == 1 else k, "text %d " % k * (1 + k % 5)) for k in range(3000)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    out = resharding.reshard(docs, F.pmod(F.xxhash64("text"), F.lit(3)), 3, 4).collect()
+    load, slots = [0] * 4, [[] for _ in range(4)]
+    for r in out:
+        load[r.shard] += r.size
+        slots[r.shard].append(r.slot)
+    assert sorted((r.doc_id or 0, r.text) for r in out) == sorted((d or 0, t) for d, t in rows)
+    assert all(sorted(s) == list(range(len(s))) for s in slots)
+    assert max(load) - min(load) <= 2 * max(len(t) + 1 for _, t in rows)
+    sizes = docs.select(F.lit(0).alias("old_shard"), resharding.row_size().alias("size"), resharding.row_hash().alias("__hash"))
+    plan = resharding.plan_resharding(sizes, 1, 4)
+    assert plan.slot_buckets >= sum(load) // 4 // 2000
+    buckets = sizes.groupBy(F.pmod(F.xxhash64("__hash"), F.lit(plan.slot_buckets))).agg(F.sum("size").alias("n"))
+    assert buckets.agg(F.max("n")).first()[0] <= 3 * 4 * 2000
+
+
 def test_block_list_is_bounded_by_shards_not_rows(spark):
     sizes = spark.range(200_000).select(F.col("id").alias("doc_id"), (F.col("id") % 3).cast("int").alias("old_shard"),
-                                        (F.col("id") % 50 + 1).alias("size"))
+                                        (F.col("id") % 50 + 1).alias("size"), F.xxhash64("id").alias("__hash"))
     plan = resharding.plan_resharding(sizes, 3, 4, blocks_per_shard=16)
     assert plan.blocks.count() <= (2 * 16 + 1) * 4 + 3
     load = {r["shard"]: r["n"] for r in resharding_loads(sizes, plan)}

@@ -14,12 +14,13 @@ size, so the block list may go to the driver, where blocks are dealt to the
 flow's transfers, largest first, and to broadcast back as block -> new shard.
 
 Only shards whose contents change are rewritten; others keep their files.
-Within a shard rows get gapless slots from two-level counts (64 hash buckets),
-not from one sorted partition per shard.
+Within a shard rows get gapless slots from two-level counts over hash buckets of about
+``BUCKET_BYTES``, as many as the data needs, not from one sorted partition per shard.
 
-The size of a row is the UTF-8 length of ``text`` plus one, so NULL and empty
-texts take one byte.  Rows with a NULL or repeated ``doc_id`` that are hashed alike travel
-together.  An empty table gives an empty result.  Extra columns travel along; the
+Blocks and buckets are hashed by id and text, so rows with a NULL or repeated ``doc_id``
+spread like any others; only rows that repeat id and text travel together.  The size of a
+row is the UTF-8 length of ``text`` plus one, so NULL and empty texts take one byte.  A very
+long text is one row of a block of its own.  An empty table gives an empty result.  Extra columns travel along; the
 operator's own columns replace columns of the same name.
 """
 
@@ -35,7 +36,7 @@ from tierlake.llm.common import text_or_empty
 from tierlake.session import materialize, scratch_path
 
 BLOCKS_PER_SHARD = 512
-SLOT_BUCKETS = 64
+BUCKET_BYTES = 16 << 20     # of one slot bucket, about
 
 
 # --- the flow over shards (a few dozen nodes) --------------------------------------
@@ -139,6 +140,12 @@ class Plan:
     threshold: int
     small_blocks: list[int]
     affected: list[int]
+    slot_buckets: int
+
+
+def row_hash(text: str = "text") -> Column:
+    """Of id and text: what blocks and slot buckets are dealt by."""
+    return F.xxhash64("doc_id", text_or_empty(text))
 
 
 def row_size(text: str = "text") -> Column:
@@ -148,14 +155,14 @@ def row_size(text: str = "text") -> Column:
 def _block_name(threshold: int, small_blocks: list[int]) -> Column:
     """Name of a row's block inside its old shard."""
     n = F.element_at(F.array(*[F.lit(max(1, k)) for k in small_blocks]), (F.col("old_shard") + 1).cast("int"))
-    own = F.concat(F.lit("d"), F.coalesce(F.col("doc_id").cast("string"), F.lit("?")))
-    hashed = F.concat(F.lit("h"), F.pmod(F.xxhash64("doc_id"), n).cast("string"))
+    own = F.concat(F.lit("d"), F.col("__hash").cast("string"))
+    hashed = F.concat(F.lit("h"), F.pmod(F.col("__hash"), n).cast("string"))
     return F.when(F.col("size") > threshold, own).otherwise(hashed)
 
 
 def plan_resharding(sizes: DataFrame, n_old: int, n_new: int, capacity: list[int] | None = None,
                     cost: list[list[int]] | None = None, blocks_per_shard: int = BLOCKS_PER_SHARD) -> Plan:
-    """Plan from (doc_id, old_shard, size): two pre-aggregated passes over narrow rows."""
+    """Plan from (__hash, old_shard, size): two pre-aggregated passes over narrow rows."""
     spark = sizes.sparkSession
     per = {r["old_shard"]: r["n"] for r in sizes.groupBy("old_shard").agg(F.sum("size").alias("n")).collect()}
     supply = [int(per.get(i, 0)) for i in range(n_old)]
@@ -171,29 +178,30 @@ def plan_resharding(sizes: DataFrame, n_old: int, n_new: int, capacity: list[int
     placed = deal_blocks(blocks, flow, capacity)
     table = spark.createDataFrame([(o, b, s) for (o, b), s in placed.items()], "old_shard int, block string, shard int")
     changed = {s for (o, _), s in placed.items() if o != s} | {o for (o, _), s in placed.items() if o != s and o < n_new}
-    return Plan(table, flow, threshold, small_blocks, sorted(changed))
+    return Plan(table, flow, threshold, small_blocks, sorted(changed), max(1, -(-total // (n_new * BUCKET_BYTES))))
 
 
 def assign(docs: DataFrame, plan: Plan) -> DataFrame:
     """Add ``shard`` (and ``size``): a map-side join with the bounded block table."""
-    d = docs.withColumn("size", row_size())
+    d = docs.withColumns({"size": row_size(), "__hash": row_hash()})
     d = d.withColumn("__block", _block_name(plan.threshold, plan.small_blocks))
     table = plan.blocks.select(F.col("old_shard").alias("__old"), F.col("block").alias("__name"), "shard")
     joined = d.drop("shard").join(F.broadcast(table), (F.col("old_shard") == F.col("__old")) & (F.col("__block") == F.col("__name")))
     return joined.drop("__old", "__name", "__block")
 
 
-def with_slots(assigned: DataFrame) -> DataFrame:
+def with_slots(assigned: DataFrame, buckets: int) -> DataFrame:
     """Add ``slot``: gapless from 0 in each shard, in (bucket, doc_id) order."""
-    bucketed = assigned.withColumn("__bucket", F.pmod(F.xxhash64("doc_id"), F.lit(SLOT_BUCKETS)).cast("int"))
+    # other digits of the hash than the blocks': a block is not a bucket
+    bucketed = assigned.withColumn("__bucket", F.pmod(F.xxhash64("__hash"), F.lit(buckets)).cast("int")).drop("__hash")
     counts = bucketed.groupBy("shard", "__bucket").agg(F.count(F.lit(1)).alias("__n"))
     before = Window.partitionBy("shard").orderBy("__bucket").rowsBetween(Window.unboundedPreceding, -1)
     offsets = counts.select(F.col("shard").alias("__s"), F.col("__bucket").alias("__b"),
                             F.coalesce(F.sum("__n").over(before), F.lit(0)).alias("__offset"))
     inside = Window.partitionBy("shard", "__bucket").orderBy("doc_id", "text")
     numbered = bucketed.withColumn("__row", F.row_number().over(inside))
-    # shards x SLOT_BUCKETS rows
-    joined = numbered.join(F.broadcast(offsets), (F.col("shard") == F.col("__s")) & (F.col("__bucket") == F.col("__b")))
+    # the rows are already dealt by this key
+    joined = numbered.join(offsets, (F.col("shard") == F.col("__s")) & (F.col("__bucket") == F.col("__b")))
     return joined.withColumn("slot", (F.col("__offset") + F.col("__row") - 1).cast("long")).drop(
         "__bucket", "__row", "__offset", "__s", "__b")
 
@@ -202,13 +210,13 @@ def rewrite_affected(assigned: DataFrame, plan: Plan, path: str) -> DataFrame:
     """Write the affected shards under ``path`` (one folder per shard) and return all
     rows: rewritten shards from their new files, the others as they were."""
     spark = assigned.sparkSession
-    changed = with_slots(assigned.filter(F.col("shard").isin(plan.affected)))
+    changed = with_slots(assigned.filter(F.col("shard").isin(plan.affected)), plan.slot_buckets)
     changed.write.partitionBy("shard").parquet(path)
     schema = changed.schema
     out = spark.read.schema(schema).parquet(path)
     untouched = sorted(set(range(len(plan.flow[0]) if plan.flow else 0)) - set(plan.affected))
     if untouched:
-        out = out.unionByName(with_slots(assigned.filter(F.col("shard").isin(untouched))))
+        out = out.unionByName(with_slots(assigned.filter(F.col("shard").isin(untouched)), plan.slot_buckets))
     return out
 
 
@@ -218,6 +226,6 @@ def reshard(docs: DataFrame, old_shard: Column, n_old: int, n_new: int, capacity
     the rows as they lie afterwards, with old_shard, shard, slot and size."""
     spark = docs.sparkSession
     docs = docs.withColumn("old_shard", old_shard.cast("int"))
-    sizes = materialize(docs.select("doc_id", "old_shard", row_size().alias("size")), "reshard-sizes")
+    sizes = materialize(docs.select("old_shard", row_size().alias("size"), row_hash().alias("__hash")), "reshard-sizes")
     plan = plan_resharding(sizes, n_old, n_new, capacity, cost)
     return rewrite_affected(assign(docs, plan), plan, path or scratch_path(spark, "reshard"))
