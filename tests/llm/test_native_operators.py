@@ -145,6 +145,33 @@ def test_rule_bits_policies_and_ablation(edge_docs):
         assert a.kept_without == sum(r.fail_bits & p.mask & ~bit == 0 for r in rows)
 
 
+def test_a_second_policy_reads_no_text(spark, tmp, edge_docs, monkeypatch):
+    path = rule_ledger.store(edge_docs, tmp)
+    ledger = rule_ledger.read_ledger(spark, path)
+    assert sorted(map(repr, ledger.collect())) == sorted(map(repr, rule_ledger.measure(edge_docs).collect()))
+    other = rule_ledger.Policy("v2", ("few_words", "upper_case"))
+    for df in (rule_ledger.apply_policy(ledger), rule_ledger.apply_policy(ledger, other),
+               rule_ledger.ablation(ledger, (rule_ledger.STRICT, other))):
+        plan = df._jdf.queryExecution().executedPlan().toString()
+        scans = re.findall(r"FileScan parquet \[([^]]*)\]", plan)
+        assert len(scans) == 1 and "fail_bits" in scans[0] and "text" not in scans[0]
+    # another catalogue's ledger lies beside it
+    monkeypatch.setattr(rule_ledger, "CATALOGUE", "other")
+    rule_ledger.store(edge_docs.limit(3), path)
+    assert rule_ledger.read_ledger(spark, path, "other").count() == 3 and ledger.count() == edge_docs.count()
+
+
+def test_pairs_appended_twice_count_once(spark, tmp, edge_docs):
+    versions = edge_docs.select("doc_id", "text")
+    new = secret_ledger.scan_unseen(versions)
+    for _ in range(2):
+        new.write.mode("append").parquet(tmp)
+    twice = secret_ledger.findings_by_version(versions, secret_ledger.read_ledger(spark, tmp))
+    once = secret_ledger.scan(versions)
+    assert sorted(map(repr, twice.select("doc_id", "findings").collect())) == sorted(
+        map(repr, once.select("doc_id", "findings").collect()))
+
+
 def test_ledger_scans_only_unseen_pairs(spark, edge_docs):
     versions = edge_docs.select("doc_id", "text")
     first = versions.filter("doc_id < 50")

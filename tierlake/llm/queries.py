@@ -92,7 +92,7 @@ def op7_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def op8_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
-    ledger = rule_ledger.measure(documents(spark, sf_dir))
+    ledger = rule_ledger.read_ledger(spark, rule_ledger.store(documents(spark, sf_dir)))
     return rule_ledger.apply_policy(ledger).select(
         "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept",
         "fail_bits")

@@ -1,29 +1,33 @@
 """Quality rules as a bitmask ledger (DataFrame functions only).
 
-``measure`` evaluates every rule of the catalogue once per document and stores
-the measurements and one bit per failed rule.  ``apply_policy`` then decides
-from the stored bits alone (a policy is a version and the set of rules it
-enforces), and ``ablation`` compares policies, or a policy without each of its
-rules, in one pre-aggregated pass of bitwise counts - no text is read again.
+``measure`` evaluates every rule of the catalogue once per document: the measurements
+and one bit per failed rule.  ``store`` writes them, one folder per catalogue version
+(``CATALOGUE``, a function of the rules), so a changed catalogue never mixes with an older
+one.  ``apply_policy`` then decides from the stored bits alone (a policy is a version and
+the set of rules it enforces), and ``ablation`` compares policies, or a policy without each
+of its rules, in one pre-aggregated pass of bitwise counts - no text is read again.
 
 All measurements are per-row expressions, so the ledger is one scan without a
 shuffle.  Repeated three-word windows are found inside the row: windows are
 compared as strings, and only a document that has a repeated window sorts them.
 NULL text counts as empty (0 words, so it fails ``few_words``); rows are
 independent, so repeated rows repeat their result; an empty table gives an
-empty ledger (and all-zero ablation counts).  Only ``doc_id`` and ``text`` are
+empty ledger (and all-zero ablation counts).  A very long text is measured whole, its
+windows in memory one row at a time.  Only ``doc_id`` and ``text`` are
 read, other columns cannot clash.
 """
 
 from __future__ import annotations
 
+import zlib
 from collections.abc import Iterable
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tierlake.llm.common import text_or_empty, without_spaces, words
+from tierlake.session import scratch_path
 
 SYMBOLS = "#*$%&|<>"
 
@@ -102,6 +106,23 @@ def measure(docs: DataFrame) -> DataFrame:
                     "n_repeat_words", total.alias("fail_bits"))
 
 
+# Changes with the rules, their order and their thresholds.
+CATALOGUE = f"{zlib.crc32(repr(sorted(RULES.items())).encode() + repr(list(RULES)).encode()):08x}"
+
+
+def store(docs: DataFrame, path: str | None = None) -> str:
+    """Measure ``docs`` and write the ledger of the present catalogue under ``path``; other
+    catalogues' ledgers there stay.  Returns the path."""
+    path = path or scratch_path(docs.sparkSession, "rule-ledger")
+    measure(docs).write.mode("overwrite").parquet(f"{path}/catalogue={CATALOGUE}")
+    return path
+
+
+def read_ledger(spark: SparkSession, path: str, catalogue: str = CATALOGUE) -> DataFrame:
+    """The stored ledger of a catalogue version."""
+    return spark.read.parquet(f"{path}/catalogue={catalogue}")
+
+
 def fails(policy: Policy) -> Column:
     return F.col("fail_bits").bitwiseAND(F.lit(policy.mask)) != 0
 

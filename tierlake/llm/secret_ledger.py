@@ -17,7 +17,8 @@ their lengths add up to code-point offsets.  Texts in which the pattern does not
 occur are settled by one ``rlike``.
 
 NULL text counts as empty.  Repeated rows and paths repeat their findings; NULL
-paths or versions are carried along; an empty table gives an empty result.  The
+paths or versions are carried along; an empty table gives an empty result.  Very long
+texts are scanned whole.  The
 inputs' other columns are not read.
 """
 
@@ -87,21 +88,21 @@ def read_ledger(spark: SparkSession, path: str | None) -> DataFrame:
 def scan_unseen(versions: DataFrame, ledger: DataFrame | None = None, rules=RULES) -> DataFrame:
     """New ledger rows for the (blob, rule version) pairs that ``ledger`` lacks.
 
-    ``versions`` needs a ``text`` column.  Equal texts are collapsed map-side
-    before the shuffle, so a blob with many copies moves once per task at most.
+    ``versions`` needs a ``text`` column.  With a ledger, what is unseen is found from the
+    blob ids alone and only the texts of those blobs go on.  Equal texts are collapsed
+    map-side before the shuffle, so a blob with many copies moves once per task at most.
     """
     spark = versions.sparkSession
-    blobs = versions.select(text_or_empty().alias("text")).withColumn("blob", blob_id(F.col("text")))
-    blobs = blobs.groupBy("blob").agg(F.first("text").alias("text"))
+    texts = versions.select(text_or_empty().alias("text")).withColumn("blob", blob_id(F.col("text")))
     wanted = F.array(*[F.struct(F.lit(r.kind).alias("rule"), F.lit(r.version).alias("rule_version")) for r in rules])
-    if ledger is not None:
-        seen = ledger.groupBy("blob").agg(F.collect_set(F.struct("rule", "rule_version")).alias("__seen"))
-        blobs = blobs.join(seen, "blob", "left").withColumn(
-            "__todo", F.array_except(wanted, F.coalesce("__seen", F.array().cast(
-                "array<struct<rule:string,rule_version:int>>"))))
-        blobs = blobs.filter(F.size("__todo") > 0)
+    if ledger is None:
+        blobs = texts.groupBy("blob").agg(F.first("text").alias("text")).withColumn("__todo", wanted)
     else:
-        blobs = blobs.withColumn("__todo", wanted)
+        seen = ledger.groupBy("blob").agg(F.collect_set(F.struct("rule", "rule_version")).alias("__seen"))
+        none = F.array().cast("array<struct<rule:string,rule_version:int>>")
+        unseen = texts.select("blob").distinct().join(seen, "blob", "left").select(
+            "blob", F.array_except(wanted, F.coalesce("__seen", none)).alias("__todo")).filter(F.size("__todo") > 0)
+        blobs = texts.join(unseen, "blob").groupBy("blob").agg(F.first("text").alias("text"), F.first("__todo").alias("__todo"))
 
     def scanned(r: Rule) -> Column:
         pair = F.struct(F.lit(r.kind).alias("rule"), F.lit(r.version).alias("rule_version"))
@@ -117,7 +118,7 @@ def update_ledger(versions: DataFrame, path: str | None = None, rules=RULES) ->
     """Scan what the ledger at ``path`` lacks, append it, and return the ledger's path.
 
     A failed append leaves no committed files (Spark's output committer), so the
-    scan can simply run again.
+    scan can simply run again; a pair that two writers append counts once.
     """
     spark = versions.sparkSession
     known = read_ledger(spark, path) if path else None
@@ -139,7 +140,7 @@ def findings_by_version(versions: DataFrame, ledger: DataFrame, rules=RULES) ->
     per_blob = hits.select(F.col("blob").alias("__blob"), F.transform("spans", lambda s: F.struct(
         s["start"].alias("start"), order[F.col("rule")].alias("no"), F.col("rule").alias("kind"),
         s["end"].alias("end"))).alias("__spans"))
-    per_blob = per_blob.groupBy("__blob").agg(F.array_sort(F.flatten(F.collect_list("__spans"))).alias("__spans"))
+    per_blob = per_blob.groupBy("__blob").agg(F.array_sort(F.array_distinct(F.flatten(F.collect_list("__spans")))).alias("__spans"))
     addressed = versions.withColumn("blob", blob_id(text_or_empty())).drop("text")
     none = F.array().cast("array<struct<start:int,no:int,kind:string,end:int>>")
     return addressed.join(per_blob, F.col("blob") == F.col("__blob"), "left").withColumn(
