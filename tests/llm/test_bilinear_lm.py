@@ -7,6 +7,7 @@ from math import log10
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from tierlake.llm import bilinear_lm as lm
 
@@ -80,3 +81,16 @@ def test_no_training_documents(spark):
     docs = spark.createDataFrame([(i, "some words") for i in ids], "doc_id long, text string")
     out = lm.score_documents(docs).collect()
     assert len(out) == len(ids) and all(r.train_tokens == 0 and r.base_score == 0 and r.n_known == 0 for r in out)
+
+
+def test_equally_frequent_words_still_fill_the_head(spark):
+    """More words of one count than fit: whole hash bins of them, and all more frequent ones."""
+    flat = spark.range(50_000).select(F.concat(F.lit("w"), "id").alias("word"), F.lit(3).cast("long").alias("c"))
+    some = spark.createDataFrame([("top", 900), ("next", 40), ("\n", 5000)], "word string, c long")
+    counts = flat.unionByName(some).cache()
+    head = lm.head_words(counts, 1000)
+    assert head[:2] == [("top", 900), ("next", 40)] and 900 <= len(head) <= 1000
+    assert head == sorted(head, key=lambda r: (-r[1], r[0])) == lm.head_words(counts.repartition(5), 1000)
+    assert len(lm.head_words(counts, 60_000)) == 50_002
+    assert lm.head_words(counts.limit(0), 10) == []
+    counts.unpersist()

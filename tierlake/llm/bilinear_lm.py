@@ -41,6 +41,7 @@ from tierlake.session import materialize
 
 CLASSES = 510
 HEAD_WORDS = 65_536
+HASH_BINS = 4096
 WIDTH = 24
 TRAIN_SHARDS = 8
 ROUNDS = 2
@@ -108,20 +109,28 @@ def head_words(counts: DataFrame, most: int = HEAD_WORDS) -> list[tuple[str, int
     """The most frequent words (never the end), at most ``most``, by count then word.
 
     A histogram of counts gives the least count that still fits, so nothing is
-    sorted as a whole.
+    sorted as a whole.  Of the words of the next lower counts, which do not all fit,
+    as many are taken as whole bins of a word hash allow: a table in which most words
+    are equally frequent has its classes too.
     """
     words = counts.filter(F.col("word") != END)
     bucket = F.floor(F.log2("c") * 16)
     sizes = sorted(((r["b"], r["n"]) for r in words.groupBy(bucket.alias("b")).agg(F.count(F.lit(1)).alias("n")).collect()),
                    reverse=True)
-    total, least = 0, None
+    total, wanted = 0, F.lit(False)
     for b, n in sizes:
         if total + n > most:
+            bin_no = F.pmod(F.xxhash64("word"), F.lit(HASH_BINS))
+            bins = words.filter(bucket == b).groupBy(bin_no.alias("bin")).agg(F.count(F.lit(1)).alias("n")).collect()
+            end = 0
+            for k, n_bin in sorted((r["bin"], r["n"]) for r in bins):
+                if total + n_bin > most:
+                    break
+                total, end = total + n_bin, k + 1
+            wanted = wanted | ((bucket == b) & (bin_no < end))
             break
-        total, least = total + n, b
-    if least is None:
-        return []
-    rows = words.filter(bucket >= least).collect()
+        total, wanted = total + n, bucket >= b
+    rows = words.filter(wanted).collect()
     return sorted(((r["word"], r["c"]) for r in rows), key=lambda r: (-r[1], r[0]))
 
 
