@@ -36,7 +36,7 @@ from tierlake.llm.common import text_or_empty
 from tierlake.session import materialize, scratch_path
 
 BLOCKS_PER_SHARD = 512
-BUCKET_BYTES = 1 << 20      # of one slot bucket, about: many buckets a task keep tasks even
+BUCKET_BYTES = 1 << 18      # of one slot bucket, about: many buckets a task keep tasks even
 
 
 # --- the flow over shards (a few dozen nodes) --------------------------------------
