@@ -16,9 +16,9 @@ original), so no text is shuffled to find the groups:
    ``support`` share of the rows.
 
 The row with the most code points stays, then the smallest ``doc_id`` (NULL
-last); fully tied rows (a repeated row) leave exactly one.  NULL text counts as
-empty, so NULL, empty and all-white-space texts form one group.  An empty table
-gives an empty result.  Only ``doc_id`` and ``text`` are read by
+last); fully tied rows (a repeated row) leave exactly one.  A very long text is
+hashed whole.  NULL text counts as empty, so NULL, empty and all-white-space texts
+form one group.  An empty table gives an empty result.  Only ``doc_id`` and ``text`` are read by
 ``duplicate_report``; ``drop_exact_duplicates`` returns the input's columns,
 whatever they are called.
 """

@@ -29,9 +29,9 @@ candidate is dropped.
 Texts without words have fingerprint 0 and link like any other; NULL text counts
 as empty.  Rows with a NULL ``doc_id`` are fingerprinted and linked too but never
 name a component that has another id; a component of such rows alone has a NULL
-id.  Repeated rows fall into one component.  An empty table gives an empty
-result.  Other columns are ignored, or returned unchanged by
-``drop_near_duplicates``.
+id.  A very long text is shingled whole, one row at a time.  Repeated rows fall into one
+component.  An empty table gives an empty result.  Other columns are ignored, or
+returned unchanged by ``drop_near_duplicates``.
 """
 
 from __future__ import annotations
