@@ -45,16 +45,20 @@ def with_buckets(df: DataFrame, by: list[str], value: Column, buckets: list[Colu
 
 
 def bucket_ends(rows: DataFrame, by: list[str], order: list[str], n: int, levels: int) -> DataFrame:
-    """Group, buckets and ``__ends``, the last ``n`` values of every bucket of the finest level."""
-    ordered = F.sort_array(F.collect_list(F.struct(*order, F.col(VALUE))))
-    ends = rows.groupBy(KEY).agg(F.transform(_last(ordered, n), lambda x: x[VALUE]).alias("__ends"),
+    """Group, buckets and, for every bucket of the finest level, its first and last ``n`` values:
+    ``__starts`` and ``__ends``."""
+    ordered = F.col("__ordered")
+    ends = rows.groupBy(KEY).agg(F.sort_array(F.collect_list(F.struct(*order, F.col(VALUE)))).alias("__ordered"),
                                  F.bit_xor(F.xxhash64(*[c for c in rows.columns if c != KEY])).alias("__whole"))
     parts = [F.col(f"{KEY}.{c}").alias(c) for c in [*by, *[_bucket(k) for k in range(levels)]]]
-    return ends.select(*parts, F.when(F.col("__whole").isNotNull(), F.col("__ends")).alias("__ends"))
+    ends = ends.select(*parts, F.transform(F.slice(ordered, 1, n), lambda x: x[VALUE]).alias("__starts"),
+                       F.transform(_last(ordered, n), lambda x: x[VALUE]).alias("__ends"), "__whole")
+    return ends.withColumn("__ends", F.when(F.col("__whole").isNotNull(), F.col("__ends"))).drop("__whole")
 
 
-def halos(ends: DataFrame, by: list[str], n: int, levels: int) -> DataFrame:
-    """``KEY``, ``BEFORE``: per bucket the last ``n`` values of its group before it, oldest first.
+def halos(ends: DataFrame, by: list[str], n: int, levels: int, *carried: str) -> DataFrame:
+    """``KEY``, ``BEFORE`` and the columns ``carried`` on: per bucket the last ``n`` values of its
+    group before it, oldest first.
 
     ``ends`` holds group, buckets and ``__ends`` of the finest level.
     """
@@ -64,12 +68,12 @@ def halos(ends: DataFrame, by: list[str], n: int, levels: int) -> DataFrame:
     siblings = _last(F.flatten(F.collect_list("__ends").over(earlier)), n)
     rows = ends.withColumn("__siblings", siblings)
     if levels == 1:
-        return rows.select(_key(by, 1).alias(KEY), F.col("__siblings").alias(BEFORE))
+        return rows.select(_key(by, 1).alias(KEY), F.col("__siblings").alias(BEFORE), *carried)
     merged = F.sort_array(F.collect_list(F.struct(own, "__ends")))
     above = ends.groupBy(*parent).agg(_last(F.flatten(F.transform(merged, lambda x: x["__ends"])), n).alias("__ends"))
     above = halos(above, by, n, levels - 1).select(F.col(KEY).alias("__parent"), F.col(BEFORE).alias("__above"))
     joined = rows.withColumn("__up", _key(by, levels - 1)).join(above, F.col("__up") == F.col("__parent"))
-    return joined.select(_key(by, levels).alias(KEY), _last(F.concat("__above", "__siblings"), n).alias(BEFORE))
+    return joined.select(_key(by, levels).alias(KEY), _last(F.concat("__above", "__siblings"), n).alias(BEFORE), *carried)
 
 
 def mean_of(values: Column, field: str) -> Column:
@@ -87,19 +91,17 @@ def rolling_mean(df: DataFrame, measures: dict[str, Column], by: list[str], orde
     """
     levels = len(buckets)
     rows = with_buckets(df, by, F.struct(*[c.alias(m) for m, c in measures.items()]), buckets)
-    before = halos(bucket_ends(rows, by, order, n, levels), by, n, levels)
+    before = halos(bucket_ends(rows, by, order, n, levels), by, n, levels, "__starts")
     w = Window.partitionBy(KEY).orderBy(*order)
     frame = w.rowsBetween(-n, -1)
-    rows = rows.withColumn("__at", F.row_number().over(w))
     # A frame that lies inside the bucket is the built-in mean; the first n rows of a bucket
-    # put their few own predecessors after the halo's last values.
-    early = F.collect_list(F.when(F.col("__at") <= n, F.col(VALUE))).over(frame)
-    rows = rows.withColumns({**{m: F.avg(F.col(f"{VALUE}.{m}")).over(frame) for m in measures}, "__early": early})
+    # put their few own predecessors, the bucket's first values, after the halo's last ones.
+    rows = rows.withColumns({"__at": F.row_number().over(w),
+                             **{m: F.avg(F.col(f"{VALUE}.{m}")).over(frame) for m in measures}})
     joined = rows.join(before, KEY)
-    whole = _last(F.concat(BEFORE, "__early"), n)
+    whole = _last(F.concat(BEFORE, F.slice("__starts", F.lit(1), F.col("__at") - 1)), n)
     means = {m: F.when(F.col("__at") > n, F.col(m)).otherwise(mean_of(whole, m)) for m in measures}
-    helpers = [KEY, VALUE, BEFORE, "__at", "__early"]
-    return joined.withColumns(means).drop(*helpers)
+    return joined.withColumns(means).drop(KEY, VALUE, BEFORE, "__at", "__starts")
 
 
 def rolling_mean_of_events(df: DataFrame, measures: dict[str, Column], by: list[str], event: list[str], n: int,
