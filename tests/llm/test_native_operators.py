@@ -94,6 +94,26 @@ def test_tiny_sources_meet_their_targets_beside_hot_ones(spark, tmp_path):
         assert abs(taken[s] - target[s]) <= 0.5, s
 
 
+def test_op9_apportions_blocks_and_settles_them_to_the_word(spark, tmp_path):
+    sizes = {"a": 9_000, "b": 7_000, "c": 4_000, "tiny": 1}
+    rows = [(100 * k + i, " ".join(["w"] * min(90, n - 90 * i)), "en", s, n)
+            for k, (s, n) in enumerate(sizes.items()) for i in range(-(-n // 90))]
+    source = {r[0]: r[3] for r in rows}
+    taken, target, blocks, settled = Counter(), {}, {}, {}
+    for r in QUERIES["op9_mixing"](spark, write_sf(tmp_path, rows)).collect():
+        s = source[r.doc_id]
+        assert 0 <= r.taken <= 2 * r.size
+        taken[s] += r.taken
+        target[s], blocks[s], settled[s] = r.target, r.blocks, r.settled
+    block = -(-int(sum(target.values())) // mixing.TOTAL_BLOCKS)
+    quotients = sorted((-t / (2 * k + 1), s) for s, t in target.items() for k in range(int(t)))
+    won = Counter(s for _, s in quotients[:round(sum(target.values()) / block)])
+    assert blocks == {s: won[s] for s in sizes} and blocks["tiny"] == 0
+    for s, n in sizes.items():
+        assert abs(taken[s] - target[s]) <= 0.5
+        assert abs(settled[s]) <= 2 * block
+
+
 def test_sainte_lague_quotas_follow_highest_quotients(spark):
     t = spark.createDataFrame([("a", 1, 530, 530.0), ("b", 2, 310, 310.0), ("c", 3, 160, 160.0)],
                               "source string, source_no long, source_size long, target double")

@@ -5,19 +5,7 @@ functions only).
   share ``share`` of all words; a target stops at ``max_repeats`` times its
   source's size and the excess goes to the others by weight.
 
-``mix`` takes exactly these targets, at any input size:
-
-* Apportionment in blocks of one word: with the divisor 1 the Sainte-Lague quota
-  of a source is its target rounded to a whole word, so a tiny source beside huge
-  ones gets its share too.
-* Selection: a source with quota q and n words takes every document q div n times
-  and the first q mod n words of its seeded stream once more.  The stream is in
-  hash order, so these are a random sample of its documents, and only the one
-  document at the cut is taken in part.
-
-``mix_blocks`` works in a fixed number of blocks, with quotas per shard, for consumers that
-deal whole blocks.  A source whose target is under about half a block takes nothing there,
-and one of a few blocks misses its target by part of a block:
+``mix_blocks`` deals whole blocks and then settles each source to the word (``op9_mixing``):
 
 * Equal-token blocks: each source's documents, in seeded hash order, form one
   stream of words that is cut into blocks of ``block`` words (its last block may
@@ -27,6 +15,20 @@ and one of a few blocks misses its target by part of a block:
   cut into ``shards`` equal runs, are the quotas per shard.
 * Selection: a source with quota q and n blocks takes every block q div n times
   and the first q mod n blocks of a seeded order once more.
+* Settlement: the quota misses the target by part of a block, and a source whose
+  target is under about half a block has none.  What is missing is taken from the
+  next blocks of the seeded order, what is too much is given back by the last ones,
+  and the block at the cut is taken in part: its first words.
+
+``mix`` is the form for consumers of whole documents (``mixed_documents``), of which as few
+as possible may be taken in part:
+
+* Apportionment in blocks of one word: with the divisor 1 the Sainte-Lague quota
+  of a source is its target rounded to a whole word.
+* Selection: a source with quota q and n words takes every document q div n times
+  and the first q mod n words of its seeded stream once more.  The stream is in
+  hash order, so these are a random sample of its documents, and only the one
+  document at the cut is taken in part.
 
 A document is charged for the words of its own that lie in taken blocks.  The
 stream position of a document is a two-level prefix sum: totals per (source,
@@ -117,21 +119,33 @@ def apportion(targets: DataFrame, total_blocks: int = TOTAL_BLOCKS, shards: int
         "shard", F.floor((F.col("rank") - 1) * shards / F.col("slots")).cast("int"))
 
 
-def block_table(quotients: DataFrame, seed: str = SEED) -> DataFrame:
-    """(source_no, block_no) with how often it is taken and the words taken before it.
+def block_table(targets: DataFrame, quotients: DataFrame, seed: str = SEED) -> DataFrame:
+    """(source_no, block_no) of every block: how often it is taken whole (``times``), how many of its
+    first words once more (``part``), the words taken before it, the source's quota in ``blocks``
+    and the words by which the settlement changes that quota (``settled``).
 
-    At most 1 / share * total_blocks rows and one more per source.
+    ``targets`` have the block length.  At most 1 / share * total_blocks rows and one more per source.
     """
-    per = quotients.groupBy("source_no", "n_blocks", "block", "source_size").agg(F.count(F.lit(1)).alias("quota"))
+    won = quotients.groupBy("source_no").agg(F.count(F.lit(1)).alias("blocks"))
+    per = targets.filter(F.col("source_size") > 0).join(won, "source_no", "left").fillna(0, ["blocks"]).withColumns({
+        "n_blocks": F.ceil(F.col("source_size") / F.col("block")).cast("long"),
+        "words": F.round("target").cast("long")})
     b = per.withColumn("block_no", F.explode(F.sequence(F.lit(0).cast("long"), F.col("n_blocks") - 1)))
+    b = b.withColumn("length", F.least(F.col("block"), F.col("source_size") - F.col("block_no") * F.col("block")))
     pick = Window.partitionBy("source_no").orderBy(
         F.md5(F.concat_ws(":", F.lit(seed), F.col("source_no"), F.col("block_no"))), "block_no")
-    b = b.withColumn("times", F.floor(F.col("quota") / F.col("n_blocks")) + F.when(
-        F.row_number().over(pick) <= F.col("quota") % F.col("n_blocks"), 1).otherwise(0))
-    length = F.least(F.col("block"), F.col("source_size") - F.col("block_no") * F.col("block"))
-    before = Window.partitionBy("source_no").orderBy("block_no").rowsBetween(Window.unboundedPreceding, -1)
-    return b.select("source_no", "block_no", "times",
-                    F.coalesce(F.sum(F.col("times") * length).over(before), F.lit(0)).alias("taken_before"))
+    before = Window.unboundedPreceding, -1
+    b = b.withColumns({"pick": F.row_number().over(pick),
+                       "ahead": F.coalesce(F.sum("length").over(pick.rowsBetween(*before)), F.lit(0))})
+    dealt = F.expr("blocks div n_blocks") + F.when(F.col("pick") <= F.col("blocks") % F.col("n_blocks"), 1).otherwise(0)
+    source = Window.partitionBy("source_no")
+    b = b.withColumns({"settled": F.col("words") - F.sum(dealt * F.col("length")).over(source),
+                       "times": F.expr("words div source_size")})
+    rest = F.col("words") - F.col("times") * F.col("source_size") - F.col("ahead")
+    b = b.withColumn("part", F.greatest(F.lit(0), F.least("length", rest)))
+    taken = F.col("times") * F.col("length") + F.col("part")
+    return b.select("source_no", "block_no", "times", "part", "blocks", "settled", F.coalesce(
+        F.sum(taken).over(source.orderBy("block_no").rowsBetween(*before)), F.lit(0)).alias("taken_before"))
 
 
 def stream_positions(sizes: DataFrame, targets: DataFrame, *ties: str) -> DataFrame:
@@ -187,26 +201,30 @@ def _digest() -> Column:
 
 def mix_blocks(docs: DataFrame, weights=WEIGHTS, share: float = SHARE, max_repeats: int = MAX_REPEATS,
                total_blocks: int = TOTAL_BLOCKS, shards: int = SHARDS, seed: str = SEED) -> DataFrame:
-    """The mix in ``total_blocks`` equal blocks, with the columns of ``mix``."""
+    """The mix in ``total_blocks`` equal blocks, settled to the word: the columns of ``mix``, the
+    source's quota in ``blocks`` and the words by which it is ``settled``."""
     sizes = materialize(document_sizes(docs, seed), "mix-sizes")
     targets = materialize(source_targets(sizes, weights, share, max_repeats).coalesce(1), "mix-targets")
     quotients = apportion(targets, total_blocks, shards, max_repeats)
-    blocks = materialize(block_table(quotients, seed).coalesce(1), "mix-blocks")
-    d = stream_positions(sizes, with_block_length(targets, total_blocks))
+    lengths = with_block_length(targets, total_blocks)
+    blocks = materialize(block_table(lengths, quotients, seed).coalesce(1), "mix-blocks")
+    d = stream_positions(sizes, lengths)
 
-    def taken_up_to(d: DataFrame, position, name: str) -> DataFrame:
+    def taken_up_to(d: DataFrame, position, name: str, *more: str) -> DataFrame:
         """Words of the source taken among its first ``position`` words."""
         last = F.floor((position - 1) / F.col("block")).cast("long")
         b = blocks.select(F.col("source_no"), F.col("block_no").alias("__no"), F.col("times").alias("__times"),
-                          F.col("taken_before").alias("__taken"))
+                          F.col("part").alias("__part"), F.col("taken_before").alias("__taken"), *more)
         d = d.withColumn("__no", F.greatest(F.lit(0), last)).join(b, ["source_no", "__no"], "left")
-        upto = F.coalesce(F.col("__taken") + F.col("__times") * (position - F.col("__no") * F.col("block")), F.lit(0))
-        return d.withColumn(name, upto).drop("__no", "__times", "__taken")
+        inside = position - F.col("__no") * F.col("block")
+        upto = F.coalesce(F.col("__taken") + F.col("__times") * inside + F.least("__part", inside), F.lit(0))
+        return d.withColumn(name, upto).drop("__no", "__times", "__part", "__taken")
 
     d = taken_up_to(d, F.col("start"), "__from")
-    d = taken_up_to(d, F.col("start") + F.col("size"), "__to")
+    d = taken_up_to(d, F.col("start") + F.col("size"), "__to", "blocks", "settled")
     return d.select("doc_id", "source", "size", "source_size", "target",
-                    F.when(F.col("size") > 0, F.col("__to") - F.col("__from")).otherwise(0).cast("long").alias("taken"))
+                    F.when(F.col("size") > 0, F.col("__to") - F.col("__from")).otherwise(0).cast("long").alias("taken"),
+                    F.coalesce("blocks", F.lit(0)).alias("blocks"), F.coalesce("settled", F.lit(0)).alias("settled"))
 
 
 def mixed_documents(docs: DataFrame, **settings) -> DataFrame:
