@@ -7,7 +7,7 @@ from tierlake.operators import evaluation as ev
 from tierlake.operators import features as ft
 from tierlake.operators import marts
 from tierlake.plans import fixtures as fx
-from tierlake.plans.queries_eval import scored
+from tierlake.plans.queries_eval import model_frame, scored
 from tierlake.plans.registry import QUERIES
 from tests.conftest import SF_SMALL
 
@@ -114,6 +114,18 @@ def test_features_scan_each_fact_table_once(spark):
         assert len(re.findall(r"FileScan parquet \[[^]]*l_quantity", p)) == 1 and "ReusedExchange" in p, key
 
 
+def test_model_frame_ranks_the_races_once(spark):
+    """The team's bucket ends read the exchange of the rows although the frame drops the team."""
+    p = final_plan(model_frame(spark, SF_SMALL))
+    p = p[:p.index("== Initial Plan ==")] if "== Initial Plan ==" in p else p
+    assert len(re.findall(r"row_number\(\) windowspecdefinition\([^\]]*min_price", p)) == 1
+
+
+def test_races_are_grouped_from_the_lines(spark):
+    p = plan(fx.bronze_races(spark, SF_SMALL))
+    assert not re.search(r"HashAggregate\(keys=\[[^]]*l_suppkey#\d+L?[,\]]", p)     # no entries on the way
+
+
 def test_standings_rank_ties_join_back(spark):
     p = plan(marts.season_rank(marts.driver_season_stats(fx.gold_race_results(spark, SF_SMALL))))
     assert "__tied" in p and "rank(" not in p
