@@ -41,3 +41,20 @@ def test_permutation_is_a_permutation(spark):
     assert any(r[1] != r[2] for r in rows)
     again = md.permuted_columns(df.repartition(16), ["x", "z"], ["k"], rows=5).select("k", "x", "__next.x", "__next.z")
     assert sorted(rows) == sorted(again.collect())
+
+
+def test_training_rows_fill_the_cores_evenly(spark, monkeypatch):
+    cores = spark.sparkContext.defaultParallelism
+    df = spark.range(0, 100 * cores, 1, cores + 1).withColumn("y", F.col("id") % 2)
+    sizes = lambda d: [len(p) for p in d.rdd.glom().collect()]                       # noqa: E731
+    assert len(sizes(md.spread_rows(df, 100 * cores))) == cores + 1                  # too few rows: as they are
+    for least_most, waves in (((10, 1000), 1), ((10, 40), 3)):
+        monkeypatch.setattr(md, "PARTITION_ROWS", least_most)
+        out = md.spread_rows(df, 100 * cores)
+        found = sizes(out)
+        assert len(found) == waves * cores and max(found) - min(found) <= cores + 1
+        assert sorted(r.id for r in out.collect()) == list(range(100 * cores))
+    fitted = []
+    monkeypatch.setattr(md.Pipeline, "fit", lambda self, data: fitted.append(data.rdd.getNumPartitions()))
+    md.train_podium_model(df, feature_cols=["id"], y="y")
+    assert fitted == [3 * cores]
