@@ -70,3 +70,23 @@ def test_other_tokenizer_kinds_are_refused():
     import public_tokenizers
     with pytest.raises(ValueError):
         bpe.TrieEncoder(public_tokenizers.path("byte_bpe_50k.json"))
+
+
+def test_streams_equal_the_library_text_by_text(tokenizer, library, small_docs, monkeypatch):
+    """Stretches of any size, caches emptied all the time, the end id after every text."""
+    texts = [*ODD, None, "X\r\ny\x1cZ\x1f\x85\xa0w", "Ünï <|ENDOFTEXT|> <|", *[r.text for r in small_docs.select("text").collect()]]
+    for entries, stretch in ((bpe.CACHE_ENTRIES, bpe.STREAM_CHARS), (20, 3000)):
+        monkeypatch.setattr(bpe, "STREAM_CHARS", stretch)
+        got = list(bpe.TrieEncoder(tokenizer, cache_entries=entries).encode_stream(iter(texts), b"\x02\0\0\0"))
+        want = [library.encode(t or "", add_special_tokens=False).ids + [2] for t in texts]
+        assert np.concatenate([n for _, n in got]).tolist() == list(map(len, want))
+        assert np.frombuffer(b"".join(p for p, _ in got), "<u4").tolist() == sum(want, [])
+    assert not list(bpe.TrieEncoder(tokenizer).encode_stream([], b"\x02\0\0\0"))
+
+
+def test_a_stream_encodes_each_distinct_chunk_once(tokenizer):
+    enc, asked = bpe.TrieEncoder(tokenizer), []
+    resolve = enc._resolve
+    enc._resolve = lambda chunks: asked.extend(chunks) or resolve(chunks)
+    list(enc.encode_stream(["some words, some\nwords", "SOME words,"] * 50, b"\x02\0\0\0"))
+    assert sorted(c for c in asked if c) == [b"some", b"words", b"words,"]

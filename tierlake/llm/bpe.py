@@ -41,6 +41,7 @@ from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
@@ -49,6 +50,7 @@ from tierlake.llm.common import map_batches
 END = 0x1000            # added to a symbol's code point when it ends a word
 NEVER = 1 << 60
 GROUP_CHARS = 2_000_000
+STREAM_CHARS = 8_000_000
 CACHE_ENTRIES = 500_000
 
 # --- fixed values: the pre-token pattern of the supported tokenizer files ----------
@@ -229,11 +231,15 @@ class TrieEncoder:
         """A pre-token in byte symbols as the trie spells it: the last symbol marked."""
         return piece[:-1] + chr(ord(piece[-1]) + END) if self.suffix else piece
 
+    def _in_symbols(self, word: str) -> str:
+        """A plain word in byte symbols."""
+        if word.isascii() and word.isprintable():
+            return word
+        return "".join(map(self.symbols.__getitem__, word.encode()))
+
     def _spelled(self, word: str) -> str:
         """A plain word in byte symbols, the last one marked."""
-        if not (word.isascii() and word.isprintable()):
-            word = "".join(map(self.symbols.__getitem__, word.encode()))
-        return self._marked(word)
+        return self._marked(self._in_symbols(word))
 
     def _encode_plain(self, words: set[str]) -> None:
         spelled = {w: self._spelled(w) for w in words}
@@ -286,11 +292,64 @@ class TrieEncoder:
         flush()
         return out
 
+    def _resolve(self, chunks: set[bytes]) -> None:
+        """Ids of unknown chunks: plain ones from the library's model word by word, others through
+        the library's own steps."""
+        words, tokenize, packed, rest = self.plain_words, self.library.model.tokenize, self.packed, set()
+        for c in chunks:
+            text = c.decode()
+            if words and (text.isascii() or self.plain_text(text)) and not (self.special and self.special_start in text):
+                self.chunks[c] = b"".join([packed[t.id] for w in words(text.lower()) for t in tokenize(self._in_symbols(w))])
+            else:
+                rest.add(c)
+        self._encode_chunks(rest)
+
+    def encode_stream(self, texts: Iterable[str | None], end: bytes) -> Iterator[tuple[bytes, np.ndarray]]:
+        """Ids of all texts, each followed by ``end``, in stretches: (packed ids, ids per text, ``end`` included).
+
+        No token crosses ASCII white space, so the texts are cut there; the distinct chunks of about
+        ``STREAM_CHARS`` characters are numbered, encoded once each and put in place by number.
+        """
+        group: list[str] = []
+        size = 0
+        for t in texts:
+            t = t or ""
+            lower = self.plain_words and (t.isascii() or self.plain_text(t)) and \
+                not (self.special and self.special_start in t)
+            group.append(t.lower() if lower else t)
+            size += len(t)
+            if size >= STREAM_CHARS:
+                yield self._placed(group, end)
+                group, size = [], 0
+        if group:
+            yield self._placed(group, end)
+
+    def _placed(self, texts: list[str], end: bytes) -> tuple[bytes, np.ndarray]:
+        cut = pc.ascii_split_whitespace(pa.array(texts, pa.large_string()))
+        numbered = cut.values.dictionary_encode()
+        chunks = _byte_list(numbered.dictionary)
+        new = self.chunks.unknown(set(chunks))
+        if new:
+            self._resolve(new)
+        values = pa.array([*map(self.chunks.__getitem__, chunks), end], pa.large_binary())
+        last = cut.offsets.to_numpy()[1:]
+        places = np.insert(numbered.indices.to_numpy(), last, len(chunks))
+        _, ends, packed = values.take(pa.array(places)).buffers()
+        ends = np.frombuffer(ends, "<i8")[last + np.arange(1, len(texts) + 1)]
+        return packed.to_pybytes()[:ends[-1]], np.diff(ends, prepend=0) // 4
+
     def decode(self, packed: bytes) -> bytes:
         """UTF-8 of the decoded text: without a decoder in the file, the tokens space-joined."""
         return b" ".join(map(self.texts.__getitem__, np.frombuffer(packed, "<u4").tolist()))
 
 
+def _byte_list(strings: pa.Array) -> list[bytes]:
+    """UTF-8 of every string of a large_string array without NULLs."""
+    _, ends, data = strings.buffers()
+    ends, data = np.frombuffer(ends, "<i8")[:len(strings) + 1].tolist(), data.to_pybytes() if data else b""
+    return [data[a:z] for a, z in zip(ends, ends[1:])]
+
+
 @lru_cache(maxsize=2)
 def encoder(path: str) -> TrieEncoder:
     return TrieEncoder(path)

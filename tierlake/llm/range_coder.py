@@ -105,9 +105,10 @@ class Lanes:
         self.base1, self.base2 = self.lane * SLOTS1, self.lane * SLOTS2
         self.table1 = np.zeros(n * SLOTS1, "u4")      # confidence << 16 | predicted id
         self.table2 = np.zeros(n * SLOTS2, "u4")
-        # limits of "order 2 is right" and "order 2 or order 1 is right", by context
-        self.limit2 = np.full(n * CONTEXTS, FULL // 5, "i4")
-        self.limit1 = np.full(n * CONTEXTS, 2 * FULL // 5, "i4")
+        self.base_event = self.lane * CONTEXTS
+        # limits of "order 2 is right" (low half) and "order 2 or order 1 is right" (high half), by context
+        self.limits = np.full(n * CONTEXTS, 2 * FULL // 5 << 16 | FULL // 5, "<u4")
+        self.hits = np.zeros((n, 2), "<i2")
         self.last1 = np.zeros(n, "u4")
         self.last2 = np.zeros(n, "u4")
 
@@ -119,10 +120,10 @@ class Lanes:
         self.guess1, self.guess2 = entry1 & np.uint32(0xFFFF), entry2 & np.uint32(0xFFFF)
         self.trust1, self.trust2 = entry1.view("u2")[1::2], entry2.view("u2")[1::2]
         context = self.trust2 * np.uint16(8) + self.trust1 * np.uint16(2) + (self.guess1 == self.guess2)
-        self.at_event = self.lane * CONTEXTS + context
-        self.raw2, self.raw1 = self.limit2.take(self.at_event), self.limit1.take(self.at_event)
-        self.upto2 = (self.raw2 + 1).view("u4")
-        self.upto1 = (self.raw1 + 2).view("u4")
+        self.at_event = self.base_event + context
+        self.raw = self.limits.take(self.at_event)
+        self.upto2 = (self.raw & np.uint32(0xFFFF)) + np.uint32(1)
+        self.upto1 = (self.raw >> np.uint32(16)) + np.uint32(2)
 
     def update(self, ids: np.ndarray, hit2: np.ndarray, hit: np.ndarray) -> None:
         """``hit2``: order 2 was right; ``hit``: order 2 or order 1 was."""
@@ -130,8 +131,10 @@ class Lanes:
                                         (self.table2, self.at2, self.guess2, self.trust2)):
             right = guess == ids
             table[at] = np.where(right | (trust > 1), guess, ids) + NEXT_CONFIDENCE.take(right * np.uint16(4) + trust)
-        self.limit2[self.at_event] = self.raw2 + ((hit2 * np.int32(FULL) - self.raw2) >> EVENT_RATE)
-        self.limit1[self.at_event] = self.raw1 + ((hit * np.int32(FULL) - self.raw1) >> EVENT_RATE)
+        self.hits[:, 0], self.hits[:, 1] = hit2, hit
+        raw = self.raw.view("<i2").reshape(self.n, 2)
+        raw += (self.hits * np.int16(FULL) - raw) >> np.int16(EVENT_RATE)
+        self.limits[self.at_event] = self.raw
         self.last2, self.last1 = self.last1, ids
 
 
@@ -328,28 +331,36 @@ def write_ids(docs: DataFrame, tokenizer: str, path: str, end_id: int = 2, segme
         lengths: list[int] = []
         packed: list[bytes] = []
 
+        def texts() -> Iterator[str]:
+            for b in batches:
+                for lo in range(0, b.num_rows, 1024):
+                    piece = b.slice(lo, 1024)
+                    for d, t in zip(piece.column(0).to_pylist(), piece.column(1).to_pylist()):
+                        doc_ids.append(d)
+                        yield t
+
         def coded() -> pa.RecordBatch:
             ids = np.frombuffer(b"".join(packed), "<u4")
-            row = {"part": part, "segment": number, "n_ids": len(ids), "doc_ids": doc_ids, "doc_tokens": lengths,
-                   **encode_ids(ids)}
+            row = {"part": part, "segment": number, "n_ids": len(ids), "doc_ids": doc_ids[:len(lengths)],
+                   "doc_tokens": lengths, **encode_ids(ids)}
             return pa.RecordBatch.from_pylist([row], schema=pa.schema([
                 ("part", pa.int32()), ("segment", pa.int32()), ("n_ids", pa.int64()),
                 ("doc_ids", pa.list_(pa.int64())), ("doc_tokens", pa.list_(pa.int64())),
                 ("id_counts", pa.binary()), ("block_words", pa.binary()), ("block_crcs", pa.binary()), ("words", pa.binary())]))
 
         held = 0
-        for b in batches:
-            for lo in range(0, b.num_rows, 1024):
-                piece = b.slice(lo, 1024)
-                for d, p in zip(piece.column(0).to_pylist(), enc.encode_batch(piece.column(1).to_pylist())):
-                    doc_ids.append(d)
-                    packed.append(p + end)
-                    lengths.append(len(p) // 4 + 1)
-                    held += lengths[-1]
-                    if held >= segment:
-                        yield coded()
-                        doc_ids, lengths, packed, held, number = [], [], [], 0, number + 1
-        if doc_ids:
+        for stretch, counts in enc.encode_stream(texts(), end):
+            done = upto = 0
+            for n in counts.tolist():
+                lengths.append(n)
+                held, upto = held + n, upto + n
+                if held >= segment:
+                    packed.append(stretch[4 * done:4 * upto])
+                    yield coded()
+                    del doc_ids[:len(lengths)]
+                    lengths, packed, held, done, number = [], [], 0, upto, number + 1
+            packed.append(stretch[4 * done:])
+        if lengths:
             yield coded()
 
     ordered.mapInArrow(run, FILE_SCHEMA).write.option("compression", "none").parquet(path)
