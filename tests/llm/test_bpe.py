@@ -90,3 +90,18 @@ def test_a_stream_encodes_each_distinct_chunk_once(tokenizer):
     enc._resolve = lambda chunks: asked.extend(chunks) or resolve(chunks)
     list(enc.encode_stream(["some words, some\nwords", "SOME words,"] * 50, b"\x02\0\0\0"))
     assert sorted(c for c in asked if c) == [b"some", b"words", b"words,"]
+
+
+def test_a_stream_asks_the_model_once_for_each_distinct_word(tokenizer, monkeypatch):
+    """Chunks that differ in punctuation share their words; a full memo keeps the stretch at hand."""
+    texts = ["Some words, some. (words) été", "words; SOME! été? don't", "don't <|endoftext|> some日本"] * 20
+    monkeypatch.setattr(bpe, "STREAM_CHARS", 100)
+    enc, asked = bpe.TrieEncoder(tokenizer), []
+    resolve = enc._resolve_words
+    enc._resolve_words = lambda words: asked.extend(words.to_pylist()) or resolve(words)
+    want = list(enc.encode_stream(texts, b"\x02\0\0\0"))
+    assert sorted(w for w in asked if w) == ["!", "'t", "(", ")", ",", ".", ";", "?", "don", "some", "words", "été"]
+    small = bpe.TrieEncoder(tokenizer, cache_entries=3)
+    assert [p for p, _ in small.encode_stream(texts, b"\x02\0\0\0")] == [p for p, _ in want]
+    list(small.encode_stream(["other"], b"\x02\0\0\0"))
+    assert set(small.known_words.keys.to_pylist()) - {""} == {"other"}

@@ -81,3 +81,27 @@ def test_files_in_document_order(spark, tmp, edge_docs, tokenizer):
         ids = enc.encode_batch([t])[0] + (2).to_bytes(4, "little")
         assert (g.doc_id, g.start, g.n_tokens, g.ids_crc32, bytes(g.token_ids)) == (d, start, len(ids) // 4, zlib.crc32(ids), ids)
         start += len(ids) // 4
+
+
+def test_coded_bytes_stay_the_same():
+    """The file format: words of ids inside and beyond the head of order 0."""
+    x = np.arange(50_000, dtype="u8")
+    ids = ((x * x * 2654435761 >> 7) % (x % 977 + 3) * (x % 5 + 1) % 60_000).astype("<u4")
+    ids = np.concatenate([ids, np.arange(40_000, dtype="<u4")])
+    coded = rc.encode_ids(ids)
+    assert (len(coded["words"]), zlib.crc32(coded["words"])) == (152644, 1195593177)
+    assert (rc.decode_ids(len(ids), **coded) == ids).all()
+
+
+def test_order0_ranges_are_packed_by_id():
+    """One lookup gives an id's start and width, and the escape's for the tail."""
+    counts = np.ones(rc.HEAD + 5, "u4")
+    counts[:rc.HEAD] = 3
+    order0 = rc.Frequencies(counts)
+    start, share = rc._unpacked(order0.ranges)
+    assert (start[rc.HEAD:] == 0).all() and (share[rc.HEAD:] == order0.escape).all()
+    assert start[0] == order0.escape and int(share[:rc.HEAD].sum()) + int(order0.escape) == 1 << rc.ORDER0_BITS
+    start, share = rc._unpacked(order0.ranges2[rc.HEAD:])
+    assert share.sum() == 1 << rc.ORDER0_BITS and (order0.ids2[start] == np.arange(rc.HEAD, rc.HEAD + 5)).all()
+    alone = rc.Frequencies(np.array([0, 7], "u4"))
+    assert alone.escape == 0 and [int(v[1]) for v in rc._unpacked(alone.ranges)] == [0, 1 << rc.ORDER0_BITS]

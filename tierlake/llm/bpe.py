@@ -50,7 +50,7 @@ from tierlake.llm.common import map_batches
 END = 0x1000            # added to a symbol's code point when it ends a word
 NEVER = 1 << 60
 GROUP_CHARS = 2_000_000
-STREAM_CHARS = 8_000_000
+STREAM_CHARS = 16_000_000
 CACHE_ENTRIES = 500_000
 
 # --- fixed values: the pre-token pattern of the supported tokenizer files ----------
@@ -91,6 +91,28 @@ class Cache(dict):
         return missing
 
 
+class Memo:
+    """Values of strings as two Arrow arrays; one that holds more than ``most`` entries is cut
+    down to those just asked for."""
+
+    def __init__(self, most: int):
+        self.most = most
+        self.keys, self.values = pa.array([], pa.large_string()), pa.array([], pa.large_binary())
+
+    def values_of(self, keys: pa.Array, resolve) -> pa.Array:
+        """The values of distinct keys; ``resolve`` gives those of the unknown ones."""
+        at = pc.index_in(keys, value_set=self.keys)
+        if at.null_count:
+            new = keys.filter(at.is_null())
+            numbers = pc.replace_with_mask(at, at.is_null(), pa.array(np.arange(len(new), dtype="i4") + len(self.keys)))
+            self.keys, self.values, at = pa.concat_arrays([self.keys, new]), \
+                pa.concat_arrays([self.values, resolve(new)]), numbers
+        found = self.values.take(at)
+        if len(self.keys) > self.most:
+            self.keys, self.values = keys, found
+        return found
+
+
 class TrieEncoder:
     """Encoder and decoder of one tokenizer file (a path that every worker can open)."""
 
@@ -104,6 +126,7 @@ class TrieEncoder:
         self.suffix = model.get("end_of_word_suffix") or ""
         self.cache_entries = cache_entries
         self.chunks, self.words = Cache(cache_entries), Cache(cache_entries)
+        self.known_chunks, self.known_words = Memo(cache_entries), Memo(cache_entries)
         self.pairs: dict[int, bool] = {}
         self.steps: dict[str, tuple[str, tuple]] = {}
         self._load(model)
@@ -292,17 +315,38 @@ class TrieEncoder:
         flush()
         return out
 
-    def _resolve(self, chunks: set[bytes]) -> None:
-        """Ids of unknown chunks: plain ones from the library's model word by word, others through
-        the library's own steps."""
-        words, tokenize, packed, rest = self.plain_words, self.library.model.tokenize, self.packed, set()
-        for c in chunks:
-            text = c.decode()
-            if words and (text.isascii() or self.plain_text(text)) and not (self.special and self.special_start in text):
-                self.chunks[c] = b"".join([packed[t.id] for w in words(text.lower()) for t in tokenize(self._in_symbols(w))])
-            else:
-                rest.add(c)
-        self._encode_chunks(rest)
+    def _resolve(self, chunks: list[bytes]) -> pa.Array:
+        """Ids of unknown chunks: plain ones word by word, others through the library's own steps."""
+        texts = pa.array(chunks, pa.large_binary()).cast(pa.large_string())
+        plain = np.full(len(chunks), bool(self.plain_words))
+        if self.plain_words:
+            plain &= pc.match_substring_regex(texts, f"^{PLAIN_TEXT}$").to_numpy(zero_copy_only=False)
+        if self.special:
+            plain &= ~pc.match_substring(texts, self.special_start).to_numpy(zero_copy_only=False)
+        if plain.all():
+            return self._plain_chunks(texts)
+        rest = [chunks[i] for i in np.flatnonzero(~plain).tolist()]
+        new = self.chunks.unknown(set(rest))
+        if new:
+            self._encode_chunks(new)
+        values = pa.concat_arrays([self._plain_chunks(texts.filter(pa.array(plain))),
+                                   pa.array(map(self.chunks.__getitem__, rest), pa.large_binary())])
+        return values.take(pa.array(np.argsort(np.argsort(~plain, kind="stable"))))
+
+    def _plain_chunks(self, texts: pa.Array) -> pa.Array:
+        """Ids of plain chunks, cut into words by the same pattern in Arrow; each distinct word is encoded once."""
+        spaced = pc.replace_substring_regex(pc.utf8_lower(texts), f"({PLAIN_PATTERN})", r"\1 ")
+        cut = pc.ascii_split_whitespace(spaced)
+        numbered = cut.values.dictionary_encode()
+        _, ends, packed = self.known_words.values_of(numbered.dictionary, self._resolve_words).take(numbered.indices).buffers()
+        ends = np.frombuffer(ends, "<i8")[cut.offsets.to_numpy()]
+        return pa.Array.from_buffers(pa.large_binary(), len(texts), [None, pa.py_buffer(ends), packed])
+
+    def _resolve_words(self, words: pa.Array) -> pa.Array:
+        """Ids of unknown plain words from the library's model."""
+        tokenize, packed = self.library.model.tokenize, self.packed
+        return pa.array([b"".join([packed[t.id] for t in tokenize(self._in_symbols(w))]) for w in words.to_pylist()],
+                        pa.large_binary())
 
     def encode_stream(self, texts: Iterable[str | None], end: bytes) -> Iterator[tuple[bytes, np.ndarray]]:
         """Ids of all texts, each followed by ``end``, in stretches: (packed ids, ids per text, ``end`` included).
@@ -327,13 +371,10 @@ class TrieEncoder:
     def _placed(self, texts: list[str], end: bytes) -> tuple[bytes, np.ndarray]:
         cut = pc.ascii_split_whitespace(pa.array(texts, pa.large_string()))
         numbered = cut.values.dictionary_encode()
-        chunks = _byte_list(numbered.dictionary)
-        new = self.chunks.unknown(set(chunks))
-        if new:
-            self._resolve(new)
-        values = pa.array([*map(self.chunks.__getitem__, chunks), end], pa.large_binary())
+        values = self.known_chunks.values_of(numbered.dictionary, lambda new: self._resolve(_byte_list(new)))
+        values = pa.concat_arrays([values, pa.array([end], pa.large_binary())])
         last = cut.offsets.to_numpy()[1:]
-        places = np.insert(numbered.indices.to_numpy(), last, len(chunks))
+        places = np.insert(numbered.indices.to_numpy(), last, len(values) - 1)
         _, ends, packed = values.take(pa.array(places)).buffers()
         ends = np.frombuffer(ends, "<i8")[last + np.arange(1, len(texts) + 1)]
         return packed.to_pybytes()[:ends[-1]], np.diff(ends, prepend=0) // 4

@@ -41,14 +41,13 @@ from tierlake.llm.common import text_or_empty
 from tierlake.session import scratch_path
 
 BLOCK = 2048
-SEGMENT = 4_000_000
+SEGMENT = 8_000_000
 SLOTS1, SLOTS2 = 1024, 2048
 CONTEXTS = 32           # 4 confidences x 4 confidences x agreement
 BITS = 12               # event probabilities are in units of 1 / 4096
 ONE = np.uint32(1 << BITS)
 EVENT_RATE = 4
 FULL = (1 << BITS) - 3
-NEXT_CONFIDENCE = np.array([1, 1, 1, 2, 1, 2, 3, 3], "u4") << 16     # miss with 0-3, hit with 0-3
 HEAD = 8192             # ids coded in one step of order 0
 ORDER0_BITS = 16        # order-0 probabilities are in units of 1 / 65,536
 
@@ -66,19 +65,22 @@ class Frequencies:
         ranked = used[np.lexsort((used, -counts[used].astype("i8")))]
         head, tail = ranked[:HEAD], ranked[HEAD:]
         size = max(len(counts), 1)
-        self.start, self.end = np.zeros(size, "u4"), np.zeros(size, "u4")
-        self.start2, self.end2 = np.zeros(size, "u4"), np.zeros(size, "u4")
-        self.escaped = np.zeros(size, bool)
-        self.escaped[tail] = True
+        self.ranges, self.ranges2 = np.zeros(size, "u4"), np.zeros(size, "u4")      # width - 1 << 16 | start
         edges = self._edges(np.concatenate(([counts[tail].sum(dtype="i8")], counts[head])))
-        self.escape = edges[0], edges[1]
-        self.start[head], self.end[head] = edges[1:-1], edges[2:]
-        self.start[tail], self.end[tail] = self.escape
-        self.ids = np.repeat(np.concatenate(([0], head)), np.diff(edges)).astype("u4")     # by place in the interval
+        self.escape = edges[1]      # the escape's range ends here
+        self.ranges[head] = self._packed(edges[1:])
+        if tail.size:
+            self.ranges[tail] = self._packed(edges[:2])
+        first = np.concatenate((tail[:1] if tail.size else [0], head))
+        self.ids = np.repeat(first, np.diff(edges)).astype("u4")     # by place in the interval; the escape's: any of the tail
         edges = self._edges(counts[tail])
-        self.start2[tail], self.end2[tail] = edges[:-1], edges[1:]
+        self.ranges2[tail] = self._packed(edges)
         self.ids2 = np.repeat(tail, np.diff(edges)).astype("u4")
 
+    @staticmethod
+    def _packed(edges: np.ndarray) -> np.ndarray:
+        return (np.diff(edges) - np.uint32(1)) << np.uint32(16) | edges[:-1]
+
     @staticmethod
     def _edges(counts: np.ndarray) -> np.ndarray:
         """Range ends in proportion to the counts, at least one unit each that occurs."""
@@ -91,6 +93,11 @@ class Frequencies:
         return np.concatenate(([0], np.cumsum(width))).astype("u4")
 
 
+def _unpacked(ranges: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(start, width) of packed ranges."""
+    return ranges & np.uint32(0xFFFF), (ranges >> np.uint32(16)) + np.uint32(1)
+
+
 class Lanes:
     """The model state of n blocks that are coded side by side.
 
@@ -100,44 +107,65 @@ class Lanes:
     """
 
     def __init__(self, n: int):
-        self.lane = np.arange(n)
         self.n = n
-        self.base1, self.base2 = self.lane * SLOTS1, self.lane * SLOTS2
-        self.table1 = np.zeros(n * SLOTS1, "u4")      # confidence << 16 | predicted id
-        self.table2 = np.zeros(n * SLOTS2, "u4")
-        self.base_event = self.lane * CONTEXTS
+        self.lane = np.arange(n)
+        # Both tables in one, slot by slot: the order-1 slots of all lanes, then the order-2 ones.
+        self.table = np.zeros(n * (SLOTS1 + SLOTS2), "u4")      # confidence << 16 | predicted id
+        self.places = np.stack([self.lane, self.lane + n * SLOTS1])
+        self.slots = np.zeros((2, n), "u4")
         # limits of "order 2 is right" (low half) and "order 2 or order 1 is right" (high half), by context
         self.limits = np.full(n * CONTEXTS, 2 * FULL // 5 << 16 | FULL // 5, "<u4")
-        self.hits = np.zeros((n, 2), "<i2")
         self.last1 = np.zeros(n, "u4")
         self.last2 = np.zeros(n, "u4")
 
     def predict(self) -> None:
+        """Row 0 of ``guess`` and ``trust`` is order 1, row 1 is order 2."""
         one = self.last1
-        self.at1 = self.base1 + (one & np.uint32(SLOTS1 - 1))
-        self.at2 = self.base2 + ((one * np.uint32(0x85EBCA6B) + self.last2 * np.uint32(0xC2B2AE35)) & np.uint32(SLOTS2 - 1))
-        entry1, entry2 = self.table1.take(self.at1), self.table2.take(self.at2)
-        self.guess1, self.guess2 = entry1 & np.uint32(0xFFFF), entry2 & np.uint32(0xFFFF)
-        self.trust1, self.trust2 = entry1.view("u2")[1::2], entry2.view("u2")[1::2]
-        context = self.trust2 * np.uint16(8) + self.trust1 * np.uint16(2) + (self.guess1 == self.guess2)
-        self.at_event = self.base_event + context
+        np.bitwise_and(one, np.uint32(SLOTS1 - 1), out=self.slots[0])
+        np.bitwise_and(one * np.uint32(0x85EBCA6B) + self.last2 * np.uint32(0xC2B2AE35), np.uint32(SLOTS2 - 1),
+                       out=self.slots[1])
+        self.at = np.multiply(self.slots, self.n, dtype="i8")
+        self.at += self.places
+        entry = self.table.take(self.at)
+        self.guess = entry & np.uint32(0xFFFF)
+        self.trust = (entry >> np.uint32(16)).astype("u1")
+        context = self.trust[1] * np.uint8(8) + self.trust[0] * np.uint8(2) + (self.guess[0] == self.guess[1])
+        self.at_event = np.multiply(context, self.n, dtype="i8")
+        self.at_event += self.lane
         self.raw = self.limits.take(self.at_event)
         self.upto2 = (self.raw & np.uint32(0xFFFF)) + np.uint32(1)
         self.upto1 = (self.raw >> np.uint32(16)) + np.uint32(2)
 
-    def update(self, ids: np.ndarray, hit2: np.ndarray, hit: np.ndarray) -> None:
-        """``hit2``: order 2 was right; ``hit``: order 2 or order 1 was."""
-        for table, at, guess, trust in ((self.table1, self.at1, self.guess1, self.trust1),
-                                        (self.table2, self.at2, self.guess2, self.trust2)):
-            right = guess == ids
-            table[at] = np.where(right | (trust > 1), guess, ids) + NEXT_CONFIDENCE.take(right * np.uint16(4) + trust)
-        self.hits[:, 0], self.hits[:, 1] = hit2, hit
-        raw = self.raw.view("<i2").reshape(self.n, 2)
-        raw += (self.hits * np.int16(FULL) - raw) >> np.int16(EVENT_RATE)
+    def event(self, hit2: np.ndarray, hit: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The range of what occurred; the masks (all bits or none) say whether order 2 was
+        right and whether order 2 or order 1 was."""
+        start = (self.upto1 ^ (self.upto1 ^ self.upto2) & hit) & ~hit2
+        end = ONE ^ (ONE ^ self.upto1) & hit
+        return start, end ^ (end ^ self.upto2) & hit2
+
+    def update(self, ids: np.ndarray, right: np.ndarray, hit2: np.ndarray, hit: np.ndarray) -> None:
+        """``right``: which predictions were; ``hit2`` and ``hit``: the masks of ``event``."""
+        # Confidence after a miss with 0-3: 1, 1, 1, 2; after a hit: 1, 2, 3, 3.
+        trust, guess = self.trust, self.guess
+        kept = _mask(right | (trust > 1))
+        most = trust & (trust >> np.uint8(1))
+        trust = (most ^ (most ^ (trust - most)) & -right.view("u1")) + np.uint8(1)
+        entry = trust.astype("u4")
+        entry <<= np.uint32(16)
+        entry |= ids ^ (ids ^ guess) & kept
+        self.table[self.at] = entry
+        occurred = (hit2 & np.uint32(FULL) | hit & np.uint32(FULL << 16)).view("<i2")
+        raw = self.raw.view("<i2")
+        raw += (occurred - raw) >> np.int16(EVENT_RATE)
         self.limits[self.at_event] = self.raw
         self.last2, self.last1 = self.last1, ids
 
 
+def _mask(flags: np.ndarray) -> np.ndarray:
+    """All 32 bits where the flag is set."""
+    return np.negative(flags.astype("i4")).view("u4")
+
+
 class Writer:
     """Range encoder of n lanes.
 
@@ -149,24 +177,25 @@ class Writer:
         self.low = np.zeros(n, "u4")
         self.range = np.full(n, 0xFFFFFFFF, "u4")
         self.used = np.zeros(n, "i8")
+        self.kind = "u2" if n <= 1 << 16 else "u4"      # of lane numbers; the first are sorted by radix
         self.lanes: list[np.ndarray] = []
         self.words: list[np.ndarray] = []
         self.carries: list[tuple[np.ndarray, np.ndarray]] = []
 
-    def code(self, lanes: np.ndarray | None, start: np.ndarray, end: np.ndarray, bits) -> None:
-        """Narrow to [start, end) of 2^bits; ``lanes`` None: all of them."""
+    def code(self, lanes: np.ndarray | None, start: np.ndarray, share: np.ndarray, bits) -> None:
+        """Narrow to ``share`` units from ``start`` on of 2^bits; ``lanes`` None: all of them."""
         low, unit = (self.low, self.range) if lanes is None else (self.low.take(lanes), self.range.take(lanes))
         unit = unit >> bits
         moved = low + unit * start
-        width = unit * (end - start)
-        if (moved < low).any():
-            carry = np.flatnonzero(moved < low)
+        width = unit * share
+        carry = np.flatnonzero(moved < low)
+        if carry.size:
             at = carry if lanes is None else lanes[carry]
             self.carries.append((at, self.used[at] - 1))
         small = np.flatnonzero(width < 65536)
         if small.size:
             at, top = small if lanes is None else lanes[small], moved[small]
-            self.lanes.append(at)
+            self.lanes.append(at.astype(self.kind))
             self.words.append(top >> np.uint32(16))
             self.used[at] += 1
             moved[small] = top << np.uint32(16)
@@ -178,7 +207,7 @@ class Writer:
 
     def finish(self) -> tuple[np.ndarray, np.ndarray]:
         """(words per lane, all words lane by lane)."""
-        every = np.arange(len(self.low))
+        every = np.arange(len(self.low), dtype=self.kind)
         for part in (self.low >> np.uint32(16), self.low & np.uint32(0xFFFF)):
             self.lanes.append(every)
             self.words.append(part)
@@ -205,17 +234,14 @@ class Reader:
         self.range = np.full(len(counts), 0xFFFFFFFF, "u4")
 
     def target(self, lanes: np.ndarray | None, bits) -> np.ndarray:
-        """Where in 2^bits the coded value lies.
-
-        The double quotient of integers below 2^32 never rounds up to the next one.
-        """
+        """Where in 2^bits the coded value lies."""
         self.now, unit = (self.ahead, self.range) if lanes is None else (self.ahead.take(lanes), self.range.take(lanes))
         self.unit = unit >> bits
-        return np.minimum((self.now / self.unit).astype("u4"), (np.uint32(1) << bits) - np.uint32(1))
+        return np.minimum(self.now // self.unit, (np.uint32(1) << bits) - np.uint32(1))
 
-    def advance(self, lanes: np.ndarray | None, start: np.ndarray, end: np.ndarray) -> None:
+    def advance(self, lanes: np.ndarray | None, start: np.ndarray, share: np.ndarray) -> None:
         ahead = self.now - self.unit * start
-        width = self.unit * (end - start)
+        width = self.unit * share
         small = np.flatnonzero(width < 65536)
         if small.size:
             at = small if lanes is None else lanes[small]
@@ -244,23 +270,24 @@ def encode_ids(ids: np.ndarray, counts: np.ndarray | None = None) -> dict[str, b
     # The last block is padded with its last id; the reader knows the number of ids.
     grid = np.concatenate([ids, np.full(n * BLOCK - len(ids), ids[-1], "<u4")]).reshape(n, BLOCK)[:, :steps].T.copy()
     counts = np.bincount(ids).astype("<u4") if counts is None else counts
-    model, order0, out, bits = Lanes(n), Frequencies(counts), Writer(n), np.uint32(BITS)
-    zero, bits0 = np.uint32(0), np.uint32(ORDER0_BITS)
+    model, order0, out = Lanes(n), Frequencies(counts), Writer(n)
+    bits, bits0 = np.uint32(BITS), np.uint32(ORDER0_BITS)
     for now in grid:
         model.predict()
-        hit2 = now == model.guess2
-        hit = hit2 | (now == model.guess1)
-        out.code(None, np.where(hit2, zero, np.where(hit, model.upto2, model.upto1)),
-                 np.where(hit2, model.upto2, np.where(hit, model.upto1, ONE)), bits)
-        lanes = np.flatnonzero(~hit)
+        right = model.guess == now
+        hit2 = _mask(right[1])
+        hit = hit2 | _mask(right[0])
+        start, end = model.event(hit2, hit)
+        out.code(None, start, end - start, bits)
+        lanes = np.flatnonzero(hit == 0)
         if lanes.size:
-            value = now.take(lanes)
-            out.code(lanes, order0.start.take(value), order0.end.take(value), bits0)
-            rare = order0.escaped.take(value)
-            if rare.any():
-                value = value[rare]
-                out.code(lanes[rare], order0.start2.take(value), order0.end2.take(value), bits0)
-        model.update(now, hit2, hit)
+            value = now.take(lanes).astype("i8")
+            start, share = _unpacked(order0.ranges.take(value))
+            out.code(lanes, start, share, bits0)
+            rare = np.flatnonzero(start < order0.escape)
+            if rare.size:
+                out.code(lanes.take(rare), *_unpacked(order0.ranges2.take(value.take(rare))), bits0)
+        model.update(now, right, hit2, hit)
     lengths, words = out.finish()
     return {"id_counts": zlib.compress(counts.tobytes(), 6), "block_words": lengths.tobytes(),
             "block_crcs": np.array(crcs, "<u4").tobytes(), "words": words.tobytes()}
@@ -282,32 +309,29 @@ def decode_ids(n_ids: int, id_counts: bytes, block_words: bytes, block_crcs: byt
         raise ValueError("the id counts do not fit the number of ids")
     steps = min(BLOCK, n_ids)
     model, order0 = Lanes(n), Frequencies(seen)
-    code, bits = Reader(counts, np.frombuffer(words, "<u2")), np.uint32(BITS)
-    zero, bits0 = np.uint32(0), np.uint32(ORDER0_BITS)
+    code = Reader(counts, np.frombuffer(words, "<u2"))
+    bits, bits0 = np.uint32(BITS), np.uint32(ORDER0_BITS)
     grid = np.zeros((steps, n), "<u4")
-    for t in range(steps):
+    for now in grid:
         model.predict()
         v = code.target(None, bits)
-        hit2, hit = v < model.upto2, v < model.upto1
-        code.advance(None, np.where(hit2, zero, np.where(hit, model.upto2, model.upto1)),
-                     np.where(hit2, model.upto2, np.where(hit, model.upto1, ONE)))
-        now = np.where(hit2, model.guess2, model.guess1)
-        lanes = np.flatnonzero(~hit)
+        hit2, hit = _mask(v < model.upto2), _mask(v < model.upto1)
+        start, end = model.event(hit2, hit)
+        code.advance(None, start, end - start)
+        now[:] = model.guess[0] ^ (model.guess[0] ^ model.guess[1]) & hit2
+        lanes = np.flatnonzero(hit == 0)
         if lanes.size:
-            place = code.target(lanes, bits0)
+            place = code.target(lanes, bits0).astype("i8")
             value = order0.ids.take(place)
-            rare = place < order0.escape[1]
-            start, end = order0.start.take(value), order0.end.take(value)
-            start[rare], end[rare] = order0.escape
-            code.advance(lanes, start, end)
-            if rare.any():
-                late = lanes[rare]
+            code.advance(lanes, *_unpacked(order0.ranges.take(value)))
+            rare = np.flatnonzero(place < order0.escape)
+            if rare.size:
+                late = lanes.take(rare)
                 found = order0.ids2.take(code.target(late, bits0))
-                code.advance(late, order0.start2.take(found), order0.end2.take(found))
+                code.advance(late, *_unpacked(order0.ranges2.take(found)))
                 value[rare] = found
             now[lanes] = value
-        model.update(now, hit2, hit)
-        grid[t] = now
+        model.update(now, model.guess == now, hit2, hit)
     ids = np.ascontiguousarray(grid.T).reshape(-1)[:n_ids].astype("<u4")
     for i, crc in enumerate(np.frombuffer(block_crcs, "<u4").tolist()):
         if zlib.crc32(ids[i * BLOCK:(i + 1) * BLOCK]) != crc:
