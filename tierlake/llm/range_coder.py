@@ -166,6 +166,18 @@ def _mask(flags: np.ndarray) -> np.ndarray:
     return np.negative(flags.astype("i4")).view("u4")
 
 
+def _narrowed(whole: np.ndarray, unit: np.ndarray, start: np.ndarray, share: np.ndarray,
+              among: np.ndarray | None) -> tuple[np.ndarray, np.ndarray]:
+    """How far the low ends move and the new widths; outside the mask ``among`` all stays as it is."""
+    moved, width = unit * start, unit * share
+    if among is not None:
+        moved &= among
+        width ^= whole
+        width &= among
+        width ^= whole
+    return moved, width
+
+
 class Writer:
     """Range encoder of n lanes.
 
@@ -182,12 +194,13 @@ class Writer:
         self.words: list[np.ndarray] = []
         self.carries: list[tuple[np.ndarray, np.ndarray]] = []
 
-    def code(self, lanes: np.ndarray | None, start: np.ndarray, share: np.ndarray, bits) -> None:
-        """Narrow to ``share`` units from ``start`` on of 2^bits; ``lanes`` None: all of them."""
+    def code(self, lanes: np.ndarray | None, start: np.ndarray, share: np.ndarray, bits,
+             among: np.ndarray | None = None) -> None:
+        """Narrow to ``share`` units from ``start`` on of 2^bits; ``lanes`` None: all of them;
+        ``among``: a mask of those that are narrowed at all."""
         low, unit = (self.low, self.range) if lanes is None else (self.low.take(lanes), self.range.take(lanes))
-        unit = unit >> bits
-        moved = low + unit * start
-        width = unit * share
+        moved, width = _narrowed(unit, unit >> bits, start, share, among)
+        moved += low
         carry = np.flatnonzero(moved < low)
         if carry.size:
             at = carry if lanes is None else lanes[carry]
@@ -235,13 +248,15 @@ class Reader:
 
     def target(self, lanes: np.ndarray | None, bits) -> np.ndarray:
         """Where in 2^bits the coded value lies."""
-        self.now, unit = (self.ahead, self.range) if lanes is None else (self.ahead.take(lanes), self.range.take(lanes))
-        self.unit = unit >> bits
+        self.now, self.whole = (self.ahead, self.range) if lanes is None else \
+            (self.ahead.take(lanes), self.range.take(lanes))
+        self.unit = self.whole >> bits
         return np.minimum(self.now // self.unit, (np.uint32(1) << bits) - np.uint32(1))
 
-    def advance(self, lanes: np.ndarray | None, start: np.ndarray, share: np.ndarray) -> None:
-        ahead = self.now - self.unit * start
-        width = self.unit * share
+    def advance(self, lanes: np.ndarray | None, start: np.ndarray, share: np.ndarray,
+                among: np.ndarray | None = None) -> None:
+        moved, width = _narrowed(self.whole, self.unit, start, share, among)
+        ahead = self.now - moved
         small = np.flatnonzero(width < 65536)
         if small.size:
             at = small if lanes is None else lanes[small]
@@ -279,14 +294,13 @@ def encode_ids(ids: np.ndarray, counts: np.ndarray | None = None) -> dict[str, b
         hit = hit2 | _mask(right[0])
         start, end = model.event(hit2, hit)
         out.code(None, start, end - start, bits)
-        lanes = np.flatnonzero(hit == 0)
-        if lanes.size:
-            value = now.take(lanes).astype("i8")
-            start, share = _unpacked(order0.ranges.take(value))
-            out.code(lanes, start, share, bits0)
-            rare = np.flatnonzero(start < order0.escape)
+        miss = ~hit
+        start, share = _unpacked(order0.ranges.take(now))
+        out.code(None, start, share, bits0, miss)
+        if order0.escape:
+            rare = np.flatnonzero((start < order0.escape) & (miss != 0))
             if rare.size:
-                out.code(lanes.take(rare), *_unpacked(order0.ranges2.take(value.take(rare))), bits0)
+                out.code(rare, *_unpacked(order0.ranges2.take(now.take(rare))), bits0)
         model.update(now, right, hit2, hit)
     lengths, words = out.finish()
     return {"id_counts": zlib.compress(counts.tobytes(), 6), "block_words": lengths.tobytes(),
@@ -318,19 +332,18 @@ def decode_ids(n_ids: int, id_counts: bytes, block_words: bytes, block_crcs: byt
         hit2, hit = _mask(v < model.upto2), _mask(v < model.upto1)
         start, end = model.event(hit2, hit)
         code.advance(None, start, end - start)
+        miss = ~hit
+        place = code.target(None, bits0)
+        value = order0.ids.take(place)
+        code.advance(None, *_unpacked(order0.ranges.take(value)), miss)
         now[:] = model.guess[0] ^ (model.guess[0] ^ model.guess[1]) & hit2
-        lanes = np.flatnonzero(hit == 0)
-        if lanes.size:
-            place = code.target(lanes, bits0).astype("i8")
-            value = order0.ids.take(place)
-            code.advance(lanes, *_unpacked(order0.ranges.take(value)))
-            rare = np.flatnonzero(place < order0.escape)
+        now ^= (now ^ value) & miss
+        if order0.escape:
+            rare = np.flatnonzero((place < order0.escape) & (miss != 0))
             if rare.size:
-                late = lanes.take(rare)
-                found = order0.ids2.take(code.target(late, bits0))
-                code.advance(late, *_unpacked(order0.ranges2.take(found)))
-                value[rare] = found
-            now[lanes] = value
+                found = order0.ids2.take(code.target(rare, bits0))
+                code.advance(rare, *_unpacked(order0.ranges2.take(found)))
+                now[rare] = found
         model.update(now, model.guess == now, hit2, hit)
     ids = np.ascontiguousarray(grid.T).reshape(-1)[:n_ids].astype("<u4")
     for i, crc in enumerate(np.frombuffer(block_crcs, "<u4").tolist()):
