@@ -105,3 +105,16 @@ def test_a_stream_asks_the_model_once_for_each_distinct_word(tokenizer, monkeypa
     assert [p for p, _ in small.encode_stream(texts, b"\x02\0\0\0")] == [p for p, _ in want]
     list(small.encode_stream(["other"], b"\x02\0\0\0"))
     assert set(small.known_words.keys.to_pylist()) - {""} == {"other"}
+
+
+def test_caches_of_objects_stay_small(tokenizer, library):
+    """Words, pairs and automaton steps that a worker keeps are bounded by its entries, whatever the texts."""
+    enc = bpe.TrieEncoder(tokenizer, cache_entries=4000)
+    rng = np.random.default_rng(2)
+    words = ["".join(w) for w in rng.choice(list("abcdefghijklmnopqrstuvwxyz-#1"), (30_000, 7))]
+    for at in range(0, len(words), 500):
+        text = " ".join(words[at:at + 500])
+        packed = enc.encode_batch([text])[0]
+    assert len(enc.words) + len(enc.words.old) <= 4000
+    assert len(enc.pairs) <= 4000 and len(enc.steps) <= 4000
+    assert np.frombuffer(packed, "<u4").tolist() == library.encode(text, add_special_tokens=False).ids

@@ -1,6 +1,9 @@
 """The ordinal fit, its held-out accuracy, and its behaviour without ratings."""
 
+import tracemalloc
+
 import numpy as np
+import pyarrow as pa
 from pyspark.sql import functions as F
 
 from tierlake.llm import ordinal
@@ -86,3 +89,35 @@ def test_scores_use_the_whole_text():
     model.hashed[ordinal.word_features(b"mark")[0]] = 1.0
     a, b = ordinal.Scorer(model).scores([b"plain " * 50_000, b"plain " * 50_000 + b"mark"])
     assert a == 0 and b > 0
+
+
+def test_a_scorer_keeps_few_words():
+    """What a worker holds of a stream of ever new words is a few MB, and scores do not depend on it."""
+    rng = np.random.default_rng(1)
+    model = ordinal.OrdinalModel(rng.normal(size=ordinal.N_HASHED), rng.normal(size=ordinal.N_SHARES), np.zeros(2))
+    scorer = ordinal.Scorer(model)
+    tracemalloc.start()
+    for at in range(0, 300_000, 1000):
+        last = b" ".join(b"word%d" % k for k in range(at, at + 1000))
+        got = scorer.scores([last])
+    held = tracemalloc.get_traced_memory()[0]
+    tracemalloc.stop()
+    assert held < 25e6
+    assert got[0] == ordinal.Scorer(model).scores([last])[0]
+
+
+def test_texts_are_scored_in_slices(spark, monkeypatch):
+    """A large batch is not turned into Python objects at once."""
+    asked, seen = [], {}
+
+    def watched(self, texts, scores=ordinal.Scorer.scores):
+        asked.append(len(texts))
+        return scores(self, texts)
+
+    batch = pa.RecordBatch.from_arrays([pa.array(range(2500)), pa.array([f"text {k}" for k in range(2500)])], ["c0", "c1"])
+    monkeypatch.setattr(ordinal.Scorer, "scores", watched)
+    monkeypatch.setattr(ordinal, "map_batches", lambda df, run, schema: seen.update(run=run))
+    model = ordinal.fit([], 3)
+    ordinal.select_documents(spark.createDataFrame([(1, "a")], "doc_id long, text string"), model)
+    kept = pa.Table.from_batches(seen["run"](iter([batch.slice(0, 0), batch])), batch.schema)
+    assert kept.column(0).to_pylist() == list(range(2500)) and sum(asked) == 2500 and max(asked) <= 1000

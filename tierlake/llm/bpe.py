@@ -21,10 +21,13 @@ normalisation step and no pre-token of this family of tokenizers crosses such a
 boundary - and each distinct chunk goes through the tokenizer file's own
 normaliser and pre-tokenizer.  Results are kept in per-worker caches of two
 generations of a fixed number of entries: a full young generation becomes the
-old one, which costs time for rare words and never changes a result.
+old one, which costs time for rare words and never changes a result.  A worker
+outlives its stage and keeps them, so they are sized for the memory that the
+stages after it need: those of Python objects take a fraction of the entries
+that Arrow arrays do.
 
-Encoding is a map: no shuffle, memory bounded by the caches and by ``GROUP_CHARS``
-characters of text at a time plus the longest text.  NULL text counts as empty
+Encoding is a map: no shuffle, memory bounded by the caches and by ``SLICE_ROWS``
+rows and ``GROUP_CHARS`` characters of text at a time plus the longest text.  NULL text counts as empty
 (no ids).  Repeated rows repeat their ids, an empty table gives an empty result,
 other columns are carried along untouched; an existing column of the output's
 name is replaced.
@@ -45,13 +48,14 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
-from tierlake.llm.common import map_batches
+from tierlake.llm.common import map_batches, slices
 
 END = 0x1000            # added to a symbol's code point when it ends a word
 NEVER = 1 << 60
 GROUP_CHARS = 2_000_000
 STREAM_CHARS = 16_000_000
 CACHE_ENTRIES = 500_000
+OBJECTS = 4             # a cache of Python objects has this fraction of the entries
 
 # --- fixed values: the pre-token pattern of the supported tokenizer files ----------
 WORD_PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
@@ -124,8 +128,8 @@ class TrieEncoder:
         self._check(spec)
         self.library = Tokenizer.from_file(path)
         self.suffix = model.get("end_of_word_suffix") or ""
-        self.cache_entries = cache_entries
-        self.chunks, self.words = Cache(cache_entries), Cache(cache_entries)
+        self.objects = max(1, cache_entries // OBJECTS)
+        self.chunks, self.words = Cache(self.objects), Cache(self.objects)
         self.known_chunks, self.known_words = Memo(cache_entries), Memo(cache_entries)
         self.pairs: dict[int, bool] = {}
         self.steps: dict[str, tuple[str, tuple]] = {}
@@ -198,7 +202,7 @@ class TrieEncoder:
             x_until, x = self.rank[x], self.right[x]
 
     def _compatible(self, key: int) -> bool:
-        if len(self.pairs) > 4 * self.cache_entries:
+        if len(self.pairs) >= 2 * self.objects:
             self.pairs.clear()
         ok = self.pairs[key] = self._crossing(key >> 20, key & 0xFFFFF) is None
         return ok
@@ -211,7 +215,7 @@ class TrieEncoder:
         while s not in self.begins:
             s = s[1:]
         ends = tuple((self.ids[s[k:]], len(s) - k) for k in range(len(s)) if s[k:] in self.ids)
-        if len(self.steps) > 4 * self.cache_entries:
+        if len(self.steps) >= self.objects:
             self.steps.clear()
         self.steps[text] = found = (s, ends)
         return found
@@ -412,7 +416,7 @@ def encode_documents(docs: DataFrame, path: str, text: str = "text", out: str =
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         enc = encoder(path)
-        for b in batches:
+        for b in slices(batches):
             packed = enc.encode_batch(b.column(at).to_pylist())
             ends = np.cumsum([0, *[len(p) // 4 for p in packed]], dtype="int32")
             ids = np.frombuffer(b"".join(packed), "<i4")
@@ -428,7 +432,7 @@ def decode_documents(docs: DataFrame, path: str, ids: str = "token_ids", out: st
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         enc = encoder(path)
-        for b in batches:
+        for b in slices(batches):
             lists = b.column(at)
             texts = [enc.decode(np.asarray(x.values, "<u4").tobytes() if x.is_valid else b"").decode() for x in lists]
             yield _append(b, kept, pa.array(texts, pa.string()))
@@ -444,7 +448,7 @@ def round_trip(docs: DataFrame, path: str) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         enc = encoder(path)
-        for b in batches:
+        for b in slices(batches):
             packed = enc.encode_batch(b.column(1).to_pylist())
             yield pa.RecordBatch.from_arrays([
                 b.column(0).cast(pa.int64()),

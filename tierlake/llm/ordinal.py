@@ -13,7 +13,8 @@ text.
 
 The fit uses at most ``MAX_LABELLED`` distinct rated documents, those with the smallest
 hashes of ``doc_id``; only their sparse features are gathered, at most that many rows.
-Scoring is a map over all documents.
+Scoring is a map over all documents; a worker holds ``SLICE_ROWS`` texts and
+``CACHE_ENTRIES`` words' weights, plus the words of the longest text, as Python objects.
 
 Ratings that are NULL are not used.  Without any rated row every document gets
 even tail probabilities and is kept.  NULL text counts as empty; repeated rows
@@ -34,7 +35,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tierlake.llm.common import map_batches
+from tierlake.llm.common import map_batches, slices
 from tierlake.session import materialize
 
 HASH_BITS = 16
@@ -43,7 +44,7 @@ N_SHARES = 4
 MAX_LABELLED = 8192
 MIN_TAIL = 0.5
 STEPS, RATE, RIDGE = 120, 0.5, 1e-6
-CACHE_ENTRIES = 400_000
+CACHE_ENTRIES = 100_000
 
 _SHAPE = bytes(65 if 65 <= b <= 90 else 97 if 97 <= b <= 122 or b > 127 else 48 if 48 <= b <= 57 else b
                for b in range(256))
@@ -164,7 +165,7 @@ def train(docs: DataFrame, labels: DataFrame, grade: Column, grades: int,
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen: set = set()                                      # copies have one text
-        for b in batches:
+        for b in slices(batches):
             first = []
             for k, d in enumerate(b.column(0).to_pylist()):
                 if d not in seen:
@@ -213,7 +214,7 @@ def score_documents(docs: DataFrame, model: OrdinalModel, min_tail: float = MIN_
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         scorer = shared.value
-        for b in batches:
+        for b in slices(batches):
             tails = scorer.model.tails(scorer.scores([t.as_py() or b"" for t in b.column(1).cast(pa.binary())]))
             yield pa.RecordBatch.from_arrays(
                 [b.column(0).cast(pa.int64()), pa.array(tails.sum(axis=1)), *[pa.array(tails[:, k]) for k in range(n)],
@@ -230,7 +231,7 @@ def select_documents(docs: DataFrame, model: OrdinalModel, min_tail: float = MIN
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         scorer = shared.value
-        for b in batches:
+        for b in slices(batches):
             texts = b.column(at).cast(pa.binary())
             tails = scorer.model.tails(scorer.scores([t.as_py() or b"" for t in texts]))
             yield b.filter(pa.array(tails[:, min_grade - 1] >= min_tail))
