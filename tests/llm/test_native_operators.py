@@ -1,5 +1,7 @@
 """Exact dedup, mixing, quality rules and secret ledger beyond their SQL parity."""
 
+import hashlib
+import math
 import re
 from collections import Counter, defaultdict
 
@@ -146,6 +148,76 @@ def test_written_words_are_within_a_document_of_the_targets(spark, small_docs):
             assert abs(written[s] - target[s]) <= longest[s] / 2 + 0.5, s
 
 
+def md5(text):
+    return hashlib.md5(text.encode()).hexdigest()
+
+
+def dealt_by_blocks(rows, total_blocks):
+    """Copies of each text of (doc_id, text, source): whole blocks by highest quotients, in seeded order, then
+    to the word; a block holds the documents that begin in it."""
+    streams = defaultdict(list)
+    for d, t, s in rows:
+        parts = [mixing.SEED] + ([] if d is None else [str(d)]) + [md5(t)]
+        streams[s].append((md5(":".join(parts)), len(t.split()), t))
+    size = {s: sum(n for _, n, _ in docs) for s, docs in streams.items()}
+    target = targets_by_resharing(size)
+    block = math.ceil(sum(target.values()) / total_blocks)
+    quotients = sorted((-t / (2 * k + 1), s) for s, t in target.items() for k in range(int(t)))
+    seats = Counter(s for _, s in quotients[:round(sum(target.values()) / block)])
+    copies = Counter()
+    for no, s in enumerate(sorted(streams), 1):
+        blocks, at = defaultdict(list), 0
+        for _, n, t in sorted(streams[s]):
+            blocks[at // block].append((n, t))
+            at += n
+        order = sorted(range(-(-size[s] // block)), key=lambda b: (md5(f"{mixing.SEED}:{no}:{b}"), b))
+        length = {b: sum(n for n, _ in blocks[b]) for b in order}
+        taken, part = Counter(), Counter()
+        for k in range(seats[s]):                                                           # the quota
+            taken[order[k % len(order)]] += 1
+        at, missing = seats[s], round(target[s]) - sum(taken[b] * length[b] for b in order)
+        while missing < 0:                                                                  # given back by the last ones
+            at -= 1
+            b = order[at % len(order)]
+            taken[b], missing = taken[b] - 1, missing + length[b]
+        while missing > 0:                                                                  # taken from the next ones
+            b = order[at % len(order)]
+            if missing >= length[b]:
+                taken[b] += 1
+            else:
+                part[b] = missing
+            at, missing = at + 1, missing - length[b]
+        for b in order:
+            for n, t in blocks[b]:
+                copies[t] += taken[b] + (part[b] >= n / 2)
+                part[b] = max(0, part[b] - n)
+    return copies, target, seats, block
+
+
+def test_mixed_documents_are_dealt_by_blocks(spark):
+    rows = [(None if i % 7 == 0 else 1_000 * k + i, "%d " % (1_000 * k + i) + " ".join(["w"] * (9 + (i * 5) % 23)), s)
+            for k, (s, n) in enumerate({"a": 300, "b": 230, "c": 90, "d": 3}.items()) for i in range(n)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string").repartition(4)
+    want, target, seats, block = dealt_by_blocks(rows, 64)
+    assert +want == Counter(r.text for r in mixing.mixed_documents(docs, total_blocks=64).collect())
+    plan = mixing.mix(docs, total_blocks=64).collect()
+    assert {r.source: r.blocks for r in plan} == {s: seats[s] for s in target}
+    assert all(abs(r.settled) <= 3 * block for r in plan)
+    hashed = mixing.mixed_documents(docs, total_blocks=1_000_000)      # a document a block: other documents are taken
+    assert Counter(r.text for r in hashed.collect()) != +want
+
+
+def test_equal_rows_are_mixed_alike(spark):
+    rows = [(7, "same words here", "b")] * 60 + [(100 + i, "%d b c d e" % i, "b") for i in range(60)]
+    rows += [(1_000 + i, "%d x y z" % i, "a") for i in range(80)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string").repartition(3)
+    taken = [r.taken for r in mixing.mix(docs, total_blocks=64).collect() if r.doc_id == 7]
+    whole = Counter(t // 3 for t in taken)
+    assert len(taken) == 60 and sum(t % 3 > 0 for t in taken) <= 1 and len(whole) <= 2
+    held = Counter(r.text for r in mixing.mixed_documents(docs, total_blocks=64).collect())["same words here"]
+    assert held == 60 * int(sum(taken) / 180 + 0.5)
+
+
 def test_rule_bits_policies_and_ablation(edge_docs):
     ledger = rule_ledger.measure(edge_docs).cache()
     rows = ledger.collect()

@@ -21,16 +21,11 @@ functions only).
   and the block at the cut is taken in part: its first words.
 
 ``mix`` is the form for consumers of whole documents (``mixed_documents``), of which as few
-as possible may be taken in part:
+as possible may be taken in part.  Blocks, quotas, seeded order and settlement are the same, but
+a block holds the documents that begin in it, whole: it is as long as they are, and only the one
+document at the source's cut is taken in part.  Rows of equal id, source and text are in one block.
 
-* Apportionment in blocks of one word: with the divisor 1 the Sainte-Lague quota
-  of a source is its target rounded to a whole word.
-* Selection: a source with quota q and n words takes every document q div n times
-  and the first q mod n words of its seeded stream once more.  The stream is in
-  hash order, so these are a random sample of its documents, and only the one
-  document at the cut is taken in part.
-
-A document is charged for the words of its own that lie in taken blocks.  The
+In ``mix_blocks`` a document is charged for the words of its own that lie in taken blocks.  The
 stream position of a document is a two-level prefix sum: totals per (source,
 hash bucket), then a running sum inside the bucket.  The hash is of seed, id and
 text, so a source that holds a third of all rows, or rows without an id, spread over
@@ -119,19 +114,23 @@ def apportion(targets: DataFrame, total_blocks: int = TOTAL_BLOCKS, shards: int
         "shard", F.floor((F.col("rank") - 1) * shards / F.col("slots")).cast("int"))
 
 
-def block_table(targets: DataFrame, quotients: DataFrame, seed: str = SEED) -> DataFrame:
+def block_table(targets: DataFrame, quotients: DataFrame, seed: str = SEED, held: DataFrame | None = None) -> DataFrame:
     """(source_no, block_no) of every block: how often it is taken whole (``times``), how many of its
     first words once more (``part``), the words taken before it, the source's quota in ``blocks``
     and the words by which the settlement changes that quota (``settled``).
 
-    ``targets`` have the block length.  At most 1 / share * total_blocks rows and one more per source.
+    ``targets`` have the block length; ``held`` has the words per block where they are not those of
+    its stretch of the stream.  At most 1 / share * total_blocks rows and one more per source.
     """
     won = quotients.groupBy("source_no").agg(F.count(F.lit(1)).alias("blocks"))
     per = targets.filter(F.col("source_size") > 0).join(won, "source_no", "left").fillna(0, ["blocks"]).withColumns({
         "n_blocks": F.ceil(F.col("source_size") / F.col("block")).cast("long"),
         "words": F.round("target").cast("long")})
     b = per.withColumn("block_no", F.explode(F.sequence(F.lit(0).cast("long"), F.col("n_blocks") - 1)))
-    b = b.withColumn("length", F.least(F.col("block"), F.col("source_size") - F.col("block_no") * F.col("block")))
+    if held is None:
+        b = b.withColumn("length", F.least(F.col("block"), F.col("source_size") - F.col("block_no") * F.col("block")))
+    else:
+        b = b.join(held.select("source_no", "block_no", "length"), ["source_no", "block_no"], "left").fillna(0, ["length"])
     pick = Window.partitionBy("source_no").orderBy(
         F.md5(F.concat_ws(":", F.lit(seed), F.col("source_no"), F.col("block_no"))), "block_no")
     before = Window.unboundedPreceding, -1
@@ -149,8 +148,8 @@ def block_table(targets: DataFrame, quotients: DataFrame, seed: str = SEED) -> D
 
 
 def stream_positions(sizes: DataFrame, targets: DataFrame, *ties: str) -> DataFrame:
-    """Each document's first word in its source's stream (two-level prefix sum);
-    ``ties`` order documents of equal hash, id and size."""
+    """Each document's first word in its source's stream (``start``, a two-level prefix sum) and that
+    of the first of its equals (``run``); ``ties`` order documents of equal hash, id and size."""
     t = F.broadcast(targets) if _few_sources(targets) else targets
     d = sizes.join(t.withColumnRenamed("source", "__source"), F.col("source").eqNullSafe(F.col("__source")))
     d = d.drop("__source").withColumn("bucket", F.substring(F.coalesce("hash", F.lit("000")), 1, 3))
@@ -158,11 +157,13 @@ def stream_positions(sizes: DataFrame, targets: DataFrame, *ties: str) -> DataFr
     offsets = sums.select("source_no", "bucket", F.coalesce(F.sum("__sum").over(
         Window.partitionBy("source_no").orderBy("bucket").rowsBetween(Window.unboundedPreceding, -1)),
         F.lit(0)).alias("__offset"))
-    inside = Window.partitionBy("source_no", "bucket").orderBy("hash", "doc_id", "size", *ties).rowsBetween(
-        Window.unboundedPreceding, -1)
-    d = d.withColumn("__before", F.coalesce(F.sum("size").over(inside), F.lit(0)))
-    return d.join(offsets, ["source_no", "bucket"]).withColumn("start", F.col("__offset") + F.col("__before")).drop(
-        "bucket", "__offset", "__before", "hash")
+    order = Window.partitionBy("source_no", "bucket").orderBy("hash", "doc_id", "size", *ties)
+    inside = order.rowsBetween(Window.unboundedPreceding, -1)
+    d = d.withColumns({"__before": F.coalesce(F.sum("size").over(inside), F.lit(0)),
+                       "__equals": F.row_number().over(order) - F.rank().over(order)})      # of equal size, before it
+    d = d.join(offsets, ["source_no", "bucket"]).withColumn("start", F.col("__offset") + F.col("__before"))
+    return d.withColumn("run", F.col("start") - F.col("__equals") * F.col("size")).drop(
+        "bucket", "__offset", "__before", "__equals", "hash")
 
 
 # A per-source table of at most this many rows (about 1 MB) may be broadcast.
@@ -174,25 +175,36 @@ def _few_sources(targets: DataFrame) -> bool:
 
 
 def mix(docs: DataFrame, weights=WEIGHTS, share: float = SHARE, max_repeats: int = MAX_REPEATS,
-        seed: str = SEED) -> DataFrame:
-    """doc_id, size, source_size, target, taken (and source): one row per document.
+        total_blocks: int = TOTAL_BLOCKS, shards: int = SHARDS, seed: str = SEED) -> DataFrame:
+    """The mix in ``total_blocks`` blocks of whole documents, settled to the word: doc_id, size, source_size,
+    target, taken (and source), the source's quota in ``blocks`` and the words by which it is ``settled``.
 
-    A source's ``taken`` add up to its target, rounded to a whole word.
+    One row per document.  A source's ``taken`` add up to its target, rounded to a whole word.
     """
-    return _mix(docs, weights, share, max_repeats, seed).drop("digest")
+    return _mix(docs, weights, share, max_repeats, total_blocks, shards, seed).drop("digest")
 
 
 def _mix(docs: DataFrame, weights=WEIGHTS, share: float = SHARE, max_repeats: int = MAX_REPEATS,
-         seed: str = SEED) -> DataFrame:
+         total_blocks: int = TOTAL_BLOCKS, shards: int = SHARDS, seed: str = SEED) -> DataFrame:
     """``mix`` with the digest of each text."""
     sizes = materialize(document_sizes(docs, seed, _digest().alias("digest")), "mix-sizes")
-    targets = source_targets(sizes, weights, share, max_repeats).withColumn("quota", F.round("target").cast("long"))
-    targets = targets.withColumn("times", F.when(F.col("source_size") > 0, F.expr("quota div source_size")).otherwise(0))
-    targets = targets.withColumn("more", F.col("quota") - F.col("times") * F.col("source_size"))
-    d = stream_positions(sizes, materialize(targets.coalesce(1), "mix-targets"), "digest")
-    once_more = F.greatest(F.lit(0), F.least("size", F.col("more") - F.col("start")))
+    targets = materialize(source_targets(sizes, weights, share, max_repeats).coalesce(1), "mix-targets")
+    quotients = apportion(targets, total_blocks, shards, max_repeats)
+    lengths = with_block_length(targets, total_blocks)
+    d = stream_positions(sizes, lengths, "digest").withColumn("block_no", F.expr("run div block"))
+    d = materialize(d.drop("block", "run"), "mix-positions")
+    held = materialize(d.filter(F.col("size") > 0).groupBy("source_no", "block_no").agg(
+        F.sum("size").alias("length"), F.min("start").alias("first")), "mix-held")
+    blocks = block_table(lengths, quotients, seed, held).join(held.drop("length"), ["source_no", "block_no"], "left")
+    blocks = materialize(blocks.coalesce(1), "mix-blocks")
+    d = d.join(blocks.select("source_no", "block_no", "times", "part", "first", "blocks", "settled"),
+               ["source_no", "block_no"], "left")
+    once_more = F.greatest(F.lit(0), F.least("size", F.col("part") - (F.col("start") - F.col("first"))))
+    taken = F.col("times") * F.col("size") + once_more
     return d.select("doc_id", "source", "size", "source_size", "target",
-                    (F.col("times") * F.col("size") + once_more).cast("long").alias("taken"), "digest")
+                    F.when(F.col("size") > 0, taken).otherwise(0).cast("long").alias("taken"),
+                    F.coalesce("blocks", F.lit(0)).alias("blocks"), F.coalesce("settled", F.lit(0)).alias("settled"),
+                    "digest")
 
 
 def _digest() -> Column:
@@ -228,8 +240,8 @@ def mix_blocks(docs: DataFrame, weights=WEIGHTS, share: float = SHARE, max_repea
 
 
 def mixed_documents(docs: DataFrame, **settings) -> DataFrame:
-    """The mix as whole documents: a document of which the mix takes ``taken`` of
-    ``size`` words is written round(taken / size) times (0 to ``max_repeats``).
+    """The mix as whole documents, block by block: a document of which the mix takes ``taken``
+    of ``size`` words is written round(taken / size) times (0 to ``max_repeats``).
 
     Only the document at its source's cut is taken in part, so the words written
     for a source are within half of that document of its target.  Rows that share
